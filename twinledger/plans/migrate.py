@@ -1,0 +1,193 @@
+"""Keep the latest row per source id and month, verify, publish."""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinledger import schemas
+from twinledger.functions import epoch_ts, quadrimester_of
+from twinledger.operators import aggregates, filters, windows
+from twinledger.sources import (
+    create_dedup_table,
+    mark_done,
+    params_hash,
+    read_dedup,
+    read_ledger,
+    repair_table,
+    write_flat,
+    write_quadrimester,
+    write_report,
+)
+
+JOB = "migrate"
+SCOPES = {"month": ["quadrimester", "month", "source_id"], "quadrimester": ["quadrimester", "source_id"]}
+
+_log = logging.getLogger(__name__)
+
+
+def table_name(entity: str) -> str:
+    return f"migration_{entity.replace('.', '_')}_monthly"
+
+
+def temp_path(root: str, entity: str) -> str:
+    return f"{root}/temps/reporting_entity={entity}/_tmp"
+
+
+def final_path(root: str, entity: str, label: str) -> str:
+    return f"{root}/reporting_entity={entity}/MIGRATED/{label}"
+
+
+def dedup(stage: DataFrame, entity: str, labels: list[str], scope: str = "month") -> DataFrame:
+    """Latest row per source id within its month (or quadrimester).
+
+    Only rows dated inside the quadrimester they are filed under take part. All
+    quadrimesters and months go through one window; its group limit runs before
+    the shuffle, so a source id with most of the rows is cut down in place.
+    """
+    rows = filters.by_quadrimesters(filters.by_entity(stage, entity), labels)
+    ts = epoch_ts(F.col("start_time"))
+    dated = rows.where(F.col("quadrimester") == quadrimester_of(ts)).select(
+        *schemas.DEDUP_COLUMNS,
+        F.date_format(ts, "yyyy").alias("year"),
+        "quadrimester",
+        F.date_format(ts, "MM").alias("month"),
+    )
+    return filters.latest_only(windows.rank_latest(dated, SCOPES[scope]))
+
+
+def verify(kept: DataFrame, stage: DataFrame, entity: str, labels: list[str]) -> DataFrame:
+    """Compare distinct source ids of the deduplicated rows with the lake.
+
+    The lake side is not filtered by date: a source id filed under the wrong
+    quadrimester makes the check fail, which is its purpose. `note` marks rows
+    left over by ids that span months.
+    """
+    temp = aggregates.verify_counts(filters.by_quadrimesters(kept, labels))
+    lake = aggregates.verify_counts(filters.by_quadrimesters(filters.by_entity(stage, entity), labels))
+    pair = temp.select(
+        "quadrimester",
+        F.col("total_rows").alias("temp_total_rows"),
+        F.col("distinct_sources").alias("temp_distinct_sources"),
+    ).join(
+        lake.select("quadrimester", F.col("distinct_sources").alias("stage2_distinct_sources")),
+        "quadrimester",
+        "full",
+    )
+    counts = pair.fillna(0, ["temp_total_rows", "temp_distinct_sources", "stage2_distinct_sources"])
+    delta = F.col("temp_distinct_sources") - F.col("stage2_distinct_sources")
+    return counts.withColumn("delta", delta).select(
+        "*",
+        F.when(F.col("delta") == 0, "pass").otherwise("mismatch").alias("status"),
+        (F.col("temp_total_rows") != F.col("temp_distinct_sources")).alias("note"),
+    )
+
+
+def mismatch_report(verified: DataFrame, entity: str) -> DataFrame:
+    """Failed verifications under the report's column names."""
+    return verified.where(F.col("status") == "mismatch").select(
+        "quadrimester",
+        F.lit(entity).alias("reporting_entity"),
+        "temp_distinct_sources",
+        "temp_total_rows",
+        "stage2_distinct_sources",
+        "delta",
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
+def _attempt(work: Callable[[str], None], labels: list[str]) -> dict[str, str]:
+    """Run one Spark job per label side by side; return label -> error of those
+    that failed. A failure never stops the others."""
+    errors: dict[str, str] = {}
+
+    def guarded(label: str) -> None:
+        try:
+            work(label)
+        except Exception as e:  # noqa: BLE001 - becomes the label's outcome
+            _log.warning("quadrimester %s failed: %s", label, e)
+            errors[label] = str(e)
+
+    if labels:
+        with ThreadPoolExecutor(len(labels)) as pool:
+            list(pool.map(guarded, labels))
+    return errors
+
+
+def _migrate_wave(
+    spark: SparkSession, stage: DataFrame, entity: str, wave: list[str], root: str, scope: str
+) -> dict[str, tuple[str, str | None]]:
+    """Write, verify and publish a few quadrimesters; outcome and error of each."""
+    table = table_name(entity)
+    temp = temp_path(root, entity)
+    failed = _attempt(
+        lambda label: write_quadrimester(dedup(stage, entity, [label], scope), temp, label), wave
+    )
+    written = [label for label in wave if label not in failed]
+    passed, mismatched = written, []
+    if written:
+        repair_table(spark, table)
+        # One row per label of the wave. A label without rows anywhere passes.
+        found = verify(spark.table(table), stage, entity, written)
+        rows = found.collect()
+        mismatched = [r.quadrimester for r in rows if r.status != "pass"]
+        passed = [label for label in written if label not in mismatched]
+        if mismatched:
+            kept_rows = spark.createDataFrame(rows, found.schema)
+            write_report(mismatch_report(kept_rows, entity), f"{root}/mismatched-quadrimesters")
+    failed |= _attempt(
+        lambda label: write_flat(
+            read_dedup(spark, table, label), final_path(root, entity, label)
+        ),
+        passed,
+    )
+    return {
+        label: ("failed", failed[label])
+        if label in failed
+        else ("mismatch" if label in mismatched else "published", None)
+        for label in wave
+    }
+
+
+def migrate(
+    spark: SparkSession,
+    stage: DataFrame,
+    entity: str,
+    years: list[int],
+    root: str,
+    quadrimesters: list[str] | None = None,
+    scope: str = "month",
+    wave: int = 3,
+) -> DataFrame:
+    """Migrate every requested quadrimester not published before.
+
+    Returns quadrimester, outcome (`published`, `mismatch`, `failed`, `done`)
+    and error. Quadrimesters go in waves of `wave`: written side by side, one
+    job each, then verified together, published, and recorded. So a failure
+    costs one quadrimester, a lost driver at most one wave, and since every
+    write replaces its folder, repeating changes nothing.
+    """
+    if scope not in SCOPES:
+        raise ValueError(f"scope {scope!r} is none of {sorted(SCOPES)}")
+    labels = filters.check_quadrimesters(quadrimesters, years)
+    params = params_hash(entity=entity, scope=scope)
+    # At most one ledger row per requested label comes back.
+    done = read_ledger(spark, root, JOB, params).where(F.col("unit").isin(*labels))
+    finished = {row.unit for row in done.collect()}
+    outcomes: dict[str, tuple[str, str | None]] = {q: ("done", None) for q in labels if q in finished}
+    pending = [q for q in labels if q not in finished]
+    if pending:
+        create_dedup_table(spark, table_name(entity), temp_path(root, entity))
+    for at in range(0, len(pending), wave):
+        result = _migrate_wave(spark, stage, entity, pending[at : at + wave], root, scope)
+        published = [(q,) for q, (outcome, _) in result.items() if outcome == "published"]
+        if published:
+            mark_done(spark.createDataFrame(published, "unit string"), root, JOB, params)
+        outcomes |= result
+    return spark.createDataFrame(
+        [(q, *outcomes[q]) for q in labels], "quadrimester string, outcome string, error string"
+    )

@@ -1,0 +1,191 @@
+"""Where in time do the two copies differ, and by which keys?
+
+Both copies of one entity are reduced to one narrow table with a row per
+(second, key) and side markers, in a single shuffle. Every level of the
+drill-down then reads that table: month, day, hour, minute, second. A level
+looks only below buckets whose counts differ, so there are at most five rounds,
+whatever the number of differing buckets.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from twinledger.functions import (
+    ENTITY_MARKER,
+    LEVELS,
+    bucket_start,
+    epoch_ts,
+    quadrimester_of,
+    window_of,
+    window_text,
+    year_month,
+)
+from twinledger.functions.calendar import SPECIAL_BUCKETS
+from twinledger.operators import filters, joins
+from twinledger.session import materialize
+
+# A differing bucket with fewer index documents than this is compared by key.
+LEAF_THRESHOLD = 10_000
+
+# Fixed names of the two sides in the report.
+INDEX_SIDE = "ES_ONLY"
+LAKE_SIDE = "ATHENA_ONLY"
+
+LEFT_METRICS = ("docs", "distinct")
+
+
+@dataclass(frozen=True)
+class Reconciliation:
+    outstanding: DataFrame  # level, window_start, window_end_exclusive, source, key
+    mismatches: DataFrame  # level, bucket, left_n, right_n, leaf
+
+
+def _combined(
+    docs: DataFrame, stage: DataFrame, entity: str, years: list[int], marker: str
+) -> DataFrame:
+    """second, key, docs, lake_any, lake_exact.
+
+    lake_any: some row of that year's quadrimesters. lake_exact: some row of
+    exactly the quadrimester its time falls in. The month level counts the
+    former, deeper levels and key lists the latter.
+    """
+    wanted = [int(y) for y in years]
+    start, end = f"{min(wanted):04d}-01-01", f"{max(wanted) + 1:04d}-01-01"
+    dated = filters.in_window_ms(docs, start, end).where(F.year("start_ts").isin(*wanted))
+    left = filters.with_entity_phrase(dated, entity, marker).select(
+        bucket_start("second", F.col("start_ts")).alias("second"),
+        "key",
+        F.lit(1).cast("bigint").alias("docs"),
+        F.lit(False).alias("lake_any"),
+        F.lit(False).alias("lake_exact"),
+    )
+    labels = [f"{y:04d}-T{n}" for y in wanted for n in (1, 2, 3)]
+    ts = epoch_ts(F.col("start_time"))
+    right = (
+        filters.by_quadrimesters(filters.by_entity(stage, entity), labels)
+        .where(F.date_format(ts, "yyyy") == F.substring("quadrimester", 1, 4))
+        .select(
+            ts.alias("second"),
+            "key",
+            F.lit(0).cast("bigint").alias("docs"),
+            F.lit(True).alias("lake_any"),
+            (F.col("quadrimester") == quadrimester_of(ts)).alias("lake_exact"),
+        )
+    )
+    return _by_key(left.unionByName(right), F.col("second"), "second")
+
+
+def _by_key(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
+    return rows.groupBy(bucket.alias(name), "key").agg(
+        F.sum("docs").alias("docs"),
+        F.bool_or("lake_any").alias("lake_any"),
+        F.bool_or("lake_exact").alias("lake_exact"),
+    )
+
+
+def _one_sided(by_key: DataFrame, level: str, sides: tuple[str, str]) -> DataFrame:
+    start, end = window_of(level, F.col("bucket"))
+    in_index = F.col("docs") > 0
+    return by_key.where(F.col("key").isNotNull() & (in_index != F.col("lake_exact"))).select(
+        F.lit(level).alias("level"),
+        window_text(start).alias("window_start"),
+        window_text(end).alias("window_end_exclusive"),
+        F.when(in_index, sides[0]).otherwise(sides[1]).alias("source"),
+        "key",
+    )
+
+
+def reconcile(
+    docs: DataFrame,
+    stage: DataFrame,
+    entity: str,
+    years: list[int],
+    threshold: int = LEAF_THRESHOLD,
+    left_metric: str = "docs",
+    marker: str = ENTITY_MARKER,
+    sides: tuple[str, str] = (INDEX_SIDE, LAKE_SIDE),
+) -> Reconciliation:
+    """Drill from months to seconds where counts differ; list one-sided keys.
+
+    The index side counts documents (`left_metric="docs"`) or distinct keys
+    ("distinct"); the lake side counts distinct keys. Buckets with equal counts
+    are not opened, so equally many different keys on both sides go unnoticed:
+    `reconcile_exact` finds those too.
+    """
+    if left_metric not in LEFT_METRICS:
+        raise ValueError(f"left_metric {left_metric!r} is none of {LEFT_METRICS}")
+    narrow_rows = _combined(docs, stage, entity, years, marker).withColumn(
+        "month", year_month(F.col("second"))
+    )
+    table = materialize(narrow_rows.hint("rebalance", F.col("month")), "reconcile", ["month"])
+    second, held = F.col("second"), F.col("key").isNotNull()
+
+    rows = table
+    fronts: list[tuple[str, DataFrame]] = []
+    for level in LEVELS:
+        lake = F.col("lake_any") if level == "month" else F.col("lake_exact")
+        left = F.sum("docs") if left_metric == "docs" else F.count_if(held & (F.col("docs") > 0))
+        counts = (
+            _by_key(rows, bucket_start(level, second))
+            .groupBy("bucket")
+            .agg(left.alias("left_n"), F.count_if(held & lake).alias("right_n"))
+        )
+        leaf = F.lit(True) if level == LEVELS[-1] else F.col("left_n") < threshold
+        front = materialize(
+            filters.mismatched(counts).withColumn("leaf", leaf), f"frontier-{level}"
+        )
+        fronts.append((level, front))
+        drill = front.where(~F.col("leaf"))
+        # At most twelve labels per requested year; they prune the table's folders.
+        months = [r.m for r in drill.select(year_month(F.col("bucket")).alias("m")).distinct().collect()]
+        if not months:
+            break
+        rows = joins.under_frontier(table.where(F.col("month").isin(*months)), second, drill, level)
+
+    outstanding = [
+        _one_sided(
+            _by_key(
+                joins.under_frontier(table, second, front.where("leaf"), level),
+                bucket_start(level, second),
+            ),
+            level,
+            sides,
+        )
+        for level, front in fronts
+    ]
+    mismatches = [front.select(F.lit(level).alias("level"), "*") for level, front in fronts]
+    return Reconciliation(
+        reduce(DataFrame.unionByName, outstanding), reduce(DataFrame.unionByName, mismatches)
+    )
+
+
+def reconcile_exact(
+    docs: DataFrame,
+    stage: DataFrame,
+    entity: str,
+    years: list[int],
+    level: str = "month",
+    marker: str = ENTITY_MARKER,
+    sides: tuple[str, str] = (INDEX_SIDE, LAKE_SIDE),
+) -> DataFrame:
+    """Every one-sided key of every bucket, whether or not its counts differ."""
+    rows = _combined(docs, stage, entity, years, marker)
+    return _one_sided(_by_key(rows, bucket_start(level, F.col("second"))), level, sides)
+
+
+def mistagged_rows(stage: DataFrame) -> DataFrame:
+    """Lake rows filed under another quadrimester than their time falls in."""
+    belongs = quadrimester_of(epoch_ts(F.col("start_time")))
+    return stage.where(
+        ~F.col("quadrimester").isin(*SPECIAL_BUCKETS) & (F.col("quadrimester") != belongs)
+    ).withColumn("expected_quadrimester", belongs)
+
+
+def undated_rows(stage: DataFrame) -> DataFrame:
+    """Lake rows whose start_time is not a usable number of milliseconds."""
+    return stage.where(epoch_ts(F.col("start_time")).isNull())

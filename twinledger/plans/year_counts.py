@@ -1,0 +1,57 @@
+"""Distinct keys (or any column) per year bucket and year."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from twinledger.functions import year_bucket_values
+from twinledger.operators import aggregates, filters
+from twinledger.sources import mark_done, params_hash, read_ledger
+from twinledger.sources.ledger import read_if_present
+
+JOB = "year_counts"
+
+
+def year_counts(
+    stage: DataFrame, entity: str, labels: list[str] | None = None, field: str = "key"
+) -> DataFrame:
+    """bucket, year, {field}_count for all requested buckets in one plan.
+
+    The literal list of quadrimester values prunes partitions; one aggregation
+    serves all buckets, since a quadrimester value belongs to exactly one.
+    """
+    values = [q for group in year_bucket_values(labels).values() for q in group]
+    rows = filters.by_quadrimesters(filters.by_entity(stage, entity), values)
+    return aggregates.distinct_by_bucket_year(rows, field)
+
+
+def run_year_counts(
+    stage: DataFrame,
+    entity: str,
+    root: str,
+    labels: list[str] | None = None,
+    field: str = "key",
+) -> DataFrame:
+    """Count the buckets not done yet, store them, record them, return all.
+
+    Output is one folder per bucket, replaced as a whole, and recorded only
+    after it is written: a run that stops in between is simply repeated. The
+    ledger is kept per entity and field. A bucket without rows is done too.
+    """
+    spark = stage.sparkSession
+    params = params_hash(entity=entity, field=field)
+    out = f"{root}/{JOB}/params={params}"
+    requested = year_bucket_values(labels)
+    # At most one ledger row per requested label comes back.
+    done = read_ledger(spark, root, JOB, params).where(F.col("unit").isin(*requested))
+    finished = {row.unit for row in done.collect()}
+    pending = [label for label in requested if label not in finished]
+    if pending:
+        year_counts(stage, entity, pending, field).repartition("bucket").write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(out)
+        mark_done(spark.createDataFrame([(p,) for p in pending], "unit string"), root, JOB, params)
+    columns = f"year int, {field}_count bigint, bucket string"
+    return read_if_present(spark, out, T.StructType.fromDDL(columns))
