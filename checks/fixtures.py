@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger import configure
+from twinledger import configure, schemas
+from twinledger.functions import epoch_ts
 
 TABLES = ("lineitem", "orders", "documents")
 ENTITY = "entity.a.com"
@@ -175,6 +176,42 @@ class Fixtures:
     @cached_property
     def dated_stage(self) -> DataFrame:
         """Stage with its time as a timestamp column."""
-        from twinledger.functions import epoch_ts
-
         return self.stage.withColumn("ts", epoch_ts(F.col("start_time")))
+
+
+class StoredFixtures(Fixtures):
+    """The same views written once in the layout of the real copies: the stage
+    partitioned by entity and quadrimester, the others plain Parquet."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        self.root = root
+
+    def store(self) -> StoredFixtures:
+        views = Fixtures(self.spark, self.dir)
+        views.stage.hint(
+            "rebalance", F.col("reporting_entity"), F.col("quadrimester")
+        ).write.partitionBy("reporting_entity", "quadrimester").parquet(f"{self.root}/stage")
+        views.index_docs.write.parquet(f"{self.root}/index_docs")
+        views.key_list.write.parquet(f"{self.root}/key_list")
+        views.id_list.write.parquet(f"{self.root}/id_list")
+        return self
+
+    def _stored(self, name: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    @cached_property
+    def stage(self) -> DataFrame:
+        return self._stored("stage", schemas.STAGE)
+
+    @cached_property
+    def index_docs(self) -> DataFrame:
+        return self._stored("index_docs", schemas.INDEX_DOCS)
+
+    @cached_property
+    def key_list(self) -> DataFrame:
+        return self._stored("key_list", "key string")
+
+    @cached_property
+    def id_list(self) -> DataFrame:
+        return self._stored("id_list", "source_id string")

@@ -18,6 +18,7 @@ from twinledger.session import scratch_path
 from twinledger.sources.ledger import read_outcomes
 from twinledger.streaming import replay_new_files
 
+BUILDERS: dict[str, Callable[[Fixtures], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,6 +27,7 @@ def query(name: str, views: tuple[str, ...], sql: str | None):
     """Register a function of Fixtures; `sql` may use the named views."""
 
     def wrap(build: Callable[[Fixtures], DataFrame]):
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(Fixtures(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = f"{duckdb_with(*views)}\n{sql.strip()}" if views else sql.strip()
