@@ -14,7 +14,7 @@ from twinledger.operators import aggregates, filters, joins, ordering, sets, win
 from twinledger.plans.migrate import table_name
 from twinledger.plans.multiplicity import SOURCE_OUTCOMES
 from twinledger.plans.replay import OUTCOMES as REPLAY_OUTCOMES
-from twinledger.session import scratch_path
+from twinledger.session import materialize, scratch_path
 from twinledger.sources.ledger import read_outcomes
 from twinledger.streaming import replay_new_files
 
@@ -254,8 +254,8 @@ named AS (SELECT *, key_month || '/' || part || '/' || batch_no AS batch FROM ba
 
 
 def _missing_batches(f: Fixtures) -> DataFrame:
-    listed = f.key_list.select("key").distinct()
-    return windows.make_batches(joins.missing_keys(listed, f.index_docs), BATCH_N, PART_N)
+    missing = materialize(joins.missing_keys(f.key_list, f.index_docs), "missing")
+    return windows.make_batches(missing, BATCH_N, PART_N)
 
 
 def _delivered(f: Fixtures) -> DataFrame:
@@ -478,10 +478,10 @@ def flt_text_key(f: Fixtures) -> DataFrame:
 @query(
     "flt_resume",
     ("index_docs", "key_list"),
-    "SELECT key FROM key_list WHERE key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
+    "SELECT DISTINCT key FROM key_list WHERE key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
 )
 def flt_resume(f: Fixtures) -> DataFrame:
-    return filters.not_done(f.key_list, f.index_docs, "key")
+    return filters.not_done(f.key_list.distinct(), f.index_docs, "key")
 
 
 @query(
@@ -743,12 +743,12 @@ MISSING_SQL = "SELECT DISTINCT key FROM key_list WHERE key {op} (SELECT key FROM
 
 @query("join_missing", ("index_docs", "key_list"), MISSING_SQL.format(op="NOT IN"))
 def join_missing(f: Fixtures) -> DataFrame:
-    return joins.missing_keys(f.key_list.distinct(), f.index_docs)
+    return joins.missing_keys(f.key_list, f.index_docs)
 
 
 @query("join_present", ("index_docs", "key_list"), MISSING_SQL.format(op="IN"))
 def join_present(f: Fixtures) -> DataFrame:
-    return joins.present_keys(f.key_list.distinct(), f.index_docs)
+    return joins.present_keys(f.key_list, f.index_docs)
 
 
 @query(
@@ -784,7 +784,7 @@ def join_lookup(f: Fixtures) -> DataFrame:
     id_keys = pairs.select(
         "source_id", fn.quadrimester_of_key(F.col("key")).alias("quadrimester")
     ).distinct()
-    return joins.lake_counts(id_keys, f.stage, ENTITY, max_rows=0)
+    return joins.lake_counts(materialize(id_keys, "id-keys"), f.stage, ENTITY, max_rows=0)
 
 
 @query("join_histograms", ("stage", "index_docs"), f", {DAY_HISTOGRAMS} SELECT * FROM pair")
@@ -1001,7 +1001,7 @@ def sort_doc_time(f: Fixtures) -> DataFrame:
 @query(
     "limit_input",
     ("index_docs", "key_list"),
-    "SELECT COUNT(*) AS n FROM (SELECT key FROM key_list WHERE key NOT IN "
+    "SELECT COUNT(*) AS n FROM (SELECT DISTINCT key FROM key_list WHERE key NOT IN "
     "(SELECT key FROM index_docs WHERE key IS NOT NULL) LIMIT 100)",
 )
 def limit_input(f: Fixtures) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import ENTITY_MARKER, SOURCE_MARKER, expand_years, extract_marker
+from twinledger.operators.lists import NARROW_ROWS, keep_listed
 
 # Fixed default ranges, both ends included.
 START_RANGE = ("2008-01-01 00:00:00.000", "2027-12-31 23:59:59.999")
@@ -53,10 +54,11 @@ def in_archived_range(docs: DataFrame, start=ARCHIVED_RANGE[0], end=ARCHIVED_RAN
     return docs.where(F.col("archived_ts").between(_ts(start), _ts(end)))
 
 
-def with_listed_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Documents whose key is listed. The document side streams, so a hot key
-    is split by skew handling; the list holds each key once."""
-    return docs.join(keys.select("key").distinct(), "key", "left_semi")
+def with_listed_keys(
+    docs: DataFrame, keys: DataFrame, max_rows: int = NARROW_ROWS
+) -> DataFrame:
+    """Documents whose key is listed."""
+    return keep_listed(docs, keys, ["key"], max_rows)
 
 
 def _has_marker(docs: DataFrame, marker: str, value: str) -> DataFrame:
@@ -93,7 +95,8 @@ def with_text_key(docs: DataFrame) -> DataFrame:
 
 
 def not_done(inputs: DataFrame, done: DataFrame, on: str) -> DataFrame:
-    """Inputs without a finished outcome."""
+    """Inputs without a finished outcome. Inputs should be distinct, as
+    `ordering.limit_inputs` makes them."""
     return inputs.join(done.select(on).distinct(), on, "left_anti")
 
 

@@ -1,8 +1,9 @@
 """Joins between lists, index documents and the lake.
 
-Two rules keep them safe when one key holds a large share of all rows: the side
-that may be hot is either the streamed side of the join, or reduced to one row
-per key by a map-side combine before the shuffle.
+Two rules keep them safe when one key holds a large share of all rows. Where only
+keys or counts are wanted, each side is reduced to one row per key by a map-side
+combine before it is joined. Where whole rows are wanted, they stream against a
+stored list, and adaptive execution splits the hot partition.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from twinledger.functions import SOURCE_MARKER, extract_marker
 from twinledger.operators import aggregates
-from twinledger.session import NARROW_ROWS, narrow
+from twinledger.operators.lists import NARROW_ROWS, keep_listed, narrow
+from twinledger.session import materialize
 
 
 def index_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
@@ -22,19 +24,22 @@ def index_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) ->
 
 
 def missing_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Listed keys absent from the index."""
-    return keys.join(index_keys(keys, docs, max_rows), "key", "left_anti")
+    """Listed keys absent from the index, each once."""
+    listed = keys.select("key").distinct()
+    return listed.join(index_keys(keys, docs, max_rows), "key", "left_anti")
 
 
 def present_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Listed keys found in the index."""
-    return keys.join(index_keys(keys, docs, max_rows), "key", "left_semi")
+    """Listed keys found in the index, each once."""
+    listed = keys.select("key").distinct()
+    return listed.join(index_keys(keys, docs, max_rows), "key", "left_semi")
 
 
 def key_presence(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Listed keys with a flag `present`: both halves in one pass over the index."""
+    """Listed keys, each once, with a flag `present`: one pass over the index."""
+    listed = keys.select("key").where(F.col("key").isNotNull()).distinct()
     found = index_keys(keys, docs, max_rows).withColumn("hit", F.lit(True))
-    return keys.join(found, "key", "left").withColumn("present", F.col("hit").isNotNull()).drop("hit")
+    return listed.join(found, "key", "left").select("key", F.col("hit").isNotNull().alias("present"))
 
 
 def count_default_zero(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
@@ -58,11 +63,9 @@ def phrase_pairs(
 ) -> DataFrame:
     """Listed source ids with the documents naming them, one row per pair.
 
-    Document columns other than `content` are kept. Pairs stream against
-    distinct ids, so a hot id is split over tasks.
+    Document columns other than `content` are kept.
     """
-    pairs = narrow(source_pairs(docs, marker), ids, ["source_id"], max_rows)
-    return pairs.join(ids.select("source_id").distinct(), "source_id", "left_semi")
+    return keep_listed(source_pairs(docs, marker), ids, ["source_id"], max_rows)
 
 
 def lake_counts(
@@ -72,13 +75,16 @@ def lake_counts(
 
     The lake is first cut to the quadrimesters asked for (at most 30,000 labels
     exist, since a label is a 4-digit year and one of three), then counted per
-    pair before the join.
+    pair. The counts are stored before the join, so that an id with many rows on
+    the left can be split over tasks (see `lists.keep_listed`).
     """
     rows = stage.where(F.col("reporting_entity") == entity).select("source_id", "quadrimester")
     labels = id_keys.select("quadrimester").where(F.col("quadrimester").isNotNull()).distinct()
     rows = rows.join(F.broadcast(labels), "quadrimester", "left_semi")
     rows = narrow(rows, id_keys.where(F.col("source_id").isNotNull()), ["source_id"], max_rows)
-    counts = rows.groupBy("source_id", "quadrimester").agg(F.count("*").alias("lake_count"))
+    counts = materialize(
+        rows.groupBy("source_id", "quadrimester").agg(F.count("*").alias("lake_count")), "lake-counts"
+    )
     return id_keys.join(counts, ["source_id", "quadrimester"], "left").fillna(0, ["lake_count"])
 
 
@@ -116,8 +122,8 @@ def one_sided_keys(
 def under_frontier(df: DataFrame, ts, frontier: DataFrame, level: str) -> DataFrame:
     """Rows whose bucket at `level` is in the frontier (column `bucket`).
 
-    Rows stream; the frontier has each bucket once. Spark broadcasts it when its
-    known size allows, else shuffles it.
+    Rows stream; the frontier, read from storage, has each bucket once. Spark
+    broadcasts it when its known size allows, else shuffles both sides.
     """
     return (
         df.withColumn("bucket", F.date_trunc(level, ts))

@@ -19,8 +19,12 @@ def sort_documents(docs: DataFrame) -> DataFrame:
 
 
 def limit_inputs(inputs: DataFrame, done: DataFrame | None, on: str, n: int | None) -> DataFrame:
-    """The first n inputs in list order, counted after dropping finished ones."""
-    pending = inputs if done is None else not_done(inputs, done, on)
+    """The first n distinct inputs in list order, counted after dropping finished
+    ones. An input listed many times is combined before any shuffle."""
     if n is None:
-        return pending
-    return pending.orderBy("src_file", "src_block", "src_line").limit(n)
+        listed = inputs.select(on).distinct()
+        return listed if done is None else not_done(listed, done, on)
+    place = F.min(F.struct("src_file", "src_block", "src_line")).alias("place")
+    listed = inputs.groupBy(on).agg(place)
+    pending = listed if done is None else not_done(listed, done, on)
+    return pending.orderBy("place").limit(n).select(on)

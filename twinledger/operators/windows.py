@@ -38,7 +38,7 @@ def make_batches(keys: DataFrame, n: int = 500, part_rows: int = PART_ROWS) -> D
 
     A month with more than `part_rows` keys is split by a hash of the key, so no
     task numbers more than about that many; the last batch of each part may be
-    short. Adds `key_month`, `part` and `batch_no`. The broadcast month totals
+    short. The keys are read twice, so pass stored ones. Adds `key_month`, `part` and `batch_no`. The broadcast month totals
     have one row per 'YYYY-MM' of 4 and 2 digits, so a million at the very most.
     """
     tagged = keys.withColumn("key_month", key_month(F.col("key")))
@@ -47,11 +47,11 @@ def make_batches(keys: DataFrame, n: int = 500, part_rows: int = PART_ROWS) -> D
     )
     # Leading 32 bits of md5: spreads evenly and is easy to recompute elsewhere.
     spread = F.conv(F.substring(F.md5(F.col("key")), 1, 8), 16, 10).cast("bigint")
-    placed = tagged.join(F.broadcast(parts), "key_month").withColumn("part", spread % F.col("parts")).drop("parts")
+    part = F.when(F.col("parts") > 1, spread % F.col("parts")).otherwise(0)
+    placed = tagged.join(F.broadcast(parts), "key_month").withColumn("part", part).drop("parts")
     window = Window.partitionBy("key_month", "part").orderBy("key")
-    return placed.withColumn(
-        "batch_no", F.floor((F.row_number().over(window) - 1) / F.lit(n))
-    )
+    place = (F.row_number().over(window) - 1).cast("bigint")
+    return placed.withColumn("batch_no", F.call_function("div", place, F.lit(n)))
 
 
 def batch_payloads(batches: DataFrame) -> DataFrame:

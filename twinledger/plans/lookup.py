@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from twinledger.functions import SOURCE_MARKER, quadrimester_of_key
 from twinledger.operators import filters, joins, ordering, windows
-from twinledger.session import NARROW_ROWS, materialize
+from twinledger.operators.lists import NARROW_ROWS
+from twinledger.session import materialize
 from twinledger.sources import append_outcomes, completed_ids, read_outcomes
 from twinledger.sources.ledger import next_run
 

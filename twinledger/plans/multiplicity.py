@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from twinledger.functions import SOURCE_MARKER, classify
 from twinledger.operators import aggregates, filters, joins, ordering
-from twinledger.session import NARROW_ROWS, narrow
+from twinledger.operators.lists import NARROW_ROWS, narrow
 from twinledger.sources import append_outcomes, done_keys, read_outcomes
 from twinledger.sources.ledger import next_run
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from twinledger.functions import is_submitted, safe_error
 from twinledger.operators import joins, ordering, windows
-from twinledger.session import NARROW_ROWS, materialize
+from twinledger.operators.lists import NARROW_ROWS
+from twinledger.session import materialize
 from twinledger.sources import append_outcomes, done_keys, read_outcomes
 from twinledger.sources.ledger import next_run
 
@@ -43,8 +44,7 @@ _ANSWERS = T.StructType(
 
 def split_listed(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
     """Distinct listed keys with `present`: already in the index or not."""
-    listed = keys.select("key").where(F.col("key").isNotNull()).distinct()
-    return joins.key_presence(listed, docs, max_rows)
+    return joins.key_presence(keys, docs, max_rows)
 
 
 def deliver(payloads: DataFrame, sender: Sender, concurrency: int = 20) -> DataFrame:

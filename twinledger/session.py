@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # All windows and labels are UTC. Partition values such as month=01 are text:
 # without the last setting Spark would read them back as integers.
@@ -17,9 +16,6 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
-# Upper bound on the rows of a list that `narrow` may broadcast.
-NARROW_ROWS = 1_000_000
-
 _local_scratch: dict[str, str] = {}
 
 
@@ -63,16 +59,3 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def narrow(big: DataFrame, listed: DataFrame, on: list[str], max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Drop rows of `big` that no row of `listed` can match, if the list is small.
-
-    The list is counted first (never beyond max_rows + 1). A small one is
-    broadcast, so `big` is filtered in its scan stage and never shuffled whole;
-    a long one leaves `big` as it is. Exact either way.
-    """
-    wanted = listed.select(*on)
-    if wanted.limit(max_rows + 1).count() > max_rows:
-        return big
-    return big.join(F.broadcast(wanted), on, "left_semi")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger import schemas
+from twinledger.session import materialize
 
 
 def params_hash(**params) -> str:
@@ -97,7 +98,7 @@ def completed_ids(outcomes: DataFrame, on: str, failed: str = "failed") -> DataF
 
 def current_outcomes(outcomes: DataFrame, on: str) -> DataFrame:
     """Rows of each id's latest run."""
-    last = outcomes.groupBy(on).agg(F.max("run").alias("run"))
+    last = materialize(outcomes.groupBy(on).agg(F.max("run").alias("run")), "latest-runs")
     return outcomes.join(last, [on, "run"], "left_semi")
 
 
