@@ -1073,7 +1073,7 @@ def set_ledger_union(f: Fixtures) -> DataFrame:
 
 
 REPLAY_SQL = f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
-SELECT key, 'skipped' AS outcome, NULL AS stage FROM listed
+SELECT key, 'skipped' AS outcome, CAST(NULL AS VARCHAR) AS stage FROM listed
   WHERE key IN (SELECT key FROM index_docs WHERE key IS NOT NULL)
 UNION ALL
 SELECT key, CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END,
@@ -1264,7 +1264,7 @@ def pipe_verify(f: Fixtures) -> DataFrame:
     "pipe_migrate",
     ("stage",),
     f""", {VERIFY} SELECT quadrimester, CASE status WHEN 'pass' THEN 'published' ELSE 'mismatch' END AS outcome,
-  NULL AS error FROM verified""",
+  CAST(NULL AS VARCHAR) AS error FROM verified""",
 )
 def pipe_migrate(f: Fixtures) -> DataFrame:
     root = scratch_path(f.spark, "migrate")
