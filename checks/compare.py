@@ -11,7 +11,7 @@ from pathlib import Path
 
 import duckdb
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import ORACLES, QUERIES
 
@@ -34,9 +34,9 @@ def canonical(frame: pd.DataFrame) -> tuple[list[str], list[tuple[str, ...]]]:
     )
 
 
-def difference(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
+def difference(result: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str | None:
     """None if both engines agree, else what differs."""
-    columns, rows = canonical(QUERIES[name](spark, sf_dir).toPandas())
+    columns, rows = canonical(result.toPandas())
     if name not in ORACLES:
         return None if rows else "no rows"
     other_columns, other = canonical(con.sql(ORACLES[name]).df())
@@ -64,7 +64,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            found = difference(spark, con, name, sf_dir)
+            found = difference(QUERIES[name](spark, sf_dir), con, name)
         except Exception as e:  # noqa: BLE001 - reported per query
             found = f"{type(e).__name__}: {str(e)[:600]}"
         bad += found is not None

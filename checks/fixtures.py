@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger import configure, schemas
-from twinledger.functions import epoch_ts
+from twinledger.functions import epoch_ts, key_month
 
 TABLES = ("lineitem", "orders", "documents")
 ENTITY = "entity.a.com"
@@ -181,7 +181,7 @@ class Fixtures:
 
 class StoredFixtures(Fixtures):
     """The same views written once in the layout of the real copies: the stage
-    partitioned by entity and quadrimester, the others plain Parquet."""
+    partitioned by entity and quadrimester, the index by key month."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str):
         super().__init__(spark, sf_dir)
@@ -192,7 +192,9 @@ class StoredFixtures(Fixtures):
         views.stage.hint(
             "rebalance", F.col("reporting_entity"), F.col("quadrimester")
         ).write.partitionBy("reporting_entity", "quadrimester").parquet(f"{self.root}/stage")
-        views.index_docs.write.parquet(f"{self.root}/index_docs")
+        views.index_docs.withColumn("key_month", key_month(F.col("key"))).hint(
+            "rebalance", F.col("key_month")
+        ).write.partitionBy("key_month").parquet(f"{self.root}/index_docs")
         views.key_list.write.parquet(f"{self.root}/key_list")
         views.id_list.write.parquet(f"{self.root}/id_list")
         return self
@@ -206,7 +208,7 @@ class StoredFixtures(Fixtures):
 
     @cached_property
     def index_docs(self) -> DataFrame:
-        return self._stored("index_docs", schemas.INDEX_DOCS)
+        return self._stored("index_docs", schemas.INDEX_BY_MONTH)
 
     @cached_property
     def key_list(self) -> DataFrame:

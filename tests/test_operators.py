@@ -180,3 +180,27 @@ def test_aligned_histograms_fill_with_zero(spark):
     pair = joins.align_histograms(left, right)
     assert rows(pair.select("bucket", "left_n", "right_n")) == [("a", 1, 0), ("b", 2, 2), ("c", 0, 5)]
     assert rows(filters.mismatched(pair).select("bucket")) == [("a",), ("c",)]
+
+
+def test_month_folders_of_the_index_are_pruned(spark, tmp_path):
+    from twinledger import sources
+    from twinledger.functions import key_month
+
+    path = str(tmp_path / "index")
+    index = docs(spark, [doc_row(f"2020/{m:02d}/a", "2020-01-01") for m in range(1, 13)] + [doc_row("odd", "2020-01-01")])
+    index.withColumn("key_month", key_month(F.col("key"))).write.partitionBy("key_month").parquet(path)
+    stored = sources.read_index(spark, path, by_month=True)
+    keys = spark.createDataFrame([("2020/03/a",), ("2020/03/b",), ("odd",)], "key string")
+    missing = joins.missing_keys(keys, stored)
+    assert rows(missing) == [("2020/03/b",)]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_month" in plan
+    assert rows(joins.count_default_zero(keys, stored)) == [("2020/03/a", 1), ("2020/03/b", 0), ("odd", 1)]
+
+
+def test_prune_beyond_its_bound_gives_the_same_rows(spark):
+    big = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "part string, n int")
+    values = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "v string")
+    assert rows(lists.prune(big, "part", values)) == [("a", 1), ("b", 2)]
+    assert rows(lists.prune(big, "part", values, max_values=1).select("part", "n")) == [("a", 1), ("b", 2)]
+    assert lists.prune(big, "part", values.where("v = 'none'")).count() == 0

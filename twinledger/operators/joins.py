@@ -11,16 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.functions import SOURCE_MARKER, extract_marker
+from twinledger.functions import SOURCE_MARKER, extract_marker, key_month
 from twinledger.operators import aggregates
-from twinledger.operators.lists import NARROW_ROWS, keep_listed, narrow
+from twinledger.operators.lists import NARROW_ROWS, keep_listed, narrow, prune
 from twinledger.session import materialize
 
 
+def searched(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
+    """Keys of the documents that a list can match, repeats included.
+
+    Index data stored by `key_month` is read for the listed months only; a list
+    short enough to broadcast filters the documents in the scan.
+    """
+    if "key_month" in docs.columns:
+        docs = prune(docs, "key_month", keys.select(key_month(F.col("key"))))
+    return narrow(docs.select("key").where(F.col("key").isNotNull()), keys, ["key"], max_rows)
+
+
 def index_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Distinct index keys, cut down to the listed ones when the list is small."""
-    present = docs.select("key").where(F.col("key").isNotNull())
-    return narrow(present, keys, ["key"], max_rows).distinct()
+    """Distinct index keys, cut down to the listed ones where that is cheap."""
+    return searched(keys, docs, max_rows).distinct()
 
 
 def missing_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
@@ -45,7 +55,7 @@ def key_presence(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS)
 def count_default_zero(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
     """Every listed key with its number of documents, 0 if none."""
     listed = keys.select("key").distinct()
-    counts = aggregates.count_by_key(narrow(docs.select("key"), keys, ["key"], max_rows))
+    counts = aggregates.count_by_key(searched(keys, docs, max_rows))
     return listed.join(counts, "key", "left").select(
         "key", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("count")
     )
@@ -73,14 +83,13 @@ def lake_counts(
 ) -> DataFrame:
     """(source_id, quadrimester) rows with their number of lake rows, 0 if none.
 
-    The lake is first cut to the quadrimesters asked for (at most 30,000 labels
-    exist, since a label is a 4-digit year and one of three), then counted per
-    pair. The counts are stored before the join, so that an id with many rows on
+    Only the lake partitions of the quadrimesters asked for are read; their rows
+    are counted per pair. `id_keys` is read several times, so pass stored ones.
+    The counts are stored before the join, so that an id with many rows on
     the left can be split over tasks (see `lists.keep_listed`).
     """
     rows = stage.where(F.col("reporting_entity") == entity).select("source_id", "quadrimester")
-    labels = id_keys.select("quadrimester").where(F.col("quadrimester").isNotNull()).distinct()
-    rows = rows.join(F.broadcast(labels), "quadrimester", "left_semi")
+    rows = prune(rows, "quadrimester", id_keys.select("quadrimester"))
     rows = narrow(rows, id_keys.where(F.col("source_id").isNotNull()), ["source_id"], max_rows)
     counts = materialize(
         rows.groupBy("source_id", "quadrimester").agg(F.count("*").alias("lake_count")), "lake-counts"

@@ -7,27 +7,25 @@ from pyspark.sql import functions as F
 
 from twinledger.session import materialize
 
+# Upper bound on the partition values put into a filter as literals.
+PRUNE_VALUES = 1_000
+
 # Upper bound on the rows of a list that may be broadcast. A list of 100-byte keys
 # then stays near 20 MB. Large executors allow more: pass max_rows.
 NARROW_ROWS = 200_000
 
 
-def _is_short(listed: DataFrame, max_rows: int) -> bool:
-    return listed.limit(max_rows + 1).count() <= max_rows
-
-
 def narrow(
     big: DataFrame, listed: DataFrame, on: list[str], max_rows: int = NARROW_ROWS
 ) -> DataFrame:
     """Drop rows of `big` that no row of `listed` can match, if the list is short.
 
-    The list is counted first (never beyond max_rows + 1). A short one is
-    broadcast, so `big` is filtered in its scan stage and never shuffled whole;
-    a long one leaves `big` as it is. For use before an aggregation whose result
+    The list is counted first. A short one is broadcast, so `big` is filtered in
+    its scan stage and never shuffled whole; a long one leaves `big` as it is. For use before an aggregation whose result
     is joined with the list anyway.
     """
     wanted = listed.select(*on)
-    if not _is_short(wanted, max_rows):
+    if wanted.count() > max_rows:
         return big
     return big.join(F.broadcast(wanted), on, "left_semi")
 
@@ -44,6 +42,22 @@ def keep_listed(
     So a value held by a large share of `big` is spread over many tasks.
     """
     wanted = materialize(listed.select(*on).distinct(), "list")
-    if _is_short(wanted, max_rows):
+    if wanted.count() <= max_rows:
         wanted = F.broadcast(wanted)
     return big.join(wanted, on, "left_semi")
+
+
+def prune(
+    big: DataFrame, partition: str, values: DataFrame, max_values: int = PRUNE_VALUES
+) -> DataFrame:
+    """Rows of `big` whose partition value occurs in `values` (one column).
+
+    Up to max_values distinct ones become a literal filter, which skips whole
+    partition folders before anything is read. More are matched by a join.
+    """
+    name = values.columns[0]
+    distinct = values.where(F.col(name).isNotNull()).distinct()
+    found = [row[0] for row in distinct.limit(max_values + 1).collect()]
+    if len(found) <= max_values:
+        return big.where(F.col(partition).isin(*found)) if found else big.limit(0)
+    return big.join(distinct.withColumnRenamed(name, partition), partition, "left_semi")

@@ -24,6 +24,10 @@ INDEX_DOCS = T.StructType(
     ]
 )
 
+INDEX_BY_MONTH = T.StructType(
+    [*INDEX_DOCS.fields, T.StructField("key_month", T.StringType())]
+)
+
 DEDUP_COLUMNS = ("source_id", "time_stamp", "key", "message_id")
 DEDUP_PARTITIONS = ("year", "quadrimester", "month")
 DEDUP = _strings(*DEDUP_COLUMNS, *DEDUP_PARTITIONS)

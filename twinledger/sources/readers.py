@@ -65,8 +65,11 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.STAGE).parquet(path)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.INDEX_DOCS).parquet(path)
+def read_index(spark: SparkSession, path: str, by_month: bool = False) -> DataFrame:
+    """Index documents. `by_month`: stored in folders key_month=..., as
+    `functions.key_month` gives it; key lookups then skip other months."""
+    schema = schemas.INDEX_BY_MONTH if by_month else schemas.INDEX_DOCS
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_dedup(spark: SparkSession, table: str, quadrimester: str) -> DataFrame:
