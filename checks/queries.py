@@ -11,9 +11,9 @@ from checks.fixtures import ENTITY, YEARS, Fixtures, duckdb_with
 from twinledger import functions as fn
 from twinledger import plans, schemas, sources
 from twinledger.operators import aggregates, filters, joins, ordering, sets, windows
-from twinledger.plans.migrate import table_name
+from twinledger.plans.migration import table_name
 from twinledger.plans.multiplicity import SOURCE_OUTCOMES
-from twinledger.plans.replay import OUTCOMES as REPLAY_OUTCOMES
+from twinledger.plans.replaying import OUTCOMES as REPLAY_OUTCOMES
 from twinledger.session import materialize, scratch_path
 from twinledger.sources.ledger import read_outcomes
 from twinledger.streaming import replay_new_files

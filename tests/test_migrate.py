@@ -1,14 +1,10 @@
-import importlib
-
 import pytest
 from archive import ENTITY, stage, stage_row
 from pyspark.sql import functions as F
 
 from twinledger import plans, schemas
-from twinledger.plans.migrate import final_path, table_name
-
-
-migration = importlib.import_module("twinledger.plans.migrate")
+from twinledger.plans import migration
+from twinledger.plans.migration import final_path, table_name
 
 
 @pytest.fixture

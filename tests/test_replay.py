@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from twinledger import sources
 from twinledger.plans import deliver, replay
-from twinledger.plans.replay import OUTCOMES
+from twinledger.plans.replaying import OUTCOMES
 from twinledger.sources.ledger import read_outcomes
 from twinledger.streaming import replay_new_files
 

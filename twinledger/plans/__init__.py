@@ -1,20 +1,20 @@
 from twinledger.plans.lookup import lookup_report, lookup_sources, run_source_lookup
-from twinledger.plans.migrate import dedup, migrate, mismatch_report, verify
+from twinledger.plans.migration import dedup, migrate, mismatch_report, verify
 from twinledger.plans.multiplicity import (
     key_multiplicity,
     run_key_multiplicity,
     run_source_multiplicity,
     source_multiplicity,
 )
-from twinledger.plans.reconcile import (
+from twinledger.plans.reconciliation import (
     Reconciliation,
     mistagged_rows,
     reconcile,
     reconcile_exact,
     undated_rows,
 )
-from twinledger.plans.replay import deliver, replay, split_listed
-from twinledger.plans.year_counts import run_year_counts, year_counts
+from twinledger.plans.replaying import deliver, replay, split_listed
+from twinledger.plans.yearly import run_year_counts, year_counts
 
 __all__ = [
     "Reconciliation",

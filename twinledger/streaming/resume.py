@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from twinledger.plans.replay import Sender, replay
+from twinledger.plans.replaying import Sender, replay
 from twinledger.sources import KEY_HEADERS, locate_lines, parse_list
 
 
