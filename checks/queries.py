@@ -232,11 +232,18 @@ def sink_routed(f: Fixtures) -> DataFrame:
     return f.spark.read.schema("source_id string, n bigint, outcome string").parquet(path)
 
 
-def fake_sender(payload: str) -> tuple[int, str]:
-    """Stands in for the replay service: refuses batches of undated keys."""
-    if payload.startswith("doc/"):
-        return 503, 'queue "full"'
-    return 200, "Keys Submitted"
+def fake_sender() -> Callable[[str], tuple[int, str]]:
+    """Stands in for the replay service: refuses batches of undated keys.
+
+    A local function, so that it reaches executors by value.
+    """
+
+    def send(payload: str) -> tuple[int, str]:
+        if payload.startswith("doc/"):
+            return 503, 'queue "full"'
+        return 200, "Keys Submitted"
+
+    return send
 
 
 BATCH_N = 50
@@ -259,7 +266,7 @@ def _missing_batches(f: Fixtures) -> DataFrame:
 
 
 def _delivered(f: Fixtures) -> DataFrame:
-    return plans.deliver(windows.batch_payloads(_missing_batches(f)), fake_sender, 8)
+    return plans.deliver(windows.batch_payloads(_missing_batches(f)), fake_sender(), 8)
 
 
 @query(
@@ -328,6 +335,18 @@ def sink_summary(f: Fixtures) -> DataFrame:
     return sources.run_summary(_classified(f))
 
 
+@query(
+    "sink_summary_batches",
+    ("index_docs", "key_list"),
+    f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
+SELECT CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END AS outcome, COUNT(*) AS n,
+  COUNT(DISTINCT named.batch) AS batches
+FROM named LEFT JOIN bad b ON named.batch = b.batch GROUP BY 1""",
+)
+def sink_summary_batches(f: Fixtures) -> DataFrame:
+    return sources.run_summary(_delivered(f))
+
+
 # --- filters -----------------------------------------------------------------
 
 
@@ -1088,7 +1107,7 @@ FROM named LEFT JOIN bad b USING (batch)"""
 )
 def pipe_replay(f: Fixtures) -> DataFrame:
     path = scratch_path(f.spark, "replay")
-    done = plans.replay(f.key_list, f.index_docs, path, fake_sender)
+    done = plans.replay(f.key_list, f.index_docs, path, fake_sender())
     return done.select("key", "outcome", "stage")
 
 
@@ -1101,7 +1120,7 @@ def stream_resume(f: Fixtures) -> DataFrame:
     lists, path = scratch_path(f.spark, "stream-in"), scratch_path(f.spark, "stream-out")
     f.key_list.write.option("header", True).csv(lists)
     run = replay_new_files(
-        f.spark, lists, f.index_docs, path, scratch_path(f.spark, "stream-state"), fake_sender
+        f.spark, lists, f.index_docs, path, scratch_path(f.spark, "stream-state"), fake_sender()
     )
     run.awaitTermination()
     return read_outcomes(f.spark, path, REPLAY_OUTCOMES).select("key", "outcome", "stage")

@@ -48,6 +48,7 @@ def test_failed_keys_are_tried_again_and_done_ones_are_not(spark, tmp_path):
     assert outcomes(second) == [("bad", "submitted")]
     assert replay(keys, index, path, logging_sender(log)).count() == 0
     assert sorted(open(log).read().split()) == sorted([*sent, "bad"])
+    assert {r.outcome: r.batches for r in sources.run_summary(first).collect()} == {"skipped": 0, "submitted": 2, "failed": 1}
     summary = {r.outcome: r.n for r in sources.run_summary(read_outcomes(spark, path, OUTCOMES)).collect()}
     assert summary == {"skipped": 1, "submitted": 3, "failed": 1}
 
@@ -96,3 +97,19 @@ def test_stream_takes_only_new_files_and_survives_restart(spark, tmp_path):
     key_list(spark, inbox, ["2020/01/b", "2020/01/c"], "two.csv")
     assert run() == [*first, ("2020/01/c", "submitted")]
     assert sorted(open(log).read().split()) == ["2020/01/b", "2020/01/c"]
+
+
+def test_stream_and_calls_share_a_table_without_overwriting(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    index = docs(spark, [])
+    replay(key_list(spark, tmp_path / "list", ["2020/01/a"]), index, out, logging_sender(log))
+    for n, name in enumerate(["2020/01/b", "2020/01/c"]):
+        inbox = tmp_path / f"in{n}"
+        key_list(spark, inbox, ["2020/01/a", name])
+        # Two streams, each numbering its batches from 0, as the call above did.
+        replay_new_files(spark, str(inbox), index, out, str(tmp_path / f"state{n}"), logging_sender(log)).awaitTermination()
+    done = read_outcomes(spark, out, OUTCOMES)
+    assert outcomes(done) == [(f"2020/01/{x}", "submitted") for x in "abc"]
+    assert done.select("feed").distinct().count() == 3
+    assert "stream-None" not in {r.feed for r in done.collect()}
+    assert sorted(open(log).read().split()) == ["2020/01/a", "2020/01/b", "2020/01/c"]

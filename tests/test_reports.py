@@ -118,6 +118,19 @@ def test_lookup_repeats_ids_with_a_failed_key(spark, tmp_path):
     assert OUTCOMES.fieldNames()[0] == "source_id"
 
 
+def test_unrecorded_lookup_run_is_ignored(spark, tmp_path):
+    """What a run left behind when it was lost before it was recorded."""
+    ids = id_list(spark, tmp_path / "in", ["s1"])
+    lake = stage(spark, [stage_row("2020/01/a", "2020-01-01 00:00:00", source="s1")])
+    index = docs(spark, [doc_row("2020/01/a", "2020-01-01", source="s1"), doc_row("oops", "2020-01-01", source="s1")])
+    path = str(tmp_path / "out")
+    part = plans.lookup_sources(ids, index, lake, ENTITY).where("outcome = 'resolved'")
+    sources.append_outcomes(part, path, 0)
+    got = plans.run_source_lookup(ids, index, lake, ENTITY, path)
+    assert sorted((r.run, r.outcome) for r in got.collect()) == [(1, "failed"), (1, "resolved")]
+    assert [r.stage for r in plans.failed_report(got).collect()] == ["QUADRIMESTER_DERIVE"]
+
+
 def test_interrupted_run_is_replaced(spark, tmp_path):
     path = str(tmp_path / "out")
     first = spark.createDataFrame([("a", 1, "unique"), ("b", 2, "duplicate")], "source_id string, n bigint, outcome string")

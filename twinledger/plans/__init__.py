@@ -1,4 +1,4 @@
-from twinledger.plans.lookup import lookup_report, lookup_sources, run_source_lookup
+from twinledger.plans.lookup import failed_report, lookup_report, lookup_sources, run_source_lookup
 from twinledger.plans.migration import dedup, migrate, mismatch_report, verify
 from twinledger.plans.multiplicity import (
     key_multiplicity,
@@ -20,6 +20,7 @@ __all__ = [
     "Reconciliation",
     "dedup",
     "deliver",
+    "failed_report",
     "key_multiplicity",
     "lookup_report",
     "lookup_sources",

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.functions import SOURCE_MARKER, quadrimester_of_key
+from twinledger.functions import SOURCE_MARKER, quadrimester_of_key, safe_error
 from twinledger.operators import filters, joins, ordering, windows
 from twinledger.operators.lists import NARROW_ROWS
 from twinledger.session import materialize
-from twinledger.sources import append_outcomes, completed_ids, read_outcomes
+from twinledger.sources import (
+    append_outcomes,
+    completed_ids,
+    mark_done,
+    read_ledger,
+    read_outcomes,
+)
 from twinledger.sources.ledger import next_run
 
+JOB = "source_lookup"
+
 OUTCOMES = T.StructType(
     [
         T.StructField("source_id", T.StringType()),
@@ -92,14 +100,21 @@ def run_source_lookup(
 ) -> DataFrame:
     """Look up ids not finished before, append by outcome, return all runs.
 
-    An id with any failed key in its latest run is looked up again.
+    An id with any failed key in its latest run is looked up again. A run counts
+    only once its write is complete and recorded: a part of it could hold the
+    resolved row of an id without the failed one.
     """
     spark = ids.sparkSession
-    done = completed_ids(read_outcomes(spark, path, OUTCOMES), "source_id")
+    ledger = f"{path}.runs"
+    # One row per earlier run of this job.
+    runs = [int(r.unit) for r in read_ledger(spark, ledger, JOB, "runs").collect()]
+    before = read_outcomes(spark, path, OUTCOMES).where(F.col("run").isin(*runs))
+    done = completed_ids(before, "source_id")
     pending = ordering.limit_inputs(ids, done, "source_id", limit)
     run = next_run(spark, path, OUTCOMES)
     append_outcomes(lookup_sources(pending, docs, stage, entity, **options), path, run)
-    return read_outcomes(spark, path, OUTCOMES)
+    mark_done(spark.createDataFrame([(str(run),)], "unit string"), ledger, JOB, "runs")
+    return read_outcomes(spark, path, OUTCOMES).where(F.col("run").isin(*runs, run))
 
 
 def lookup_report(outcomes: DataFrame) -> DataFrame:
@@ -107,3 +122,10 @@ def lookup_report(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("outcome") == "resolved").select(
         "source_id", "key", "quadrimester", F.col("lake_count").alias("athena_count")
     )
+
+
+def failed_report(outcomes: DataFrame) -> DataFrame:
+    """Failed rows under the report's column names."""
+    return outcomes.where(F.col("outcome") == "failed").select(
+        "source_id", "stage", safe_error(F.col("error")).alias("error")
+    )

@@ -14,7 +14,7 @@ from twinledger.operators import joins, ordering, windows
 from twinledger.operators.lists import NARROW_ROWS
 from twinledger.session import materialize
 from twinledger.sources import append_outcomes, done_keys, read_outcomes
-from twinledger.sources.ledger import next_run
+from twinledger.sources.ledger import BATCH_FEED, next_run
 
 # Takes the comma-joined keys of one batch; returns (HTTP status, body).
 Sender = Callable[[str], tuple[int, str]]
@@ -98,6 +98,7 @@ def replay(
     concurrency: int = 20,
     limit: int | None = None,
     run: int | None = None,
+    feed: str = BATCH_FEED,
     max_rows: int = NARROW_ROWS,
 ) -> DataFrame:
     """Skip keys done before, check the rest against the index, deliver missing.
@@ -111,7 +112,8 @@ def replay(
     before = read_outcomes(spark, path, OUTCOMES)
     if run is None:
         run = next_run(spark, path, OUTCOMES)
-    earlier = before.where(F.col("run") != run)
+    this_run = (F.col("feed") == feed) & (F.col("run") == run)
+    earlier = before.where(~this_run)
     pending = ordering.limit_inputs(keys, done_keys(earlier, "key", DONE), "key", limit)
     checked = materialize(split_listed(pending, docs, max_rows), "replay-checked")
 
@@ -125,5 +127,5 @@ def replay(
         nothing.alias("error"),
         F.lit("skipped").alias("outcome"),
     )
-    append_outcomes(skipped.unionByName(deliver(payloads, sender, concurrency)), path, run)
-    return read_outcomes(spark, path, OUTCOMES).where(F.col("run") == run)
+    append_outcomes(skipped.unionByName(deliver(payloads, sender, concurrency)), path, run, feed)
+    return read_outcomes(spark, path, OUTCOMES).where(this_run)

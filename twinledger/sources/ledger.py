@@ -20,6 +20,10 @@ from twinledger import schemas
 from twinledger.session import materialize
 
 
+# Runs started by a call, as opposed to those of a stream.
+BATCH_FEED = "batch"
+
+
 def params_hash(**params) -> str:
     """Short, stable name for a set of job parameters."""
     text = json.dumps(params, sort_keys=True, default=str)
@@ -51,29 +55,33 @@ def mark_done(units: DataFrame, root: str, job: str, params: str) -> None:
     ).write.mode("append").partitionBy("job", "params").parquet(f"{root}/ledger")
 
 
-def append_outcomes(outcomes: DataFrame, path: str, run: int) -> None:
+def append_outcomes(outcomes: DataFrame, path: str, run: int, feed: str = BATCH_FEED) -> None:
     """Write one run's outcomes, replacing what an interrupted try of it left.
 
-    Rows go to run=N/outcome=...; the run folder is overwritten as a whole, so
-    repeating a run (a restarted streaming batch, say) leaves no doubles.
+    Rows go to feed=F/run=N/outcome=...; the run folder is overwritten as a
+    whole, so repeating a run (a restarted streaming batch, say) leaves no
+    doubles. Feeds number their runs independently.
     """
     outcomes.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "outcome"
-    ).parquet(f"{path}/run={run}")
+    ).parquet(f"{path}/feed={feed}/run={run}")
 
 
 def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All runs of an outcome table, with columns `run` and `outcome`."""
-    fields = [f for f in schema.fields if f.name not in ("run", "outcome")]
+    """All runs of an outcome table, with columns `feed`, `run` and `outcome`."""
+    place = [("feed", T.StringType()), ("run", T.LongType()), ("outcome", T.StringType())]
+    names = {name for name, _ in place}
     full = T.StructType(
-        [*fields, T.StructField("run", T.LongType()), T.StructField("outcome", T.StringType())]
+        [f for f in schema.fields if f.name not in names]
+        + [T.StructField(name, kind) for name, kind in place]
     )
     return read_if_present(spark, path, full)
 
 
 def next_run(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    """One more than the highest run present (run is a partition column)."""
-    top = read_outcomes(spark, path, schema).agg(F.max("run")).first()[0]
+    """One more than the highest batch run present (both are partition columns)."""
+    runs = read_outcomes(spark, path, schema).where(F.col("feed") == BATCH_FEED)
+    top = runs.agg(F.max("run")).first()[0]
     return 0 if top is None else top + 1
 
 

@@ -95,5 +95,8 @@ def failed_batches(outcomes: DataFrame) -> DataFrame:
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:
-    """Rows per outcome."""
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+    """Rows per outcome, and batches where the outcomes name them."""
+    counts = [F.count("*").alias("n")]
+    if "batch" in outcomes.columns:
+        counts.append(F.count_distinct("batch").alias("batches"))
+    return outcomes.groupBy("outcome").agg(*counts)
