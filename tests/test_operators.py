@@ -52,6 +52,13 @@ def test_short_list_is_broadcast_with_the_same_result(spark, skewed):
     assert lists.narrow(skewed, listed, ["key"], max_rows=3) is skewed
 
 
+def test_list_of_few_but_long_values_is_not_broadcast(spark, skewed, monkeypatch):
+    listed = spark.createDataFrame([("hot",), ("x" * 1000,)], "key string")
+    monkeypatch.setattr(lists, "NARROW_BYTES", 500)
+    assert lists.narrow(skewed, listed, ["key"]) is skewed
+    assert "BroadcastHashJoin" not in final_plan(lists.keep_listed(skewed, listed, ["key"]))
+
+
 def test_hot_lake_rows_are_split(spark, skewed):
     pairs = skewed.select(F.col("key").alias("source_id"), F.lit("2020-T1").alias("quadrimester"))
     lake = stage(spark, [stage_row("k", "2020-01-01 00:00:00", source=s) for s in ("hot", "hot", "k1")])

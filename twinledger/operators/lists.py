@@ -10,9 +10,17 @@ from twinledger.session import materialize
 # Upper bound on the partition values put into a filter as literals.
 PRUNE_VALUES = 1_000
 
-# Upper bound on the rows of a list that may be broadcast. A list of 100-byte keys
-# then stays near 20 MB. Large executors allow more: pass max_rows.
+# Upper bounds on a list that may be broadcast. Large executors allow more rows:
+# pass max_rows.
 NARROW_ROWS = 200_000
+NARROW_BYTES = 64 * 1024 * 1024
+
+
+def _is_short(listed: DataFrame, max_rows: int) -> bool:
+    """Measured, not estimated: rows and bytes of the list's text values."""
+    size = sum((F.octet_length(F.coalesce(F.col(c), F.lit(""))) for c in listed.columns), F.lit(0))
+    rows, held = listed.agg(F.count("*"), F.sum(size.cast("bigint"))).first()
+    return rows <= max_rows and (held or 0) <= NARROW_BYTES
 
 
 def narrow(
@@ -20,12 +28,12 @@ def narrow(
 ) -> DataFrame:
     """Drop rows of `big` that no row of `listed` can match, if the list is short.
 
-    The list is counted first. A short one is broadcast, so `big` is filtered in
+    The list is measured first. A short one is broadcast, so `big` is filtered in
     its scan stage and never shuffled whole; a long one leaves `big` as it is. For use before an aggregation whose result
     is joined with the list anyway.
     """
     wanted = listed.select(*on)
-    if wanted.count() > max_rows:
+    if not _is_short(wanted, max_rows):
         return big
     return big.join(F.broadcast(wanted), on, "left_semi")
 
@@ -42,7 +50,7 @@ def keep_listed(
     So a value held by a large share of `big` is spread over many tasks.
     """
     wanted = materialize(listed.select(*on).distinct(), "list")
-    if wanted.count() <= max_rows:
+    if _is_short(wanted, max_rows):
         wanted = F.broadcast(wanted)
     return big.join(wanted, on, "left_semi")
 

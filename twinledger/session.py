@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # All windows and labels are UTC. Partition values such as month=01 are text:
-# without the last setting Spark would read them back as integers.
+# without type inference off, Spark would read them back as integers. The Arrow
+# bound keeps batches of long rows (500 keys each) small in Python workers.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
 }
 
 _local_scratch: dict[str, str] = {}
