@@ -273,7 +273,7 @@ def _delivered(f: Fixtures) -> DataFrame:
     "sink_failed",
     ("index_docs", "key_list"),
     f""", {BATCHES}
-SELECT 'BACKLOGGER_SUBMIT' AS stage, batch, COUNT(*) AS batch_size,
+SELECT 'SUBMIT' AS stage, batch, COUNT(*) AS batch_size,
   'HTTP 503: queue ''full''' AS error_message, string_agg(key, ';' ORDER BY key) AS keys
 FROM named WHERE key_month = 'all' GROUP BY batch HAVING MIN(key) LIKE 'doc/%'""",
 )
@@ -317,7 +317,7 @@ def sink_ledger(f: Fixtures) -> DataFrame:
     "sink_replay",
     ("index_docs", "key_list"),
     f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
-SELECT key, batch, CASE WHEN b.batch IS NULL THEN NULL ELSE 'BACKLOGGER_SUBMIT' END AS stage,
+SELECT key, batch, CASE WHEN b.batch IS NULL THEN NULL ELSE 'SUBMIT' END AS stage,
   CASE WHEN b.batch IS NULL THEN NULL ELSE 'HTTP 503: queue ''full''' END AS error,
   CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END AS outcome
 FROM named LEFT JOIN bad b USING (batch)""",
@@ -1096,7 +1096,7 @@ SELECT key, 'skipped' AS outcome, CAST(NULL AS VARCHAR) AS stage FROM listed
   WHERE key IN (SELECT key FROM index_docs WHERE key IS NOT NULL)
 UNION ALL
 SELECT key, CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END,
-  CASE WHEN b.batch IS NULL THEN NULL ELSE 'BACKLOGGER_SUBMIT' END
+  CASE WHEN b.batch IS NULL THEN NULL ELSE 'SUBMIT' END
 FROM named LEFT JOIN bad b USING (batch)"""
 
 

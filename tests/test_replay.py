@@ -42,7 +42,7 @@ def test_failed_keys_are_tried_again_and_done_ones_are_not(spark, tmp_path):
 
     report = sources.failed_batches(first).collect()
     assert [tuple(r) for r in report] == [
-        ("BACKLOGGER_SUBMIT", "all/0/0", 1, "HTTP 0: ConnectionError: down 'now'", "bad")
+        ("SUBMIT", "all/0/0", 1, "HTTP 0: ConnectionError: down 'now'", "bad")
     ]
     second = replay(keys, index, path, logging_sender(log))
     assert outcomes(second) == [("bad", "submitted")]
@@ -78,7 +78,7 @@ def test_success_needs_status_and_word(spark):
     answers = {"k1": (202, "was Submitted ok"), "k2": (200, "queued"), "k3": (500, "submitted")}
     got = deliver(batches, lambda p: answers[p], 2)
     assert outcomes(got) == [("k1", "submitted"), ("k2", "failed"), ("k3", "failed")]
-    assert got.where(F.col("stage") == "BACKLOGGER_SUBMIT").count() == 2
+    assert got.where(F.col("stage") == "SUBMIT").count() == 2
 
 
 def test_stream_takes_only_new_files_and_survives_restart(spark, tmp_path):

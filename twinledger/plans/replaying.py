@@ -20,7 +20,7 @@ from twinledger.sources.ledger import BATCH_FEED, next_run
 Sender = Callable[[str], tuple[int, str]]
 
 BATCH_SIZE = 500
-SUBMIT_STAGE = "BACKLOGGER_SUBMIT"
+SUBMIT_STAGE = "SUBMIT"
 DONE = ["skipped", "submitted"]
 
 OUTCOMES = T.StructType(
@@ -47,12 +47,14 @@ def split_listed(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS)
     return joins.key_presence(keys, docs, max_rows)
 
 
-def deliver(payloads: DataFrame, sender: Sender, concurrency: int = 20) -> DataFrame:
+def deliver(
+    payloads: DataFrame, sender: Sender, concurrency: int = 20, stage: str = SUBMIT_STAGE
+) -> DataFrame:
     """Call `sender` once per batch; one outcome row per key.
 
     At most `concurrency` batches are in flight. A task that is retried sends
     its batches again, so delivery is at least once. A call that raises counts
-    as failed for its batch only.
+    as failed for its batch only; `stage` names the step in failed rows.
     """
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,7 +85,7 @@ def deliver(payloads: DataFrame, sender: Sender, concurrency: int = 20) -> DataF
     return answers.select(
         F.explode("keys").alias("key"),
         "batch",
-        F.when(~ok, F.lit(SUBMIT_STAGE)).alias("stage"),
+        F.when(~ok, F.lit(stage)).alias("stage"),
         F.when(~ok, shown).alias("error"),
         F.when(ok, "submitted").otherwise("failed").alias("outcome"),
     )
