@@ -94,6 +94,27 @@ def test_ledger_is_kept_per_entity(spark, root):
     assert set(outcome(plans.migrate(spark, lake, other, [2020], root)).values()) == {"published"}
 
 
+def test_entity_with_a_quote(spark, tmp_path):
+    entity, root = "o'neil.com", str(tmp_path / "with blank")
+    spark.sql(f"DROP TABLE IF EXISTS {table_name(entity)}")
+    lake = stage(spark, [stage_row("k", "2020-01-01 00:00:00", entity=entity)])
+    done = plans.migrate(spark, lake, entity, [2020], root, quadrimesters=["2020-T1"])
+    assert outcome(done) == {"2020-T1": "published"}
+    assert spark.read.parquet(final_path(root, entity, "2020-T1")).count() == 1
+    again = plans.migrate(spark, lake, entity, [2020], root)
+    assert set(outcome(again).values()) == {"done", "published"}
+
+
+def test_table_over_another_folder_is_refused(spark, root, tmp_path):
+    lake = stage(spark, GOOD)
+    plans.migrate(spark, lake, ENTITY, [2020], root, quadrimesters=["2020-T1"])
+    with pytest.raises(ValueError, match="exists over"):
+        plans.migrate(spark, lake, ENTITY, [2020], str(tmp_path / "elsewhere"))
+    # The same folder is fine, also when only part of the work is left.
+    again = plans.migrate(spark, lake, ENTITY, [2020], root)
+    assert outcome(again)["2020-T1"] == "done"
+
+
 def test_null_source_id_survives_and_shows_in_the_note(spark):
     lake = stage(spark, [*GOOD, stage_row("kn", "2020-01-05 00:00:00", source=None), stage_row("km", "2020-01-05 00:00:00", source=None, stamp="z")])
     kept = plans.dedup(lake, ENTITY, ["2020-T1"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -31,7 +32,8 @@ _log = logging.getLogger(__name__)
 
 
 def table_name(entity: str) -> str:
-    return f"migration_{entity.replace('.', '_')}_monthly"
+    """One table per entity; characters a table name cannot hold become '_'."""
+    return f"migration_{re.sub(r'[^A-Za-z0-9_]', '_', entity)}_monthly"
 
 
 def temp_path(root: str, entity: str) -> str:

@@ -51,8 +51,16 @@ def write_flat(df: DataFrame, path: str) -> None:
 
 
 def create_dedup_table(spark: SparkSession, table: str, path: str) -> None:
-    """External partitioned table over `path`, if absent."""
+    """External partitioned table over `path`, if absent.
+
+    A table of that name over another folder is refused: its rows would be
+    verified in place of those written to `path`.
+    """
     if spark.catalog.tableExists(table):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+        found = described.where(F.col("col_name") == "Location").first().data_type
+        if not found.rstrip("/").endswith(path.rstrip("/")):
+            raise ValueError(f"table {table} exists over {found}, not {path}")
         return
     columns = ", ".join(f"{c} STRING" for c in schemas.DEDUP.fieldNames())
     location = path.replace("\\", "\\\\").replace("'", "\\'")
