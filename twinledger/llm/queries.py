@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import language, packing, secrets, spans, tokencount
+from twinledger.llm import language, linededup, neardup, packing, pii, quality, secrets, spans, tokencount
 from twinledger.llm.textblocks import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,17 +49,53 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("found")
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(spans.number_of(found, kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        spans.digest(spans.of_kinds(found, pii.BASE_KINDS)).alias("base_sha256"),
+        spans.joined(found).alias("spans"),
+    )
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 @query("op4_packed_token_ids")
 def op4_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed_documents(docs, tokenizer("word_bpe_49k.json"), END_ID)
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judged(docs, labels, ["doc_id"]).select(
+        "doc_id",
+        *(F.col("__f")[name].alias(name) for name in counts),
+        F.col("__failed").alias("base_failed"),
+        F.col("__kept").alias("kept"),
+    )
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+@query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_repeated_lines(docs).select(
+        "doc_id", "text", F.col("__removed").cast("bigint").alias("n_removed")
+    )
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
