@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import language, linededup, neardup, packing, pii, quality, secrets, spans, tokencount
+from twinledger.llm import (
+    decontaminate,
+    language,
+    linededup,
+    neardup,
+    packing,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    spans,
+    tokencount,
+)
 from twinledger.llm.textblocks import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,11 +95,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
