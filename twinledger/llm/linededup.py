@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.links import linked_groups
-from twinledger.llm.textblocks import blocks, mix, prepare, signed, text_bytes, words
+from twinledger.llm.links import Similarity, linked_groups
+from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, signed, text_bytes, words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
@@ -116,7 +116,7 @@ def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(signed(two)),
                 pa.array(rows, pa.binary()),
             ],
-            ["doc_id", "line", "k0", "k1", "words"],
+            ["doc_id", "line", "k0", "k1", "labels"],
         )
 
 
@@ -147,17 +147,18 @@ def edit_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * (head + tail + inner) / (n + m)
 
 
-def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = batch.column("left"), batch.column("right")
-        kept = [
-            edit_similarity(
-                np.frombuffer(left[i].as_buffer(), dtype=np.uint64), np.frombuffer(right[i].as_buffer(), dtype=np.uint64)
-            )
-            >= SIMILARITY
-            for i in range(batch.num_rows)
-        ]
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+def _numbered(sequence: np.ndarray) -> np.ndarray:
+    """Words told apart by how often they have occurred before."""
+    seen = runs_of(sequence, np.zeros(len(sequence), dtype=np.int64)).astype(np.uint64)
+    return mix(sequence + seen * np.uint64(0x9E3779B97F4A7C15))
+
+
+LINK = Similarity(
+    similar=lambda a, b: edit_similarity(a, b) >= SIMILARITY,
+    labels=_numbered,
+    slack=1 - SIMILARITY,
+    size_ratio=SIMILARITY / (2 - SIMILARITY),
+)
 
 
 def _with_digest(docs: DataFrame) -> DataFrame:
@@ -184,9 +185,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
     distinct = materialize(by_line.select(F.monotonically_increasing_id().alias("id"), "*"), "distinct-lines")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "line-pairs")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def features(wanted: DataFrame) -> DataFrame:
         listed = materialize(
             distinct.join(wanted, "id", "left_semi").select(
                 "id", "k0", "k1", F.col("first.doc_id").alias("one"), F.col("first.line").alias("at")
@@ -194,18 +193,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             "listed-lines",
         )
         texts = narrow(known, listed.select(F.col("one").alias("doc_id")).distinct(), ["doc_id"])
-        schema = T.StructType([id_field, place[1], *longs[:2], T.StructField("words", T.BinaryType())])
+        schema = T.StructType([id_field, place[1], *longs[:2], T.StructField("labels", T.BinaryType())])
         found = narrow(texts.select("doc_id", "text").mapInArrow(_read_words, schema), listed.select("k0", "k1"), ["k0", "k1"])
         found = found.join(listed, ["k0", "k1"]).where(F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("line") == F.col("at")))
-        found = materialize(found.select("id", "words").dropDuplicates(["id"]), "line-words")
-        left = found.select(F.col("id").alias("a"), F.col("words").alias("left"))
-        right = found.select(F.col("id").alias("b"), F.col("words").alias("right"))
-        return pairs.join(right, "b").join(left, "a").mapInArrow(_verify_pairs, "a long, b long")
+        return found.select("id", "labels").dropDuplicates(["id"])
 
     keys = F.array(*(F.lit(b << 32).cast("bigint") + F.col(f"b{b}") for b in range(BLOCKS)))
     members = distinct.select(F.explode(keys).alias("key"), "id", "size")
-    ratio = SIMILARITY / (2 - SIMILARITY)
-    groups = materialize(linked_groups(members, verify, ratio), "line-groups")
+    groups = materialize(linked_groups(members, features, LINK), "line-groups")
     grouped = materialize(distinct.select("id", "first").join(groups, "id"), "grouped-lines")
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"))
     again = distinct.select("id", "k0", "k1", "first", "n").join(groups, "id", "left").join(stays, "root", "left")

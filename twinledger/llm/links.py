@@ -1,24 +1,99 @@
 """From shared buckets to connected groups, without all pairs of any bucket.
 
 A bucket holds items that a sketch calls similar. Every item is first compared
-with its bucket's lowest one. Linked items then form components, and only what
-those leave apart is compared further: items of a bucket that are in another
-component than its lowest one, against the members of other components. Pairs
-within a component need no test, so a bucket of many copies costs one comparison
-per member, and no candidate pair that could still join two groups is left out.
+with its bucket's centre, and linked items form components; a bucket of many
+copies costs one comparison per member. What that leaves apart is compared
+further, and still not pair by pair. Let d(x, y) be the number of labels that
+only one of x and y has; x and y can only be similar if d(x, y) <= t * (|x| + |y|).
+For r and c around a centre b,
+
+    d(r, c) = d(r, b) + d(c, b) - 2 * (common labels new to b + common losses),
+
+and the losses c shares are at most all of its own, so r and c need at least
+
+    q = (d(r, b) + |c| - |b| - t * (|r| + |c|)) / 2
+
+common labels that b lacks. An item that its centre rejects is itself far from
+it, which makes q positive for partners of about b's size or more: these are
+found by a join on the labels new to b (on as many of them as leave fewer than q
+out, in the order of their hashes). Partners small enough for q <= 0 are compared
+directly. So no link between items of a bucket is lost, and copies with changes
+of their own, which share none of them, are never paired up.
+
 Nothing is collected; every step is a join or an aggregation that may be split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.session import materialize
 
-Verify = Callable[[DataFrame], DataFrame]
+Features = Callable[[DataFrame], DataFrame]
+_PAIR = "a long, b long"
+_AWAY = "b long, id long, root long, main long, size long, reach long, floor long, fresh array<long>"
+
+
+@dataclass(frozen=True)
+class Similarity:
+    """When two sequences of labels are similar.
+
+    `similar` decides. `labels` makes the labels of a sequence unique; similar
+    ones differ in at most `slack` * (n + m) of them, and their sizes by no more
+    than `size_ratio`.
+    """
+
+    similar: Callable[[np.ndarray, np.ndarray], bool]
+    labels: Callable[[np.ndarray], np.ndarray]
+    slack: float
+    size_ratio: float
+
+    def verify(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [self.similar(a, b) for a, b in _sequences(batch)]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    def differences(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each item has that its centre lacks, as far as a partner must share it."""
+        for batch in batches:
+            sizes, reach, floors, fresh = [], [], [], []
+            for centre, item in _sequences(batch):
+                b, r = self.labels(centre), self.labels(item)
+                new = np.setdiff1d(r, b, assume_unique=True)
+                away = 2 * len(new) + len(b) - len(r)
+                least = math.floor(self.size_ratio * len(r))
+                # The smallest partner needs the fewest common labels.
+                needed = math.ceil((away + least - len(b) - self.slack * (len(r) + least)) / 2 - 1e-9)
+                new.sort()
+                fresh.append(new[: len(new) - max(0, needed - 1)].view(np.int64))
+                sizes.append(len(r))
+                floors.append(least)
+                reach.append(math.floor((len(b) - away + self.slack * len(r)) / (1 - self.slack) + 1e-9))
+            ends = np.cumsum([0, *map(len, fresh)])
+            flat = np.concatenate(fresh) if fresh else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name) for name in ("b", "id", "root", "main")),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(reach, pa.int64()),
+                    pa.array(floors, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                ],
+                ["b", "id", "root", "main", "size", "reach", "floor", "fresh"],
+            )
+
+
+def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    left, right = batch.column("left"), batch.column("right")
+    for i in range(batch.num_rows):
+        yield np.frombuffer(left[i].as_buffer(), dtype=np.uint64), np.frombuffer(right[i].as_buffer(), dtype=np.uint64)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -62,49 +137,66 @@ def _similar_sizes(one: str, other: str, ratio: float):
     return low >= high * F.lit(ratio)
 
 
-def linked_groups(members: DataFrame, verify: Verify, size_ratio: float, least_shared: int = 1) -> DataFrame:
+def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> DataFrame:
     """(id, root) of all items linked to another one; root is the lowest id of the group.
 
     `members`: key, id, size (all long), one row per bucket and item; it is read
-    more than once, so it should come from a stored table. `verify` maps pairs
-    (a, b) to the pairs that are similar. Pairs whose sizes differ by more than
-    `size_ratio` can't be. Pairs other than with a bucket's lowest item are
-    verified if they share `least_shared` buckets.
+    more than once, so it should come from a stored table. `features` maps ids
+    (column `id`) to (id, labels): the item's sequence as 64-bit numbers.
     """
-    lowest = members.groupBy("key").agg(F.min(F.struct("id", "size")).alias("low"), F.count("*").alias("n"))
-    lowest = materialize(
-        lowest.where("n > 1").select("key", F.col("low.id").alias("low"), F.col("low.size").alias("low_size")),
-        "shared-buckets",
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialize(members.join(materialize(sizes, "shared-buckets"), "key"), "bucket-members")
+    # The centre of a bucket is the item with the most company in all its buckets:
+    # among copies of one text that is the text they were made from, or close to it.
+    company = materialize(shared.groupBy("id").agg(F.sum("n").alias("score")), "company")
+    scored = shared.join(company, "id")
+    centres = scored.groupBy("key").agg(F.max(F.struct("score", F.negative("id").alias("low"))).alias("top"))
+    centres = materialize(centres.select("key", (-F.col("top.low")).alias("b")), "centres")
+    around = materialize(shared.join(centres, "key").select("b", "id").distinct(), "around")
+
+    wanted = around.select("id").distinct()
+    known = materialize(features(wanted), "features")
+    of_b = known.select(F.col("id").alias("b"), F.col("labels").alias("left"))
+    of_id = known.select("id", F.col("labels").alias("right"))
+    pairs = around.where("b != id").join(of_id, "id").join(of_b, "b")
+    first = materialize(
+        pairs.select(F.col("b").alias("a"), F.col("id").alias("b"), "left", "right").mapInArrow(spec.verify, _PAIR), "links"
     )
-    shared = materialize(members.join(lowest, "key"), "bucket-members")
-    star = shared.where((F.col("id") != F.col("low")) & _similar_sizes("size", "low_size", size_ratio))
-    first = materialize(verify(star.select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()), "links")
     roots = materialize(components(first), "roots")
 
-    rooted = materialize(
-        shared.join(roots, "id", "left").select("key", "id", "size", "low", F.coalesce("root", "id").alias("root")),
-        "rooted-members",
+    # Groups around a centre that it does not hold together.
+    rooted = around.join(roots, "id", "left").select("b", "id", F.coalesce("root", "id").alias("root"))
+    rooted = materialize(rooted, "rooted")
+    loose = rooted.groupBy("b").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.max(F.when(F.col("b") == F.col("id"), F.col("root"))).alias("main")
     )
-    mixed = rooted.groupBy("key").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.min(F.struct("id", "root"))["root"].alias("main")
-    )
-    mixed = materialize(mixed.where("least != most").select("key", "main"), "mixed-buckets")
-    apart = materialize(rooted.join(mixed, "key"), "mixed-members")
-    rest = apart.where("root != main").select(
-        "key", F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root")
+    loose = materialize(loose.where("least != most").select("b", "main"), "loose-groups")
+    apart = materialize(rooted.join(loose, "b"), "loose-members")
+    away = apart.join(of_id, "id").join(of_b, "b").select("b", "id", "root", "main", "left", "right")
+    away = materialize(away.mapInArrow(spec.differences, _AWAY), "differences")
+
+    tokens = away.select("b", "id", "root", "main", "size", F.explode("fresh").alias("token"))
+    mine = tokens.where("root != main").select("b", "token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
+    alike = _similar_sizes("na", "size", spec.size_ratio)
+    # Of two items that are both away from the centre, the lower one asks.
+    ordered = (F.col("root") == F.col("main")) | (F.col("a") < F.col("id"))
+    common = mine.join(tokens, ["b", "token"]).where((F.col("ra") != F.col("root")) & ordered & alike)
+    asking = away.where("root != main and reach >= floor").select(
+        "b", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), "reach"
     )
-    pairs = rest.join(apart, "key").where(
-        (F.col("a_root") != F.col("root"))
-        & (F.col("id") != F.col("low"))
-        & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("id")))
-        & _similar_sizes("a_size", "size", size_ratio)
+    near = asking.join(away.select("b", "id", "root", "main", "size"), "b").where(
+        (F.col("size") <= F.col("reach")) & (F.col("ra") != F.col("root")) & (F.col("id") != F.col("b")) & alike
     )
-    often = pairs.groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
-    second = materialize(verify(often.select("a", "b")), "more-links")
+    candidates = common.select("a", "id").union(near.select("a", "id"))
+    candidates = materialize(candidates.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "more-pairs")
+    left = known.select(F.col("id").alias("a"), F.col("labels").alias("left"))
+    right = known.select(F.col("id").alias("b"), F.col("labels").alias("right"))
+    second = candidates.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(spec.verify, _PAIR)
+    second = materialize(second, "more-links")
     # The second round joins whole components: its graph has a node per root.
     of_a = roots.select(F.col("id").alias("a"), F.col("root").alias("ra"))
-    of_b = roots.select(F.col("id").alias("b"), F.col("root").alias("rb"))
-    between = second.join(of_a, "a", "left").join(of_b, "b", "left").select(
+    of_other = roots.select(F.col("id").alias("b"), F.col("root").alias("rb"))
+    between = second.join(of_a, "a", "left").join(of_other, "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")
     )
     higher = materialize(components(between), "higher-roots").select(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.links import linked_groups
+from twinledger.llm.links import Similarity, linked_groups
 from twinledger.llm.textblocks import _STEP, Words, blocks, mix, prepare, runs_of, signed, text_bytes, words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
@@ -32,9 +32,6 @@ LOWEST = 5
 SHORT = 15
 SHORT_PERMUTATIONS = 12
 SHORT_LOWEST = 2
-# Two texts at the threshold share 10 of 32 sketches on average; fewer than two
-# in 1 of 20,000 cases.
-LEAST_SHARED = 2
 _CELLS = 1 << 21
 
 _MULTIPLY = mix(np.arange(1, PERMUTATIONS + SHORT_PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -107,6 +104,14 @@ def alignment_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY
     return value if value >= least else 0.0
 
 
+LINK = Similarity(
+    similar=lambda a, b: alignment_similarity(a, b) > 0,
+    labels=np.array,
+    slack=(1 - SIMILARITY) / (1 + SIMILARITY),
+    size_ratio=SIMILARITY,
+)
+
+
 def _sketch_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, "text"):
         labels, first = labelled_shingles(words(*text_bytes(part.column("text"))))
@@ -131,19 +136,6 @@ def _shingle_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(rows, pa.binary())], ["id", "labels"])
 
 
-def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = batch.column("left"), batch.column("right")
-        kept = [
-            alignment_similarity(
-                np.frombuffer(left[i].as_buffer(), dtype=np.uint64), np.frombuffer(right[i].as_buffer(), dtype=np.uint64)
-            )
-            > 0
-            for i in range(batch.num_rows)
-        ]
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-
 def _with_node(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("node")).where("text is not null")
 
@@ -174,20 +166,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     nodes = materialize(by_node.select(F.monotonically_increasing_id().alias("id"), "*"), "nodes")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def features(wanted: DataFrame) -> DataFrame:
         listed = materialize(nodes.select("id", "node", F.col("low_doc").alias("one")).join(wanted, "id", "left_semi"), "listed")
         texts = narrow(known, listed.select("node"), ["node"])
         texts = texts.join(listed, "node").where(F.col("doc_id").eqNullSafe(F.col("one"))).select("id", "text")
-        shingled = texts.mapInArrow(_shingle_texts, "id long, labels binary").dropDuplicates(["id"])
-        shingled = materialize(shingled, "shingles")
-        left = shingled.select(F.col("id").alias("a"), F.col("labels").alias("left"))
-        right = shingled.select(F.col("id").alias("b"), F.col("labels").alias("right"))
-        return pairs.join(right, "b").join(left, "a").mapInArrow(_verify_pairs, "a long, b long")
+        return texts.mapInArrow(_shingle_texts, "id long, labels binary").dropDuplicates(["id"])
 
     members = nodes.select(F.explode("keys").alias("key"), "id", "size")
-    groups = materialize(linked_groups(members, verify, SIMILARITY, LEAST_SHARED), "groups")
+    groups = materialize(linked_groups(members, features, LINK), "groups")
     grouped = materialize(nodes.select("id", "node", "low_doc").join(groups, "id"), "grouped-nodes")
     lowest = grouped.groupBy("root").agg(F.min(F.struct("low_doc", "node")).alias("low"))
     classes = nodes.select("id", "node", "low_doc").join(groups, "id", "left").join(lowest, "root", "left")
