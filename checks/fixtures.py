@@ -20,6 +20,11 @@ TABLES = ("lineitem", "orders", "documents")
 ENTITY = "entity.a.com"
 YEARS = list(range(2015, 2022))
 
+# Mails of two languages fall far outside the years of the archive rows, by
+# thirteen years back and ten ahead, and some are archived in 2027.
+MAIL_SHIFT = "CASE lang WHEN 'fr' THEN -410227200 WHEN 'es' THEN 315532800 ELSE 0 END"
+ARCHIVE_SHIFT = "CASE lang WHEN 'es' THEN 136000000 ELSE 0 END"
+
 # SQL shared by both engines; {...} are the calls whose spelling differs.
 _VIEWS = {
     "archive": """
@@ -47,6 +52,10 @@ SELECT reporting_entity,
   CASE WHEN {legacy_year} < 2000 THEN '1970-1999' ELSE CAST({legacy_year} AS STRING) || {legacy_third} END,
   src, 'legacy/' || path, message_id, {stamp}, CAST((s - 631152000) * 1000 AS STRING)
 FROM archive WHERE l_tax < 0.005 AND l_discount < 0.005
+UNION ALL
+SELECT reporting_entity, CASE WHEN l_linestatus = 'F' THEN '2027-T1' ELSE NULL END,
+  src, 'later/' || path, message_id, {stamp}, CAST((s + 378691200) * 1000 AS STRING)
+FROM archive WHERE l_quantity > 49.5 AND l_tax < 0.005
 """,
     "index_docs": """
 SELECT k || '#' || message_id || '#' || CAST(l_partkey AS STRING) || copy AS doc_id,
@@ -96,8 +105,8 @@ _SPARK = {
     "start_ts": "timestamp_millis(CAST(ms AS BIGINT))",
     "archived_ts": "timestamp_millis(CAST(ms AS BIGINT) + 157766400000)",
     "mail_path": "date_format(timestamp_seconds(1514764800 + doc_id * 600), 'yyyy/MM/dd')",
-    "mail_ts": "timestamp_seconds(1514764800 + doc_id * 600)",
-    "mail_archived_ts": "timestamp_seconds(1672531200 + doc_id * 6000)",
+    "mail_ts": "timestamp_micros((1514764800 + doc_id * 600 + " + MAIL_SHIFT + ") * 1000000 - 500)",
+    "mail_archived_ts": "timestamp_seconds(1672531200 + doc_id * 6000 + " + ARCHIVE_SHIFT + ")",
 }
 
 _DUCKDB = {
@@ -112,8 +121,8 @@ _DUCKDB = {
     "start_ts": "make_timestamp(CAST(ms AS BIGINT) * 1000)",
     "archived_ts": "make_timestamp((CAST(ms AS BIGINT) + 157766400000) * 1000)",
     "mail_path": "strftime(make_timestamp((1514764800 + doc_id * 600) * 1000000), '%Y/%m/%d')",
-    "mail_ts": "make_timestamp((1514764800 + doc_id * 600) * 1000000)",
-    "mail_archived_ts": "make_timestamp((1672531200 + doc_id * 6000) * 1000000)",
+    "mail_ts": "make_timestamp((1514764800 + doc_id * 600 + " + MAIL_SHIFT + ") * 1000000 - 500)",
+    "mail_archived_ts": "make_timestamp((1672531200 + doc_id * 6000 + " + ARCHIVE_SHIFT + ") * 1000000)",
 }
 
 

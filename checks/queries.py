@@ -51,6 +51,10 @@ def text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S')"
 
 
+def micros(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
 KEY_MONTH = (
     "CASE WHEN regexp_matches(key, '^[0-9]{4}/[0-9]{2}/') "
     "THEN substr(key, 1, 4) || '-' || substr(key, 6, 2) ELSE 'all' END"
@@ -71,7 +75,7 @@ YEAR_QUADS = ", ".join(f"'{y}-T{n}'" for y in YEARS for n in (1, 2, 3))
 PAIRS = f"pairs AS (SELECT * EXCLUDE content, UNNEST({SRC_VALUES}) AS source_id FROM index_docs)"
 BUCKET = (
     "CASE WHEN quadrimester IN ('pre-1970', '1970-1999', 'post-2026') THEN quadrimester "
-    "ELSE substr(quadrimester, 1, 4) END"
+    "WHEN regexp_matches(quadrimester, '^[0-9]{4}-T[1-3]$') THEN substr(quadrimester, 1, 4) ELSE 'other' END"
 )
 DEDUP = f"""dated AS (SELECT *, {TS} AS ts FROM stage),
 dedup AS (
@@ -88,6 +92,10 @@ def _stamp(column: str, alias: str | None = None):
     return fn.window_text(F.col(column)).alias(alias or column)
 
 
+def _micros(column: str):
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(column)
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -154,8 +162,7 @@ def _classified(f: Fixtures) -> DataFrame:
 
 
 CLASSIFIED = f"""{PAIRS},
-hits AS (SELECT source_id, COUNT(*) AS n FROM pairs
-  WHERE archived_ts BETWEEN TIMESTAMP '2025-01-01' AND TIMESTAMP '2026-12-31 23:59:59.999' GROUP BY 1),
+hits AS (SELECT source_id, COUNT(*) AS n FROM pairs GROUP BY 1),
 classified AS (
   SELECT source_id, COALESCE(n, 0) AS n,
     CASE COALESCE(n, 0) WHEN 0 THEN 'zero' WHEN 1 THEN 'unique' ELSE 'duplicate' END AS outcome
@@ -240,12 +247,16 @@ def fake_sender() -> Callable[[str], tuple[int, str]]:
 
     def send(payload: str) -> tuple[int, str]:
         if payload.startswith("doc/"):
-            return 503, 'queue "full"'
+            return 503, BUSY
         return 200, "Keys Submitted"
 
     return send
 
 
+# Longer than any report would like: it must come through whole.
+BUSY = "queue full" + " and nothing can be taken now" * 12
+BUSY_SQL = "'HTTP 503: queue full' || repeat(' and nothing can be taken now', 12)"
+
 BATCH_N = 50
 PART_N = 400  # small enough that a month is split into parts on the test data
 
@@ -269,16 +280,27 @@ def _delivered(f: Fixtures) -> DataFrame:
     return plans.deliver(windows.batch_payloads(_missing_batches(f)), fake_sender(), 8)
 
 
+RUNS = "runs AS (SELECT * FROM (VALUES ('batch', 1), ('batch', 2), ('stream-a', 1)) AS r(feed, run))"
+
+
+def _three_runs(f: Fixtures) -> DataFrame:
+    """The same deliveries stored by two calls and a stream, which reuse batch names."""
+    path, rows = scratch_path(f.spark, "runs"), materialize(_delivered(f), "delivered")
+    for feed, run in (("batch", 1), ("batch", 2), ("stream-a", 1)):
+        sources.append_outcomes(rows, path, run, feed)
+    return read_outcomes(f.spark, path, REPLAY_OUTCOMES)
+
+
 @query(
     "sink_failed",
     ("index_docs", "key_list"),
-    f""", {BATCHES}
-SELECT 'SUBMIT' AS stage, batch, COUNT(*) AS batch_size,
-  'HTTP 503: queue ''full''' AS error_message, string_agg(key, ';' ORDER BY key) AS keys
-FROM named WHERE key_month = 'all' GROUP BY batch HAVING MIN(key) LIKE 'doc/%'""",
+    f""", {BATCHES}, {RUNS}
+SELECT feed, run, 'SUBMIT' AS stage, batch, COUNT(*) AS batch_size,
+  {BUSY_SQL} AS error_message, string_agg(key, ';' ORDER BY key) AS keys
+FROM named, runs WHERE key_month = 'all' GROUP BY feed, run, batch HAVING MIN(key) LIKE 'doc/%'""",
 )
 def sink_failed(f: Fixtures) -> DataFrame:
-    return sources.failed_batches(_delivered(f))
+    return sources.failed_batches(_three_runs(f))
 
 
 @query(
@@ -318,7 +340,7 @@ def sink_ledger(f: Fixtures) -> DataFrame:
     ("index_docs", "key_list"),
     f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
 SELECT key, batch, CASE WHEN b.batch IS NULL THEN NULL ELSE 'SUBMIT' END AS stage,
-  CASE WHEN b.batch IS NULL THEN NULL ELSE 'HTTP 503: queue ''full''' END AS error,
+  CASE WHEN b.batch IS NULL THEN NULL ELSE {BUSY_SQL} END AS error,
   CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END AS outcome
 FROM named LEFT JOIN bad b USING (batch)""",
 )
@@ -339,12 +361,12 @@ def sink_summary(f: Fixtures) -> DataFrame:
     "sink_summary_batches",
     ("index_docs", "key_list"),
     f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
-SELECT CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END AS outcome, COUNT(*) AS n,
-  COUNT(DISTINCT named.batch) AS batches
+SELECT CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END AS outcome, 3 * COUNT(*) AS n,
+  3 * COUNT(DISTINCT named.batch) AS batches
 FROM named LEFT JOIN bad b ON named.batch = b.batch GROUP BY 1""",
 )
 def sink_summary_batches(f: Fixtures) -> DataFrame:
-    return sources.run_summary(_delivered(f))
+    return sources.run_summary(_three_runs(f))
 
 
 # --- filters -----------------------------------------------------------------
@@ -396,21 +418,24 @@ def flt_window_ms(f: Fixtures) -> DataFrame:
 @query(
     "flt_start_range",
     ("index_docs",),
-    f"SELECT doc_id, {text('start_ts')} AS start_ts FROM index_docs WHERE start_ts BETWEEN "
-    "TIMESTAMP '2008-01-01' AND TIMESTAMP '2027-12-31 23:59:59.999'",
+    f"SELECT doc_id, {micros('start_ts')} AS start_ts FROM index_docs WHERE start_ts >= "
+    "TIMESTAMP '2016-06-01' AND start_ts < TIMESTAMP '2018-01-01'",
 )
 def flt_start_range(f: Fixtures) -> DataFrame:
-    return filters.in_start_range(f.index_docs).select("doc_id", _stamp("start_ts"))
+    # Mails lie half a millisecond before full seconds: one is in the last one of 2017.
+    docs = filters.in_start_range(f.index_docs, "2016-06-01", "2018-01-01")
+    return docs.select("doc_id", _micros("start_ts"))
 
 
 @query(
     "flt_archived_range",
     ("index_docs",),
-    f"SELECT doc_id, {text('archived_ts')} AS archived_ts FROM index_docs WHERE archived_ts BETWEEN "
-    "TIMESTAMP '2025-01-01' AND TIMESTAMP '2026-12-31 23:59:59.999'",
+    f"SELECT doc_id, {micros('archived_ts')} AS archived_ts FROM index_docs WHERE archived_ts >= "
+    "TIMESTAMP '2023-06-01' AND archived_ts < TIMESTAMP '2027-01-01'",
 )
 def flt_archived_range(f: Fixtures) -> DataFrame:
-    return filters.in_archived_range(f.index_docs).select("doc_id", _stamp("archived_ts"))
+    docs = filters.in_archived_range(f.index_docs, "2023-06-01", "2027-01-01")
+    return docs.select("doc_id", _micros("archived_ts"))
 
 
 @query(
@@ -1092,12 +1117,14 @@ def set_ledger_union(f: Fixtures) -> DataFrame:
 
 
 REPLAY_SQL = f""", {BATCHES}, bad AS (SELECT batch FROM named GROUP BY batch HAVING MIN(key) LIKE 'doc/%')
-SELECT key, 'skipped' AS outcome, CAST(NULL AS VARCHAR) AS stage FROM listed
-  WHERE key IN (SELECT key FROM index_docs WHERE key IS NOT NULL)
+SELECT key, 'skipped' AS outcome, CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS batch,
+  CAST(NULL AS VARCHAR) AS error FROM listed WHERE key IN (SELECT key FROM index_docs WHERE key IS NOT NULL)
 UNION ALL
 SELECT key, CASE WHEN b.batch IS NULL THEN 'submitted' ELSE 'failed' END,
-  CASE WHEN b.batch IS NULL THEN NULL ELSE 'SUBMIT' END
-FROM named LEFT JOIN bad b USING (batch)"""
+  CASE WHEN b.batch IS NULL THEN NULL ELSE 'SUBMIT' END, named.batch,
+  CASE WHEN b.batch IS NULL THEN NULL ELSE {BUSY_SQL} END
+FROM named LEFT JOIN bad b ON named.batch = b.batch"""
+REPLAY_COLUMNS = ("key", "outcome", "stage", "batch", "error")
 
 
 @query(
@@ -1108,7 +1135,7 @@ FROM named LEFT JOIN bad b USING (batch)"""
 def pipe_replay(f: Fixtures) -> DataFrame:
     path = scratch_path(f.spark, "replay")
     done = plans.replay(f.key_list, f.index_docs, path, fake_sender())
-    return done.select("key", "outcome", "stage")
+    return done.select(*REPLAY_COLUMNS)
 
 
 @query(
@@ -1123,7 +1150,7 @@ def stream_resume(f: Fixtures) -> DataFrame:
         f.spark, lists, f.index_docs, path, scratch_path(f.spark, "stream-state"), fake_sender()
     )
     run.awaitTermination()
-    return read_outcomes(f.spark, path, REPLAY_OUTCOMES).select("key", "outcome", "stage")
+    return read_outcomes(f.spark, path, REPLAY_OUTCOMES).select(*REPLAY_COLUMNS)
 
 
 @query(
@@ -1194,9 +1221,11 @@ def _drill_sql(threshold: int) -> tuple[str, str]:
         lake = "lake_any" if level == "month" else "lake_exact"
         ctes.append(f"""f_{level} AS (SELECT b, SUM(docs) AS left_n,
   COUNT(*) FILTER (WHERE key IS NOT NULL AND lake) AS right_n
-FROM (SELECT date_trunc('{level}', second) AS b, key, SUM(docs) AS docs, bool_or({lake}) AS lake
+FROM (SELECT date_trunc('{level}', second) AS b, key, SUM(docs) AS docs, bool_or({lake}) AS lake,
+    bool_or(lake_exact) AS exact
   FROM rows WHERE {above} GROUP BY 1, 2) GROUP BY 1
-HAVING SUM(docs) <> COUNT(*) FILTER (WHERE key IS NOT NULL AND lake))""")
+HAVING SUM(docs) <> COUNT(*) FILTER (WHERE key IS NOT NULL AND lake)
+  OR bool_or(key IS NOT NULL AND (docs > 0) <> exact))""")
         leaf = "true" if level == "second" else f"left_n < {threshold}"
         leaves.append(
             _one_sided_sql(
@@ -1237,7 +1266,7 @@ p AS (SELECT source_id, key, {KEY_QUAD} AS quadrimester FROM pairs WHERE key IS
 c AS (SELECT source_id, quadrimester, COUNT(*) AS n FROM stage WHERE reporting_entity = '{ENTITY}' GROUP BY 1, 2)
 SELECT p.source_id, key, p.quadrimester, CASE WHEN p.quadrimester IS NOT NULL THEN COALESCE(n, 0) END AS lake_count,
   CASE WHEN p.quadrimester IS NULL THEN 'QUADRIMESTER_DERIVE' END AS stage,
-  CASE WHEN p.quadrimester IS NULL THEN 'key didn''t parse as YYYY/MM/...: ' || key END AS error,
+  CASE WHEN p.quadrimester IS NULL THEN 'no year and month at the start of the key: ' || key END AS error,
   CASE WHEN p.quadrimester IS NULL THEN 'failed' ELSE 'resolved' END AS outcome
 FROM p LEFT JOIN c ON p.source_id = c.source_id AND p.quadrimester = c.quadrimester
 UNION ALL

@@ -82,8 +82,8 @@ def frames(spark, index, lake):
 @pytest.mark.parametrize("metric", ["docs", "distinct"])
 def test_equals_a_recursive_search(spark, threshold, metric):
     index, lake = random_copies(threshold)
-    result = reconcile(*frames(spark, index, lake), ENTITY, [2019, 2020, 2021], threshold, metric)
-    got = rows(result.outstanding)
+    copies = frames(spark, index, lake)
+    got = rows(reconcile(*copies, ENTITY, [2019, 2020, 2021], threshold, metric, compare="counts").outstanding)
     assert got == brute(index, lake, {2019, 2020, 2021}, threshold, metric)
     assert got
 
@@ -102,12 +102,27 @@ def test_pruned_form_finds_part_of_the_exact_one(spark):
     index = [("only-left", "2020-03-01 00:00:00"), ("extra", "2020-04-01 00:00:00")]
     lake = [("only-right", "2020-03-02 00:00:00", "2020-T1")]
     copies = frames(spark, index, lake)
-    pruned = {r[4] for r in rows(reconcile(*copies, ENTITY, [2020]).outstanding)}
+    pruned = {r[4] for r in rows(reconcile(*copies, ENTITY, [2020], compare="counts").outstanding)}
     exact = {r[4] for r in rows(reconcile_exact(*copies, ENTITY, [2020]))}
     assert pruned == {"extra"}
     assert exact == {"only-left", "only-right", "extra"}
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(100, 10_000))
+def test_default_form_equals_the_exact_one_at_month_grain(spark, seed):
+    copies = frames(spark, *random_copies(seed, 80))
+    assert rows(reconcile(*copies, ENTITY, [2019, 2020]).outstanding) == rows(reconcile_exact(*copies, ENTITY, [2019, 2020]))
+
+
+def test_equal_counts_do_not_hide_keys(spark):
+    """At every level: the bucket is opened down to the second that differs."""
+    index = [("left", "2020-03-01 10:00:01"), *((f"k{i}", "2020-03-01 10:00:02") for i in range(5))]
+    lake = [("right", "2020-03-01 10:00:01", "2020-T1"), *((f"k{i}", "2020-03-01 10:00:02", "2020-T1") for i in range(5))]
+    found = rows(reconcile(*frames(spark, index, lake), ENTITY, [2020], threshold=2).outstanding)
+    assert {(r[0], r[4]) for r in found} == {("second", "left"), ("second", "right")}
+
+
 def test_duplicate_documents_raise_a_mismatch_without_keys(spark):
     index = [("k", "2020-03-01 00:00:00")] * 2
     lake = [("k", "2020-03-01 00:00:00", "2020-T1")]
@@ -147,3 +162,8 @@ def test_level_statistics(spark):
 def test_unknown_metric_is_refused(spark):
     with pytest.raises(ValueError):
         reconcile(*frames(spark, [("k", "2020-01-01 00:00:00")], [("k", "2020-01-01 00:00:00", "2020-T1")]), ENTITY, [2020], left_metric="rows")
+
+
+def test_unknown_comparison_is_refused(spark):
+    with pytest.raises(ValueError):
+        reconcile(*frames(spark, [], []), ENTITY, [2020], compare="rows")

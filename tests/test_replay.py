@@ -1,3 +1,4 @@
+import pytest
 from archive import doc_row, docs
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def test_failed_keys_are_tried_again_and_done_ones_are_not(spark, tmp_path):
     sent = sorted(open(log).read().split())
     assert sent == ["2020/01/b", "2020/02/c", "bad"]
 
-    report = sources.failed_batches(first).collect()
+    report = sources.failed_batches(first).drop("feed", "run").collect()
     assert [tuple(r) for r in report] == [
         ("SUBMIT", "all/0/0", 1, "HTTP 0: ConnectionError: down 'now'", "bad")
     ]
@@ -113,3 +114,44 @@ def test_stream_and_calls_share_a_table_without_overwriting(spark, tmp_path):
     assert done.select("feed").distinct().count() == 3
     assert "stream-None" not in {r.feed for r in done.collect()}
     assert sorted(open(log).read().split()) == ["2020/01/a", "2020/01/b", "2020/01/c"]
+
+
+def test_a_call_that_dies_loses_one_wave(spark, tmp_path):
+    """A task that ends the job in a later wave; the next call sends no batch of an earlier one."""
+    names = [f"2020/01/{i:03d}" for i in range(24)]
+    keys, index = key_list(spark, tmp_path / "in", names), docs(spark, [doc_row(names[0], "2020-01-01")])
+    path, log = str(tmp_path / "out"), str(tmp_path / "log")
+
+    def dying(payload):
+        with open(log, "a") as f:
+            f.write(payload + "\n")
+        if sum(1 for _ in open(log)) > 15:
+            raise KeyboardInterrupt
+        return 200, "submitted"
+
+    with pytest.raises(Exception):  # noqa: B017 - however Spark reports a dead worker
+        replay(keys, index, path, dying, batch_size=1, concurrency=1, wave_batches=6)
+    kept = read_outcomes(spark, path, OUTCOMES)
+    recorded = {r.key for r in kept.where("outcome = 'submitted'").collect()}
+    assert kept.where("outcome = 'skipped'").count() == 1 and recorded
+    before = open(log).read().split()
+    second = str(tmp_path / "log2")
+    replay(keys, index, path, logging_sender(second), batch_size=1)
+    assert not recorded & set(open(second).read().split()) and recorded < set(before)
+    assert {r.key for r in read_outcomes(spark, path, OUTCOMES).collect()} == set(names)
+
+
+def test_reports_keep_runs_apart(spark, tmp_path):
+    keys = key_list(spark, tmp_path / "in", ["bad1", "bad2", "bad3"])
+    path = str(tmp_path / "out")
+    for _ in range(2):
+        replay(keys, docs(spark, []), path, logging_sender(str(tmp_path / "log"), "bad"), batch_size=2)
+    done = read_outcomes(spark, path, OUTCOMES)
+    assert sorted(r.batch_size for r in sources.failed_batches(done).collect()) == [1, 1, 2, 2]
+    assert [tuple(r) for r in sources.run_summary(done).collect()] == [("failed", 6, 4)]
+
+
+def test_answers_are_kept_whole(spark, tmp_path):
+    keys = key_list(spark, tmp_path / "in", ["k"])
+    got = replay(keys, docs(spark, []), str(tmp_path / "out"), lambda payload: (500, "x" * 5000))
+    assert len(got.first().error) == len("HTTP 500: ") + 5000

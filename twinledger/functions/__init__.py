@@ -2,7 +2,6 @@ from twinledger.functions.calendar import (
     LEVELS,
     bucket_label,
     bucket_start,
-    child_level,
     epoch_ts,
     expand_years,
     months_of_quadrimester,
@@ -36,7 +35,6 @@ __all__ = [
     "SOURCE_MARKER",
     "bucket_label",
     "bucket_start",
-    "child_level",
     "classify",
     "epoch_ts",
     "expand_years",

@@ -22,8 +22,8 @@ WINDOW_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Fixed bucket values: quadrimester partitions that stand for several years.
 SPECIAL_BUCKETS = ("pre-1970", "1970-1999", "post-2026")
-FIRST_YEAR = 2000
-LAST_YEAR = 2026
+# Rows whose quadrimester belongs to no bucket are counted under this name.
+OTHER_BUCKET = "other"
 
 # Last millisecond of year 9999 and first of year 1; beyond, a value is no time.
 _MAX_MS = 253_402_300_799_999
@@ -53,11 +53,6 @@ def time_unit(unit: str, ts: Column) -> Column:
     return pick[unit](ts)
 
 
-def child_level(level: str) -> str | None:
-    at = LEVELS.index(level) + 1
-    return LEVELS[at] if at < len(LEVELS) else None
-
-
 def bucket_start(level: str, ts: Column) -> Column:
     if level not in LEVELS:
         raise ValueError(f"level {level!r} is none of {LEVELS}")
@@ -91,11 +86,11 @@ def quadrimester_month(year: Column, month: Column) -> Column:
 
 def parse_quadrimester(label: Column) -> Column:
     """'2025-T3' -> struct(year, n), NULL for anything else."""
-    valid = label.rlike(r"^[0-9]{1,9}-T[1-3]$")
+    valid = label.rlike(r"^[0-9]{1,10}-T[1-3]$")
     return F.when(
         valid,
         F.struct(
-            F.split_part(label, F.lit("-T"), F.lit(1)).cast("int").alias("year"),
+            F.split_part(label, F.lit("-T"), F.lit(1)).try_cast("int").alias("year"),
             F.split_part(label, F.lit("-T"), F.lit(2)).cast("int").alias("n"),
         ),
     )
@@ -113,28 +108,27 @@ def expand_years(year: Column) -> Column:
     return F.array(*[F.concat(text, F.lit(f"-T{n}")) for n in (1, 2, 3)])
 
 
-def year_bucket_values(labels: list[str] | None = None) -> dict[str, list[str]]:
-    """Bucket label -> the quadrimester partition values it covers.
-
-    Without labels: every year of the default range and the special buckets.
-    """
-    if labels is None:
-        labels = [str(y) for y in range(FIRST_YEAR, LAST_YEAR + 1)] + list(SPECIAL_BUCKETS)
+def year_bucket_values(labels: list[str]) -> dict[str, list[str]]:
+    """Bucket label -> the quadrimester partition values it covers (`other`: none of its own)."""
     out: dict[str, list[str]] = {}
     for label in (text.strip() for text in labels):
         if not label:
             continue
         if label in SPECIAL_BUCKETS:
             out[label] = [label]
+        elif label == OTHER_BUCKET:
+            out[label] = []
         elif re.fullmatch(r"[0-9]{4}", label):
             out[label] = [f"{label}-T{n}" for n in (1, 2, 3)]
         else:
-            raise ValueError(f"{label!r} is neither a 4-digit year nor one of {SPECIAL_BUCKETS}")
+            raise ValueError(f"{label!r} is neither a 4-digit year nor one of {(*SPECIAL_BUCKETS, OTHER_BUCKET)}")
     return out
 
 
 def year_bucket_label(quadrimester: Column) -> Column:
-    """The year bucket a quadrimester value belongs to, NULL if none."""
-    return F.when(quadrimester.isin(*SPECIAL_BUCKETS), quadrimester).when(
-        quadrimester.rlike("^[0-9]{4}-T[1-3]$"), F.substring(quadrimester, 1, 4)
+    """The year bucket a quadrimester value belongs to, `other` for anything else."""
+    return (
+        F.when(quadrimester.isin(*SPECIAL_BUCKETS), quadrimester)
+        .when(quadrimester.rlike("^[0-9]{4}-T[1-3]$"), F.substring(quadrimester, 1, 4))
+        .otherwise(OTHER_BUCKET)
     )

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from twinledger.functions import ENTITY_MARKER, SOURCE_MARKER, expand_years, extract_marker
 from twinledger.operators.lists import NARROW_ROWS, keep_listed
 
-# Fixed default ranges, both ends included.
-START_RANGE = ("2008-01-01 00:00:00.000", "2027-12-31 23:59:59.999")
-ARCHIVED_RANGE = ("2025-01-01 00:00:00.000", "2026-12-31 23:59:59.999")
-
 
 def _ts(value: str | datetime | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
@@ -46,12 +42,21 @@ def in_window_ms(docs: DataFrame, start, end_exclusive) -> DataFrame:
     return in_window(docs, F.col("start_ts"), start, end_exclusive)
 
 
-def in_start_range(docs: DataFrame, start=START_RANGE[0], end=START_RANGE[1]) -> DataFrame:
-    return docs.where(F.col("start_ts").between(_ts(start), _ts(end)))
+def _in_range(docs: DataFrame, column: str, start, end_exclusive) -> DataFrame:
+    if start is not None:
+        docs = docs.where(F.col(column) >= _ts(start))
+    return docs if end_exclusive is None else docs.where(F.col(column) < _ts(end_exclusive))
+
+
+def in_start_range(docs: DataFrame, start=None, end_exclusive=None) -> DataFrame:
+    """start <= start_ts < end. A bound of None is none; without any, undated
+    documents stay too."""
+    return _in_range(docs, "start_ts", start, end_exclusive)
 
 
-def in_archived_range(docs: DataFrame, start=ARCHIVED_RANGE[0], end=ARCHIVED_RANGE[1]) -> DataFrame:
-    return docs.where(F.col("archived_ts").between(_ts(start), _ts(end)))
+def in_archived_range(docs: DataFrame, start=None, end_exclusive=None) -> DataFrame:
+    """The same for archived_ts."""
+    return _in_range(docs, "archived_ts", start, end_exclusive)
 
 
 def with_listed_keys(

@@ -27,8 +27,8 @@ def rank_latest(
     return df.withColumn("rn", F.row_number().over(window)).where(F.col("rn") <= keep)
 
 
-def limit_per_id(pairs: DataFrame, n: int = 1000, on: str = "source_id") -> DataFrame:
-    """At most n rows per id, smallest key first. Off unless asked for."""
+def limit_per_id(pairs: DataFrame, n: int, on: str = "source_id") -> DataFrame:
+    """At most n rows per id, smallest key first. No job does so unless asked to."""
     window = Window.partitionBy(on).orderBy(F.col("key").asc_nulls_last(), F.col("doc_id"))
     return pairs.withColumn("rn", F.row_number().over(window)).where(F.col("rn") <= n).drop("rn")
 

@@ -14,7 +14,7 @@ from twinledger.plans.reconciliation import (
     undated_rows,
 )
 from twinledger.plans.replaying import deliver, replay, split_listed
-from twinledger.plans.yearly import run_year_counts, year_counts
+from twinledger.plans.yearly import run_year_counts, year_counts, year_counts_report
 
 __all__ = [
     "Reconciliation",
@@ -39,4 +39,5 @@ __all__ = [
     "undated_rows",
     "verify",
     "year_counts",
+    "year_counts_report",
 ]

@@ -17,7 +17,6 @@ from twinledger.sources import (
     read_ledger,
     read_outcomes,
 )
-from twinledger.sources.ledger import next_run
 
 JOB = "source_lookup"
 
@@ -34,7 +33,7 @@ OUTCOMES = T.StructType(
 
 # Stage name and message recorded for a key that carries no date.
 DERIVE_STAGE = "QUADRIMESTER_DERIVE"
-DERIVE_ERROR = "key didn't parse as YYYY/MM/...: "
+DERIVE_ERROR = "no year and month at the start of the key: "
 
 
 def lookup_sources(
@@ -42,21 +41,23 @@ def lookup_sources(
     docs: DataFrame,
     stage: DataFrame,
     entity: str,
-    start=filters.START_RANGE[0],
-    end=filters.START_RANGE[1],
+    start=None,
+    end_exclusive=None,
     marker: str = SOURCE_MARKER,
     keys_per_id: int | None = None,
     max_rows: int = NARROW_ROWS,
 ) -> DataFrame:
     """One row per (id, document): its key, quadrimester and lake count.
 
+    All documents count unless `start` or `end_exclusive` bounds their time.
+
     outcome is `resolved`; `failed` for a key without a readable date;
     `unresolved` for an id no document names (one row, no key). The narrow
     (id, key) pairs are written to the scratch area once, because searching the
     texts is the costly part and three later steps need the pairs.
     """
     listed = ids.select("source_id").distinct()
-    texts = filters.with_text_key(filters.in_start_range(docs, start, end)).select(
+    texts = filters.with_text_key(filters.in_start_range(docs, start, end_exclusive)).select(
         "doc_id", "key", "content"
     )
     pairs = joins.phrase_pairs(listed, texts, marker, max_rows)
@@ -106,15 +107,16 @@ def run_source_lookup(
     """
     spark = ids.sparkSession
     ledger = f"{path}.runs"
-    # One row per earlier run of this job.
-    runs = [int(r.unit) for r in read_ledger(spark, ledger, JOB, "runs").collect()]
-    before = read_outcomes(spark, path, OUTCOMES).where(F.col("run").isin(*runs))
-    done = completed_ids(before, "source_id")
-    pending = ordering.limit_inputs(ids, done, "source_id", limit)
-    run = next_run(spark, path, OUTCOMES)
-    append_outcomes(lookup_sources(pending, docs, stage, entity, **options), path, run)
+
+    def recorded() -> DataFrame:
+        runs = read_ledger(spark, ledger, JOB, "runs").select(F.col("unit").cast("bigint").alias("run"))
+        return read_outcomes(spark, path, OUTCOMES).join(runs, "run", "left_semi")
+
+    done = completed_ids(recorded(), "source_id")
+    pending = materialize(ordering.limit_inputs(ids, done, "source_id", limit), "pending-ids")
+    run = append_outcomes(lookup_sources(pending, docs, stage, entity, **options), path)
     mark_done(spark.createDataFrame([(str(run),)], "unit string"), ledger, JOB, "runs")
-    return read_outcomes(spark, path, OUTCOMES).where(F.col("run").isin(*runs, run))
+    return recorded()
 
 
 def lookup_report(outcomes: DataFrame) -> DataFrame:

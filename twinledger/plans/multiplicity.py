@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from twinledger.functions import SOURCE_MARKER, classify
 from twinledger.operators import aggregates, filters, joins, ordering
 from twinledger.operators.lists import NARROW_ROWS, narrow
+from twinledger.session import materialize
 from twinledger.sources import append_outcomes, done_keys, read_outcomes
-from twinledger.sources.ledger import next_run
 
 SOURCE_OUTCOMES = T.StructType(
     [T.StructField("source_id", T.StringType()), T.StructField("n", T.LongType())]
@@ -23,17 +23,18 @@ KEY_OUTCOMES = T.StructType(
 def source_multiplicity(
     ids: DataFrame,
     docs: DataFrame,
-    archived_from=filters.ARCHIVED_RANGE[0],
-    archived_to=filters.ARCHIVED_RANGE[1],
+    archived_from=None,
+    archived_before=None,
     marker: str = SOURCE_MARKER,
     max_rows: int = NARROW_ROWS,
 ) -> DataFrame:
     """source_id, n, outcome (zero, unique, duplicate) for every listed id.
 
-    All texts are searched once for all ids. Documents are counted per id before
+    All documents count unless `archived_from` or `archived_before` bounds their
+    archiving time. All texts are searched once for all ids. Documents are counted per id before
     the join, so an id named in most texts crosses the shuffle as a few rows.
     """
-    dated = filters.in_archived_range(docs, archived_from, archived_to).select("content")
+    dated = filters.in_archived_range(docs, archived_from, archived_before).select("content")
     pairs = narrow(joins.source_pairs(dated, marker), ids, ["source_id"], max_rows)
     counts = aggregates.count_by_source(pairs)
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
@@ -59,9 +60,8 @@ def run_source_multiplicity(
     spark = ids.sparkSession
     before = read_outcomes(spark, path, SOURCE_OUTCOMES)
     done = done_keys(before, "source_id", ["zero", "unique", "duplicate"])
-    pending = ordering.limit_inputs(ids, done, "source_id", limit)
-    run = next_run(spark, path, SOURCE_OUTCOMES)
-    append_outcomes(source_multiplicity(pending, docs, **options), path, run)
+    pending = materialize(ordering.limit_inputs(ids, done, "source_id", limit), "pending-ids")
+    append_outcomes(source_multiplicity(pending, docs, **options), path)
     return read_outcomes(spark, path, SOURCE_OUTCOMES)
 
 
@@ -72,7 +72,7 @@ def run_key_multiplicity(
     spark = keys.sparkSession
     before = read_outcomes(spark, path, KEY_OUTCOMES)
     pending = ordering.limit_inputs(keys, done_keys(before, "key", ["counted"]), "key", limit)
-    run = next_run(spark, path, KEY_OUTCOMES)
+    pending = materialize(pending, "pending-keys")
     counted = key_multiplicity(pending, docs, **options).withColumn("outcome", F.lit("counted"))
-    append_outcomes(counted, path, run)
+    append_outcomes(counted, path)
     return read_outcomes(spark, path, KEY_OUTCOMES)

@@ -1,10 +1,11 @@
 """Where in time do the two copies differ, and by which keys?
 
 Both copies of one entity are reduced to one narrow table with a row per
-(second, key) and side markers, in a single shuffle. Every level of the
-drill-down then reads that table: month, day, hour, minute, second. A level
-looks only below buckets whose counts differ, so there are at most five rounds,
-whatever the number of differing buckets.
+(second, key) and side markers: one shuffle combines them, one more gathers the
+months in files. Every level of the drill-down then reads that table: month, day,
+hour, minute, second. A level looks only below buckets that differ, so there are
+at most five rounds, whatever the number of differing buckets. Buckets differ by
+their counts, or by their keys where equal counts hide other keys.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ INDEX_SIDE = "ES_ONLY"
 LAKE_SIDE = "ATHENA_ONLY"
 
 LEFT_METRICS = ("docs", "distinct")
+COMPARE = ("keys", "counts")
 
 
 @dataclass(frozen=True)
@@ -109,16 +111,19 @@ def reconcile(
     left_metric: str = "docs",
     marker: str = ENTITY_MARKER,
     sides: tuple[str, str] = (INDEX_SIDE, LAKE_SIDE),
+    compare: str = "keys",
 ) -> Reconciliation:
-    """Drill from months to seconds where counts differ; list one-sided keys.
+    """Drill from months to seconds where the copies differ; list one-sided keys.
 
     The index side counts documents (`left_metric="docs"`) or distinct keys
-    ("distinct"); the lake side counts distinct keys. Buckets with equal counts
-    are not opened, so equally many different keys on both sides go unnoticed:
-    `reconcile_exact` finds those too.
+    ("distinct"); the lake side counts distinct keys. With `compare="keys"` a
+    bucket also differs if one side holds a key that the other lacks, so none
+    goes unnoticed. With "counts" buckets of equal counts are not opened.
     """
     if left_metric not in LEFT_METRICS:
         raise ValueError(f"left_metric {left_metric!r} is none of {LEFT_METRICS}")
+    if compare not in COMPARE:
+        raise ValueError(f"compare {compare!r} is none of {COMPARE}")
     narrow_rows = _combined(docs, stage, entity, years, marker).withColumn(
         "month", year_month(F.col("second"))
     )
@@ -126,39 +131,42 @@ def reconcile(
     second, held = F.col("second"), F.col("key").isNotNull()
 
     rows = table
-    fronts: list[tuple[str, DataFrame]] = []
+    fronts: list[tuple[str, DataFrame, list[str]]] = []
     for level in LEVELS:
         lake = F.col("lake_any") if level == "month" else F.col("lake_exact")
         left = F.sum("docs") if left_metric == "docs" else F.count_if(held & (F.col("docs") > 0))
+        # Rows are by key here, so whether the sets of keys differ needs no fingerprint.
+        one_sided = held & ((F.col("docs") > 0) != F.col("lake_exact"))
+        others = F.bool_or(one_sided) if compare == "keys" else F.lit(False)
         counts = (
             _by_key(rows, bucket_start(level, second))
             .groupBy("bucket")
-            .agg(left.alias("left_n"), F.count_if(held & lake).alias("right_n"))
+            .agg(left.alias("left_n"), F.count_if(held & lake).alias("right_n"), others.alias("others"))
         )
         leaf = F.lit(True) if level == LEVELS[-1] else F.col("left_n") < threshold
-        front = materialize(
-            filters.mismatched(counts).withColumn("leaf", leaf), f"frontier-{level}"
-        )
-        fronts.append((level, front))
-        drill = front.where(~F.col("leaf"))
+        differing = counts.where((F.col("left_n") != F.col("right_n")) | F.col("others")).drop("others")
+        front = materialize(differing.withColumn("leaf", leaf), f"frontier-{level}")
         # At most twelve labels per requested year; they prune the table's folders.
-        months = [r.m for r in drill.select(year_month(F.col("bucket")).alias("m")).distinct().collect()]
-        if not months:
+        found = front.select(year_month(F.col("bucket")).alias("m"), "leaf").distinct().collect()
+        leaf_months, drill_months = ([r.m for r in found if r.leaf is kind] for kind in (True, False))
+        fronts.append((level, front, leaf_months))
+        if not drill_months:
             break
-        rows = joins.under_frontier(table.where(F.col("month").isin(*months)), second, drill, level)
+        below = table.where(F.col("month").isin(*drill_months))
+        rows = joins.under_frontier(below, second, front.where(~F.col("leaf")), level)
 
     outstanding = [
         _one_sided(
             _by_key(
-                joins.under_frontier(table, second, front.where("leaf"), level),
+                joins.under_frontier(table.where(F.col("month").isin(*months)), second, front.where("leaf"), level),
                 bucket_start(level, second),
             ),
             level,
             sides,
         )
-        for level, front in fronts
+        for level, front, months in fronts
     ]
-    mismatches = [front.select(F.lit(level).alias("level"), "*") for level, front in fronts]
+    mismatches = [front.select(F.lit(level).alias("level"), "*") for level, front, _ in fronts]
     return Reconciliation(
         reduce(DataFrame.unionByName, outstanding), reduce(DataFrame.unionByName, mismatches)
     )

@@ -14,7 +14,7 @@ from twinledger.operators import joins, ordering, windows
 from twinledger.operators.lists import NARROW_ROWS
 from twinledger.session import materialize
 from twinledger.sources import append_outcomes, done_keys, read_outcomes
-from twinledger.sources.ledger import BATCH_FEED, next_run
+from twinledger.sources.ledger import BATCH_FEED
 
 # Takes the comma-joined keys of one batch; returns (HTTP status, body).
 Sender = Callable[[str], tuple[int, str]]
@@ -80,8 +80,7 @@ def deliver(
         .mapInPandas(send, _ANSWERS)
     )
     ok = is_submitted(F.col("status"), F.col("body"))
-    # The shown part of a body is bounded; the keys of the batch are all kept.
-    shown = F.concat(F.lit("HTTP "), F.col("status"), F.lit(": "), F.left(safe_error(F.col("body")), F.lit(200)))
+    shown = F.concat(F.lit("HTTP "), F.col("status"), F.lit(": "), safe_error(F.col("body")))
     return answers.select(
         F.explode("keys").alias("key"),
         "batch",
@@ -99,28 +98,26 @@ def replay(
     batch_size: int = BATCH_SIZE,
     concurrency: int = 20,
     limit: int | None = None,
-    run: int | None = None,
     feed: str = BATCH_FEED,
     max_rows: int = NARROW_ROWS,
+    wave_batches: int | None = None,
+    part_rows: int = windows.PART_ROWS,
 ) -> DataFrame:
     """Skip keys done before, check the rest against the index, deliver missing.
 
     Outcomes (`skipped`, `submitted`, `failed`) are appended to the table at
     `path`, which is also the resume ledger: failed keys are tried again next
-    time. Returns this run's outcomes, read back from the table, so using them
-    never sends anything twice.
+    time. Skipped keys are recorded first; then about `wave_batches` batches at a
+    time (ten for each in flight, if not given) are delivered and recorded, so a
+    call that dies loses the record of one such wave and no more. Returns this
+    run's outcomes, read back from the table, so using them never sends anything
+    twice.
     """
     spark = keys.sparkSession
-    before = read_outcomes(spark, path, OUTCOMES)
-    if run is None:
-        run = next_run(spark, path, OUTCOMES)
-    this_run = (F.col("feed") == feed) & (F.col("run") == run)
-    earlier = before.where(~this_run)
-    pending = ordering.limit_inputs(keys, done_keys(earlier, "key", DONE), "key", limit)
+    earlier = done_keys(read_outcomes(spark, path, OUTCOMES), "key", DONE)
+    # Stored, as the check reads it several times.
+    pending = materialize(ordering.limit_inputs(keys, earlier, "key", limit), "replay-pending")
     checked = materialize(split_listed(pending, docs, max_rows), "replay-checked")
-
-    missing = checked.where(~F.col("present")).select("key")
-    payloads = windows.batch_payloads(windows.make_batches(missing, batch_size))
     nothing = F.lit(None).cast("string")
     skipped = checked.where("present").select(
         "key",
@@ -129,5 +126,14 @@ def replay(
         nothing.alias("error"),
         F.lit("skipped").alias("outcome"),
     )
-    append_outcomes(skipped.unionByName(deliver(payloads, sender, concurrency)), path, run, feed)
-    return read_outcomes(spark, path, OUTCOMES).where(this_run)
+    run = append_outcomes(skipped, path, feed=feed)
+
+    missing = checked.where(~F.col("present")).select("key")
+    payloads = windows.batch_payloads(windows.make_batches(missing, batch_size, part_rows))
+    batches = materialize(payloads, "replay-batches")
+    waves = max(1, -(-batches.count() // (wave_batches or 10 * concurrency)))
+    wave = F.pmod(F.xxhash64("batch"), F.lit(waves)).cast("int")
+    for i in range(waves):
+        answered = deliver(batches.where(wave == i), sender, concurrency)
+        append_outcomes(answered, path, run, feed, part=i + 1)
+    return read_outcomes(spark, path, OUTCOMES).where((F.col("feed") == feed) & (F.col("run") == run))

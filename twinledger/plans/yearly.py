@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.functions import year_bucket_values
+from twinledger.functions import year_bucket_label, year_bucket_values
+from twinledger.functions.calendar import OTHER_BUCKET
 from twinledger.operators import aggregates, filters
 from twinledger.sources import mark_done, params_hash, read_ledger
 from twinledger.sources.ledger import read_if_present
@@ -19,11 +20,18 @@ def year_counts(
 ) -> DataFrame:
     """bucket, year, {field}_count for all requested buckets in one plan.
 
-    The literal list of quadrimester values prunes partitions; one aggregation
-    serves all buckets, since a quadrimester value belongs to exactly one.
+    Without labels every bucket present is counted, `other` for quadrimester
+    values that belong to none. With labels a filter on the quadrimester alone
+    prunes partitions; one aggregation serves all buckets, since a quadrimester
+    value belongs to exactly one.
     """
-    values = [q for group in year_bucket_values(labels).values() for q in group]
-    rows = filters.by_quadrimesters(filters.by_entity(stage, entity), values)
+    rows = filters.by_entity(stage, entity)
+    if labels is not None:
+        buckets = year_bucket_values(labels)
+        wanted = F.col("quadrimester").isin(*(q for group in buckets.values() for q in group))
+        if OTHER_BUCKET in buckets:
+            wanted = F.coalesce(wanted, F.lit(False)) | (year_bucket_label(F.col("quadrimester")) == OTHER_BUCKET)
+        rows = rows.where(wanted)
     return aggregates.distinct_by_bucket_year(rows, field)
 
 
@@ -43,6 +51,10 @@ def run_year_counts(
     spark = stage.sparkSession
     params = params_hash(entity=entity, field=field)
     out = f"{root}/{JOB}/params={params}"
+    if labels is None:
+        # At most a label per 4-digit year, and the special ones.
+        present = filters.by_entity(stage, entity).select(year_bucket_label(F.col("quadrimester")).alias("b"))
+        labels = sorted(row.b for row in present.distinct().collect())
     requested = year_bucket_values(labels)
     # At most one ledger row per requested label comes back.
     done = read_ledger(spark, root, JOB, params).where(F.col("unit").isin(*requested))
@@ -55,3 +67,8 @@ def run_year_counts(
         mark_done(spark.createDataFrame([(p,) for p in pending], "unit string"), root, JOB, params)
     columns = f"year int, {field}_count bigint, bucket string"
     return read_if_present(spark, out, T.StructType.fromDDL(columns))
+
+
+def year_counts_report(counts: DataFrame, bucket: str, field: str = "key") -> DataFrame:
+    """One bucket's rows under the report's column names, by year."""
+    return counts.where(F.col("bucket") == bucket).select("year", f"{field}_count").orderBy(F.col("year").asc_nulls_last())

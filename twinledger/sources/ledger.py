@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import secrets
+import time
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -55,21 +57,34 @@ def mark_done(units: DataFrame, root: str, job: str, params: str) -> None:
     ).write.mode("append").partitionBy("job", "params").parquet(f"{root}/ledger")
 
 
-def append_outcomes(outcomes: DataFrame, path: str, run: int, feed: str = BATCH_FEED) -> None:
-    """Write one run's outcomes, replacing what an interrupted try of it left.
+def new_run() -> int:
+    """A run number that no other call gets, later ones higher: microseconds and chance."""
+    return time.time_ns() // 1_000 * 1_000 + secrets.randbelow(1_000)
 
-    Rows go to feed=F/run=N/outcome=...; the run folder is overwritten as a
-    whole, so repeating a run (a restarted streaming batch, say) leaves no
-    doubles. Feeds number their runs independently.
+
+def append_outcomes(
+    outcomes: DataFrame, path: str, run: int | None = None, feed: str = BATCH_FEED, part: int = 0
+) -> int:
+    """Write outcomes of a run (a new one unless given) and return its number.
+
+    Rows go to feed=F/run=N/part=P/outcome=...; a folder that exists is refused,
+    so two calls on one path never replace each other's rows.
     """
-    outcomes.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "outcome"
-    ).parquet(f"{path}/feed={feed}/run={run}")
+    run = new_run() if run is None else run
+    outcomes.write.mode("errorifexists").partitionBy("outcome").parquet(
+        f"{path}/feed={feed}/run={run}/part={part}"
+    )
+    return run
 
 
 def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All runs of an outcome table, with columns `feed`, `run` and `outcome`."""
-    place = [("feed", T.StringType()), ("run", T.LongType()), ("outcome", T.StringType())]
+    """All runs of an outcome table, with columns `feed`, `run`, `part` and `outcome`."""
+    place = [
+        ("feed", T.StringType()),
+        ("run", T.LongType()),
+        ("part", T.IntegerType()),
+        ("outcome", T.StringType()),
+    ]
     names = {name for name, _ in place}
     full = T.StructType(
         [f for f in schema.fields if f.name not in names]
@@ -78,13 +93,6 @@ def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return read_if_present(spark, path, full)
 
 
-def next_run(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    """One more than the highest batch run present (both are partition columns)."""
-    runs = read_outcomes(spark, path, schema).where(F.col("feed") == BATCH_FEED)
-    top = runs.agg(F.max("run")).first()[0]
-    return 0 if top is None else top + 1
-
-
 def done_keys(outcomes: DataFrame, on: str, done: list[str]) -> DataFrame:
     """Values with a finished outcome in any run."""
     return outcomes.where(F.col("outcome").isin(*done)).select(on).distinct()

@@ -13,8 +13,6 @@ KEY_HEADERS = ("_col0", "key", "s3_key", "s3key", "s3 key")
 KEY_COUNT_HEADERS = (*KEY_HEADERS, "keys")
 ID_HEADERS = ("source_id", "sourceid")
 
-_POSITION = ("src_file", "src_block", "src_line")
-
 
 def locate_lines(scan: DataFrame) -> DataFrame:
     """Lines of a text scan with their file and the start of their file split."""
@@ -30,7 +28,8 @@ def parse_list(lines: DataFrame, column: str, headers: tuple[str, ...]) -> DataF
 
     A line's place is (file, start of its file split, number of the line in the
     scan task), so no window and no single task ever sees a whole file; the
-    first line of each file comes from a minimum combined on the map side.
+    first line of each file comes from a minimum combined on the map side. Only
+    lines that read like a header are compared with it.
     """
     placed = (
         lines.select(
@@ -44,11 +43,10 @@ def parse_list(lines: DataFrame, column: str, headers: tuple[str, ...]) -> DataF
         .drop("blank")
     )
     place = F.struct("src_block", "src_line")
-    first = placed.groupBy("src_file").agg(F.min(F.struct(place.alias("at"), F.col(column))).alias("m"))
-    header = first.where(F.lower(F.col(f"m.{column}")).isin(*headers)).select(
-        "src_file", F.col("m.at.src_block").alias("src_block"), F.col("m.at.src_line").alias("src_line")
-    )
-    return placed.join(header, list(_POSITION), "left_anti").where(F.col(column) != "")
+    first = placed.groupBy("src_file").agg(F.min(place).alias("at"))
+    like_header = F.lower(F.col(column)).isin(*headers)
+    later = placed.where(like_header).join(first, "src_file").where(place != F.col("at"))
+    return placed.where(~like_header & (F.col(column) != "")).unionByName(later.select(*placed.columns))
 
 
 def read_key_list(

@@ -50,6 +50,13 @@ def write_flat(df: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system and from its root, as tables record it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(place).toString().rstrip("/")
+
+
 def create_dedup_table(spark: SparkSession, table: str, path: str) -> None:
     """External partitioned table over `path`, if absent.
 
@@ -59,7 +66,7 @@ def create_dedup_table(spark: SparkSession, table: str, path: str) -> None:
     if spark.catalog.tableExists(table):
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
         found = described.where(F.col("col_name") == "Location").first().data_type
-        if not found.rstrip("/").endswith(path.rstrip("/")):
+        if _qualified(spark, found) != _qualified(spark, path):
             raise ValueError(f"table {table} exists over {found}, not {path}")
         return
     columns = ", ".join(f"{c} STRING" for c in schemas.DEDUP.fieldNames())
@@ -86,14 +93,20 @@ def write_routed(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("outcome").parquet(path)
 
 
+def _run_columns(outcomes: DataFrame) -> list[str]:
+    return [c for c in ("feed", "run") if c in outcomes.columns]
+
+
 def failed_batches(outcomes: DataFrame) -> DataFrame:
     """Failed work, one row per batch: stage, size, error, ;-joined keys.
 
-    Groups are batches, which `make_batches` bounds to its batch size.
+    Batch names repeat from run to run, so rows of stored outcomes are told apart
+    by `feed` and `run` too. Groups are batches, which `make_batches` bounds to
+    its batch size.
     """
     return (
         outcomes.where(F.col("outcome") == "failed")
-        .groupBy("stage", "batch")
+        .groupBy(*_run_columns(outcomes), "stage", "batch")
         .agg(
             F.count("*").alias("batch_size"),
             safe_error(F.max("error")).alias("error_message"),
@@ -106,5 +119,6 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     """Rows per outcome, and batches where the outcomes name them."""
     counts = [F.count("*").alias("n")]
     if "batch" in outcomes.columns:
-        counts.append(F.count_distinct("batch").alias("batches"))
+        names = F.when(F.col("batch").isNotNull(), F.struct(*_run_columns(outcomes), "batch"))
+        counts.append(F.count_distinct(names).alias("batches"))
     return outcomes.groupBy("outcome").agg(*counts)

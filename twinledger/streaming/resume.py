@@ -21,15 +21,15 @@ def replay_new_files(
     """Replay the keys of every file not seen before, then stop.
 
     The stream's checkpoint remembers files; the outcome table remembers keys.
-    A micro-batch writes its outcomes under the stream's id and its own number,
-    so a repeated one replaces what it wrote before and nothing else.
+    Outcomes are written under the stream's id. A repeated micro-batch skips the
+    keys that its earlier try has recorded and does the rest.
     """
 
     def handle(lines: DataFrame, batch_id: int) -> None:
         keys = parse_list(lines, "key", KEY_HEADERS)
         # The id is kept in the checkpoint, so it is the same after a restart.
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        replay(keys, docs, path, sender, run=batch_id, feed=f"stream-{stream_id}", **options)
+        replay(keys, docs, path, sender, feed=f"stream-{stream_id}", **options)
 
     return (
         locate_lines(spark.readStream.text(input_dir))
