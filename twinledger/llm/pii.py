@@ -192,24 +192,34 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     if terms.count() <= TERMS_SENT:
         sent = spark.sparkContext.broadcast(np.sort(terms.toArrow().column("term").to_numpy().view(np.uint64)))
 
+    def found_in(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a block and the number of its texts that have each."""
+        found = words(*text_bytes(part.column("text")))
+        text = np.repeat(np.arange(part.num_rows), np.diff(found.first))
+        hashes = found.hashes
+        if sent is not None:
+            if not len(sent.value):
+                return hashes[:0], text[:0]
+            place = np.minimum(np.searchsorted(sent.value, hashes), len(sent.value) - 1)
+            hit = sent.value[place] == hashes
+            hashes, text = hashes[hit], text[hit]
+        order = np.lexsort((text, hashes))
+        hashes, text = hashes[order], text[order]
+        first = np.ones(len(hashes), dtype=bool)
+        first[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+        return np.unique(hashes[first], return_counts=True)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0 if sent is None else len(sent.value), dtype=np.int64)
         for part in blocks(batches, "text"):
-            found = words(*text_bytes(part.column("text")))
-            text = np.repeat(np.arange(part.num_rows), np.diff(found.first))
-            hashes = found.hashes
+            term, n = found_in(part)
             if sent is not None:
-                wanted = sent.value
-                if not len(wanted):
-                    continue
-                place = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
-                hit = wanted[place] == hashes
-                hashes, text = hashes[hit], text[hit]
-            order = np.lexsort((text, hashes))
-            hashes, text = hashes[order], text[order]
-            first = np.ones(len(hashes), dtype=bool)
-            first[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-            term, n = np.unique(hashes[first], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(term)), pa.array(n)], ["term", "n"])
+                total[np.searchsorted(sent.value, term)] += n
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(signed(term)), pa.array(n)], ["term", "n"])
+        used = np.flatnonzero(total)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(sent.value[used])), pa.array(total[used])], ["term", "n"])
 
     counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return counted if sent is not None else counted.join(terms, "term", "left_semi")
