@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from twinledger.operators import aggregates
-from twinledger.plans import mistagged_rows, reconcile, reconcile_exact, undated_rows
+from twinledger.plans import mistagged_rows, reconcile, reconcile_exact, reconciliation, run_reconcile, undated_rows
 
 LEVELS = [("month", 7), ("day", 10), ("hour", 13), ("minute", 16), ("second", 19)]
 
@@ -167,3 +167,27 @@ def test_unknown_metric_is_refused(spark):
 def test_unknown_comparison_is_refused(spark):
     with pytest.raises(ValueError):
         reconcile(*frames(spark, [], []), ENTITY, [2020], compare="rows")
+
+
+def test_run_stores_years_and_a_failing_one_does_not_stop_the_rest(spark, tmp_path, monkeypatch):
+    index, lake = random_copies(7)
+    copies, years = frames(spark, index, lake), [2019, 2020, 2021]
+    whole = rows(reconcile(*copies, ENTITY, years).outstanding)
+    asked, real = [], reconciliation.reconcile
+
+    def once_broken(docs_, stage_, entity, wanted, **options):
+        asked.append(wanted[0])
+        if wanted == [2020] and asked.count(2020) == 1:
+            raise RuntimeError("no disk")
+        return real(docs_, stage_, entity, wanted, **options)
+
+    monkeypatch.setattr(reconciliation, "reconcile", once_broken)
+    found, outcomes = run_reconcile(*copies, ENTITY, years, str(tmp_path))
+    assert {r.year: r.outcome for r in outcomes.collect()} == {2019: "done", 2020: "failed", 2021: "done"}
+    assert "no disk" in outcomes.where("year = 2020").first().error
+    assert not found.where("year = '2020'").count()
+    found, outcomes = run_reconcile(*copies, ENTITY, years, str(tmp_path))
+    assert {r.outcome for r in outcomes.collect()} == {"done"} and asked == [2019, 2020, 2021, 2020]
+    assert rows(found.drop("year")) == whole
+    other, _ = run_reconcile(*copies, ENTITY, [2019], str(tmp_path), left_metric="distinct")
+    assert asked[-1] == 2019 and other.count() >= 0

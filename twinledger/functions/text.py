@@ -46,7 +46,8 @@ def classify(n: Column) -> Column:
 
 
 def marker_pattern(marker: str) -> str:
-    return re.escape(marker) + r":\s*(\S+)"
+    """Not part of a longer name, and with its value on the same line."""
+    return r"(?:^|[^A-Za-z0-9_-])" + re.escape(marker) + r":[ \t]*(\S+)"
 
 
 def extract_marker(content: Column, marker: str = SOURCE_MARKER) -> Column:

@@ -11,6 +11,7 @@ from twinledger.plans.reconciliation import (
     mistagged_rows,
     reconcile,
     reconcile_exact,
+    run_reconcile,
     undated_rows,
 )
 from twinledger.plans.replaying import deliver, replay, split_listed
@@ -31,6 +32,7 @@ __all__ = [
     "reconcile_exact",
     "replay",
     "run_key_multiplicity",
+    "run_reconcile",
     "run_source_lookup",
     "run_source_multiplicity",
     "run_year_counts",

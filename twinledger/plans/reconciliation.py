@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinledger.functions import (
     ENTITY_MARKER,
@@ -29,6 +30,8 @@ from twinledger.functions import (
 from twinledger.functions.calendar import SPECIAL_BUCKETS
 from twinledger.operators import filters, joins
 from twinledger.session import materialize
+from twinledger.sources import mark_done, params_hash, read_ledger
+from twinledger.sources.ledger import read_if_present
 
 # A differing bucket with fewer index documents than this is compared by key.
 LEAF_THRESHOLD = 10_000
@@ -37,6 +40,9 @@ LEAF_THRESHOLD = 10_000
 INDEX_SIDE = "ES_ONLY"
 LAKE_SIDE = "ATHENA_ONLY"
 
+JOB = "reconcile"
+_FOUND = "level string, window_start string, window_end_exclusive string, source string, key string"
+
 LEFT_METRICS = ("docs", "distinct")
 COMPARE = ("keys", "counts")
 
@@ -172,6 +178,40 @@ def reconcile(
     )
 
 
+def run_reconcile(
+    docs: DataFrame, stage: DataFrame, entity: str, years: list[int], root: str, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Reconcile year by year and store what is found; years done before are kept.
+
+    A year's findings replace its folder as a whole and are recorded afterwards,
+    per entity and options. A year that fails is reported and does not stop the
+    rest; the next call tries it again. Returns the findings of the years asked
+    for, and year, outcome (`done`, `failed`), error.
+    """
+    spark = docs.sparkSession
+    params = params_hash(entity=entity, **options)
+    out = f"{root}/{JOB}/params={params}"
+    asked = sorted({int(y) for y in years})
+    units = read_ledger(spark, root, JOB, params).where(F.col("unit").isin(*map(str, asked)))
+    finished = {int(row.unit) for row in units.collect()}
+    errors: dict[int, str] = {}
+    for year in asked:
+        if year in finished:
+            continue
+        try:
+            found = reconcile(docs, stage, entity, [year], **options).outstanding
+            found.write.mode("overwrite").parquet(f"{out}/year={year:04d}")
+            mark_done(spark.createDataFrame([(str(year),)], "unit string"), root, JOB, params)
+        except Exception as e:  # noqa: BLE001 - reported as the year's outcome
+            errors[year] = f"{type(e).__name__}: {e}"
+    schema = T.StructType.fromDDL(f"{_FOUND}, year string")
+    stored = read_if_present(spark, out, schema).where(
+        F.col("year").isin(*(f"{y:04d}" for y in asked if y not in errors))
+    )
+    rows = [(y, "failed" if y in errors else "done", errors.get(y)) for y in asked]
+    return stored, spark.createDataFrame(rows, "year int, outcome string, error string")
+
+
 def reconcile_exact(
     docs: DataFrame,
     stage: DataFrame,
