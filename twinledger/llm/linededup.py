@@ -25,7 +25,13 @@ from twinledger.session import materialize
 LEAST_WORDS = 5
 SIMILARITY = 0.9
 BLOCKS = 4
+#: Up to so many line keys (16 bytes each), and documents with lists of lines to drop
+#: of so many numbers in all, are sent to every task; more are matched by a shuffle.
+KEYS_SENT = 1_000_000
+DOCS_SENT, NUMBERS_SENT = 200_000, 4_000_000
 _WORDS_AT_ONCE = 1 << 16
+# The bits of a byte, highest first, as the bytes of a number, lowest first.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
 
 
 class Lines:
@@ -64,19 +70,23 @@ class Lines:
         return mix(self.sums(one)), mix(self.sums(mix(one + np.uint64(7))))
 
     def simhashes(self) -> np.ndarray:
-        """Four 32-bit blocks per line."""
+        """Four 32-bit blocks per line: each bit is that of most of its words."""
         halves = np.stack([mix(self.words + np.uint64(11)), mix(self.words ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
+        octets = halves.view(np.uint8)
         out = np.zeros((len(self.size), 16), dtype=np.uint8)
-        i = 0
-        reach = np.cumsum(self.size)
+        reach, i = np.cumsum(self.size), 0
         while i < len(self.size):
             j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + _WORDS_AT_ONCE, side="right")))
-            low, high = int(self.first[i]), int(self.first[j - 1] + self.size[j - 1])
-            bits = np.unpackbits(halves[low:high].view(np.uint8), axis=1)
-            edges = np.stack([self.first[i:j], self.first[i:j] + self.size[i:j]], axis=1).ravel() - low
-            # reduceat takes no index at the end: the last line's end is left off.
-            ones = np.add.reduceat(bits, edges[:-1], axis=0, dtype=np.int32)[::2]
-            out[i:j] = np.packbits(2 * ones > self.size[i:j, None], axis=1)
+            size, first = self.size[i:j], self.first[i:j]
+            begin = np.cumsum(size) - size
+            at = np.repeat(first - begin, size) + np.arange(int(size.sum()))
+            # Eight bits are counted at once, in the bytes of one number: for up to 255 words.
+            runs = -(-size // 255)
+            begin_run = np.cumsum(runs) - runs
+            within = np.arange(int(runs.sum())) - np.repeat(begin_run, runs)
+            counts = np.add.reduceat(_SPREAD[octets[at]], np.repeat(begin, runs) + 255 * within, axis=0)
+            ones = np.add.reduceat(counts.view(np.uint8).astype(np.int32), begin_run, axis=0)
+            out[i:j] = np.packbits(2 * ones > size[:, None], axis=1)
             i = j
         return out.view("<u4")
 
@@ -103,20 +113,15 @@ def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word hashes of every line, under the line's key."""
+    """The words of every line, as 32 bits each, under the line's key."""
     for part in blocks(batches, "text"):
         lines = Lines(part.column("text"))
         one, two = lines.keys()
-        rows = [lines.words[f : f + n].tobytes() for f, n in zip(lines.first.tolist(), lines.size.tolist())]
+        short = (lines.words >> np.uint64(32)).astype(np.uint32)
+        rows = [short[f : f + n].tobytes() for f, n in zip(lines.first.tolist(), lines.size.tolist())]
         yield pa.RecordBatch.from_arrays(
-            [
-                part.column("doc_id").take(pa.array(lines.text)),
-                pa.array(lines.number.astype(np.int32)),
-                pa.array(signed(one)),
-                pa.array(signed(two)),
-                pa.array(rows, pa.binary()),
-            ],
-            ["doc_id", "line", "k0", "k1", "labels"],
+            [pa.array(signed(one)), pa.array(signed(two)), pa.array(rows, pa.binary())],
+            ["k0", "k1", "labels"],
         )
 
 
@@ -149,6 +154,7 @@ def edit_similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 def _numbered(sequence: np.ndarray) -> np.ndarray:
     """Words told apart by how often they have occurred before."""
+    sequence = sequence.astype(np.uint64)
     seen = runs_of(sequence, np.zeros(len(sequence), dtype=np.int64)).astype(np.uint64)
     return mix(sequence + seen * np.uint64(0x9E3779B97F4A7C15))
 
@@ -158,6 +164,7 @@ LINK = Similarity(
     labels=_numbered,
     slack=1 - SIMILARITY,
     size_ratio=SIMILARITY / (2 - SIMILARITY),
+    width=np.uint32,
 )
 
 
@@ -186,17 +193,17 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     distinct = materialize(by_line.select(F.monotonically_increasing_id().alias("id"), "*"), "distinct-lines")
 
     def features(wanted: DataFrame) -> DataFrame:
+        # Equal keys are equal words: any occurrence will do, and the first one's document has it.
         listed = materialize(
-            distinct.join(wanted, "id", "left_semi").select(
-                "id", "k0", "k1", F.col("first.doc_id").alias("one"), F.col("first.line").alias("at")
-            ),
+            distinct.join(wanted, "id", "left_semi").select("id", "k0", "k1", F.col("first.doc_id").alias("doc_id")),
             "listed-lines",
         )
-        texts = narrow(known, listed.select(F.col("one").alias("doc_id")).distinct(), ["doc_id"])
-        schema = T.StructType([id_field, place[1], *longs[:2], T.StructField("labels", T.BinaryType())])
-        found = narrow(texts.select("doc_id", "text").mapInArrow(_read_words, schema), listed.select("k0", "k1"), ["k0", "k1"])
-        found = found.join(listed, ["k0", "k1"]).where(F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("line") == F.col("at")))
-        return found.select("id", "labels").dropDuplicates(["id"])
+        texts = known.select("doc_id", "text").where("doc_id is null").union(
+            narrow(known.select("doc_id", "text").where("doc_id is not null"), listed.select("doc_id").distinct(), ["doc_id"])
+        )
+        found = texts.mapInArrow(_read_words, "k0 long, k1 long, labels binary")
+        found = narrow(found, listed.select("k0", "k1"), ["k0", "k1"], KEYS_SENT).dropDuplicates(["k0", "k1"])
+        return found.join(listed, ["k0", "k1"]).select("id", "labels")
 
     keys = F.array(*(F.lit(b << 32).cast("bigint") + F.col(f"b{b}") for b in range(BLOCKS)))
     members = distinct.select(F.explode(keys).alias("key"), "id", "size")
@@ -235,6 +242,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     elsewhere becomes empty. The column `__removed` tells how many lines went.
     """
     dropped = materialize(repeated_lines(docs), "dropped-lines")
+    n_docs, n_lines = dropped.agg(F.count("*"), F.sum(F.size("lines"))).first()
+    if n_docs <= DOCS_SENT and (n_lines or 0) <= NUMBERS_SENT:
+        dropped = F.broadcast(dropped)
     dropped = dropped.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), F.col("lines").alias("__lines"))
     match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
     joined = docs.join(dropped, match, "left").select(

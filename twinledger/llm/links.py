@@ -54,17 +54,23 @@ class Similarity:
     labels: Callable[[np.ndarray], np.ndarray]
     slack: float
     size_ratio: float
+    width: type = np.uint64
+
+    def _sequences(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        left, right = batch.column("left"), batch.column("right")
+        for i in range(batch.num_rows):
+            yield np.frombuffer(left[i].as_buffer(), self.width), np.frombuffer(right[i].as_buffer(), self.width)
 
     def verify(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [self.similar(a, b) for a, b in _sequences(batch)]
+            kept = [self.similar(a, b) for a, b in self._sequences(batch)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     def differences(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What each item has that its centre lacks, as far as a partner must share it."""
         for batch in batches:
             sizes, reach, floors, fresh = [], [], [], []
-            for centre, item in _sequences(batch):
+            for centre, item in self._sequences(batch):
                 b, r = self.labels(centre), self.labels(item)
                 new = np.setdiff1d(r, b, assume_unique=True)
                 away = 2 * len(new) + len(b) - len(r)
@@ -90,12 +96,6 @@ class Similarity:
             )
 
 
-def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    left, right = batch.column("left"), batch.column("right")
-    for i in range(batch.num_rows):
-        yield np.frombuffer(left[i].as_buffer(), dtype=np.uint64), np.frombuffer(right[i].as_buffer(), dtype=np.uint64)
-
-
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id with a link (a, b): root is the lowest id of its component.
 
@@ -142,7 +142,7 @@ def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> D
 
     `members`: key, id, size (all long), one row per bucket and item; it is read
     more than once, so it should come from a stored table. `features` maps ids
-    (column `id`) to (id, labels): the item's sequence as 64-bit numbers.
+    (column `id`) to (id, labels): the item's sequence as numbers of `spec.width`.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(members.join(materialize(sizes, "shared-buckets"), "key"), "bucket-members")
