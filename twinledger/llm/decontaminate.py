@@ -37,6 +37,10 @@ PARAPHRASE = 0.55
 ANSWER_SHARE = 4
 #: Benchmark text handled at a time. A larger benchmark is searched block by block.
 BLOCK_BYTES = 2 << 20
+#: Words in more than one of so many runs of text hardly tell items apart and stay out
+#: of the vectors, unless an item has fewer than LEAST_TERMS others.
+COMMON = 16
+LEAST_TERMS = 8
 _SLICE_TERMS = 4096
 _FOLDS = 64
 
@@ -58,9 +62,24 @@ class Benchmark:
         found = words(*text_bytes(pa.array(texts, pa.string())))
         items = [found.hashes[s:e] for s, e in zip(found.first[:-1], found.first[1:])]
         vocabulary = np.unique(found.hashes)
+        return cls(items, vocabulary, cls._prefixes(vocabulary))
+
+    @staticmethod
+    def _prefixes(vocabulary: np.ndarray) -> np.ndarray:
         present = np.zeros(1 << 20, dtype=bool)
         present[vocabulary >> np.uint64(44)] = True
-        return cls(items, vocabulary, present)
+        return present
+
+    def weigh(self, df: np.ndarray, runs: int) -> None:
+        """Weights by how many runs of the corpus hold a word; common words are left out."""
+        rare = df * COMMON <= runs
+        for item in self.items:
+            terms = np.searchsorted(self.vocabulary, np.unique(item))
+            if rare[terms].sum() < LEAST_TERMS:
+                rare[terms[np.argsort(df[terms], kind="stable")[:LEAST_TERMS]]] = True
+        self.vocabulary, df = self.vocabulary[rare], df[rare]
+        self.present = self._prefixes(self.vocabulary)
+        self.weights = np.square(np.log1p(max(runs, 1) / np.maximum(df, 1))).astype(np.float32)
 
     def terms(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """Words of the vocabulary: their places among all words, and their numbers."""
@@ -275,7 +294,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
             continue
         bench.items = [bench.items[i] for i in full]
         df, n = _passage_counts(known, bench)
-        bench.weights = np.square(np.log1p(max(n, 1) / np.maximum(df, 1))).astype(np.float32)
+        bench.weigh(df, n)
         bench.basis = _latent_basis(known, bench, seed)
         joined = np.concatenate(bench.items)
         first = np.concatenate([[0], np.cumsum([len(x) for x in bench.items])])
