@@ -70,21 +70,28 @@ class Lines:
         return mix(self.sums(one)), mix(self.sums(mix(one + np.uint64(7))))
 
     def simhashes(self) -> np.ndarray:
-        """Four 32-bit blocks per line: each bit is that of most of its words."""
-        halves = np.stack([mix(self.words + np.uint64(11)), mix(self.words ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
-        octets = halves.view(np.uint8)
+        """Four 32-bit blocks per line: each bit is that of most of its words.
+
+        A word's later occurrences count as words of their own; else the few most
+        frequent words of a language would decide, alike in all of its long lines.
+        """
+        starts = np.cumsum(self.size) - self.size
+        owner = np.repeat(np.arange(len(self.size)), self.size)
+        held = self.words[np.arange(len(owner)) + (self.first - starts)[owner]]
+        told = mix(held + runs_of(held, owner).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        octets = np.stack([mix(told + np.uint64(11)), mix(told ^ np.uint64(0x5851F42D4C957F2D))], axis=1).view(np.uint8)
         out = np.zeros((len(self.size), 16), dtype=np.uint8)
         reach, i = np.cumsum(self.size), 0
         while i < len(self.size):
             j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + _WORDS_AT_ONCE, side="right")))
-            size, first = self.size[i:j], self.first[i:j]
+            size = self.size[i:j]
             begin = np.cumsum(size) - size
-            at = np.repeat(first - begin, size) + np.arange(int(size.sum()))
             # Eight bits are counted at once, in the bytes of one number: for up to 255 words.
             runs = -(-size // 255)
             begin_run = np.cumsum(runs) - runs
             within = np.arange(int(runs.sum())) - np.repeat(begin_run, runs)
-            counts = np.add.reduceat(_SPREAD[octets[at]], np.repeat(begin, runs) + 255 * within, axis=0)
+            part = octets[starts[i] : starts[i] + int(size.sum())]
+            counts = np.add.reduceat(_SPREAD[part], np.repeat(begin, runs) + 255 * within, axis=0)
             ones = np.add.reduceat(counts.view(np.uint8).astype(np.int32), begin_run, axis=0)
             out[i:j] = np.packbits(2 * ones > size[:, None], axis=1)
             i = j
