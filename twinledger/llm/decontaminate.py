@@ -55,6 +55,7 @@ class Benchmark:
     passages: np.ndarray | None = None
     item_of: np.ndarray | None = None
     weights: np.ndarray | None = None
+    #: A row per word: its place in the latent space, times its weight.
     basis: np.ndarray | None = None
 
     @classmethod
@@ -99,7 +100,7 @@ class Benchmark:
             # In slices: one row of floats per word would be much larger than the text.
             for i in range(0, len(edges), 4096):
                 low, high = edges[i], edges[i + 4096] if i + 4096 < len(edges) else len(at)
-                rows = self.basis[number[low:high]] * self.weights[number[low:high], None]
+                rows = self.basis[number[low:high]]
                 sums[half[edges[i : i + 4096]]] = np.add.reduceat(rows, edges[i : i + 4096] - low, axis=0)
         starts = np.flatnonzero(halves.opens)
         both = sums[starts].copy()
@@ -159,6 +160,7 @@ def _latent_basis(docs: DataFrame, bench: Benchmark, seed: int) -> np.ndarray:
     size = len(bench.vocabulary)
     rank = min(RANK, size)
     start = np.random.default_rng(seed).standard_normal((size, rank)).astype(np.float32)
+    weighted = start * bench.weights[:, None]
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -173,14 +175,15 @@ def _latent_basis(docs: DataFrame, bench: Benchmark, seed: int) -> np.ndarray:
             half = halves.of_word[at]
             weight = bench.weights[number]
             edges = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
-            rows = np.add.reduceat(start[number] * weight[:, None], edges, axis=0)
+            rows = np.add.reduceat(weighted[number], edges, axis=0)
             norm = np.add.reduceat(weight * weight, edges)
             rows /= norm[:, None]
             by_term = np.argsort(number, kind="stable")
             run = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(at))))[by_term]
             ordered = number[by_term]
             firsts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            total[ordered[firsts]] += np.add.reduceat(rows[run] * weight[by_term][:, None], firsts, axis=0)
+            sums = np.add.reduceat(rows[run], firsts, axis=0)
+            total[ordered[firsts]] += sums * bench.weights[ordered[firsts], None]
         fold = TaskContext.get().partitionId() % _FOLDS
         for i in range(0, size, _SLICE_TERMS):
             data = total[i : i + _SLICE_TERMS].astype(np.float64).tobytes()
@@ -295,7 +298,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
         bench.items = [bench.items[i] for i in full]
         df, n = _passage_counts(known, bench)
         bench.weigh(df, n)
-        bench.basis = _latent_basis(known, bench, seed)
+        bench.basis = _latent_basis(known, bench, seed) * bench.weights[:, None]
         joined = np.concatenate(bench.items)
         first = np.concatenate([[0], np.cumsum([len(x) for x in bench.items])])
         bench.passages, bench.item_of, _ = bench.vectors(Words(joined, first, first, first))
