@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     n_chars of a shortened document is that of its new text.
     """
     prepare(spark)
-    found = linededup.drop_repeated_lines(docs)
+    found = linededup.drop_repeated_lines(docs, whole=True)
     cut = F.col("__removed") > 0
     kept = found.where(~cut | (F.length(F.trim("text")) > 0))
     columns = [

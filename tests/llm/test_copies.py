@@ -188,6 +188,31 @@ def test_near_lines_that_share_a_block(spark):
     assert found == {i: expected[i] for i, _ in rows}
 
 
+def test_whole_search_finds_all_pairs_of_brute_force(spark, monkeypatch):
+    """One word in ten changed, which leaves no block of the SimHash whole; by pairs and around centres."""
+    r = np.random.default_rng(5)
+    rows = []
+    for i, n in enumerate([5, 6, 9, 10, 11, 14, 20, 21, 30, 40, 60, 100, 160, 300] * 2):
+        base = cases.prose(700 + i, n, 4000).split(" ")
+        lines = [base]
+        for k in range(3):
+            x = list(base)
+            for at in r.choice(n, n // 10, replace=False):
+                x[at] = f"new{i}a{k}b{at}"
+            lines.append(x[:at] + x[at + 1 :] if k == 2 and n > 10 else x)
+        rows.append((i, "\n".join(" ".join(x) for x in lines)))
+    where, pairs = plain_lines(rows)
+    shapes = linededup.Lines(pa.array([t for _, t in rows])).simhashes()
+    assert sum(not (shapes[a] == shapes[b]).any() for a, b in pairs) > 20
+    root = union(pairs, range(len(where)))
+    expected = Counter(where[k][0] for k in root if root[k] != k)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    for paired in (linededup.PAIRED, 1):
+        monkeypatch.setattr(linededup, "PAIRED", paired)
+        found = {x.doc_id: x["__removed"] for x in linededup.drop_repeated_lines(docs, whole=True).collect()}
+        assert found == {i: expected[i] for i, _ in rows}
+
+
 def test_blocks_guarantee_three_bits():
     """Any three flipped bits leave one of four blocks whole."""
     assert linededup.BLOCKS == 4

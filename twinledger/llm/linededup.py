@@ -4,6 +4,14 @@ A line is its sequence of words, case aside. Distinct lines get a 128-bit SimHas
 of their words, cut into four blocks of 32 bits: lines that differ in three bits
 or fewer share a block. Lines that share one are verified by edit similarity over
 words, 2 * LCS / (n + m) >= 0.9, whatever their distance in bits.
+
+Most similar lines differ in more bits. With `whole`, an exact prefix-filter join
+finds these as well: similar lines of n and m words have at least 0.45 * (n + m)
+in common, so that they share one of the n - ceil(9 / 11 * n) + 1 rarest words of
+each. Words are ordered by their hashed counts over the corpus, which decide only
+how fast the join is. Of the pairs that share such a word, those are verified whose
+parity bits (128, each flipped by every word that falls on it) differ in no more
+than (n + m) / 10 bits; more bits mean more words that only one of them has.
 """
 
 from __future__ import annotations
@@ -16,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.links import Similarity, linked_groups
+from twinledger.llm.links import Features, Similarity, components, linked_groups
 from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, signed, text_bytes, words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
@@ -29,6 +37,10 @@ BLOCKS = 4
 #: of so many numbers in all, are sent to every task; more are matched by a shuffle.
 KEYS_SENT = 1_000_000
 DOCS_SENT, NUMBERS_SENT = 200_000, 4_000_000
+#: Lines that share a rare word are paired directly up to so many, else around centres.
+PAIRED = 1024
+#: Words are counted by so many values of their hash.
+_COUNTERS = 1 << 20
 _WORDS_AT_ONCE = 1 << 16
 # The bits of a byte, highest first, as the bytes of a number, lowest first.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
@@ -69,6 +81,28 @@ class Lines:
         one = mix(self.words ^ mix(place + np.uint64(1)))
         return mix(self.sums(one)), mix(self.sums(mix(one + np.uint64(7))))
 
+    def told(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all lines, told apart by how often the line had them before, and their lines."""
+        starts = np.cumsum(self.size) - self.size
+        owner = np.repeat(np.arange(len(self.size)), self.size)
+        held = self.words[np.arange(len(owner)) + (self.first - starts)[owner]]
+        return mix(held + runs_of(held, owner).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owner
+
+    def parities(self) -> np.ndarray:
+        """128 bits per line, as two numbers: each is flipped by every word that falls on it."""
+        told, owner = self.told()
+        hits = np.bincount(owner * 128 + (told & np.uint64(127)).astype(np.int64), minlength=128 * len(self.size))
+        return np.packbits((hits & 1).astype(np.uint8).reshape(-1, 128), axis=1).view(np.int64)
+
+    def rarest(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """32 bits of each line's rarest words, as many as similar lines must share one of, and how many."""
+        told, owner = self.told()
+        order = np.lexsort((told, level[_counter(told)], owner))
+        shared = np.ceil(self.size * (SIMILARITY / (2 - SIMILARITY)) - 1e-9).astype(np.int64)
+        taken = self.size - shared + 1
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        return (told[order][place < np.repeat(taken, self.size)] >> np.uint64(32)).astype(np.uint32).view(np.int32), taken
+
     def simhashes(self) -> np.ndarray:
         """Four 32-bit blocks per line: each bit is that of most of its words.
 
@@ -76,9 +110,7 @@ class Lines:
         frequent words of a language would decide, alike in all of its long lines.
         """
         starts = np.cumsum(self.size) - self.size
-        owner = np.repeat(np.arange(len(self.size)), self.size)
-        held = self.words[np.arange(len(owner)) + (self.first - starts)[owner]]
-        told = mix(held + runs_of(held, owner).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        told, _ = self.told()
         octets = np.stack([mix(told + np.uint64(11)), mix(told ^ np.uint64(0x5851F42D4C957F2D))], axis=1).view(np.uint8)
         out = np.zeros((len(self.size), 16), dtype=np.uint8)
         reach, i = np.cumsum(self.size), 0
@@ -98,6 +130,52 @@ class Lines:
         return out.view("<u4")
 
 
+def _counter(told: np.ndarray) -> np.ndarray:
+    return (told % np.uint64(_COUNTERS)).astype(np.int64)
+
+
+def word_levels(docs: DataFrame) -> np.ndarray:
+    """Eight times the logarithm of how often the words of each hash value occur."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_COUNTERS, dtype=np.int64)
+        for part in blocks(batches, "text"):
+            total += np.bincount(_counter(Lines(part.column("text")).told()[0]), minlength=_COUNTERS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["at", "n"])
+
+    summed = docs.select("text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    # At most _COUNTERS rows of two numbers.
+    found = summed.select("at", F.round(8 * F.log2("n")).cast("int").alias("level")).toArrow()
+    level = np.zeros(_COUNTERS, dtype=np.uint16)
+    level[found.column("at").to_numpy()] = found.column("level").to_numpy()
+    return level
+
+
+def _read_rare(batches: Iterator[pa.RecordBatch], level: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Key, parity bits and rarest words of every line."""
+    for part in blocks(batches, "text"):
+        lines = Lines(part.column("text"))
+        if not len(lines.size):
+            continue
+        one, two = lines.keys()
+        bits = lines.parities()
+        rare, taken = lines.rarest(level)
+        ends = np.append(0, np.cumsum(taken)).astype(np.int32)
+        # Equal lines of a block are told once.
+        _, once = np.unique(one, return_index=True)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(signed(one)),
+                pa.array(signed(two)),
+                pa.array(bits[:, 0]),
+                pa.array(bits[:, 1]),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(rare)),
+            ],
+            ["k0", "k1", "p0", "p1", "rare"],
+        ).take(pa.array(once))
+
+
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, "text"):
         lines = Lines(part.column("text"))
@@ -179,7 +257,39 @@ def _with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def _near_groups(known: DataFrame, distinct: DataFrame, members: DataFrame, features: Features) -> DataFrame:
+    """(id, root) of all lines similar to another one, whatever their SimHashes."""
+    level = known.sparkSession.sparkContext.broadcast(word_levels(known))
+    schema = "k0 long, k1 long, p0 long, p1 long, rare array<int>"
+    rare = known.select("text").mapInArrow(lambda batches: _read_rare(batches, level.value), schema)
+    rare = rare.groupBy("k0", "k1").agg(*(F.first(name).alias(name) for name in ("p0", "p1", "rare")))
+    lines = distinct.select("id", "k0", "k1", "size").join(rare, ["k0", "k1"])
+    rows = materialize(lines.select("id", "size", "p0", "p1", F.explode("rare").alias("token")), "rare-words")
+    many = rows.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {PAIRED}").select("token")
+    many = materialize(many, "frequent-rare-words")
+    few = rows.join(many, "token", "left_anti")
+    other = few.select("token", *(F.col(name).alias(f"other_{name}") for name in ("id", "size", "p0", "p1")))
+    apart = F.bit_count(F.col("p0").bitwiseXOR(F.col("other_p0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("other_p1")))
+    both = F.col("size") + F.col("other_size")
+    pairs = few.join(other, "token").where(
+        (F.col("id") < F.col("other_id")) & (10 * F.abs(F.col("size") - F.col("other_size")) <= both) & (10 * apart <= both)
+    )
+    pairs = materialize(pairs.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct(), "rare-pairs")
+    # Keys of SimHash blocks are not negative.
+    crowded = rows.join(many, "token", "left_semi").select(
+        (F.col("token").cast("bigint") - F.lit(1 << 33)).alias("key"), "id", "size"
+    )
+    groups = materialize(linked_groups(members.unionByName(crowded), features, LINK), "line-groups")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    listed = materialize(features(ids), "rare-features")
+    left = listed.select(F.col("id").alias("a"), F.col("labels").alias("left"))
+    right = listed.select(F.col("id").alias("b"), F.col("labels").alias("right"))
+    verified = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(LINK.verify, "a long, b long")
+    edges = groups.select(F.col("id").alias("a"), F.col("root").alias("b")).union(verified)
+    return components(materialize(edges, "line-links"))
+
+
+def repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """doc_id, digest, lines: numbers of the lines to drop, for documents that have any.
 
     `digest` is the hash of the text, so that a doc_id with several texts is
@@ -214,7 +324,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     keys = F.array(*(F.lit(b << 32).cast("bigint") + F.col(f"b{b}") for b in range(BLOCKS)))
     members = distinct.select(F.explode(keys).alias("key"), "id", "size")
-    groups = materialize(linked_groups(members, features, LINK), "line-groups")
+    found = _near_groups(known, distinct, members, features) if whole else linked_groups(members, features, LINK)
+    groups = materialize(found, "all-line-groups")
     grouped = materialize(distinct.select("id", "first").join(groups, "id"), "grouped-lines")
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"))
     again = distinct.select("id", "k0", "k1", "first", "n").join(groups, "id", "left").join(stays, "root", "left")
@@ -241,14 +352,16 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).select(names)
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """`docs` with the later occurrences of repeated lines taken out of `text`.
 
     Lines end at \\n. Lines of fewer than five words, null texts and texts
     without repeated lines stay as they are; a text whose lines all occur
     elsewhere becomes empty. The column `__removed` tells how many lines went.
+    `whole` finds every pair of similar lines, not only those that share a block
+    of their SimHash.
     """
-    dropped = materialize(repeated_lines(docs), "dropped-lines")
+    dropped = materialize(repeated_lines(docs, whole), "dropped-lines")
     n_docs, n_lines = dropped.agg(F.count("*"), F.sum(F.size("lines"))).first()
     if n_docs <= DOCS_SENT and (n_lines or 0) <= NUMBERS_SENT:
         dropped = F.broadcast(dropped)

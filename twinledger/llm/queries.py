@@ -113,7 +113,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.drop_repeated_lines(docs).select(
+    return linededup.drop_repeated_lines(docs, whole=True).select(
         "doc_id", "text", F.col("__removed").cast("bigint").alias("n_removed")
     )
 
