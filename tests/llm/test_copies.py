@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from twinledger.llm import linededup, links, neardup
-from twinledger.llm.textblocks import text_bytes, words
+from twinledger.llm.textblocks import text_bytes, unspaced, words
 
 
 def union(pairs, items):
@@ -213,6 +213,25 @@ def test_whole_search_finds_all_pairs_of_brute_force(spark, monkeypatch):
         assert found == {i: expected[i] for i, _ in rows}
 
 
+def test_whole_search_takes_lines_of_every_length(spark):
+    """Short repeats go; so do repeats and near copies in scripts without blanks. One character is one word."""
+    chinese = "今天天气很好我们去公园散步然后回家吃晚饭"
+    other = chinese.replace("公园", "湖边")
+    near = chinese.replace("晚", "午")
+    rows = [
+        (1, f"One two\nAlone\n***\n{chinese}。\nThe four word line"),
+        (2, f"one, TWO!\n***\n{chinese}。\none three\nthe four word lines"),
+        (3, f"{near}。\nalone\nสวัสดี\nthe four word line"),
+        (4, f"สวัสดี\n{other[:8]}\n\n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in linededup.drop_repeated_lines(docs, whole=True).collect()}
+    assert found == {1: rows[0][1], 2: "***\none three\nthe four word lines", 3: "สวัสดี", 4: f"{other[:8]}\n\n"}
+    raw, offsets = text_bytes(pa.array(["今天abc天 x", "é一é", "𠀀𠀁"]))
+    cut = words(raw, offsets, unspaced(raw))
+    assert [raw[s:e].tobytes().decode() for s, e in zip(cut.starts, cut.ends)] == ["今", "天", "abc", "天", "x", "é", "一", "é", "𠀀", "𠀁"]
+
+
 def test_blocks_guarantee_three_bits():
     """Any three flipped bits leave one of four blocks whole."""
     assert linededup.BLOCKS == 4

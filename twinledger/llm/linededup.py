@@ -1,6 +1,9 @@
 """Repeated lines across documents, near ones included: one occurrence stays.
 
-A line is its sequence of words, case aside. Distinct lines get a 128-bit SimHash
+A line is its sequence of words, case aside. With `whole`, lines of any number of
+words are told apart by that, and each character of a script without blanks is a
+word; lines of fewer than five words are then only looked at for exact repeats,
+and are left alone otherwise. Distinct lines get a 128-bit SimHash
 of their words, cut into four blocks of 32 bits: lines that differ in three bits
 or fewer share a block. Lines that share one are verified by edit similarity over
 words, 2 * LCS / (n + m) >= 0.9, whatever their distance in bits.
@@ -25,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.llm.links import Features, Similarity, components, linked_groups
-from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, signed, text_bytes, words
+from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, signed, text_bytes, unspaced, words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
-#: Shorter lines (headings, bullets, tags) repeat for good reason and stay.
+#: Shorter lines have no near copies. They stay, repeats too, unless all lines are asked for.
 LEAST_WORDS = 5
 SIMILARITY = 0.9
 BLOCKS = 4
@@ -47,11 +50,14 @@ _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<
 
 
 class Lines:
-    """Lines of a block of texts that have at least `LEAST_WORDS` words."""
+    """Lines of a block of texts that have at least `LEAST_WORDS` words, or all with one.
 
-    def __init__(self, texts: pa.Array):
+    With `every`, each character of a script without blanks is a word.
+    """
+
+    def __init__(self, texts: pa.Array, every: bool = False):
         raw, offsets = text_bytes(texts)
-        found = words(raw, offsets)
+        found = words(raw, offsets, unspaced(raw) if every else None)
         breaks = np.flatnonzero(raw == 10)
         text_of_break = np.searchsorted(offsets, breaks, side="right") - 1
         # A line starts with its text or after a break within it.
@@ -62,11 +68,17 @@ class Lines:
         number = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         edges = np.append(np.searchsorted(found.starts, starts), len(found.starts))
         size = np.diff(edges)
-        kept = np.flatnonzero(size >= LEAST_WORDS)
+        kept = np.flatnonzero(size >= (1 if every else LEAST_WORDS))
         self.text, self.number, self.first, self.size = owner[kept], number[kept], edges[kept], size[kept]
         self.words = found.hashes
         self.lines_per_text = per_text
 
+    def leave(self, kept: np.ndarray) -> None:
+        """Only the lines that `kept` marks stay."""
+        self.text, self.number, self.first, self.size = (
+            x[kept] for x in (self.text, self.number, self.first, self.size)
+        )
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sums modulo 2^64 over the words of each line."""
         total = np.zeros(len(self.words) + 1, dtype=np.uint64)
@@ -140,7 +152,7 @@ def word_levels(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_COUNTERS, dtype=np.int64)
         for part in blocks(batches, "text"):
-            total += np.bincount(_counter(Lines(part.column("text")).told()[0]), minlength=_COUNTERS)
+            total += np.bincount(_counter(Lines(part.column("text"), True).told()[0]), minlength=_COUNTERS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["at", "n"])
 
@@ -153,9 +165,10 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
 
 def _read_rare(batches: Iterator[pa.RecordBatch], level: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Key, parity bits and rarest words of every line."""
+    """Key, parity bits and rarest words of every line that may have near copies."""
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"))
+        lines = Lines(part.column("text"), True)
+        lines.leave(lines.size >= LEAST_WORDS)
         if not len(lines.size):
             continue
         one, two = lines.keys()
@@ -176,9 +189,9 @@ def _read_rare(batches: Iterator[pa.RecordBatch], level: np.ndarray) -> Iterator
         ).take(pa.array(once))
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_lines(batches: Iterator[pa.RecordBatch], every: bool = False) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"))
+        lines = Lines(part.column("text"), every)
         if not len(lines.size):
             continue
         one, two = lines.keys()
@@ -197,10 +210,10 @@ def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_words(batches: Iterator[pa.RecordBatch], every: bool = False) -> Iterator[pa.RecordBatch]:
     """The words of every line, as 32 bits each, under the line's key."""
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"))
+        lines = Lines(part.column("text"), every)
         one, two = lines.keys()
         short = (lines.words >> np.uint64(32)).astype(np.uint32)
         rows = [short[f : f + n].tobytes() for f, n in zip(lines.first.tolist(), lines.size.tolist())]
@@ -301,7 +314,7 @@ def repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     id_field = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     longs = [T.StructField(name, T.LongType()) for name in ("k0", "k1", "size", *(f"b{b}" for b in range(BLOCKS)))]
     place = [T.StructField("digest", T.LongType()), T.StructField("line", T.IntegerType())]
-    occurrences = materialize(known.mapInArrow(_read_lines, T.StructType([id_field, *place, *longs])), "lines")
+    occurrences = materialize(known.mapInArrow(lambda batches: _read_lines(batches, whole), T.StructType([id_field, *place, *longs])), "lines")
     by_line = occurrences.groupBy("k0", "k1").agg(
         F.min(F.struct("doc_id", "digest", "line")).alias("first"),
         F.count("*").alias("n"),
@@ -318,12 +331,12 @@ def repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
         texts = known.select("doc_id", "text").where("doc_id is null").union(
             narrow(known.select("doc_id", "text").where("doc_id is not null"), listed.select("doc_id").distinct(), ["doc_id"])
         )
-        found = texts.mapInArrow(_read_words, "k0 long, k1 long, labels binary")
+        found = texts.mapInArrow(lambda batches: _read_words(batches, whole), "k0 long, k1 long, labels binary")
         found = narrow(found, listed.select("k0", "k1"), ["k0", "k1"], KEYS_SENT).dropDuplicates(["k0", "k1"])
         return found.join(listed, ["k0", "k1"]).select("id", "labels")
 
     keys = F.array(*(F.lit(b << 32).cast("bigint") + F.col(f"b{b}") for b in range(BLOCKS)))
-    members = distinct.select(F.explode(keys).alias("key"), "id", "size")
+    members = distinct.where(F.col("size") >= LEAST_WORDS).select(F.explode(keys).alias("key"), "id", "size")
     found = _near_groups(known, distinct, members, features) if whole else linked_groups(members, features, LINK)
     groups = materialize(found, "all-line-groups")
     grouped = materialize(distinct.select("id", "first").join(groups, "id"), "grouped-lines")
@@ -355,11 +368,11 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def drop_repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """`docs` with the later occurrences of repeated lines taken out of `text`.
 
-    Lines end at \\n. Lines of fewer than five words, null texts and texts
-    without repeated lines stay as they are; a text whose lines all occur
+    Lines end at \\n. Lines of fewer than five words (unless `whole`), lines without
+    a word, null texts and texts without repeated lines stay as they are; a text whose lines all occur
     elsewhere becomes empty. The column `__removed` tells how many lines went.
     `whole` finds every pair of similar lines, not only those that share a block
-    of their SimHash.
+    of their SimHash, and exact repeats of lines of any length.
     """
     dropped = materialize(repeated_lines(docs, whole), "dropped-lines")
     n_docs, n_lines = dropped.agg(F.count("*"), F.sum(F.size("lines"))).first()

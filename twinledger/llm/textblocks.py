@@ -96,8 +96,28 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
-    """Word hashes by prefix sums of a polynomial: no loop over words."""
+def unspaced(raw: np.ndarray) -> np.ndarray:
+    """Where characters of scripts written without blanks start and end in UTF-8.
+
+    These are Thai and Lao, Burmese, Khmer, and all of Chinese and Japanese with its
+    punctuation; U+3000 to U+9FFF, U+20000 to U+3FFFF.
+    """
+    at = np.flatnonzero(raw >= 0xE0)
+    lead = raw[at]
+    second = raw[np.minimum(at + 1, len(raw) - 1)]
+    three = (lead >= 0xE3) & (lead <= 0xE9)
+    three |= (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    three |= (lead == 0xE1) & ((second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+    four = (lead == 0xF0) & (second >= 0xA0)
+    breaks = np.concatenate([at[three], at[three] + 3, at[four], at[four] + 4])
+    return breaks[breaks < len(raw)]
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, breaks: np.ndarray | None = None) -> Words:
+    """Word hashes by prefix sums of a polynomial: no loop over words.
+
+    `breaks`: further places where a word ends and the next one starts.
+    """
     n = len(raw)
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
@@ -107,6 +127,8 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     before[0] = False
     before[1:] = inside[:-1]
     edges = offsets[:-1][offsets[:-1] < n]
+    if breaks is not None:
+        edges = np.concatenate([edges, breaks])
     before[edges] = False
     starts = np.flatnonzero(inside & ~before)
     after = np.empty(n, dtype=bool)
