@@ -136,3 +136,18 @@ def test_terms_that_reveal_an_entity(spark):
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "zanzibar" not in clean[100] and "[EMAIL]" in clean[100] and "plain" in clean[100]
     assert clean[200] == "nobody else" and clean[201] is None
+
+
+def test_terms_anywhere_in_the_document_reveal_an_entity(spark):
+    """A heading far above an address is removed in every document that has both."""
+    filler = [cases.prose(i, 40) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(filler)]
+    rows += [(100 + i, f"Zanzibar\n{filler[i]}\n{filler[i + 9]}\nask ann@mail.example.org {i}\nzanzibar") for i in range(3)]
+    rows += [(200, "onlyhere bob@mail.example.org")]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    by_id = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.found] for r in found}
+    for i in range(100, 103):
+        assert ("removed", "Zanzibar") in by_id[i] and ("removed", "zanzibar") in by_id[i]
+    # One document's entity has no terms.
+    assert by_id[200] == [("email", "bob@mail.example.org")]

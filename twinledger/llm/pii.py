@@ -1,11 +1,13 @@
 """Personal data, and the words that give it away.
 
 Patterns find protected entities (mail and network addresses, card and phone
-numbers). How strongly a nearby term reveals an entity is estimated from the
+numbers). How strongly a term of its documents reveals an entity is estimated from the
 whole corpus (Sanchez and Batet's C-sanitisation): with documents as events,
 PMI(c; t) = log2(N * df(c, t) / (df(c) * df(t))) is at most IC(c) = log2(N / df(c)),
 which it reaches when t occurs with c only. A term whose share PMI / IC reaches
-a threshold is a further span: generalised, or removed from a higher one on.
+a threshold is a further span wherever it stands in documents with the entity:
+generalised, or removed from a higher one on. An entity of one text only has no
+terms: every word that the corpus has nowhere else would reveal it as surely.
 Intermediate tables hold hashes of entities and terms, never the values.
 """
 
@@ -27,14 +29,11 @@ from twinledger.session import materialize
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "removed", "generalised")
 
-#: Terms are looked for so many words and characters around an entity, in its line.
-WINDOW_WORDS = 8
-WINDOW_CHARS = 160
 #: A term must be seen with an entity in so many documents, of two different texts at least.
 LEAST_TOGETHER = 2
 GENERALISE_AT = 0.75
 REMOVE_AT = 0.95
-#: Up to so many terms the corpus count is told which ones matter (8 bytes each).
+#: Up to so many terms (or entities) the tasks are told which ones matter (8 bytes each).
 TERMS_SENT = 1_000_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -107,46 +106,38 @@ def entities(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def _nearby(text: str, found: list[tuple[int, int, int, str]]) -> list[tuple[int, str, int, int]]:
-    """(entity number, term, start, end) of the words around each entity in its line."""
-    taken = [(start, end) for start, _, end, _ in found]
-    out = []
-    for i, (start, _, end, _) in enumerate(found):
-        low = max(text.rfind("\n", 0, start) + 1, start - WINDOW_CHARS)
-        high = text.find("\n", end)
-        high = min(len(text) if high < 0 else high, end + WINDOW_CHARS)
-        before = [(m[0], m.start(), m.end()) for m in _TERM.finditer(text, low, start)]
-        after = [(m[0], m.start(), m.end()) for m in _TERM.finditer(text, end, high)]
-        # Words cut by the window's edge are not words.
-        if before and before[0][1] == low and low > 0 and _TERM.match(text[low - 1]):
-            before.pop(0)
-        if after and after[-1][2] == high and high < len(text) and _TERM.match(text[high]):
-            after.pop()
-        for term, s, e in before[-WINDOW_WORDS:] + after[:WINDOW_WORDS]:
-            if len(term) >= 3 and not term.isdigit() and not any(s < b and a < e for a, b in taken):
-                out.append((i, term, s, e))
+def _terms(text: str, found: list[tuple[int, int, int, str]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all words of a text outside its entities."""
+    out, at, reach = [], 0, 0
+    for m in _TERM.finditer(text):
+        start, end = m.span()
+        while at < len(found) and found[at][0] < end:
+            reach = max(reach, found[at][2])
+            at += 1
+        if start >= reach and end - start >= 3 and not m[0].isdigit():
+            out.append((m[0], start, end))
     return out
 
 
 _SPAN = "struct<kind: string, start: bigint, end: bigint>"
-_NEAR = "struct<entity: bigint, term: bigint, start: bigint, end: bigint>"
+_PLACE = "struct<start: int, end: int>"
+
+
+def _hashes(found: list[tuple[int, int, int, str]]) -> list[int]:
+    """Each entity of a text once."""
+    return sorted({xxhash.xxh64_intdigest(f"{BASE_KINDS[k]}:{value}") for _, k, _, value in found})
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = pa.array(BASE_KINDS)
     for part in blocks(batches, "text"):
-        spans, near, terms, names_of = [], [], [], []
-        span_ends, near_ends, entity_ends = [0], [0], [0]
+        spans, names_of = [], []
+        span_ends, entity_ends = [0], [0]
         for text in part.column("text").to_pylist():
             found = entities(text or "")
-            hashes = [xxhash.xxh64_intdigest(f"{BASE_KINDS[k]}:{value}") for _, k, _, value in found]
             spans += found
-            names_of += sorted(set(hashes))
-            for i, term, s, e in _nearby(text, found) if found else ():
-                near.append((hashes[i], s, e))
-                terms.append(term)
+            names_of += _hashes(found)
             span_ends.append(len(spans))
-            near_ends.append(len(near))
             entity_ends.append(len(names_of))
         span_values = pa.StructArray.from_arrays(
             [
@@ -156,31 +147,53 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["kind", "start", "end"],
         )
-        # The same hash as the corpus count uses.
-        term_hashes = words(*text_bytes(pa.array(terms, pa.string()))).hashes
-        as_long = lambda xs: pa.array(signed(np.array(xs, dtype=np.uint64)))
-        near_values = pa.StructArray.from_arrays(
-            [
-                as_long([h for h, _, _ in near]),
-                as_long(term_hashes),
-                pa.array([s for _, s, _ in near], pa.int64()),
-                pa.array([e for _, _, e in near], pa.int64()),
-            ],
-            ["entity", "term", "start", "end"],
-        )
         lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
                 part.column("digest"),
                 lists(span_ends, span_values),
-                lists(near_ends, near_values),
-                lists(entity_ends, as_long(names_of)),
+                lists(entity_ends, pa.array(signed(np.array(names_of, dtype=np.uint64)))),
             ],
-            ["doc_id", "digest", "found", "near", "entities"],
+            ["doc_id", "digest", "found", "entities"],
         )
 
 
+def _pair_up(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Every wanted entity of a document with every term of it, and the term's places."""
+    wanted = None if wanted is None else set(wanted.tolist())
+    for part in blocks(batches, "text"):
+        for i, text in enumerate(part.column("text").to_pylist()):
+            found = entities(text or "")
+            held = [h for h in _hashes(found) if wanted is None or h in wanted]
+            said = _terms(text, found) if held else []
+            if not said:
+                continue
+            # The same hash as the corpus count uses.
+            hashes = words(*text_bytes(pa.array([t for t, _, _ in said], pa.string()))).hashes
+            order = np.argsort(hashes, kind="stable")
+            first = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1]))
+            ends = pa.array(np.append(first, len(order)).astype(np.int32))
+            at = np.array([(s, e) for _, s, e in said], dtype=np.int32)[order]
+            places = pa.ListArray.from_arrays(
+                ends, pa.StructArray.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], ["start", "end"])
+            )
+            terms = pa.array(signed(hashes[order][first]))
+            one = pa.array(np.full(len(first), i))
+            # An entity at a time: a document may hold many.
+            for h in held:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(one),
+                        part.column("digest").take(one),
+                        pa.array(signed(np.full(len(first), h, dtype=np.uint64))),
+                        terms,
+                        places,
+                    ],
+                    ["doc_id", "digest", "entity", "term", "places"],
+                )
+
+
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n: documents of the whole corpus that contain each listed term.
 
@@ -225,13 +238,27 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counted if sent is not None else counted.join(terms, "term", "left_semi")
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
+def entity_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, digest, entity, term, places: entities of two texts or more with all terms of their documents."""
+    of_entity = found.select("digest", F.explode("entities").alias("entity")).groupBy("entity")
+    shared = of_entity.agg((F.min("digest") != F.max("digest")).alias("varied")).where("varied").select("entity")
+    shared = materialize(shared, "shared-entities")
+    sent = None
+    if shared.count() <= TERMS_SENT:
+        sent = docs.sparkSession.sparkContext.broadcast(shared.toArrow().column("entity").to_numpy().view(np.uint64))
+    schema = T.StructType(
+        [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
+        + T._parse_datatype_string(f"digest bigint, entity bigint, term bigint, places array<{_PLACE}>").fields
+    )
+    pairs = docs.mapInArrow(lambda batches: _pair_up(batches, None if sent is None else sent.value), schema)
+    return pairs if sent is not None else pairs.join(shared, "entity", "left_semi")
+
+
+def disclosing_terms(found: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """entity, term, share: pairs whose PMI reaches `GENERALISE_AT` of the entity's information."""
     n_docs = found.count()
-    pair = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
     together = (
-        found.select("digest", F.explode(pair).alias("p"))
-        .groupBy("p.entity", "p.term")
+        pairs.groupBy("entity", "term")
         .agg(F.count("*").alias("n_both"), (F.min("digest") != F.max("digest")).alias("varied"))
         .where(f"varied and n_both >= {LEAST_TOGETHER}")
     )
@@ -255,14 +282,17 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
-        + T._parse_datatype_string(f"digest bigint, found array<{_SPAN}>, near array<{_NEAR}>, entities array<bigint>").fields
+        + T._parse_datatype_string(f"digest bigint, found array<{_SPAN}>, entities array<bigint>").fields
     )
     found = materialize(texts.mapInArrow(_find, schema), "entities")
-    telling = materialize(disclosing_terms(found, texts), "disclosing")
+    pairs = materialize(entity_terms(found, texts), "entity-terms")
+    telling = materialize(disclosing_terms(found, pairs, texts), "disclosing")
     kind = F.when(F.col("share") >= REMOVE_AT, "removed").otherwise("generalised")
-    near = found.where("size(near) > 0").select("doc_id", "digest", F.explode("near").alias("x"))
-    near = near.select("doc_id", "digest", F.col("x.entity").alias("entity"), F.col("x.term").alias("term"), "x.start", "x.end")
-    marked = near.join(telling, ["entity", "term"]).groupBy("doc_id", "digest", "start", "end").agg(F.max("share").alias("share"))
+    marked = pairs.join(telling, ["entity", "term"]).select("doc_id", "digest", "share", F.explode("places").alias("x"))
+    marked = marked.select(
+        "doc_id", "digest", "share", F.col("x.start").cast("bigint").alias("start"), F.col("x.end").cast("bigint").alias("end")
+    )
+    marked = marked.groupBy("doc_id", "digest", "start", "end").agg(F.max("share").alias("share"))
     marked = marked.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__key")).agg(
         F.collect_list(F.struct(kind.alias("kind"), "start", "end")).alias("__more")
     )
