@@ -128,6 +128,25 @@ def test_every_planted_item_is_found(spark):
     assert {(r.doc_id, r.item_id) for r in found} == expected
 
 
+def test_short_items_are_found_in_a_large_benchmark(spark):
+    """Items of 2 to 13 words amid the words of others, planted once each."""
+    r = np.random.default_rng(3)
+    longer = [(i, cases.prose(7000 + i, 30, 3000)) for i in range(1000)]
+    short = [(2000 + i, cases.prose(9000 + i, 2 + i // 10, 3000)) for i in range(120)]
+    docs = []
+    for i in range(120):
+        text = cases.prose(i, 150, 3000).split(" ")
+        at = int(r.integers(0, 140))
+        text[at:at] = short[i][1].split(" ")
+        docs.append((i, " ".join(text)))
+    found = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(longer + short, "item_id long, text string")
+    ).collect()
+    pairs = {(x.doc_id, x.item_id) for x in found}
+    assert {(i, short[i][0]) for i in range(120)} <= pairs
+    assert len(pairs) <= 130
+
+
 def test_found_items_equal_exact_search(spark):
     """On the given tables: every document that holds an item whole, and clean ones left alone."""
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}

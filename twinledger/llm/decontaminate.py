@@ -8,7 +8,9 @@ products are summed over the cluster, and the driver factors one matrix of the
 benchmark's vocabulary by RANK. Passages near an item's passage by cosine are
 then verified word by word: the item's longest common subsequence with the
 document around the passage, and for looser matches (paraphrases) whether the
-item's answer stands there whole.
+item's answer stands there whole. Items of up to 16 words would be outweighed by
+the other words of a passage; they are also compared with every run of their own
+length that has half of its words from such items.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from twinledger.llm.textblocks import Words, blocks, prepare, text_bytes, words
 from twinledger.session import materialize
 
 STRIDE = 16
+#: Items of up to so many words are also searched in runs of their own length.
+SHORT = 16
 RANK = 128
 COSINE = 0.5
 #: Share of an item's words found in order that makes it a leak.
@@ -57,13 +61,17 @@ class Benchmark:
     weights: np.ndarray | None = None
     #: A row per word: its place in the latent space, times its weight.
     basis: np.ndarray | None = None
+    #: All words of the short items, common ones too.
+    short_words: np.ndarray | None = None
 
     @classmethod
     def of(cls, texts: list[str]) -> Benchmark:
         found = words(*text_bytes(pa.array(texts, pa.string())))
         items = [found.hashes[s:e] for s, e in zip(found.first[:-1], found.first[1:])]
         vocabulary = np.unique(found.hashes)
-        return cls(items, vocabulary, cls._prefixes(vocabulary))
+        short = [x for x in items if len(x) <= SHORT]
+        short_words = np.unique(np.concatenate(short)) if short else None
+        return cls(items, vocabulary, cls._prefixes(vocabulary), short_words=short_words)
 
     @staticmethod
     def _prefixes(vocabulary: np.ndarray) -> np.ndarray:
@@ -110,6 +118,40 @@ class Benchmark:
         both /= np.where(length > 1e-6, length, 1)
         return both, halves.text[starts], halves.place[starts] * STRIDE
 
+    def short_hits(self, found: Words) -> Iterator[tuple[int, int, float, float]]:
+        """(text, item, share, cosine) of short items in runs of their own length."""
+        if self.short_words is None or not len(self.short_words):
+            return
+        place = np.minimum(np.searchsorted(self.short_words, found.hashes), len(self.short_words) - 1)
+        known = np.append(0, np.cumsum(self.short_words[place] == found.hashes))
+        number = np.full(len(found.hashes), len(self.vocabulary))
+        at, of_term = self.terms(found)
+        number[at] = of_term
+        rows = np.concatenate([self.basis, np.zeros((1, self.basis.shape[1]), dtype=self.basis.dtype)])
+        text = np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))
+        by_size: dict[int, list[int]] = {}
+        for b, i in enumerate(self.item_of):
+            if len(self.items[i]) <= SHORT:
+                by_size.setdefault(len(self.items[i]), []).append(b)
+        for n, wanted in by_size.items():
+            last = len(found.hashes) - n + 1
+            if last < 1:
+                continue
+            starts = np.flatnonzero((2 * (known[n:] - known[:-n]) >= n) & (text[:last] == text[n - 1 :]))
+            for low in range(0, len(starts), 4096):
+                part = starts[low : low + 4096]
+                sums = sum(rows[number[part + j]] for j in range(n))
+                length = np.linalg.norm(sums, axis=1, keepdims=True)
+                sums /= np.where(length > 1e-6, length, 1)
+                cosines = sums @ self.passages[wanted].T
+                for w, b in zip(*np.nonzero(cosines >= COSINE)):
+                    p, i = int(part[w]), int(self.item_of[wanted[b]])
+                    t = int(text[p])
+                    region = found.hashes[max(found.first[t], p - n) : min(found.first[t + 1], p + 2 * n)]
+                    share, hit = matches(self.items[i], region)
+                    if hit:
+                        yield t, i, share, float(cosines[w, b])
+
 
 class Halves:
     """Runs of STRIDE words within each text; a passage is a run and the next one."""
@@ -246,7 +288,7 @@ def _search(docs: DataFrame, bench: Benchmark, ids: list, id_field: T.StructFiel
                     best, places = near.get(key, (0.0, []))
                     places.append(int(place[low + w]))
                     near[key] = (max(best, float(cosines[w, b])), places)
-            rows = []
+            leaking: dict[tuple[int, int], tuple[float, float]] = {}
             for (t, i), (cosine, places) in near.items():
                 item, reach = bench.items[i], len(bench.items[i]) + STRIDE
                 text_words = found.hashes[found.first[t] : found.first[t + 1]]
@@ -260,7 +302,11 @@ def _search(docs: DataFrame, bench: Benchmark, ids: list, id_field: T.StructFiel
                     if hit:
                         break
                 if leak:
-                    rows.append((t, i, best, cosine))
+                    leaking[t, i] = best, cosine
+            for t, i, share, cosine in bench.short_hits(found):
+                best = leaking.get((t, i), (0.0, 0.0))
+                leaking[t, i] = max(best[0], share), max(best[1], cosine)
+            rows = [(t, i, share, cosine) for (t, i), (share, cosine) in leaking.items()]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").take(pa.array([r[0] for r in rows], pa.int32())),
