@@ -151,3 +151,16 @@ def test_terms_anywhere_in_the_document_reveal_an_entity(spark):
         assert ("removed", "Zanzibar") in by_id[i] and ("removed", "zanzibar") in by_id[i]
     # One document's entity has no terms.
     assert by_id[200] == [("email", "bob@mail.example.org")]
+
+
+@pytest.mark.parametrize("kind,text", [
+    ("hub_token", "ghp_" + "a1" * 300),
+    ("chat_token", "xoxb-" + "a-1" * 200),
+    ("payment_key", "sk_live_" + "Z9" * 300),
+    ("url_login", "://" + "u" * 300 + ":" + "p:" * 300 + "@"),
+])
+def test_long_secrets_are_found_whole(spark, kind, text):
+    docs = spark.createDataFrame([(1, f"see {text} there"), (2, f"{text[:-1]} " * 50)], "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.found if s.kind == kind] for r in secrets.find_secrets(docs).collect()}
+    assert found[1] == [(4, 4 + len(text))]
+    assert len(found[2]) == (0 if kind == "url_login" else 50)

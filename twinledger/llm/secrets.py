@@ -46,12 +46,12 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", lambda m: m.end() - m.start() >= 20),
     Rule("hex", r"[0-9a-f]+", lambda m: m.end() - m.start() >= 24),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
-    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat_token", r"xox[abeprs]-[A-Za-z0-9-]{10,250}"),
-    Rule("payment_key", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,250}"),
+    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abeprs]-[A-Za-z0-9-]{10,}"),
+    Rule("payment_key", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/@]{1,64}@"),
+    Rule("url_login", r"://[^\s/:@]+:[^\s/@]+@"),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
