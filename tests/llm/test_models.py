@@ -184,3 +184,13 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == whole
     assert whole == {(i, i) for i in range(6)}
+
+
+def test_equal_benchmark_texts_are_searched_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, cases.prose(i, 60)) for i in range(4)], "doc_id long, text string")
+    rows = [(i, cases.prose(0, 40)) for i in range(50)] + [(60, cases.prose(1, 40)), (60, cases.prose(1, 40))]
+    read, build = [], decontaminate.Benchmark.of
+    monkeypatch.setattr(decontaminate.Benchmark, "of", lambda texts: read.extend(texts) or build(texts))
+    found = decontaminate.leaks(docs, spark.createDataFrame(rows, "item_id long, text string")).collect()
+    assert Counter((r.doc_id, r.item_id) for r in found) == Counter([(0, i) for i in range(50)] + [(1, 60), (1, 60)])
+    assert sorted(read) == sorted({t for _, t in rows})

@@ -319,24 +319,21 @@ def _search(docs: DataFrame, bench: Benchmark, ids: list, id_field: T.StructFiel
 
     names = spark.createDataFrame(list(enumerate(ids)), T.StructType([T.StructField("item", T.IntegerType()), id_field]))
     hits = docs.select("doc_id", "text").mapInArrow(search, schema)
-    return hits.join(F.broadcast(names), "item").select("doc_id", "item_id", "share", "cosine")
+    return hits.join(F.broadcast(names), "item").select("doc_id", "key", "share", "cosine")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, item_id, share, cosine: each row of `docs` with each item that it holds.
-
-    `benchmark`: item_id, text. Items and documents without a word match nothing.
-    The driver reads the benchmark in blocks of 2 MB of text, so what it holds and
-    sends to the tasks is bounded.
-    """
+def _text_leaks(docs: DataFrame, benchmark: DataFrame, seed: int) -> DataFrame:
+    """doc_id, key, share, cosine: each row of `docs` with the hash of each item text that it holds."""
     spark: SparkSession = prepare(docs.sparkSession)
-    items = benchmark.where("text is not null").select("item_id", "text")
+    items = benchmark.where("text is not null").select("text").distinct()
+    items = materialize(items.select(F.xxhash64("text").alias("key"), "text"), "item-texts")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     known = docs.select("doc_id", "text").where("text is not null")
+    key_field = T.StructField("key", T.LongType())
     found = []
     for b in range(n_blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").collect()
+        rows = items.where(F.pmod("key", F.lit(n_blocks)) == b).orderBy("text").collect()
         bench = Benchmark.of([r["text"] for r in rows])
         full = [i for i, item in enumerate(bench.items) if len(item)]
         if not full:
@@ -348,9 +345,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
         joined = np.concatenate(bench.items)
         first = np.concatenate([[0], np.cumsum([len(x) for x in bench.items])])
         bench.passages, bench.item_of, _ = bench.vectors(Words(joined, first, first, first))
-        found.append(_search(known, bench, [rows[i]["item_id"] for i in full], benchmark.schema["item_id"]))
+        found.append(_search(known, bench, [rows[i]["key"] for i in full], key_field))
     if not found:
-        kinds = [docs.schema["doc_id"], benchmark.schema["item_id"]]
+        kinds = [docs.schema["doc_id"], key_field]
         return spark.createDataFrame(
             [], T.StructType([*kinds, T.StructField("share", T.DoubleType()), T.StructField("cosine", T.DoubleType())])
         )
@@ -360,7 +357,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
     return out
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
+    """doc_id, item_id, share, cosine: each row of `docs` with each item that it holds.
+
+    `benchmark`: item_id, text. Items and documents without a word match nothing.
+    The driver reads the distinct texts of the benchmark in blocks of about 2 MB, so
+    what it holds and sends to the tasks is bounded; ids are joined to them afterwards.
+    """
+    named = benchmark.where("text is not null").select("item_id", F.xxhash64("text").alias("key"))
+    return _text_leaks(docs, benchmark, seed).join(named, "key").select("doc_id", "item_id", "share", "cosine")
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows whose doc_id has a leak in any of its texts."""
-    bad = materialize(leaks(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct(), "leaking")
+    bad = materialize(_text_leaks(docs, benchmark, 0).select(F.col("doc_id").alias("__id")).distinct(), "leaking")
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
