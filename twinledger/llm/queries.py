@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.llm import (
+    alignment,
     decontaminate,
     language,
     linededup,
     neardup,
     packing,
+    periodic,
     pieces,
     pii,
     quality,
@@ -126,3 +128,50 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, filters).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the hash of its id, repeats a stretch of its words to its end.
+
+    Null ids have no hash: their texts stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("__h")).withColumn(
+        "__words", F.when(F.col("__h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    )
+    n, g = F.size("__words"), F.floor(F.col("__h") / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    left = n - a
+    period = (1 + F.floor(left / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("__words", a + 1, period), F.ceil(left / period).cast("int")))
+    planted = F.array_join(F.concat(F.slice("__words", F.lit(1), a), F.slice(repeated, F.lit(1), left)), " ")
+    return words.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = F.col("runs")
+    line = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # Runs are in order of start, then period: only a greater exponent replaces an earlier run.
+    ahead = lambda best, r: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.aggregate(runs, F.get(runs, F.lit(0)), lambda best, r: F.when(ahead(best, r), r).otherwise(best))
+    return (
+        periodic.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+        .withColumn("best", best)
+        .select(
+            "doc_id",
+            F.size("runs").cast("bigint").alias("n_runs"),
+            "best.start",
+            "best.length",
+            "best.period",
+            F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+            F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+            F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.link_statistics(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
