@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from twinledger.llm import (
     alignment,
     decontaminate,
+    katz,
     language,
     linededup,
     neardup,
@@ -171,6 +172,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_lm_scoring")
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A null id has no hash: its text is a training text.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    return katz.train_and_score(table(spark, sf_dir, "documents"), ~held_out).scores
+
+
 @query("op13_token_alignment")
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
