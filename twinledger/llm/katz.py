@@ -35,6 +35,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,33 +44,71 @@ from pyspark.sql import types as T
 from twinledger.llm.textblocks import _LOWER, _STEP, blocks, mix, prepare, text_bytes
 from twinledger.session import scratch_path
 
-ORDER = 3
+ORDER = 2
 #: Highest count that is discounted.
 DISCOUNTED = 5
 #: Bytes of text in a stored block, and n-grams of a table partition before equal ones are merged.
-STORED_BYTES = 16 << 20
-PART_ENTRIES = 1 << 21
+STORED_BYTES = 8 << 20
+PART_ENTRIES = 1 << 20
 #: The end token; no word holds a line end.
 END = b"\n"
 
 _ANSWER, _TABLE, _PARTIAL, _HOT = range(4)
 
 
-def _freeze(**arrays: np.ndarray | pa.Array) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(a) for a in arrays.values()], list(arrays))
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+# How a column is packed: by its smallest type, and as differences if it ascends.
+_TYPES = (np.dtype("u1"), np.dtype("<u2"), np.dtype("<u4"), np.dtype("<i8"), np.dtype("<f8"))
+_ASCENDING = 8
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, compressed. The few bytes around them matter: at scale a block asks
+    each partition for little."""
+    codes, parts = [], []
+    for values in columns:
+        code = 4 if values.dtype.kind == "f" else 3
+        if code == 3 and len(values):
+            if len(values) > 1 and (values[1:] >= values[:-1]).all():
+                values, code = np.diff(values, prepend=0), code | _ASCENDING
+            low, high = int(values.min()), int(values.max())
+            if low >= 0:
+                code = code & _ASCENDING | (0 if high < 1 << 8 else 1 if high < 1 << 16 else 2 if high < 1 << 32 else 3)
+        codes.append(code)
+        parts.append(values.astype(_TYPES[code & 7]).tobytes())
+    head = len(columns[0]).to_bytes(4, "little") + bytes(codes)
+    return head + pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def _unpack(payload: bytes, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    n, codes = int.from_bytes(payload[:4], "little"), payload[4 : 4 + len(names)]
+    size = sum(_TYPES[c & 7].itemsize for c in codes) * n
+    data = pa.decompress(payload[4 + len(names) :], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    out, at = {}, 0
+    for name, code in zip(names, codes):
+        kind = _TYPES[code & 7]
+        values = np.frombuffer(data, dtype=kind, count=n, offset=at)
+        at += kind.itemsize * n
+        if kind.kind != "f":
+            values = values.astype(np.int64)
+        out[name] = np.cumsum(values) if code & _ASCENDING else values
+    return out
+
 
+def _pack_words(words: pa.Array) -> bytes:
+    flat = b"".join(words.to_pylist())
+    return len(flat).to_bytes(8, "little") + pa.compress(flat, codec="zstd", asbytes=True)
 
-def _thaw(payload: bytes) -> dict[str, pa.Array]:
-    batch = next(iter(pa.ipc.open_stream(payload)))
-    return dict(zip(batch.schema.names, batch.columns))
 
+def _unpack_words(payload: bytes, sizes: np.ndarray) -> pa.Array:
+    size = int.from_bytes(payload[:8], "little")
+    flat = pa.decompress(payload[8:], decompressed_size=size, codec="zstd") if size else pa.py_buffer(b"")
+    offsets = np.zeros(len(sizes) + 1, dtype=np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), flat])
 
-def _numbers(payload: bytes) -> dict[str, np.ndarray]:
-    return {name: column.to_numpy(zero_copy_only=False) for name, column in _thaw(payload).items()}
+
+def _sizes(words: pa.Array) -> np.ndarray:
+    return pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -119,6 +158,7 @@ def _tokenised(docs: DataFrame, training: Column, stored_bytes: int) -> DataFram
             T.StructField("texts", T.BinaryType()),
             T.StructField("tokens", T.BinaryType()),
             T.StructField("words", T.BinaryType()),
+            T.StructField("word_counts", T.BinaryType()),
         ]
     )
 
@@ -135,13 +175,15 @@ def _tokenised(docs: DataFrame, training: Column, stored_bytes: int) -> DataFram
             nonlocal number, ids, train, sizes, tokens, words, held
             flat, flags = np.concatenate(tokens), np.concatenate(train)
             learned = flat[np.repeat(flags, sizes)]
+            spelled = pa.array(list(words), pa.binary())
             row = [
                 pa.array([number]),
                 pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)),
                 pa.array([len(flat)], pa.int64()),
-                pa.array([_freeze(train=flags, size=np.array(sizes, dtype=np.int64))], pa.binary()),
-                pa.array([_freeze(token=flat)], pa.binary()),
-                pa.array([_freeze(word=pa.array(list(words), pa.binary()), n=np.bincount(learned, minlength=len(words)))], pa.binary()),
+                pa.array([_pack(flags.astype(np.int64), np.array(sizes))], pa.binary()),
+                pa.array([_pack(flat)], pa.binary()),
+                pa.array([_pack_words(spelled)], pa.binary()),
+                pa.array([_pack(_sizes(spelled), np.bincount(learned, minlength=len(words)))], pa.binary()),
             ]
             number, ids, train, sizes, tokens, held = number + 1, [], [], [], [], 0
             words = defaultdict(count().__next__)
@@ -181,18 +223,18 @@ class Block:
         self.dealing = dealing
         self.number = batch.column("block")[i].as_py()
         self.ids = batch.column("doc_ids")[i].values
-        texts = _numbers(batch.column("texts")[i].as_py())
+        texts = _unpack(batch.column("texts")[i].as_py(), ("train", "size"))
         self.train, self.sizes = texts["train"].astype(bool), texts["size"]
-        self.token = _numbers(batch.column("tokens")[i].as_py())["token"].astype(np.int64)
+        self.token = _unpack(batch.column("tokens")[i].as_py(), ("token",))["token"]
         self.learned = np.repeat(self.train, self.sizes)
         self.place = np.arange(len(self.token)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         self.levels: list[Level] = []
-        words = _thaw(batch.column("words")[i].as_py())["word"]
+        words, _ = _words_of(batch, i)
         first = np.zeros(len(words), dtype=np.int64)
         first[self.token[::-1]] = np.arange(len(self.token))[::-1]
         part = dealing.words(words)
         order = np.argsort(part, kind="stable")
-        known = _merge(part[order], batch.column("answers1")[i].as_py(), ("id", "c"))
+        known = _merge(part[order], batch.column("answers1")[i].as_py(), _OF_WORD)
         back = np.argsort(order)
         self.levels.append(Level(first, self.token, {name: v[back] for name, v in known.items()}))
         n = 2
@@ -202,7 +244,7 @@ class Block:
 
     def _add(self, n: int, answers: list[dict], sums: list[dict]) -> None:
         first, at, order, part = self.requested(n)
-        known = _merge(part[order], answers, ("c", "z", "lower", *_FEW))
+        known = _merge(part[order], answers, _OF_GRAM)
         back = np.argsort(order)
         known = {name: v[back] for name, v in known.items()}
         # Sums of contexts that are dealt by whole n-grams come apart.
@@ -259,32 +301,43 @@ class Dealing:
         return np.where(context_count > 0, part, -1)
 
 
+def _words_of(batch: pa.RecordBatch, i: int) -> tuple[pa.Array, np.ndarray]:
+    """A block's words and their training counts."""
+    counts = _unpack(batch.column("word_counts")[i].as_py(), ("size", "n"))
+    return _unpack_words(batch.column("words")[i].as_py(), counts["size"]), counts["n"]
+
+
 _FEW = tuple(f"few{r}" for r in range(1, DISCOUNTED + 1))
-_REQUEST = "part long, block long, payload binary"
+_OF_WORD, _OF_GRAM, _OF_CONTEXT = ("id", "c"), ("c", "z"), ("lower", *_FEW)
+_ASKED = ("n", "many", "above", "below")
+_REQUEST = "part long, block long, payload binary, words binary"
 # Answers to blocks; table partitions with their counts of counts; partial sums of contexts
 # dealt by whole n-grams; and who asks for those sums.
-_REPLY = "kind int, part long, block long, payload binary, sums binary, context array<long>, few array<long>, lower double"
+_REPLY = "kind int, part long, block long, payload binary, sums binary, words binary, context array<long>, few array<long>, lower double"
 
 
 def _merge(part: np.ndarray, answers: list[dict], names: tuple[str, ...]) -> dict[str, np.ndarray]:
     """Answers of all partitions, in the order sent; zeros where nothing was asked."""
-    out = {name: np.zeros(len(part), dtype=np.float64 if name == "lower" else np.int64) for name in names}
+    out = {name: np.zeros(len(part), dtype=np.int64) for name in names}
+    if names != _OF_WORD:
+        out |= {name: np.zeros(len(part), dtype=np.float64 if name == "lower" else np.int64) for name in _OF_CONTEXT}
     for answer in answers:
         low, high = np.searchsorted(part, [answer["part"], answer["part"] + 1])
-        found = _numbers(answer["payload"])
+        found = _unpack(answer["payload"], names)
         for name, values in found.items():
             out[name][low:high] = values
         if answer["sums"]:
             # Sent for n-grams that training texts do not have: the others need none.
             missing = low + np.flatnonzero(found["c"] == 0)
-            for name, values in _numbers(answer["sums"]).items():
+            for name, values in _unpack(answer["sums"], _OF_CONTEXT).items():
                 out[name][missing] = values
     return out
 
 
-def _request(part: int, block: int, payload: bytes) -> pa.RecordBatch:
-    columns = [pa.array([part]), pa.array([block]), pa.array([payload], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["part", "block", "payload"])
+def _requests(block: int, rows: list[tuple[int, bytes, bytes | None]]) -> pa.RecordBatch:
+    columns = [[p for p, _, _ in rows], [block] * len(rows), [x for _, x, _ in rows], [w for _, _, w in rows]]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "block", "payload", "words"])
 
 
 def _stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -296,7 +349,7 @@ def _stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def _replies(rows: list[dict]) -> pa.Table:
     types = {
-        "kind": pa.int32(), "part": pa.int64(), "block": pa.int64(), "payload": pa.binary(), "sums": pa.binary(),
+        "kind": pa.int32(), "part": pa.int64(), "block": pa.int64(), "payload": pa.binary(), "sums": pa.binary(), "words": pa.binary(),
         "context": pa.list_(pa.int64()), "few": pa.list_(pa.int64()), "lower": pa.float64(),
     }
     return pa.Table.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in types.items()], list(types))
@@ -314,15 +367,16 @@ def _word_requests(stored: DataFrame, dealing: Dealing) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                asked = _thaw(batch.column("words")[i].as_py())
-                part = dealing.words(asked["word"])
+                words, n = _words_of(batch, i)
+                part = dealing.words(words)
                 order = np.argsort(part, kind="stable")
+                rows = []
                 for p, s, e in _stretches(part[order]):
-                    rows = pa.array(order[s:e])
-                    payload = _freeze(word=asked["word"].take(rows), n=asked["n"].take(rows))
-                    yield _request(p, batch.column("block")[i].as_py(), payload)
+                    mine = words.take(pa.array(order[s:e]))
+                    rows.append((p, _pack(_sizes(mine), n[order[s:e]]), _pack_words(mine)))
+                yield _requests(batch.column("block")[i].as_py(), rows)
 
-    return stored.select("block", "words").mapInArrow(run, _REQUEST)
+    return stored.select("block", "words", "word_counts").mapInArrow(run, _REQUEST)
 
 
 def _count_words(parts: int) -> Callable[[pa.Table], pa.Table]:
@@ -331,17 +385,19 @@ def _count_words(parts: int) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        asked = [_thaw(p) for p in table.column("payload").to_pylist()]
-        encoded = pa.concat_arrays([a["word"] for a in asked]).dictionary_encode()
+        asked = [_unpack(p, ("size", "n")) for p in table.column("payload").to_pylist()]
+        spelled = [_unpack_words(w, a["size"]) for w, a in zip(table.column("words").to_pylist(), asked)]
+        encoded = pa.concat_arrays(spelled).dictionary_encode()
         row = encoded.indices.to_numpy().astype(np.int64)
         counts = np.zeros(len(encoded.dictionary), dtype=np.int64)
-        np.add.at(counts, row, np.concatenate([a["n"].to_numpy() for a in asked]))
+        np.add.at(counts, row, np.concatenate([a["n"] for a in asked]))
         seen = np.flatnonzero(counts)
-        words = _freeze(word=encoded.dictionary.take(pa.array(seen)), id=seen * parts + part, n=counts[seen])
-        rows = [{"kind": _TABLE, "part": part, "payload": words, "few": _counts_of_counts(counts)}]
+        words = encoded.dictionary.take(pa.array(seen))
+        stored = _pack(_sizes(words), seen * parts + part, counts[seen])
+        rows = [{"kind": _TABLE, "part": part, "payload": stored, "words": _pack_words(words), "few": _counts_of_counts(counts)}]
         ends = np.cumsum([len(a["n"]) for a in asked]).tolist()
         for block, s, e in zip(table.column("block").to_pylist(), [0, *ends], ends):
-            payload = _freeze(id=row[s:e] * parts + part, c=counts[row[s:e]])
+            payload = _pack(row[s:e] * parts + part, counts[row[s:e]])
             rows.append({"kind": _ANSWER, "part": part, "block": block, "payload": payload})
         return _replies(rows)
 
@@ -364,15 +420,12 @@ def _gram_requests(asking: DataFrame, n: int, dealing: Dealing, total: int) -> D
                 short = last.at[first]
                 below = total if n == 2 else block.context_count(n - 1, first) + last.known["z"][short]
                 learned = np.bincount(at[block.learned & (at >= 0)], minlength=len(first))
-                columns = {f"w{k}": block.word_ids(first, n - 1 - k) for k in range(n)} | {
-                    "n": learned,
-                    "many": block.context_count(n, first),
-                    "above": np.where(learned > 0, last.known["c"][short], 0),
-                    "below": np.where(learned > 0, below, 0),
-                }
                 order = order[part[order] >= 0]
-                for p, s, e in _stretches(part[order]):
-                    yield _request(p, block.number, _freeze(**{name: v[order[s:e]] for name, v in columns.items()}))
+                columns = [block.word_ids(first, n - 1 - k)[order] for k in range(n)]
+                columns += [learned[order], block.context_count(n, first)[order]]
+                columns += [np.where(learned > 0, x, 0)[order] for x in (last.known["c"][short], below)]
+                rows = [(p, _pack(*(v[s:e] for v in columns)), None) for p, s, e in _stretches(part[order])]
+                yield _requests(block.number, rows)
 
     return asking.mapInArrow(run, _REQUEST)
 
@@ -384,8 +437,9 @@ def _count_grams(n: int, dealing: Dealing, shorter: Discounts) -> Callable[[pa.T
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        asked = [_numbers(p) for p in table.column("payload").to_pylist()]
-        column = {name: np.concatenate([a[name] for a in asked]) for name in asked[0]}
+        asked = [_unpack(p, (*names, *_ASKED)) for p in table.column("payload").to_pylist()]
+        ends = np.cumsum([len(a["n"]) for a in asked]).tolist()
+        column = {name: np.concatenate([a.pop(name) for a in asked]) for name in (*names, *_ASKED)}
         context = np.zeros(len(column["n"]), dtype=np.int64)
         for name in names[:-1]:
             _, context = np.unique(context * (int(column[name].max()) + 1) + column[name], return_inverse=True)
@@ -405,7 +459,7 @@ def _count_grams(n: int, dealing: Dealing, shorter: Discounts) -> Callable[[pa.T
         spare = (sum(few.values()) == 0) & ~hot
 
         kept = np.flatnonzero(counts)
-        grams = _freeze(**{name: column[name][first[kept]] for name in names}, n=counts[kept])
+        grams = _pack(*(column[name][first[kept]] for name in names), counts[kept])
         rows = [{"kind": _TABLE, "part": part, "payload": grams, "few": _counts_of_counts(counts)}]
         head = first[np.searchsorted(of, np.arange(size))]
 
@@ -415,7 +469,6 @@ def _count_grams(n: int, dealing: Dealing, shorter: Discounts) -> Callable[[pa.T
         for c in np.flatnonzero(hot).tolist():
             some = [int(few[name][c]) for name in _FEW]
             rows.append({"kind": _PARTIAL, "part": part, "context": spelled(c), "few": some, "lower": float(sums[c])})
-        ends = np.cumsum([len(a["n"]) for a in asked]).tolist()
         for block, s, e in zip(table.column("block").to_pylist(), [0, *ends], ends):
             mine, c = context[s:e], counts[gram[s:e]]
             missing = mine[c == 0]
@@ -423,8 +476,8 @@ def _count_grams(n: int, dealing: Dealing, shorter: Discounts) -> Callable[[pa.T
                 "kind": _ANSWER,
                 "part": part,
                 "block": block,
-                "payload": _freeze(c=c, z=spare[mine].astype(np.int8)),
-                "sums": _freeze(lower=sums[missing], **{name: few[name][missing] for name in _FEW}) if len(missing) else None,
+                "payload": _pack(c, spare[mine].astype(np.int64)),
+                "sums": _pack(sums[missing], *(few[name][missing] for name in _FEW)) if len(missing) else None,
             }
             rows.append(answer)
             rows += [{"kind": _HOT, "part": part, "block": block, "context": spelled(k)} for k in np.unique(mine[hot[mine]]).tolist()]
@@ -466,9 +519,8 @@ def _statistics(replies: DataFrame) -> list[int]:
 class Katz:
     """A trained model and its scores.
 
-    `tables[n - 1]`: rows of kind 1 hold the partitions of the table of n-grams in
-    `payload`, compressed Arrow columns (word numbers w0, w1, .. and n; for single words
-    word, id and n). `scores`: see `train_and_score`.
+    `tables[n - 1]` has the stored partitions of the table of n-grams of n words among its
+    rows; `rows` reads them. `scores`: see `train_and_score`.
     """
 
     total: int
@@ -477,8 +529,24 @@ class Katz:
     tables: list[DataFrame]
     scores: DataFrame
 
-    def table(self, n: int) -> DataFrame:
-        return self.tables[n - 1].where(F.col("kind") == _TABLE).select("part", "payload")
+    def rows(self, n: int) -> DataFrame:
+        """words (their numbers, or the word itself and its number for n = 1) and n, the training count."""
+        fields = "word string, id long, n long" if n == 1 else "words array<long>, n long"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for payload, words in zip(batch.column("payload").to_pylist(), batch.column("words").to_pylist()):
+                    if n == 1:
+                        found = _unpack(payload, ("size", "id", "n"))
+                        columns = [_unpack_words(words, found["size"]).cast(pa.string()), pa.array(found["id"])]
+                    else:
+                        found = _unpack(payload, (*(f"w{k}" for k in range(n)), "n"))
+                        flat = np.stack([found[f"w{k}"] for k in range(n)], axis=1).ravel()
+                        columns = [pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, n), pa.int32()), pa.array(flat))]
+                    columns.append(pa.array(found["n"]))
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "id", "n"] if n == 1 else ["words", "n"])
+
+        return self.tables[n - 1].where(F.col("kind") == _TABLE).select("payload", "words").mapInArrow(run, fields)
 
 
 def train_and_score(
