@@ -806,6 +806,39 @@ def join_count_default0(f: Fixtures) -> DataFrame:
     return joins.count_default_zero(f.key_list, f.index_docs, max_rows=0)
 
 
+QUADRIMESTER_LIST = "(SELECT key FROM stage WHERE quadrimester = '2018-T2')"
+
+
+@query(
+    "join_missing_reduced",
+    ("stage", "index_docs"),
+    f"SELECT DISTINCT key FROM {QUADRIMESTER_LIST} WHERE key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
+)
+def join_missing_reduced(f: Fixtures) -> DataFrame:
+    """A list too long to broadcast, far shorter than the index."""
+    return joins.missing_keys(filters.by_quadrimester(f.stage, "2018-T2").select("key"), f.index_docs, max_rows=0)
+
+
+@query(
+    "join_count_reduced",
+    ("stage", "index_docs"),
+    f""", n AS (SELECT key, COUNT(*) AS c FROM index_docs GROUP BY key)
+SELECT key, COALESCE(c, 0) AS count FROM (SELECT DISTINCT key FROM {QUADRIMESTER_LIST}) LEFT JOIN n USING (key)""",
+)
+def join_count_reduced(f: Fixtures) -> DataFrame:
+    return joins.count_default_zero(filters.by_quadrimester(f.stage, "2018-T2").select("key"), f.index_docs, max_rows=0)
+
+
+@query(
+    "flt_terms_reduced",
+    ("stage", "index_docs"),
+    f"SELECT doc_id, key FROM index_docs WHERE key IN {QUADRIMESTER_LIST}",
+)
+def flt_terms_reduced(f: Fixtures) -> DataFrame:
+    keys = filters.by_quadrimester(f.stage, "2018-T2").select("key")
+    return filters.with_listed_keys(f.index_docs, keys, max_rows=0).select("doc_id", "key")
+
+
 @query(
     "join_phrase",
     ("index_docs", "id_list"),
@@ -1162,6 +1195,41 @@ def pipe_source_multiplicity(f: Fixtures) -> DataFrame:
     return plans.source_multiplicity(f.id_list, f.index_docs, max_rows=0)
 
 
+def _postings(f: Fixtures) -> DataFrame:
+    """The marker index over stored documents, grown in two steps."""
+    docs, root = scratch_path(f.spark, "index-docs"), scratch_path(f.spark, "markers")
+    half = F.xxhash64("doc_id") % 2 == 0
+    for part in (half, ~half):
+        f.index_docs.where(part).write.mode("append").parquet(docs)
+        sources.grow_markers(f.spark, docs, root)
+    return sources.read_markers(f.spark, root, docs)
+
+
+POSTINGS_SQL = " UNION ALL ".join(
+    f"SELECT '{marker}' AS marker, UNNEST({values}) AS value, doc_id, key, start_ts, archived_ts FROM index_docs"
+    for marker, values in (("X-SOURCE-ID", SRC_VALUES), ("X-REPORTING-ENTITY", ENT_VALUES))
+)
+
+
+@query(
+    "src_markers",
+    ("index_docs",),
+    f"SELECT marker, value, doc_id, key, {micros('start_ts')} AS start_ts, {micros('archived_ts')} AS archived_ts "
+    f"FROM ({POSTINGS_SQL})",
+)
+def src_markers(f: Fixtures) -> DataFrame:
+    return _postings(f).select("marker", "value", "doc_id", "key", _micros("start_ts"), _micros("archived_ts"))
+
+
+@query(
+    "pipe_source_multiplicity_indexed",
+    ("index_docs", "id_list"),
+    f", {CLASSIFIED} SELECT source_id, n, outcome FROM classified",
+)
+def pipe_source_multiplicity_indexed(f: Fixtures) -> DataFrame:
+    return plans.source_multiplicity(f.id_list, _postings(f), max_rows=0)
+
+
 @query(
     "pipe_key_multiplicity",
     ("index_docs", "key_list"),
@@ -1211,6 +1279,15 @@ def pipe_reconcile_exact(f: Fixtures) -> DataFrame:
     return plans.reconcile_exact(f.index_docs, f.stage, ENTITY, YEARS)
 
 
+@query(
+    "pipe_reconcile_exact_indexed",
+    ("stage", "index_docs"),
+    f", {EXACT_SQL} {_one_sided_sql('month', 'true')}",
+)
+def pipe_reconcile_exact_indexed(f: Fixtures) -> DataFrame:
+    return plans.reconcile_exact(_postings(f), f.stage, ENTITY, YEARS)
+
+
 THRESHOLD = 20  # low enough that the test data is drilled through several levels
 
 
@@ -1266,10 +1343,7 @@ def agg_level_stats(f: Fixtures) -> DataFrame:
     return aggregates.level_stats(result.mismatches, result.outstanding)
 
 
-@query(
-    "pipe_source_lookup",
-    ("stage", "index_docs", "id_list"),
-    f""", {PAIRS},
+LOOKUP_SQL = f""", {PAIRS},
 p AS (SELECT source_id, key, {KEY_QUAD} AS quadrimester FROM pairs WHERE key IS NOT NULL
   AND source_id IN (SELECT source_id FROM id_list)),
 c AS (SELECT source_id, quadrimester, COUNT(*) AS n FROM stage WHERE reporting_entity = '{ENTITY}' GROUP BY 1, 2)
@@ -1280,12 +1354,19 @@ SELECT p.source_id, key, p.quadrimester, CASE WHEN p.quadrimester IS NOT NULL TH
 FROM p LEFT JOIN c ON p.source_id = c.source_id AND p.quadrimester = c.quadrimester
 UNION ALL
 SELECT DISTINCT source_id, NULL, NULL, NULL, NULL, NULL, 'unresolved' FROM id_list
-WHERE source_id NOT IN (SELECT source_id FROM p)""",
-)
+WHERE source_id NOT IN (SELECT source_id FROM p)"""
+
+
+@query("pipe_source_lookup", ("stage", "index_docs", "id_list"), LOOKUP_SQL)
 def pipe_source_lookup(f: Fixtures) -> DataFrame:
     return plans.lookup_sources(f.id_list, f.index_docs, f.stage, ENTITY)
 
 
+@query("pipe_source_lookup_indexed", ("stage", "index_docs", "id_list"), LOOKUP_SQL)
+def pipe_source_lookup_indexed(f: Fixtures) -> DataFrame:
+    return plans.lookup_sources(f.id_list, _postings(f), f.stage, ENTITY)
+
+
 @query("pipe_dedup_month", ("stage",), f", {DEDUP} SELECT * FROM dedup")
 def pipe_dedup_month(f: Fixtures) -> DataFrame:
     return _dedup(f)

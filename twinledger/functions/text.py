@@ -46,8 +46,13 @@ def classify(n: Column) -> Column:
 
 
 def marker_pattern(marker: str) -> str:
-    """Not part of a longer name, and with its value on the same line."""
-    return r"(?:^|[^A-Za-z0-9_-])" + re.escape(marker) + r":[ \t]*(\S+)"
+    """Not part of a longer name, and with its value on the same line.
+
+    The literal comes first, which lets the engine search for it as a string; what
+    stands before it is looked at only where it was found.
+    """
+    name = re.escape(marker) + ":"
+    return name + r"(?<![A-Za-z0-9_-]" + name + r")[ \t]*(\S+)"
 
 
 def extract_marker(content: Column, marker: str = SOURCE_MARKER) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import ENTITY_MARKER, SOURCE_MARKER, expand_years, extract_marker
+from twinledger.operators import postings
 from twinledger.operators.lists import NARROW_ROWS, keep_listed
 
 
@@ -39,10 +40,22 @@ def in_window_ms(docs: DataFrame, start, end_exclusive) -> DataFrame:
     that precision this is the half-open window, and stays a plain range that
     reaches the scan.
     """
+    if postings.are(docs):
+        docs = _in_months(docs, start, end_exclusive)
     return in_window(docs, F.col("start_ts"), start, end_exclusive)
 
 
+def _in_months(found: DataFrame, start, end_exclusive) -> DataFrame:
+    """Folders of postings that a range of start times can touch."""
+    month = F.col("month")
+    if start is not None:
+        found = found.where(month >= F.date_format(_ts(start), "yyyy-MM"))
+    return found if end_exclusive is None else found.where(month <= F.date_format(_ts(end_exclusive), "yyyy-MM"))
+
+
 def _in_range(docs: DataFrame, column: str, start, end_exclusive) -> DataFrame:
+    if column == "start_ts" and postings.are(docs):
+        docs = _in_months(docs, start, end_exclusive)
     if start is not None:
         docs = docs.where(F.col(column) >= _ts(start))
     return docs if end_exclusive is None else docs.where(F.col(column) < _ts(end_exclusive))
@@ -63,13 +76,16 @@ def with_listed_keys(
     docs: DataFrame, keys: DataFrame, max_rows: int = NARROW_ROWS
 ) -> DataFrame:
     """Documents whose key is listed."""
-    return keep_listed(docs, keys, ["key"], max_rows)
+    return keep_listed(docs, keys, ["key"], max_rows, reduce=True)
 
 
 def _has_marker(docs: DataFrame, marker: str, value: str) -> DataFrame:
-    # The byte search is cheap and rules out most texts before the pattern runs.
+    if postings.are(docs):
+        return postings.of_marker(docs, marker).where(F.col("value") == F.lit(value)).drop("value")
+    # The byte searches are cheap and rule out most texts before the pattern runs.
     return docs.where(
-        F.contains(F.col("content"), F.lit(value))
+        F.contains(F.col("content"), F.lit(f"{marker}:"))
+        & F.contains(F.col("content"), F.lit(value))
         & F.array_contains(extract_marker(F.col("content"), marker), F.lit(value))
     )
 

@@ -12,20 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions import SOURCE_MARKER, extract_marker, key_month
-from twinledger.operators import aggregates
-from twinledger.operators.lists import NARROW_ROWS, keep_listed, narrow, prune
+from twinledger.operators import aggregates, postings
+from twinledger.operators.lists import NARROW_ROWS, keep_listed, keep_possible, narrow, prune
 from twinledger.session import materialize
 
 
 def searched(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
     """Keys of the documents that a list can match, repeats included.
 
-    Index data stored by `key_month` is read for the listed months only; a list
-    short enough to broadcast filters the documents in the scan.
+    Index data stored by `key_month` is read for the listed months only. A list
+    short enough to broadcast filters the documents in the scan, a longer one through a
+    Bloom filter if it is much shorter than the index.
     """
     if "key_month" in docs.columns:
         docs = prune(docs, "key_month", keys.select(key_month(F.col("key"))))
-    return narrow(docs.select("key").where(F.col("key").isNotNull()), keys, ["key"], max_rows)
+    return keep_possible(docs.select("key").where(F.col("key").isNotNull()), keys, ["key"], max_rows, docs)
 
 
 def index_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
@@ -62,7 +63,12 @@ def count_default_zero(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_
 
 
 def source_pairs(docs: DataFrame, marker: str = SOURCE_MARKER) -> DataFrame:
-    """(source_id, document) for every id named in a text: one pass, all ids."""
+    """(source_id, document) for every id named in a text: one pass, all ids.
+
+    `docs` may be stored postings (`sources.read_markers`) in place of texts.
+    """
+    if postings.are(docs):
+        return postings.of_marker(docs, marker).withColumnRenamed("value", "source_id")
     return docs.withColumn("source_id", F.explode(extract_marker(F.col("content"), marker))).drop(
         "content"
     )

@@ -57,9 +57,7 @@ def lookup_sources(
     texts is the costly part and three later steps need the pairs.
     """
     listed = ids.select("source_id").distinct()
-    texts = filters.with_text_key(filters.in_start_range(docs, start, end_exclusive)).select(
-        "doc_id", "key", "content"
-    )
+    texts = filters.with_text_key(filters.in_start_range(docs, start, end_exclusive))
     pairs = joins.phrase_pairs(listed, texts, marker, max_rows)
     if keys_per_id is not None:
         pairs = windows.limit_per_id(pairs, keys_per_id)

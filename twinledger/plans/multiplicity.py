@@ -34,8 +34,9 @@ def source_multiplicity(
     archiving time. All texts are searched once for all ids. Documents are counted per id before
     the join, so an id named in most texts crosses the shuffle as a few rows.
     """
-    dated = filters.in_archived_range(docs, archived_from, archived_before).select("content")
-    pairs = narrow(joins.source_pairs(dated, marker), ids, ["source_id"], max_rows)
+    dated = filters.in_archived_range(docs, archived_from, archived_before)
+    pairs = joins.source_pairs(dated, marker).select("source_id")
+    pairs = narrow(pairs, ids, ["source_id"], max_rows)
     counts = aggregates.count_by_source(pairs)
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     return (

@@ -9,6 +9,7 @@ from twinledger.sources.ledger import (
     read_ledger,
     read_outcomes,
 )
+from twinledger.sources.markers import grow_markers, read_markers
 from twinledger.sources.readers import (
     ID_HEADERS,
     KEY_COUNT_HEADERS,
@@ -43,6 +44,7 @@ __all__ = [
     "current_outcomes",
     "done_keys",
     "failed_batches",
+    "grow_markers",
     "ledger_union",
     "locate_lines",
     "mark_done",
@@ -53,6 +55,7 @@ __all__ = [
     "read_index",
     "read_key_list",
     "read_ledger",
+    "read_markers",
     "read_outcomes",
     "read_stage",
     "repair_table",
