@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import types as T
 
+TEMPORARY = ("__id", "__key", "__removed", "__lines", "__f", "__kept", "__w", "__n_words", "__node", "__digest", "__found", "__h")
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -15,6 +16,7 @@ SCHEMA = T.StructType(
         T.StructField("id", T.StringType()),
         T.StructField("found", T.StringType()),
         T.StructField("score", T.DoubleType()),
+        *(T.StructField(name, T.StringType()) for name in TEMPORARY),
     ]
 )
 
@@ -46,7 +48,7 @@ def rows() -> list[tuple]:
         (12, "short"),
         (12, "another text of the same id"),
     ]
-    return [(i, t, "en", "s", len(t or ""), "a", "b", 0.5) for i, t in texts]
+    return [(i, t, "en", "s", len(t or ""), "a", "b", 0.5, *TEMPORARY) for i, t in texts]
 
 
 def documents(spark):

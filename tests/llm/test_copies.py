@@ -241,6 +241,14 @@ def test_blocks_guarantee_three_bits():
         assert len({b // 32 for b in bits.tolist()}) < linededup.BLOCKS
 
 
+def test_line_dedup_runs_on_its_own_output(odd):
+    once = linededup.drop_repeated_lines(odd, whole=True)
+    again = linededup.drop_repeated_lines(once, whole=True)
+    assert again.columns == once.columns
+    assert {(r.doc_id, r.text) for r in again.collect()} == {(r.doc_id, r.text) for r in once.collect()}
+    assert {r[0] for r in again.select("__removed").distinct().collect()} == {0}
+
+
 def test_odd_documents_lose_repeated_lines_only(odd, empty):
     left = linededup.drop_repeated_lines(odd).select(*odd.columns).collect()
     assert len(left) == len(cases.rows())

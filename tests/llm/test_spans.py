@@ -1,6 +1,8 @@
 """Secrets and personal data against the plain patterns."""
 
 import hashlib
+import math
+import random
 import re
 
 import cases
@@ -138,6 +140,50 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[200] == "nobody else" and clean[201] is None
 
 
+def test_an_entity_of_every_document_reveals_nothing(spark):
+    texts = [f"write to all@one.example about item{i} and token{i % 2}" for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.find_personal_data(docs).collect():
+        assert [s.kind for s in row.found] == ["email"]
+
+
+@pytest.mark.parametrize("sent", [0, 1, pii.TERMS_SENT])
+def test_terms_against_all_pairs(spark, monkeypatch, sent):
+    """PMI of every entity and term over all documents, whichever way terms are counted."""
+    monkeypatch.setattr(pii, "TERMS_SENT", sent)
+    r = random.Random(11)
+    texts = []
+    for _ in range(160):
+        said = [f"word{int(r.paretovariate(0.7)) % 60}" for _ in range(12)]
+        who = r.randrange(14)
+        if who < 9:
+            said.insert(r.randrange(12), f"p{who}@corp.example")
+            said += [f"clue{who}"] if r.random() < 0.9 else []
+        if who in (2, 5):
+            said.append("p1@corp.example")
+        texts.append(" ".join(said))
+    texts += texts[:9]
+    holds = [({w for w in t.split(" ") if "@" in w}, {w for w in t.split(" ") if "@" not in w}) for t in texts]
+    n, wanted = len(texts), {}
+    for who in {e for es, _ in holds for e in es}:
+        mine = [i for i, (es, _) in enumerate(holds) if who in es]
+        for term in {w for i in mine for w in holds[i][1]}:
+            both = [i for i in mine if term in holds[i][1]]
+            if len(both) < pii.LEAST_TOGETHER or len({texts[i] for i in both}) < 2:
+                continue
+            n_term = sum(term in ts for _, ts in holds)
+            share = math.log2(len(both) * n / (len(mine) * n_term)) / math.log2(n / len(mine))
+            if share >= pii.GENERALISE_AT:
+                for i in both:
+                    wanted.setdefault(i, {}).setdefault(term, []).append(share)
+    assert 0 < sum(map(len, wanted.values())) < sum(len(ts) for _, ts in holds) / 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.find_personal_data(docs).collect():
+        found = {texts[row.doc_id][s.start : s.end]: s.kind for s in row.found if s.kind in ("removed", "generalised")}
+        mine = wanted.get(row.doc_id, {})
+        assert found == {t: "removed" if max(x) >= pii.REMOVE_AT else "generalised" for t, x in mine.items()}
+
+
 def test_terms_anywhere_in_the_document_reveal_an_entity(spark):
     """A heading far above an address is removed in every document that has both."""
     filler = [cases.prose(i, 40) for i in range(60)]

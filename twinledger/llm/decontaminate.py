@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.llm.linededup import common_words
-from twinledger.llm.textblocks import Words, blocks, prepare, text_bytes, words
+from twinledger.llm.textblocks import blocks, prepare, set_aside, text_bytes, words, Words
 from twinledger.session import materialize
 
 STRIDE = 16
@@ -371,4 +371,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = 0) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows whose doc_id has a leak in any of its texts."""
     bad = materialize(_text_leaks(docs, benchmark, 0).select(F.col("doc_id").alias("__id")).distinct(), "leaking")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    return set_aside(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").toDF(*docs.columns)

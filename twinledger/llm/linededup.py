@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.llm.links import Features, Similarity, components, linked_groups
-from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, signed, text_bytes, unspaced, words
+from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, set_aside, signed, text_bytes, unspaced, words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
@@ -370,18 +370,21 @@ def drop_repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
 
     Lines end at \\n. Lines of fewer than five words (unless `whole`), lines without
     a word, null texts and texts without repeated lines stay as they are; a text whose lines all occur
-    elsewhere becomes empty. The column `__removed` tells how many lines went.
+    elsewhere becomes empty. The column `__removed` tells how many lines went; one that
+    `docs` has by that name is replaced.
     `whole` finds every pair of similar lines, not only those that share a block
     of their SimHash, and exact repeats of lines of any length.
     """
+    docs = docs.drop("__removed")
     dropped = materialize(repeated_lines(docs, whole), "dropped-lines")
     n_docs, n_lines = dropped.agg(F.count("*"), F.sum(F.size("lines"))).first()
     if n_docs <= DOCS_SENT and (n_lines or 0) <= NUMBERS_SENT:
         dropped = F.broadcast(dropped)
     dropped = dropped.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), F.col("lines").alias("__lines"))
     match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    joined = docs.join(dropped, match, "left").select(
-        *docs.columns, F.coalesce(F.size("__lines"), F.lit(0)).alias("__removed"), "__lines"
+    plain = set_aside(docs)
+    joined = plain.join(dropped, match, "left").select(
+        *plain.columns, F.coalesce(F.size("__lines"), F.lit(0)).alias("__removed"), "__lines"
     )
     schema = T.StructType([f for f in joined.schema.fields if f.name != "__lines"])
-    return joined.mapInArrow(_without_lines, schema)
+    return joined.mapInArrow(_without_lines, schema).toDF(*docs.columns, "__removed")

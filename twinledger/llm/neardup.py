@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.llm.links import Similarity, linked_groups
-from twinledger.llm.textblocks import _STEP, Words, blocks, mix, prepare, runs_of, signed, text_bytes, words
+from twinledger.llm.textblocks import _STEP, blocks, mix, prepare, runs_of, set_aside, signed, text_bytes, words, Words
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
@@ -196,7 +196,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class: all columns of `docs`, rows repeated in doc_id and text once."""
     kept = near_duplicates(docs).where("kept and node is not null")
     kept = materialize(kept.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct(), "kept")
-    marked = docs.withColumn("__digest", F.md5(F.col("text").cast("binary")))
+    plain = set_aside(docs)
+    marked = plain.withColumn("__digest", F.md5(F.col("text").cast("binary")))
     match = (F.col("__digest") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    known = marked.join(kept, match).dropDuplicates(["__node", "__id"]).select(*docs.columns)
+    known = marked.join(kept, match).dropDuplicates(["__node", "__id"]).select(*plain.columns)
+    known = known.toDF(*docs.columns)
     return known.unionByName(docs.where("text is null"))

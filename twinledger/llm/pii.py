@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.textblocks import blocks, prepare, signed, text_bytes, words
+from twinledger.llm.textblocks import blocks, prepare, set_aside, signed, text_bytes, words
 from twinledger.session import materialize
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -189,8 +189,9 @@ def _pair_up(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> It
                         pa.array(signed(np.full(len(first), h, dtype=np.uint64))),
                         terms,
                         places,
+                        pa.array(np.full(len(first), h == held[0])),
                     ],
-                    ["doc_id", "digest", "entity", "term", "places"],
+                    ["doc_id", "digest", "entity", "term", "places", "first"],
                 )
 
 
@@ -239,7 +240,8 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def entity_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, digest, entity, term, places: entities of two texts or more with all terms of their documents."""
+    """doc_id, digest, entity, term, places, first: entities of two texts or more with all terms of
+    their documents; `first` marks one entity of each document."""
     of_entity = found.select("digest", F.explode("entities").alias("entity")).groupBy("entity")
     shared = of_entity.agg((F.min("digest") != F.max("digest")).alias("varied")).where("varied").select("entity")
     shared = materialize(shared, "shared-entities")
@@ -248,7 +250,7 @@ def entity_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
         sent = docs.sparkSession.sparkContext.broadcast(shared.toArrow().column("entity").to_numpy().view(np.uint64))
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
-        + T._parse_datatype_string(f"digest bigint, entity bigint, term bigint, places array<{_PLACE}>").fields
+        + T._parse_datatype_string(f"digest bigint, entity bigint, term bigint, places array<{_PLACE}>, first boolean").fields
     )
     pairs = docs.mapInArrow(lambda batches: _pair_up(batches, None if sent is None else sent.value), schema)
     return pairs if sent is not None else pairs.join(shared, "entity", "left_semi")
@@ -264,8 +266,16 @@ def disclosing_terms(found: DataFrame, pairs: DataFrame, docs: DataFrame) -> Dat
     )
     together = materialize(together, "together")
     of_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # An entity of every document has no information; nor have its terms a share of it.
+    together = together.join(of_entity.where(F.col("n_entity") < n_docs), "entity")
+    # A share s means n_term <= n_both * (N / n_entity) ** (1 - s). The documents of `pairs` that
+    # hold a term are no more than all that do, so most common words need no count at all.
+    least = pairs.where("first").groupBy("term").agg(F.count("*").alias("n_least"))
+    most = F.col("n_both") * F.pow(F.lit(float(n_docs)) / F.col("n_entity"), F.lit(1 - GENERALISE_AT))
+    together = together.join(least, "term", "left").where((F.col("n_least") <= most * (1 + 1e-9)) | F.col("n_least").isNull())
+    together = materialize(together, "may-reveal")
     of_term = term_counts(docs, materialize(together.select("term").distinct(), "near-terms"))
-    joined = together.join(of_entity, "entity").join(of_term.withColumnRenamed("n", "n_term"), "term")
+    joined = together.join(of_term.withColumnRenamed("n", "n_term"), "term")
     information = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
     pmi = F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_entity") * F.col("n_term")))
     return joined.select("entity", "term", (pmi / information).alias("share")).where(f"share >= {GENERALISE_AT}")
@@ -333,4 +343,6 @@ def sanitise(docs: DataFrame) -> DataFrame:
     found = find_personal_data(docs).where("size(found) > 0").dropDuplicates(["doc_id", "digest"])
     found = found.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), F.col("found").alias("__found"))
     match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    return docs.join(found, match, "left").select(*docs.columns, "__found").mapInArrow(_replace, docs.schema)
+    plain = set_aside(docs)
+    found_in = plain.join(found, match, "left").select(*plain.columns, "__found")
+    return found_in.mapInArrow(_replace, plain.schema).toDF(*docs.columns)

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.llm.textblocks import set_aside
 from twinledger.session import materialize
 
 # Blanks of the word pattern [^\x20\x09-\x0D]+ and the symbols counted (fixed values).
@@ -124,7 +125,8 @@ def with_features(docs: DataFrame) -> DataFrame:
         "n_upper": chars - F.length(F.regexp_replace(dense, r"\p{Lu}+", "")),
         "n_marks": F.length(F.regexp_replace(dense, r"\p{L}+", "")).cast("bigint"),
     }
-    counted = docs.withColumns(cut).withColumns({f"__{name}": value for name, value in counts.items()})
+    plain = set_aside(docs)
+    counted = plain.withColumns(cut).withColumns({f"__{name}": value for name, value in counts.items()})
     c = {name: F.col(f"__{name}") for name in counts}
 
     def share(top: Column, bottom: Column) -> Column:
@@ -142,7 +144,7 @@ def with_features(docs: DataFrame) -> DataFrame:
         share(c["n_dup_lines"], c["n_lines"]).alias("dup_line_share"),
         share(c["n_words"], c["n_lines"]).alias("words_per_line"),
     )
-    return counted.select(*docs.columns, features.alias("__f"))
+    return counted.select(*plain.columns, features.alias("__f")).toDF(*docs.columns, "__f")
 
 
 @dataclass(frozen=True)
@@ -274,8 +276,9 @@ def judged(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None)
     and `__kept` (neither they nor the learned list reject).
 
     Features are computed once and stored beside the columns; learning reads the
-    features alone.
+    features alone. Columns that `docs` has by one of these names are replaced.
     """
+    docs = docs.drop("__f", "__failed", "__kept")
     featured = with_features(docs).select(*(columns or docs.columns), "__f")
     featured = materialize(featured, "featured")
     found = learn_from(featured, labels)
@@ -286,4 +289,5 @@ def judged(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None)
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that the base rules and the learned list keep, with the columns of `docs`."""
-    return judged(docs, labels).where("__kept").select(*docs.columns)
+    plain = set_aside(docs)
+    return judged(plain, labels).where("__kept").select(*plain.columns).toDF(*docs.columns)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from twinledger import configure
 
@@ -28,6 +28,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def set_aside(docs: DataFrame) -> DataFrame:
+    """`docs` with all columns but doc_id and text under names that no operator uses.
+
+    Columns keep their places: `toDF(*docs.columns)` gives their names back.
+    """
+    return docs.toDF(*(c if c in ("doc_id", "text") else f"aside{i}" for i, c in enumerate(docs.columns)))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))
