@@ -1279,6 +1279,15 @@ def pipe_reconcile_exact(f: Fixtures) -> DataFrame:
     return plans.reconcile_exact(f.index_docs, f.stage, ENTITY, YEARS)
 
 
+@query(
+    "pipe_reconcile_sketched",
+    ("stage", "index_docs"),
+    f", {EXACT_SQL} {_one_sided_sql('month', 'true')}",
+)
+def pipe_reconcile_sketched(f: Fixtures) -> DataFrame:
+    return plans.reconcile_sketched(f.index_docs, f.stage, ENTITY, YEARS)
+
+
 @query(
     "pipe_reconcile_exact_indexed",
     ("stage", "index_docs"),

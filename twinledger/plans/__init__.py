@@ -11,6 +11,7 @@ from twinledger.plans.reconciliation import (
     mistagged_rows,
     reconcile,
     reconcile_exact,
+    reconcile_sketched,
     run_reconcile,
     undated_rows,
 )
@@ -30,6 +31,7 @@ __all__ = [
     "mistagged_rows",
     "reconcile",
     "reconcile_exact",
+    "reconcile_sketched",
     "replay",
     "run_key_multiplicity",
     "run_reconcile",

@@ -28,7 +28,8 @@ from twinledger.functions import (
     year_month,
 )
 from twinledger.functions.calendar import SPECIAL_BUCKETS
-from twinledger.operators import filters, joins
+from twinledger.operators import filters, joins, sketches
+from twinledger.operators.lists import NARROW_ROWS
 from twinledger.session import materialize
 from twinledger.sources import mark_done, params_hash, read_ledger
 from twinledger.sources.ledger import read_if_present
@@ -56,7 +57,14 @@ class Reconciliation:
 def _combined(
     docs: DataFrame, stage: DataFrame, entity: str, years: list[int], marker: str
 ) -> DataFrame:
-    """second, key, docs, lake_any, lake_exact.
+    """second, key, docs, lake_any, lake_exact: a row per second and key."""
+    return _by_key(_stacked(docs, stage, entity, years, marker), F.col("second"), "second")
+
+
+def _stacked(
+    docs: DataFrame, stage: DataFrame, entity: str, years: list[int], marker: str
+) -> DataFrame:
+    """Rows of both copies: second, key, docs, lake_any, lake_exact.
 
     lake_any: some row of that year's quadrimesters. lake_exact: some row of
     exactly the quadrimester its time falls in. The month level counts the
@@ -85,7 +93,7 @@ def _combined(
             (F.col("quadrimester") == quadrimester_of(ts)).alias("lake_exact"),
         )
     )
-    return _by_key(left.unionByName(right), F.col("second"), "second")
+    return left.unionByName(right)
 
 
 def _by_key(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
@@ -226,6 +234,42 @@ def reconcile_exact(
     return _one_sided(_by_key(rows, bucket_start(level, F.col("second"))), level, sides)
 
 
+def reconcile_sketched(
+    docs: DataFrame,
+    stage: DataFrame,
+    entity: str,
+    years: list[int],
+    level: str = "month",
+    marker: str = ENTITY_MARKER,
+    sides: tuple[str, str] = (INDEX_SIDE, LAKE_SIDE),
+    max_rows: int = NARROW_ROWS,
+    first_cells: int = sketches.FIRST_CELLS,
+    most_cells: int = sketches.MOST_CELLS,
+) -> DataFrame:
+    """What `reconcile_exact` gives, for copies that differ in little.
+
+    Both copies' rows are stored as they are, bucket by bucket sketched against each
+    other, and only keys that a sketch names are compared. A key that one side holds
+    more often than the other is named too, and dropped by that comparison. Buckets
+    with too many differences for a sketch are compared whole.
+    """
+    held = F.col("key").isNotNull() & ((F.col("docs") > 0) | F.col("lake_exact"))
+    a, b = sketches.hashes(F.col("key"))
+    rows = _stacked(docs, stage, entity, years, marker).where(held).select(
+        bucket_start(level, F.col("second")).alias("bucket"),
+        *("key", "docs", "lake_any", "lake_exact"),
+        F.when(F.col("docs") > 0, 1).otherwise(-1).cast("bigint").alias("sign"),
+    )
+    rows = materialize(rows, "both-copies")
+    found, stuck = sketches.differences(rows.select("bucket", "key", "sign"), first_cells, most_cells)
+    hashed = rows.select("*", a.alias("a"), b.alias("b"))
+    if found.count() <= max_rows:
+        found = F.broadcast(found)
+    named = hashed.join(found, ["bucket", "a", "b"], "left_semi").drop("a", "b")
+    whole = rows.join(stuck, "bucket", "left_semi")
+    return _one_sided(_by_key(named.unionByName(whole), F.col("bucket")), level, sides)
+
+
 def mistagged_rows(stage: DataFrame) -> DataFrame:
     """Lake rows filed under another quadrimester than their time falls in."""
     belongs = quadrimester_of(epoch_ts(F.col("start_time")))
