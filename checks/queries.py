@@ -200,6 +200,21 @@ def sink_flat(f: Fixtures) -> DataFrame:
     return f.spark.read.schema(schemas.DEDUP).parquet(path).select(*schemas.DEDUP_COLUMNS)
 
 
+@query(
+    "sink_flat_verified",
+    ("stage",),
+    f", {DEDUP} SELECT quadrimester, COUNT(*) AS kept_rows, COUNT(*) AS published_rows, 'pass' AS status "
+    "FROM dedup GROUP BY 1",
+)
+def sink_flat_verified(f: Fixtures) -> DataFrame:
+    """Rows of every quadrimester published, and their content compared with what was to be."""
+    kept, root = materialize(_dedup(f), "kept"), scratch_path(f.spark, "published")
+    places = {r.quadrimester: f"{root}/{r.quadrimester}" for r in kept.select("quadrimester").distinct().collect()}
+    for label, path in places.items():
+        sources.write_flat(filters.by_quadrimester(kept, label), path)
+    return plans.verify_published(kept, places)
+
+
 @query(
     "sink_create_table",
     ("stage",),
@@ -258,17 +273,14 @@ BUSY = "queue full" + " and nothing can be taken now" * 12
 BUSY_SQL = "'HTTP 503: queue full' || repeat(' and nothing can be taken now', 12)"
 
 BATCH_N = 50
-PART_N = 400  # small enough that a month is split into parts on the test data
+PART_N = 400  # small enough that a month is split over tasks on the test data
 
 BATCHES = f"""listed AS (SELECT DISTINCT key FROM key_list),
 tagged AS (SELECT key, {KEY_MONTH} AS key_month FROM listed
   WHERE key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)),
-months AS (SELECT key_month, CAST(CEIL(COUNT(*) / {PART_N}.0) AS BIGINT) AS parts FROM tagged GROUP BY 1),
-placed AS (SELECT key, key_month, CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % parts AS part
-  FROM tagged JOIN months USING (key_month)),
-batches AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY key_month, part ORDER BY key) - 1) // {BATCH_N}
-  AS batch_no FROM placed),
-named AS (SELECT *, key_month || '/' || part || '/' || batch_no AS batch FROM batches)"""
+batches AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY key_month ORDER BY key) - 1) // {BATCH_N}
+  AS batch_no FROM tagged),
+named AS (SELECT *, key_month || '/' || batch_no AS batch FROM batches)"""
 
 
 def _missing_batches(f: Fixtures) -> DataFrame:
@@ -1040,10 +1052,10 @@ def win_latest(f: Fixtures) -> DataFrame:
 
 
 @query(
-    "win_batch", ("index_docs", "key_list"), f", {BATCHES} SELECT key, key_month, part, batch_no FROM batches"
+    "win_batch", ("index_docs", "key_list"), f", {BATCHES} SELECT key, key_month, batch_no FROM batches"
 )
 def win_batch(f: Fixtures) -> DataFrame:
-    return _missing_batches(f).select("key", "key_month", "part", "batch_no")
+    return _missing_batches(f).select("key", "key_month", "batch_no")
 
 
 @query(

@@ -115,6 +115,32 @@ def test_table_over_another_folder_is_refused(spark, root, tmp_path):
     assert outcome(again)["2020-T1"] == "done"
 
 
+@pytest.mark.parametrize("harm", ["changed", "lost", "doubled", "null for empty", "swapped columns"])
+def test_published_files_are_read_back(spark, root, monkeypatch, harm):
+    lake = stage(spark, [*GOOD, stage_row("", "2020-01-07 00:00:00", source="s9")])
+    write = migration.write_flat
+
+    def harmful(df, path):
+        if path.endswith("2020-T1"):
+            df = {
+                "changed": lambda: df.withColumn("message_id", F.when(F.col("key") == "k2", "X").otherwise(F.col("message_id"))),
+                "lost": lambda: df.where("key <> 'k3'"),
+                "doubled": lambda: df.union(df.where("key = 'k3'")),
+                "null for empty": lambda: df.withColumn("key", F.nullif("key", F.lit(""))),
+                "swapped columns": lambda: df.withColumns({"key": F.col("message_id"), "message_id": F.col("key")}),
+            }[harm]()
+        write(df, path)
+
+    monkeypatch.setattr(migration, "write_flat", harmful)
+    done = plans.migrate(spark, lake, ENTITY, [2020], root)
+    assert outcome(done) == {"2020-T1": "mismatch", "2020-T2": "published", "2020-T3": "published"}
+    assert "content differs" in done.where("outcome = 'mismatch'").first().error
+    report = spark.read.option("header", True).csv(f"{root}/mismatched-content").collect()
+    assert [(r.quadrimester, r.kept_rows, r.reporting_entity) for r in report] == [("2020-T1", "3", ENTITY)]
+    monkeypatch.undo()
+    assert outcome(plans.migrate(spark, lake, ENTITY, [2020], root)) == {"2020-T1": "published", "2020-T2": "done", "2020-T3": "done"}
+
+
 def test_null_source_id_survives_and_shows_in_the_note(spark):
     lake = stage(spark, [*GOOD, stage_row("kn", "2020-01-05 00:00:00", source=None), stage_row("km", "2020-01-05 00:00:00", source=None, stamp="z")])
     kept = plans.dedup(lake, ENTITY, ["2020-T1"])

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from archive import doc_row, docs, stage, stage_row
 from pyspark.sql import functions as F
@@ -131,16 +133,38 @@ def test_rank_latest_breaks_ties_and_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_batches_are_complete_bounded_and_split(spark):
+def test_batches_are_full_and_split(spark):
     keys = spark.createDataFrame([(f"2020/01/{i:04d}",) for i in range(1000)] + [("odd",)], "key string")
     batched = windows.make_batches(keys, n=50, part_rows=300)
     assert batched.count() == 1001
-    sizes = batched.groupBy("key_month", "part", "batch_no").count().collect()
-    assert max(r["count"] for r in sizes) <= 50
-    assert {r.part for r in sizes if r.key_month == "2020-01"} == {0, 1, 2, 3}
+    sizes = batched.groupBy("key_month", "batch_no").count().collect()
+    assert sorted((r.batch_no, r["count"]) for r in sizes if r.key_month == "2020-01") == [(i, 50) for i in range(20)]
     payloads = windows.batch_payloads(batched)
     assert payloads.agg(F.sum("batch_size")).first()[0] == 1001
-    assert payloads.where("batch = 'all/0/0'").first().payload == "odd"
+    assert payloads.where("batch = 'all/0'").first().payload == "odd"
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 64, 10_000])
+def test_batch_numbers_are_plain_division_however_keys_are_dealt(spark, part_rows):
+    r = random.Random(part_rows)
+    keys = [f"2020/0{r.choice([1, 1, 1, 2, 3])}/{i:04d}" for i in range(400)] + [f"x{i}" for i in range(31)]
+    r.shuffle(keys)
+    found = windows.make_batches(spark.createDataFrame([(k,) for k in keys], "key string"), 9, part_rows)
+    months = {}
+    for k in sorted(keys):
+        months.setdefault(k[:7].replace("/", "-") if k.startswith("2") else "all", []).append(k)
+    wanted = sorted((k, m, i // 9) for m, mine in months.items() for i, k in enumerate(mine))
+    assert sorted(tuple(x) for x in found.select("key", "key_month", "batch_no").collect()) == wanted
+    assert windows.make_batches(found.select("key").limit(0), 9, part_rows).count() == 0
+
+
+def test_no_task_numbers_many_keys(spark):
+    """One month with all keys: its ranges stay near the size asked for."""
+    keys = spark.range(20_000).select(F.format_string("2020/01/%08d", "id").alias("key"))
+    placed = windows.make_batches(keys, 500, 1_000)
+    stored = placed.inputFiles()
+    sizes = [spark.read.parquet(path).count() for path in stored]
+    assert len(stored) >= 15 and max(sizes) <= 2_000 and sum(sizes) == 20_000
 
 
 def test_batches_of_exact_size_without_splitting(spark):

@@ -43,7 +43,7 @@ def test_failed_keys_are_tried_again_and_done_ones_are_not(spark, tmp_path):
 
     report = sources.failed_batches(first).drop("feed", "run").collect()
     assert [tuple(r) for r in report] == [
-        ("SUBMIT", "all/0/0", 1, "HTTP 0: ConnectionError: down 'now'", "bad")
+        ("SUBMIT", "all/0", 1, "HTTP 0: ConnectionError: down 'now'", "bad")
     ]
     second = replay(keys, index, path, logging_sender(log))
     assert outcomes(second) == [("bad", "submitted")]

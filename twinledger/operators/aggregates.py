@@ -58,6 +58,19 @@ def count_by_key(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n"))
 
 
+def content_checksum(columns: list[str]) -> list[Column]:
+    """Aggregates that tell two multisets of rows apart, whatever their order.
+
+    Rows, and of two independent row hashes the sums of their halves and the xor: a
+    changed, lost or doubled row changes them, save by a chance of about 2^-64. Nulls
+    are told from empty texts and from nulls in other columns.
+    """
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    hashes = [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
+    sums = [F.sum(half) for h in hashes for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return [F.count("*").alias("n"), *(x.alias(f"sum{i}") for i, x in enumerate(sums)), F.bit_xor(hashes[0]).alias("xor")]
+
+
 def count_by_source(pairs: DataFrame) -> DataFrame:
     """Documents per source id. A document names an id once in `pairs`, so rows
     are documents and no distinct is needed."""

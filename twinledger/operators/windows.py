@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.functions import key_month
+from twinledger.session import materialize
 
-# A batch list is numbered in parts of about this many keys.
+# A task numbers about this many keys of a batch list.
 PART_ROWS = 1_000_000
 
 # Latest first; the two last columns make ties deterministic.
@@ -34,33 +35,39 @@ def limit_per_id(pairs: DataFrame, n: int, on: str = "source_id") -> DataFrame:
 
 
 def make_batches(keys: DataFrame, n: int = 500, part_rows: int = PART_ROWS) -> DataFrame:
-    """Number keys into batches of n within their index month.
+    """Number keys into batches of n within their index month; adds `key_month`, `batch_no`.
 
-    A month with more than `part_rows` keys is split by a hash of the key, so no
-    task numbers more than about that many; the last batch of each part may be
-    short. The keys are read twice, so pass stored ones. Adds `key_month`, `part` and `batch_no`. The broadcast month totals
-    have one row per 'YYYY-MM' of 4 and 2 digits, so a million at the very most.
+    Every batch but a month's last has n keys, in order of key. More than `part_rows`
+    keys are dealt to tasks by ranges of (month, key) of about that size and stored so;
+    the ranges' sizes, summed up in their order, tell where in its month each range
+    begins, and a key's number is that plus its place in the range. The keys are read
+    twice, so pass stored ones. The broadcast sizes have a row per range, and one more
+    for each further month in it.
     """
     tagged = keys.withColumn("key_month", key_month(F.col("key")))
-    parts = tagged.groupBy("key_month").agg(
-        F.ceil(F.count("*") / F.lit(part_rows)).alias("parts")
-    )
-    # Leading 32 bits of md5: spreads evenly and is easy to recompute elsewhere.
-    spread = F.conv(F.substring(F.md5(F.col("key")), 1, 8), 16, 10).cast("bigint")
-    part = F.when(F.col("parts") > 1, spread % F.col("parts")).otherwise(0)
-    placed = tagged.join(F.broadcast(parts), "key_month").withColumn("part", part).drop("parts")
-    window = Window.partitionBy("key_month", "part").orderBy("key")
-    place = (F.row_number().over(window) - 1).cast("bigint")
-    return placed.withColumn("batch_no", F.call_function("div", place, F.lit(n)))
+    parts = -(-tagged.count() // part_rows)
+    in_order = Window.orderBy("key")
+    if parts <= 1:
+        place = F.row_number().over(in_order.partitionBy("key_month")) - 1
+        return tagged.withColumn("batch_no", F.call_function("div", place.cast("bigint"), F.lit(n)))
+    # Stored, which fixes what is in which range.
+    ranged = tagged.repartitionByRange(parts, "key_month", "key").withColumn("slot", F.spark_partition_id())
+    ranged = materialize(ranged, "key-ranges")
+    sizes = ranged.groupBy("key_month", "slot").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy("key_month").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("key_month", "slot", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("begin"))
+    place = F.col("begin") + F.row_number().over(in_order.partitionBy("key_month", "slot")) - 1
+    numbered = ranged.join(F.broadcast(begins), ["key_month", "slot"])
+    return numbered.withColumn("batch_no", F.call_function("div", place, F.lit(n))).drop("slot", "begin")
 
 
 def batch_payloads(batches: DataFrame) -> DataFrame:
     """One row per batch with its keys and the comma-joined body to deliver."""
     return (
-        batches.groupBy("key_month", "part", "batch_no")
+        batches.groupBy("key_month", "batch_no")
         .agg(F.sort_array(F.collect_list("key")).alias("keys"))
         .select(
-            F.concat_ws("/", "key_month", "part", "batch_no").alias("batch"),
+            F.concat_ws("/", "key_month", "batch_no").alias("batch"),
             F.size("keys").alias("batch_size"),
             F.array_join("keys", ",").alias("payload"),
             "keys",

@@ -1,5 +1,5 @@
 from twinledger.plans.lookup import failed_report, lookup_report, lookup_sources, run_source_lookup
-from twinledger.plans.migration import dedup, migrate, mismatch_report, verify
+from twinledger.plans.migration import dedup, migrate, mismatch_report, verify, verify_published
 from twinledger.plans.multiplicity import (
     key_multiplicity,
     run_key_multiplicity,
@@ -42,6 +42,7 @@ __all__ = [
     "split_listed",
     "undated_rows",
     "verify",
+    "verify_published",
     "year_counts",
     "year_counts_report",
 ]

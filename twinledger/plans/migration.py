@@ -6,9 +6,11 @@ import logging
 import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinledger import schemas
 from twinledger.functions import epoch_ts, quadrimester_of
@@ -89,6 +91,28 @@ def verify(kept: DataFrame, stage: DataFrame, entity: str, labels: list[str]) ->
     )
 
 
+def verify_published(kept: DataFrame, places: dict[str, str]) -> DataFrame:
+    """quadrimester, kept_rows, published_rows, status: published files read back and compared
+    with the rows they were written from, as multisets (status `pass` or `mismatch`).
+
+    `kept`: deduplicated rows. `places`: the folder of each quadrimester; one for which
+    nothing was kept must be empty.
+    """
+    spark = kept.sparkSession
+    checksum = aggregates.content_checksum(list(schemas.DEDUP_COLUMNS))
+    schema = T.StructType([f for f in schemas.DEDUP.fields if f.name in schemas.DEDUP_COLUMNS])
+    read = [
+        spark.read.schema(schema).parquet(path).withColumn("quadrimester", F.lit(label)) for label, path in places.items()
+    ]
+    written = reduce(DataFrame.unionByName, read).groupBy("quadrimester").agg(*checksum)
+    wanted = filters.by_quadrimesters(kept, list(places)).groupBy("quadrimester").agg(*checksum)
+    names = [c for c in wanted.columns if c != "quadrimester"]
+    pair = wanted.withColumnsRenamed({c: f"kept_{c}" for c in names}).join(written, "quadrimester", "full")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"kept_{c}")) for c in names))
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(name) for c, name in (("kept_n", "kept_rows"), ("n", "published_rows"))]
+    return pair.select("quadrimester", *counts, F.when(same, "pass").otherwise("mismatch").alias("status"))
+
+
 def mismatch_report(verified: DataFrame, entity: str) -> DataFrame:
     """Failed verifications under the report's column names."""
     return verified.where(F.col("status") == "mismatch").select(
@@ -147,10 +171,20 @@ def _migrate_wave(
         ),
         passed,
     )
+    places = {label: final_path(root, entity, label) for label in passed if label not in failed}
+    differ: dict[str, str] = {}
+    if places:
+        # One row per label; read back from the files, before anything is recorded as done.
+        found = verify_published(spark.table(table), places)
+        rows = found.where(F.col("status") != "pass").collect()
+        differ = {r.quadrimester: f"kept {r.kept_rows} rows, published {r.published_rows}: content differs" for r in rows}
+        if rows:
+            wrong = spark.createDataFrame(rows, found.schema).withColumn("reporting_entity", F.lit(entity))
+            write_report(wrong, f"{root}/mismatched-content")
     return {
         label: ("failed", failed[label])
         if label in failed
-        else ("mismatch" if label in mismatched else "published", None)
+        else ("mismatch" if label in mismatched or label in differ else "published", differ.get(label))
         for label in wave
     }
 
@@ -169,7 +203,7 @@ def migrate(
 
     Returns quadrimester, outcome (`published`, `mismatch`, `failed`, `done`)
     and error. Quadrimesters go in waves of `wave`: written side by side, one
-    job each, then verified together, published, and recorded. So a failure
+    job each, then verified together, published, read back, and recorded. So a failure
     costs one quadrimester, a lost driver at most one wave, and since every
     write replaces its folder, repeating changes nothing.
     """
