@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from twinledger import plans, schemas, sources
 from twinledger.operators import aggregates, filters, joins, ordering, sets, windows
 from twinledger.plans.migration import table_name
 from twinledger.plans.multiplicity import SOURCE_OUTCOMES
+from twinledger.plans.replaying import DONE as REPLAY_DONE
 from twinledger.plans.replaying import OUTCOMES as REPLAY_OUTCOMES
 from twinledger.session import materialize, scratch_path
 from twinledger.sources.ledger import read_outcomes
@@ -533,23 +535,35 @@ def flt_text_key(f: Fixtures) -> DataFrame:
 
 @query(
     "flt_resume",
-    ("index_docs", "key_list"),
-    "SELECT DISTINCT key FROM key_list WHERE key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
+    ("stage", "index_docs", "key_list"),
+    f"SELECT DISTINCT key FROM key_list WHERE key NOT IN (SELECT key FROM stage WHERE reporting_entity = '{ENTITY}') "
+    "AND key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
 )
 def flt_resume(f: Fixtures) -> DataFrame:
-    return filters.not_done(f.key_list.distinct(), f.index_docs, "key")
+    """What two recorded runs leave to do: one submitted an entity's keys and failed the undated
+    ones, the other skipped what the index has."""
+    path, nothing = scratch_path(f.spark, "two-runs"), F.lit(None).cast("string")
+    entity, undated = filters.by_entity(f.stage, ENTITY), f.key_list.where(F.col("key").startswith("doc/"))
+    runs = (
+        [(entity.select("key"), "submitted"), (undated, "failed")],
+        [(filters.with_text_key(f.index_docs).select("key"), "skipped")],
+    )
+    for run in runs:
+        rows = [keys.distinct().withColumn("outcome", F.lit(outcome)) for keys, outcome in run]
+        found = reduce(DataFrame.unionByName, rows)
+        sources.append_outcomes(found.withColumns({c: nothing for c in ("batch", "stage", "error")}), path)
+    done = sources.done_keys(read_outcomes(f.spark, path, REPLAY_OUTCOMES), "key", REPLAY_DONE)
+    return filters.not_done(f.key_list.distinct(), done, "key")
 
 
 @query(
     "flt_quad_subset",
     ("stage",),
-    f""", y AS (SELECT DISTINCT year({TS}) AS y FROM stage WHERE {TS} IS NOT NULL)
-SELECT {STAGE_COLUMNS} FROM stage WHERE quadrimester IN
-  (SELECT CAST(y AS STRING) || '-T' || CAST(n AS STRING) FROM y, (VALUES (1), (2), (3)) t(n))""",
+    f"SELECT {STAGE_COLUMNS} FROM stage WHERE quadrimester IN ('2016-T1', '2018-T2', '2018-T3')",
 )
 def flt_quad_subset(f: Fixtures) -> DataFrame:
-    years = f.dated_stage.where("ts IS NOT NULL").select(F.year("ts").alias("year")).distinct()
-    return filters.in_years(f.stage, years).select(*schemas.STAGE.fieldNames())
+    labels = filters.check_quadrimesters(["2018-T2", " 2018-T3 ", "", "2016-T1"], YEARS)
+    return filters.by_quadrimesters(f.stage, labels).select(*schemas.STAGE.fieldNames())
 
 
 # --- functions ---------------------------------------------------------------
@@ -742,9 +756,7 @@ def fn_literal_tags(f: Fixtures) -> DataFrame:
     return f.dated_stage.select(
         "source_id",
         "key",
-        F.date_format("ts", "yyyy").alias("year"),
-        fn.quadrimester_of(F.col("ts")).alias("quadrimester"),
-        F.date_format("ts", "MM").alias("month"),
+        *fn.literal_tags(F.col("ts")),
     )
 
 

@@ -4,6 +4,7 @@ from twinledger.functions.calendar import (
     bucket_start,
     epoch_ts,
     expand_years,
+    literal_tags,
     months_of_quadrimester,
     parse_quadrimester,
     quadrimester_month,
@@ -38,6 +39,7 @@ __all__ = [
     "classify",
     "epoch_ts",
     "expand_years",
+    "literal_tags",
     "extract_marker",
     "first_column",
     "is_submitted",

@@ -102,6 +102,15 @@ def months_of_quadrimester(year: Column, n: Column) -> Column:
     return F.sequence(first, F.add_months(first, 3), F.expr("INTERVAL 1 MONTH"))
 
 
+def literal_tags(ts: Column) -> tuple[Column, Column, Column]:
+    """`year`, `quadrimester` and `month` as the text of partition folders."""
+    return (
+        F.date_format(ts, "yyyy").alias("year"),
+        quadrimester_of(ts).alias("quadrimester"),
+        F.date_format(ts, "MM").alias("month"),
+    )
+
+
 def expand_years(year: Column) -> Column:
     """Array of the three quadrimester labels of a year."""
     text = F.lpad(year.cast("string"), 4, "0")

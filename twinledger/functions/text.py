@@ -37,8 +37,13 @@ def safe_error(message: Column) -> Column:
     return F.coalesce(F.translate(message, '"\n', "' "), F.lit(""))
 
 
+# Characters that a table name cannot hold.
+UNSAFE_IN_NAME = "[^A-Za-z0-9_]"
+
+
 def sanitize_entity(entity: Column) -> Column:
-    return F.translate(entity, ".", "_")
+    """The entity as part of a table name."""
+    return F.regexp_replace(entity, UNSAFE_IN_NAME, "_")
 
 
 def classify(n: Column) -> Column:

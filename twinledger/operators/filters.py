@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.functions import ENTITY_MARKER, SOURCE_MARKER, expand_years, extract_marker
+from twinledger.functions import ENTITY_MARKER, SOURCE_MARKER, extract_marker
 from twinledger.operators import postings
 from twinledger.operators.lists import NARROW_ROWS, keep_listed
 
@@ -134,9 +134,3 @@ def check_quadrimesters(requested: list[str] | None, years: list[int]) -> list[s
     if outside:
         raise ValueError(f"quadrimesters {outside} are not among those of the years {years}")
     return wanted
-
-
-def in_years(df: DataFrame, years: DataFrame) -> DataFrame:
-    """Rows whose quadrimester belongs to a years table (column `year`)."""
-    labels = years.select(F.explode(expand_years(F.col("year"))).alias("quadrimester")).distinct()
-    return df.join(labels, "quadrimester", "left_semi")

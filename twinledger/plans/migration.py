@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger import schemas
-from twinledger.functions import epoch_ts, quadrimester_of
+from twinledger.functions import epoch_ts, literal_tags
+from twinledger.functions.text import UNSAFE_IN_NAME
 from twinledger.operators import aggregates, filters, windows
 from twinledger.sources import (
     create_dedup_table,
@@ -35,7 +36,7 @@ _log = logging.getLogger(__name__)
 
 def table_name(entity: str) -> str:
     """One table per entity; characters a table name cannot hold become '_'."""
-    return f"migration_{re.sub(r'[^A-Za-z0-9_]', '_', entity)}_monthly"
+    return f"migration_{re.sub(UNSAFE_IN_NAME, '_', entity)}_monthly"
 
 
 def temp_path(root: str, entity: str) -> str:
@@ -55,12 +56,8 @@ def dedup(stage: DataFrame, entity: str, labels: list[str], scope: str = "month"
     """
     rows = filters.by_quadrimesters(filters.by_entity(stage, entity), labels)
     ts = epoch_ts(F.col("start_time"))
-    dated = rows.where(F.col("quadrimester") == quadrimester_of(ts)).select(
-        *schemas.DEDUP_COLUMNS,
-        F.date_format(ts, "yyyy").alias("year"),
-        "quadrimester",
-        F.date_format(ts, "MM").alias("month"),
-    )
+    year, quadrimester, month = literal_tags(ts)
+    dated = rows.where(F.col("quadrimester") == quadrimester).select(*schemas.DEDUP_COLUMNS, year, "quadrimester", month)
     return filters.latest_only(windows.rank_latest(dated, SCOPES[scope]))
 
 
