@@ -165,31 +165,15 @@ def test_repeated_lines_go_but_for_the_first(spark):
         kept = []
         for line in (text or "").split("\n"):
             key = tuple(w.lower() for w in WORD.findall(line))
-            if len(key) < 5 or key not in seen:
+            if not key or key not in seen:
                 kept.append(line)
             seen.add(key)
         expected = None if text is None else "\n".join(kept)
         assert found[i] == (expected, len((text or "").split("\n")) - len(kept)), i
 
 
-def test_near_lines_that_share_a_block(spark):
-    """Groups equal brute force over the pairs that share a block of their SimHash."""
-    base = [cases.prose(i, 300) for i in range(8)]
-    rows = [(i, "\n".join([base[i], varied(i, base[i], 0.004), varied(90 + i, base[i], 0.01)])) for i in range(8)]
-    lines = linededup.Lines(pa.array([t for _, t in rows]))
-    shapes = lines.simhashes()
-    where, pairs = plain_lines(rows)
-    sharing = [(a, b) for a, b in pairs if (shapes[a] == shapes[b]).any()]
-    assert sharing
-    root = union(sharing, range(len(where)))
-    expected = Counter(where[k][0] for k in root if root[k] != k)
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r["__removed"] for r in linededup.drop_repeated_lines(docs).collect()}
-    assert found == {i: expected[i] for i, _ in rows}
-
-
-def test_whole_search_finds_all_pairs_of_brute_force(spark, monkeypatch):
-    """One word in ten changed, which leaves no block of the SimHash whole; by pairs and around centres."""
+def changed_lines():
+    """Lines of 5 to 300 words with copies of which one word in ten is changed, and one is dropped."""
     r = np.random.default_rng(5)
     rows = []
     for i, n in enumerate([5, 6, 9, 10, 11, 14, 20, 21, 30, 40, 60, 100, 160, 300] * 2):
@@ -201,19 +185,88 @@ def test_whole_search_finds_all_pairs_of_brute_force(spark, monkeypatch):
                 x[at] = f"new{i}a{k}b{at}"
             lines.append(x[:at] + x[at + 1 :] if k == 2 and n > 10 else x)
         rows.append((i, "\n".join(" ".join(x) for x in lines)))
+    return rows
+
+
+def removed(rows):
+    """How many lines of each document go, by brute force."""
     where, pairs = plain_lines(rows)
+    root = union(pairs, range(len(where)))
+    gone = Counter(where[k][0] for k in root if root[k] != k)
+    return {i: gone[i] for i, _ in rows}, pairs
+
+
+def test_near_lines_equal_brute_force(spark, monkeypatch):
+    """All pairs, although most share no block of their SimHash; with long blocks left untested too."""
+    rows = changed_lines()
     shapes = linededup.Lines(pa.array([t for _, t in rows])).simhashes()
+    expected, pairs = removed(rows)
     assert sum(not (shapes[a] == shapes[b]).any() for a, b in pairs) > 20
-    root = union(pairs, range(len(where)))
-    expected = Counter(where[k][0] for k in root if root[k] != k)
     docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
-    for paired in (linededup.PAIRED, 1):
-        monkeypatch.setattr(linededup, "PAIRED", paired)
-        found = {x.doc_id: x["__removed"] for x in linededup.drop_repeated_lines(docs, whole=True).collect()}
-        assert found == {i: expected[i] for i, _ in rows}
+    for tested in (linededup.TESTED, 0):
+        monkeypatch.setattr(linededup, "TESTED", tested)
+        assert {x.doc_id: x["__removed"] for x in linededup.drop_repeated_lines(docs).collect()} == expected
 
 
-def test_whole_search_takes_lines_of_every_length(spark):
+@pytest.mark.parametrize("seed", range(4))
+def test_similar_lines_share_a_block_of_words(seed):
+    """Whatever the counts say, each similar pair keeps a common block and passes the size and parity test."""
+    r = np.random.default_rng(seed)
+    rows = []
+    for n in [*range(5, 60), 90, 200, 400]:
+        base = r.integers(0, r.choice([8, 60, 5000]), n).tolist()
+        for _ in range(4):
+            x, left = list(base), n // 10 + 1
+            for _ in range(r.integers(0, left + 1)):
+                at = int(r.integers(len(x)))
+                x[at : at + 1] = [[], [99999 + int(r.integers(9))], [x[at], int(r.integers(9))]][r.integers(3)]
+            rows.append(" ".join(f"w{w}" for w in x))
+    lines = linededup.Lines(pa.array(rows), linededup.LEAST_WORDS)
+    level = r.integers(1, 255, linededup._COUNTERS).astype(np.uint8)
+    held = defaultdict(set)
+    for line, found in zip(*map(np.ndarray.tolist, lines.word_blocks(level))):
+        held[line].add(found)
+    parity, size = lines.parities(), lines.size.tolist()
+    words = [rows[t].split(" ") for t in lines.text.tolist()]
+    near = 0
+    for a, b in combinations(range(len(size)), 2):
+        if 10 * abs(size[a] - size[b]) <= size[a] + size[b] and 20 * slow_lcs_bound(words[a], words[b]) >= 9 * (size[a] + size[b]):
+            if 20 * linededup.common_words(words[a], words[b]) >= 9 * (size[a] + size[b]):
+                near += 1
+                assert held[a] & held[b]
+                bare = np.zeros(2, dtype=linededup._BARE)
+                bare["line"], bare["parity"], bare["size"] = [1, 2], parity[[a, b]], np.minimum([size[a], size[b]], 255)
+                assert linededup._possible(bare)[1].tolist() == [1, 2]
+    assert near > 100
+
+
+def slow_lcs_bound(a, b):
+    """At most so many words in common, order aside."""
+    return sum((Counter(a) & Counter(b)).values())
+
+
+def test_blocks_of_unlike_lines_go_no_further():
+    """Of one block, lines of other size or parity stay behind; a line told twice is no pair."""
+    bare = np.zeros(5, dtype=linededup._BARE)
+    bare["line"], bare["size"] = [1, 1, 2, 3, 4], [20, 20, 30, 20, 20]
+    bare["parity"] = [0, 0, 0, 0xFFFF, 0xFFFE]
+    name, line = linededup._possible(bare)
+    assert line.tolist() == [3, 4] and name.tolist() == [0, 0]
+    assert linededup._possible(bare[:2])[1].tolist() == []
+
+
+def test_counts_are_summed_over_many_tasks(spark, monkeypatch):
+    rows = changed_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    monkeypatch.setattr(linededup, "_FAN_IN", 2)
+    told, _ = linededup.Lines(pa.array([t for _, t in rows]), linededup.LEAST_WORDS).told
+    counts = np.bincount(linededup._counter(told), minlength=linededup._COUNTERS)
+    level = linededup.word_levels(docs)
+    used = counts > 0
+    assert (np.abs(level[used] - 8 * np.log2(counts.sum() / counts[used])) <= 0.5).all()
+
+
+def test_lines_of_every_length(spark):
     """Short repeats go; so do repeats and near copies in scripts without blanks. One character is one word."""
     chinese = "今天天气很好我们去公园散步然后回家吃晚饭"
     other = chinese.replace("公园", "湖边")
@@ -225,7 +278,7 @@ def test_whole_search_takes_lines_of_every_length(spark):
         (4, f"สวัสดี\n{other[:8]}\n\n"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.text for r in linededup.drop_repeated_lines(docs, whole=True).collect()}
+    found = {r.doc_id: r.text for r in linededup.drop_repeated_lines(docs).collect()}
     assert found == {1: rows[0][1], 2: "***\none three\nthe four word lines", 3: "สวัสดี", 4: f"{other[:8]}\n\n"}
     raw, offsets = text_bytes(pa.array(["今天abc天 x", "é一é", "𠀀𠀁"]))
     cut = words(raw, offsets, unspaced(raw))
@@ -242,8 +295,8 @@ def test_blocks_guarantee_three_bits():
 
 
 def test_line_dedup_runs_on_its_own_output(odd):
-    once = linededup.drop_repeated_lines(odd, whole=True)
-    again = linededup.drop_repeated_lines(once, whole=True)
+    once = linededup.drop_repeated_lines(odd)
+    again = linededup.drop_repeated_lines(once)
     assert again.columns == once.columns
     assert {(r.doc_id, r.text) for r in again.collect()} == {(r.doc_id, r.text) for r in once.collect()}
     assert {r[0] for r in again.select("__removed").distinct().collect()} == {0}
@@ -256,5 +309,5 @@ def test_odd_documents_lose_repeated_lines_only(odd, empty):
     for r in left:
         by_id[r.doc_id].append(r.text)
     assert by_id[1] == [cases.prose(1, 120)] and by_id[2] == [""] and by_id[5] == [None]
-    assert by_id[10] == ["one two\n" * 3000]
+    assert by_id[10] == ["one two\n"]
     assert linededup.drop_repeated_lines(empty).count() == 0

@@ -1,63 +1,78 @@
 """Repeated lines across documents, near ones included: one occurrence stays.
 
-A line is its sequence of words, case aside. With `whole`, lines of any number of
-words are told apart by that, and each character of a script without blanks is a
-word; lines of fewer than five words are then only looked at for exact repeats,
-and are left alone otherwise. Distinct lines get a 128-bit SimHash
-of their words, cut into four blocks of 32 bits: lines that differ in three bits
-or fewer share a block. Lines that share one are verified by edit similarity over
-words, 2 * LCS / (n + m) >= 0.9, whatever their distance in bits.
-
-Most similar lines differ in more bits. With `whole`, an exact prefix-filter join
-finds these as well: similar lines of n and m words have at least 0.45 * (n + m)
-in common, so that they share one of the n - ceil(9 / 11 * n) + 1 rarest words of
-each. Words are ordered by their hashed counts over the corpus, which decide only
-how fast the join is. Of the pairs that share such a word, those are verified whose
-parity bits (128, each flipped by every word that falls on it) differ in no more
-than (n + m) / 10 bits; more bits mean more words that only one of them has.
+A line is its sequence of words, case aside; each character of a script without
+blanks is a word. Lines of any number of words are told apart by that. Lines of at
+least five words may also have near copies, by edit similarity over words,
+2 * LCS / (n + m) >= 0.9; shorter ones are only looked at for exact repeats.
+
+Candidates come from pigeonhole blocks of two kinds. Each line has a 128-bit SimHash
+of its words, cut into four blocks of 32 bits: lines that differ in three bits or
+fewer share a block, whatever their words. Most similar lines differ in more bits,
+so that the words themselves are cut into blocks as well, by their hash. Similar
+lines of n and m words differ in no more than D = (n + m) / 10 words (a word's later
+occurrences count as words of their own), so that of k blocks at least k - D are
+equal in both. Of these, a line keeps the D + 1 that tell most about it by the corpus
+counts of their words; since two equal blocks tell equally much, at least one equal
+block is kept by both. D depends on both sizes: lines are cut once for each of the
+overlapping ranges of sizes that they lie in, and any two similar lines lie in one.
+Counts decide only how few unrelated lines share a block, never which pairs are found.
+
+Blocks travel bare, as 13 bytes with 32 parity bits of the line (each flipped by every
+word that falls on it: similar lines differ in no more than D). Only lines that share
+a block with one of possible size and parity go on to be compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.links import Features, Similarity, components, linked_groups
+from twinledger.llm.links import Similarity, linked_groups
 from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, set_aside, signed, text_bytes, unspaced, words
+from twinledger.operators import blooms
 from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
-#: Shorter lines have no near copies. They stay, repeats too, unless all lines are asked for.
+#: Shorter lines have no near copies.
 LEAST_WORDS = 5
 SIMILARITY = 0.9
 BLOCKS = 4
+#: A range of sizes that lines are cut into blocks for begins at so many tenths of the one before.
+STEP_TENTHS = 16
 #: Up to so many line keys (16 bytes each), and documents with lists of lines to drop
 #: of so many numbers in all, are sent to every task; more are matched by a shuffle.
 KEYS_SENT = 1_000_000
 DOCS_SENT, NUMBERS_SENT = 200_000, 4_000_000
-#: Lines that share a rare word are paired directly up to so many, else around centres.
-PAIRED = 1024
-#: Words are counted by so many values of their hash.
-_COUNTERS = 1 << 20
+#: Bytes of bare blocks that one task looks through, on average.
+BARE_BYTES = 32 << 20
+#: Lines of a block are tested against so many others; all lines of a longer block go on.
+TESTED = 256
+#: Words are counted by so many values of their hash, in so many pieces, so many tasks' at a time.
+_COUNTERS, _PIECES, _FAN_IN = 1 << 19, 16, 16
+_LINES_AT_ONCE = 1 << 24
+# A block as it travels: its name within its part, its line, the line's parity bits and size.
+_BARE = np.dtype([("rest", "<u4"), ("line", "<u4"), ("parity", "<u4"), ("size", "u1")])
 _WORDS_AT_ONCE = 1 << 16
 # The bits of a byte, highest first, as the bytes of a number, lowest first.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
 
 
 class Lines:
-    """Lines of a block of texts that have at least `LEAST_WORDS` words, or all with one.
+    """Lines of a block of texts that have a word, or at least `least` of them.
 
-    With `every`, each character of a script without blanks is a word.
+    Each character of a script without blanks is a word.
     """
 
-    def __init__(self, texts: pa.Array, every: bool = False):
+    def __init__(self, texts: pa.Array, least: int = 1):
         raw, offsets = text_bytes(texts)
-        found = words(raw, offsets, unspaced(raw) if every else None)
+        found = words(raw, offsets, unspaced(raw))
         breaks = np.flatnonzero(raw == 10)
         text_of_break = np.searchsorted(offsets, breaks, side="right") - 1
         # A line starts with its text or after a break within it.
@@ -68,13 +83,12 @@ class Lines:
         number = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         edges = np.append(np.searchsorted(found.starts, starts), len(found.starts))
         size = np.diff(edges)
-        kept = np.flatnonzero(size >= (1 if every else LEAST_WORDS))
+        kept = np.flatnonzero(size >= least)
         self.text, self.number, self.first, self.size = owner[kept], number[kept], edges[kept], size[kept]
         self.words = found.hashes
-        self.lines_per_text = per_text
 
     def leave(self, kept: np.ndarray) -> None:
-        """Only the lines that `kept` marks stay."""
+        """Only the lines at the places `kept` stay."""
         self.text, self.number, self.first, self.size = (
             x[kept] for x in (self.text, self.number, self.first, self.size)
         )
@@ -93,27 +107,65 @@ class Lines:
         one = mix(self.words ^ mix(place + np.uint64(1)))
         return mix(self.sums(one)), mix(self.sums(mix(one + np.uint64(7))))
 
+    @cached_property
     def told(self) -> tuple[np.ndarray, np.ndarray]:
-        """The words of all lines, told apart by how often the line had them before, and their lines."""
-        starts = np.cumsum(self.size) - self.size
-        owner = np.repeat(np.arange(len(self.size)), self.size)
-        held = self.words[np.arange(len(owner)) + (self.first - starts)[owner]]
-        return mix(held + runs_of(held, owner).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owner
+        """The words of all lines, told apart by how often the line had them before, and their lines.
+
+        A line's words come in the order of their hashes.
+        """
+        out, starts = [], np.cumsum(self.size) - self.size
+        for i in range(0, len(self.size), _LINES_AT_ONCE):
+            size = self.size[i : i + _LINES_AT_ONCE]
+            line = np.repeat(np.arange(len(size)), size)
+            held = self.words[np.arange(len(line)) + (self.first[i : i + _LINES_AT_ONCE] - starts[i : i + _LINES_AT_ONCE] + starts[i])[line]]
+            held = np.sort(line.astype(np.uint64) << np.uint64(40) | held >> np.uint64(24))
+            new = np.ones(len(held), dtype=bool)
+            new[1:] = held[1:] != held[:-1]
+            place = np.arange(len(held))
+            again = (place - np.maximum.accumulate(np.where(new, place, 0))).astype(np.uint64)
+            out.append(mix((held & np.uint64((1 << 40) - 1)) + (again << np.uint64(40))))
+        none = np.zeros(0, dtype=np.uint64)
+        return np.concatenate([none, *out]), np.repeat(np.arange(len(self.size)), self.size)
 
     def parities(self) -> np.ndarray:
-        """128 bits per line, as two numbers: each is flipped by every word that falls on it."""
-        told, owner = self.told()
-        hits = np.bincount(owner * 128 + (told & np.uint64(127)).astype(np.int64), minlength=128 * len(self.size))
-        return np.packbits((hits & 1).astype(np.uint8).reshape(-1, 128), axis=1).view(np.int64)
-
-    def rarest(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """32 bits of each line's rarest words, as many as similar lines must share one of, and how many."""
-        told, owner = self.told()
-        order = np.lexsort((told, level[_counter(told)], owner))
-        shared = np.ceil(self.size * (SIMILARITY / (2 - SIMILARITY)) - 1e-9).astype(np.int64)
-        taken = self.size - shared + 1
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
-        return (told[order][place < np.repeat(taken, self.size)] >> np.uint64(32)).astype(np.uint32).view(np.int32), taken
+        """32 bits per line: each is flipped by every word that falls on it."""
+        told, owner = self.told
+        hits = np.bincount(owner * 32 + (told & np.uint64(31)).astype(np.int64), minlength=32 * len(self.size))
+        return np.packbits((hits & 1).astype(np.uint8).reshape(-1, 32), axis=1).view(np.uint32).ravel()
+
+    def word_blocks(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lines and hashes of the blocks of words that each keeps."""
+        told, _ = self.told
+        begin = np.cumsum(self.size) - self.size
+        tells = level[_counter(told)].astype(np.float64)
+        low = (told & np.uint64(0xFFFFFFFF)).astype(np.float64)
+        other = mix(told)
+        high = (other >> np.uint64(32)).astype(np.float64)
+        lines, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+        for least, most, kept in size_ranges(int(self.size.max(initial=0))):
+            here = np.flatnonzero((self.size >= least) & (self.size <= most))
+            if not len(here):
+                continue
+            n = kept + kept // 2
+            size = self.size[here]
+            line = np.repeat(np.arange(len(here)), size)
+            at = np.arange(len(line)) + (begin[here] - np.cumsum(size) + size)[line]
+            block = line * n + (other[at] & np.uint64(0xFFFFFFFF)).astype(np.int64) % n
+            # Sums of 32-bit numbers are exact in doubles, for up to two million words.
+            one, two, told_by = (np.bincount(block, x[at], len(here) * n).astype(np.uint64) for x in (low, high, tells))
+            place = np.tile(np.arange(n, dtype=np.uint64), len(here)) + np.uint64(n << 32)
+            found = mix(one + mix(two + mix(place)))
+            strength = (told_by << np.uint64(32) | found >> np.uint64(32)).reshape(-1, n)
+            chosen = np.argpartition(strength, n - kept - 1, axis=1)[:, n - kept :] if n > kept else np.tile(np.arange(n), (len(here), 1))
+            lines.append(np.repeat(here, kept))
+            hashes.append(found[(chosen + np.arange(len(here))[:, None] * n).ravel()])
+        return np.concatenate(lines), np.concatenate(hashes)
+
+    def blocks(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lines and hashes of all their blocks, those of the SimHash included."""
+        line, found = self.word_blocks(level)
+        shape = self.simhashes().astype(np.uint64) + (np.arange(1, BLOCKS + 1, dtype=np.uint64) << np.uint64(32))
+        return np.concatenate([line, np.repeat(np.arange(len(self.size)), BLOCKS)]), np.concatenate([found, mix(shape.ravel())])
 
     def simhashes(self) -> np.ndarray:
         """Four 32-bit blocks per line: each bit is that of most of its words.
@@ -122,7 +174,7 @@ class Lines:
         frequent words of a language would decide, alike in all of its long lines.
         """
         starts = np.cumsum(self.size) - self.size
-        told, _ = self.told()
+        told, _ = self.told
         octets = np.stack([mix(told + np.uint64(11)), mix(told ^ np.uint64(0x5851F42D4C957F2D))], axis=1).view(np.uint8)
         out = np.zeros((len(self.size), 16), dtype=np.uint8)
         reach, i = np.cumsum(self.size), 0
@@ -142,60 +194,155 @@ class Lines:
         return out.view("<u4")
 
 
+def size_ranges(most: int) -> Iterator[tuple[int, int, int]]:
+    """Overlapping ranges of sizes, and one more than the words in which similar lines there differ.
+
+    The smaller of two similar lines lies in one range before the next one's beginning;
+    the larger one, of at most 11 / 9 its words, lies there too.
+    """
+    least = LEAST_WORDS
+    while least <= most:
+        following = max(least + 1, least * STEP_TENTHS // 10)
+        last = (following - 1) * 11 // 9
+        yield least, last, (following - 1 + last) // 10 + 1
+        least = following
+
+
 def _counter(told: np.ndarray) -> np.ndarray:
     return (told % np.uint64(_COUNTERS)).astype(np.int64)
 
 
 def word_levels(docs: DataFrame) -> np.ndarray:
-    """Eight times the logarithm of how often the words of each hash value occur."""
+    """Eight times the bits that a word of each hash value tells, by how often it occurs.
+
+    Each task's counts are summed with those of fifteen others, and so on.
+    """
+    width = _COUNTERS // _PIECES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_COUNTERS, dtype=np.int64)
         for part in blocks(batches, "text"):
-            total += np.bincount(_counter(Lines(part.column("text"), True).told()[0]), minlength=_COUNTERS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["at", "n"])
-
-    summed = docs.select("text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    # At most _COUNTERS rows of two numbers.
-    found = summed.select("at", F.round(8 * F.log2("n")).cast("int").alias("level")).toArrow()
-    level = np.zeros(_COUNTERS, dtype=np.uint16)
-    level[found.column("at").to_numpy()] = found.column("level").to_numpy()
-    return level
-
-
-def _read_rare(batches: Iterator[pa.RecordBatch], level: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Key, parity bits and rarest words of every line that may have near copies."""
+            total += np.bincount(_counter(Lines(part.column("text"), LEAST_WORDS).told[0]), minlength=_COUNTERS)
+        if total.any():
+            task = TaskContext.get().partitionId()
+            rows = [total[i : i + width].tobytes() for i in range(0, _COUNTERS, width)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(_PIECES), pa.int32()), pa.array([task] * _PIECES, pa.int32()), pa.array(rows, pa.binary())],
+                ["piece", "task", "n"],
+            )
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = np.zeros(width, dtype=np.int64)
+        for row in table.column("n").to_pylist():
+            total += np.frombuffer(row, dtype=np.int64)
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int32()), "n": [total.tobytes()]})
+
+    schema = "piece int, task int, n binary"
+    counts = materialize(docs.select("text").mapInArrow(count, schema), "word-counts")
+    while (counts.agg(F.max("task")).first()[0] or 0) > 0:
+        groups = counts.withColumn("task", F.floor(F.col("task") / _FAN_IN).cast("int")).groupBy("piece", "task")
+        counts = materialize(groups.applyInArrow(add, schema), "word-counts")
+    # At most _PIECES rows, 4 MB in all.
+    total = np.zeros(_COUNTERS, dtype=np.int64)
+    for row in counts.collect():
+        total[row.piece * width : (row.piece + 1) * width] = np.frombuffer(row.n, dtype=np.int64)
+    bits = np.log2(max(1, total.sum()) / np.maximum(total, 1))
+    return np.clip(np.round(8 * bits), 1, 255).astype(np.uint8)
+
+
+def _block_lines(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[tuple]:
+    """Lines that may have near copies, each once a batch: keys, and their blocks' lines, parts and names."""
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"), True)
-        lines.leave(lines.size >= LEAST_WORDS)
-        if not len(lines.size):
-            continue
+        lines = Lines(part.column("text"), LEAST_WORDS)
         one, two = lines.keys()
-        bits = lines.parities()
-        rare, taken = lines.rarest(level)
-        ends = np.append(0, np.cumsum(taken)).astype(np.int32)
-        # Equal lines of a block are told once.
         _, once = np.unique(one, return_index=True)
+        lines.leave(once)
+        if len(once):
+            line, found = lines.blocks(level)
+            yield lines, one[once], two[once], line, (found & np.uint64(0xFFFFFFFF)).astype(np.int64) % parts, (found >> np.uint64(32))
+
+
+def _send_bare(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    for lines, one, _, line, part, rest in _block_lines(batches, level, parts):
+        rows = np.empty(len(line), dtype=_BARE)
+        rows["rest"], rows["line"] = rest, one[line] & np.uint64(0xFFFFFFFF)
+        rows["parity"], rows["size"] = lines.parities()[line], np.minimum(lines.size[line], 255)
+        order = np.argsort(part, kind="stable")
+        here, begin = np.unique(part[order], return_index=True)
+        rows, ends = rows[order], [*begin[1:].tolist(), len(order)]
+        packed = [rows[i:j].tobytes() for i, j in zip(begin.tolist(), ends)]
+        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())], ["part", "rows"])
+
+
+def _possible(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names and lines, of those that share a block with a line of possible size and parity."""
+    both = rows["rest"].astype(np.uint64) << np.uint64(32) | rows["line"]
+    both, at = np.unique(both, return_index=True)
+    name, parity, size = both >> np.uint64(32), rows["parity"][at], rows["size"][at].astype(np.int64)
+    found = np.zeros(len(both), dtype=bool)
+    left, i = np.arange(len(both)), 0
+    while len(left) and i < TESTED:
+        i += 1
+        left = left[left + i < len(both)]
+        left = left[name[left] == name[left + i]]
+        other = left + i
+        sizes = size[left] + size[other]
+        # From 255 words on, sizes are cut and parities tell nothing.
+        near = (10 * np.abs(size[left] - size[other]) <= sizes) & (10 * np.bitwise_count(parity[left] ^ parity[other]).astype(np.int64) <= sizes)
+        found[left[near]] = found[other[near]] = True
+    if len(left):
+        found |= np.isin(name, name[left])
+    return name[found], both[found] & np.uint64(0xFFFFFFFF)
+
+
+def _read_bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for part, rows in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist()):
+            held.setdefault(part, []).append(rows)
+    while held:
+        part, rows = held.popitem()
+        name, line = _possible(np.frombuffer(b"".join(rows), dtype=_BARE))
+        key = name.astype(np.int64) + (part << 32)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line.astype(np.uint32).view(np.int32))], ["key", "line"])
+
+
+def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    for lines, one, two, line, part, rest in _block_lines(batches, level, parts):
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(signed(one)),
-                pa.array(signed(two)),
-                pa.array(bits[:, 0]),
-                pa.array(bits[:, 1]),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(rare)),
+                pa.array((part << 32) + rest.astype(np.int64)),
+                pa.array((one & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)[line]),
+                pa.array(signed(one)[line]),
+                pa.array(signed(two)[line]),
+                pa.array(lines.size[line]),
             ],
-            ["k0", "k1", "p0", "p1", "rare"],
-        ).take(pa.array(once))
+            ["key", "line", "k0", "k1", "size"],
+        )
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch], every: bool = False) -> Iterator[pa.RecordBatch]:
+def block_members(known: DataFrame, words_held: int) -> DataFrame:
+    """key, k0, k1, size: blocks with two or more lines that may be similar, and these lines, stored."""
+    sc = known.sparkSession.sparkContext
+    level = sc.broadcast(word_levels(known))
+    texts = known.select("text")
+    # A line of n words has some 0.4 * n blocks, and four of the SimHash.
+    parts = max(sc.defaultParallelism, words_held // 2 * _BARE.itemsize // BARE_BYTES)
+    bare = texts.mapInArrow(lambda batches: _send_bare(batches, level.value, parts), "part long, rows binary")
+    shared = materialize(bare.repartition(parts, "part").mapInArrow(_read_bare, "key long, line int"), "shared-blocks")
+    rows = texts.mapInArrow(
+        lambda batches: _read_blocks(batches, level.value, parts), "key long, line int, k0 long, k1 long, size long"
+    )
+    rows = blooms.reduce_by_list(rows, shared, ["key", "line"], shared.count()).join(shared, ["key", "line"], "left_semi")
+    return materialize(rows.select("key", "k0", "k1", "size").dropDuplicates(["key", "k0", "k1"]), "block-members")
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"), every)
+        lines = Lines(part.column("text"))
         if not len(lines.size):
             continue
         one, two = lines.keys()
-        shape = lines.simhashes().astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id").take(pa.array(lines.text)),
@@ -203,18 +350,20 @@ def _read_lines(batches: Iterator[pa.RecordBatch], every: bool = False) -> Itera
                 pa.array(lines.number.astype(np.int32)),
                 pa.array(signed(one)),
                 pa.array(signed(two)),
-                pa.array(lines.size),
-                *(pa.array(shape[:, b]) for b in range(BLOCKS)),
+                pa.array(lines.size.astype(np.int32)),
             ],
-            ["doc_id", "digest", "line", "k0", "k1", "size", *(f"b{b}" for b in range(BLOCKS))],
+            ["doc_id", "digest", "line", "k0", "k1", "size"],
         )
 
 
-def _read_words(batches: Iterator[pa.RecordBatch], every: bool = False) -> Iterator[pa.RecordBatch]:
-    """The words of every line, as 32 bits each, under the line's key."""
+def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of every line that may have near copies, as 32 bits each, under the line's key."""
     for part in blocks(batches, "text"):
-        lines = Lines(part.column("text"), every)
+        lines = Lines(part.column("text"), LEAST_WORDS)
         one, two = lines.keys()
+        _, once = np.unique(one, return_index=True)
+        lines.leave(once)
+        one, two = one[once], two[once]
         short = (lines.words >> np.uint64(32)).astype(np.uint32)
         rows = [short[f : f + n].tobytes() for f, n in zip(lines.first.tolist(), lines.size.tolist())]
         yield pa.RecordBatch.from_arrays(
@@ -270,39 +419,7 @@ def _with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
 
 
-def _near_groups(known: DataFrame, distinct: DataFrame, members: DataFrame, features: Features) -> DataFrame:
-    """(id, root) of all lines similar to another one, whatever their SimHashes."""
-    level = known.sparkSession.sparkContext.broadcast(word_levels(known))
-    schema = "k0 long, k1 long, p0 long, p1 long, rare array<int>"
-    rare = known.select("text").mapInArrow(lambda batches: _read_rare(batches, level.value), schema)
-    rare = rare.groupBy("k0", "k1").agg(*(F.first(name).alias(name) for name in ("p0", "p1", "rare")))
-    lines = distinct.select("id", "k0", "k1", "size").join(rare, ["k0", "k1"])
-    rows = materialize(lines.select("id", "size", "p0", "p1", F.explode("rare").alias("token")), "rare-words")
-    many = rows.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {PAIRED}").select("token")
-    many = materialize(many, "frequent-rare-words")
-    few = rows.join(many, "token", "left_anti")
-    other = few.select("token", *(F.col(name).alias(f"other_{name}") for name in ("id", "size", "p0", "p1")))
-    apart = F.bit_count(F.col("p0").bitwiseXOR(F.col("other_p0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("other_p1")))
-    both = F.col("size") + F.col("other_size")
-    pairs = few.join(other, "token").where(
-        (F.col("id") < F.col("other_id")) & (10 * F.abs(F.col("size") - F.col("other_size")) <= both) & (10 * apart <= both)
-    )
-    pairs = materialize(pairs.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct(), "rare-pairs")
-    # Keys of SimHash blocks are not negative.
-    crowded = rows.join(many, "token", "left_semi").select(
-        (F.col("token").cast("bigint") - F.lit(1 << 33)).alias("key"), "id", "size"
-    )
-    groups = materialize(linked_groups(members.unionByName(crowded), features, LINK), "line-groups")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    listed = materialize(features(ids), "rare-features")
-    left = listed.select(F.col("id").alias("a"), F.col("labels").alias("left"))
-    right = listed.select(F.col("id").alias("b"), F.col("labels").alias("right"))
-    verified = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(LINK.verify, "a long, b long")
-    edges = groups.select(F.col("id").alias("a"), F.col("root").alias("b")).union(verified)
-    return components(materialize(edges, "line-links"))
-
-
-def repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, digest, lines: numbers of the lines to drop, for documents that have any.
 
     `digest` is the hash of the text, so that a doc_id with several texts is
@@ -311,43 +428,36 @@ def repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """
     prepare(docs.sparkSession)
     known = _with_digest(docs).where("text is not null")
-    id_field = T.StructField("doc_id", docs.schema["doc_id"].dataType)
-    longs = [T.StructField(name, T.LongType()) for name in ("k0", "k1", "size", *(f"b{b}" for b in range(BLOCKS)))]
-    place = [T.StructField("digest", T.LongType()), T.StructField("line", T.IntegerType())]
-    occurrences = materialize(known.mapInArrow(lambda batches: _read_lines(batches, whole), T.StructType([id_field, *place, *longs])), "lines")
-    by_line = occurrences.groupBy("k0", "k1").agg(
-        F.min(F.struct("doc_id", "digest", "line")).alias("first"),
-        F.count("*").alias("n"),
-        *(F.first(name).alias(name) for name in ("size", *(f"b{b}" for b in range(BLOCKS)))),
-    )
-    distinct = materialize(by_line.select(F.monotonically_increasing_id().alias("id"), "*"), "distinct-lines")
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)])
+    for name in ("digest", "line", "k0", "k1", "size"):
+        schema = schema.add(name, T.IntegerType() if name in ("line", "size") else T.LongType())
+    occurrences = materialize(known.mapInArrow(_read_lines, schema), "lines")
+    members = block_members(known, occurrences.agg(F.sum("size")).first()[0] or 0)
+    near = members.select("k0", "k1").distinct().select(F.monotonically_increasing_id().alias("id"), "k0", "k1")
+    near = materialize(near, "near-lines")
+    by_line = occurrences.groupBy("k0", "k1").agg(F.min(F.struct("doc_id", "digest", "line")).alias("first"), F.count("*").alias("n"))
+    again = by_line.join(near, ["k0", "k1"], "left").where("n > 1 or id is not null")
+    again = materialize(again, "repeated")
 
     def features(wanted: DataFrame) -> DataFrame:
         # Equal keys are equal words: any occurrence will do, and the first one's document has it.
-        listed = materialize(
-            distinct.join(wanted, "id", "left_semi").select("id", "k0", "k1", F.col("first.doc_id").alias("doc_id")),
-            "listed-lines",
-        )
+        listed = again.where("id is not null").join(wanted, "id", "left_semi")
+        listed = materialize(listed.select("id", "k0", "k1", F.col("first.doc_id").alias("doc_id")), "listed-lines")
         texts = known.select("doc_id", "text").where("doc_id is null").union(
             narrow(known.select("doc_id", "text").where("doc_id is not null"), listed.select("doc_id").distinct(), ["doc_id"])
         )
-        found = texts.mapInArrow(lambda batches: _read_words(batches, whole), "k0 long, k1 long, labels binary")
+        found = texts.mapInArrow(_read_words, "k0 long, k1 long, labels binary")
         found = narrow(found, listed.select("k0", "k1"), ["k0", "k1"], KEYS_SENT).dropDuplicates(["k0", "k1"])
         return found.join(listed, ["k0", "k1"]).select("id", "labels")
 
-    keys = F.array(*(F.lit(b << 32).cast("bigint") + F.col(f"b{b}") for b in range(BLOCKS)))
-    members = distinct.where(F.col("size") >= LEAST_WORDS).select(F.explode(keys).alias("key"), "id", "size")
-    found = _near_groups(known, distinct, members, features) if whole else linked_groups(members, features, LINK)
-    groups = materialize(found, "all-line-groups")
-    grouped = materialize(distinct.select("id", "first").join(groups, "id"), "grouped-lines")
+    members = materialize(members.join(near, ["k0", "k1"]).select("key", "id", "size"), "members")
+    groups = materialize(linked_groups(members, features, LINK), "line-groups")
+    grouped = materialize(again.where("id is not null").select("id", "first").join(groups, "id"), "grouped-lines")
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"))
-    again = distinct.select("id", "k0", "k1", "first", "n").join(groups, "id", "left").join(stays, "root", "left")
-    again = materialize(
-        again.where("n > 1 or root is not null").select("k0", "k1", F.coalesce("stays", "first").alias("stays")),
-        "repeated",
-    )
+    firsts = again.join(groups, "id", "left").join(stays, "root", "left").where("n > 1 or root is not null")
+    firsts = materialize(firsts.select("k0", "k1", F.coalesce("stays", "first").alias("stays")), "first-lines")
     here = F.struct("doc_id", "digest", "line")
-    dropped = occurrences.select("doc_id", "digest", "line", "k0", "k1").join(again, ["k0", "k1"]).where(
+    dropped = occurrences.select("doc_id", "digest", "line", "k0", "k1").join(firsts, ["k0", "k1"]).where(
         ~here.eqNullSafe(F.col("stays"))
     )
     return dropped.groupBy("doc_id", "digest").agg(F.collect_set("line").alias("lines"))
@@ -365,18 +475,15 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type)).select(names)
 
 
-def drop_repeated_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the later occurrences of repeated lines taken out of `text`.
 
-    Lines end at \\n. Lines of fewer than five words (unless `whole`), lines without
-    a word, null texts and texts without repeated lines stay as they are; a text whose lines all occur
-    elsewhere becomes empty. The column `__removed` tells how many lines went; one that
-    `docs` has by that name is replaced.
-    `whole` finds every pair of similar lines, not only those that share a block
-    of their SimHash, and exact repeats of lines of any length.
+    Lines end at \\n. Lines without a word, null texts and texts without repeated lines
+    stay as they are; a text whose lines all occur elsewhere becomes empty. The column
+    `__removed` tells how many lines went; one that `docs` has by that name is replaced.
     """
     docs = docs.drop("__removed")
-    dropped = materialize(repeated_lines(docs, whole), "dropped-lines")
+    dropped = materialize(repeated_lines(docs), "dropped-lines")
     n_docs, n_lines = dropped.agg(F.count("*"), F.sum(F.size("lines"))).first()
     if n_docs <= DOCS_SENT and (n_lines or 0) <= NUMBERS_SENT:
         dropped = F.broadcast(dropped)
