@@ -226,7 +226,8 @@ def test_similar_lines_share_a_block_of_words(seed):
     held = defaultdict(set)
     for line, found in zip(*map(np.ndarray.tolist, lines.word_blocks(level))):
         held[line].add(found)
-    parity, size = lines.parities(), lines.size.tolist()
+    size = lines.size.tolist()
+    parities = [lines.parities(32).view("<u4"), lines.parities(128).view("<u8")]
     words = [rows[t].split(" ") for t in lines.text.tolist()]
     near = 0
     for a, b in combinations(range(len(size)), 2):
@@ -234,9 +235,9 @@ def test_similar_lines_share_a_block_of_words(seed):
             if 20 * linededup.common_words(words[a], words[b]) >= 9 * (size[a] + size[b]):
                 near += 1
                 assert held[a] & held[b]
-                bare = np.zeros(2, dtype=linededup._BARE)
-                bare["line"], bare["parity"], bare["size"] = [1, 2], parity[[a, b]], np.minimum([size[a], size[b]], 255)
-                assert linededup._possible(bare)[1].tolist() == [1, 2]
+                for cut, parity in zip((255, 1000), parities):
+                    sizes = np.minimum([size[a], size[b]], cut)
+                    assert linededup._possible(np.zeros(2), parity[[a, b]], sizes).all()
     assert near > 100
 
 
@@ -245,14 +246,13 @@ def slow_lcs_bound(a, b):
     return sum((Counter(a) & Counter(b)).values())
 
 
-def test_blocks_of_unlike_lines_go_no_further():
-    """Of one block, lines of other size or parity stay behind; a line told twice is no pair."""
-    bare = np.zeros(5, dtype=linededup._BARE)
-    bare["line"], bare["size"] = [1, 1, 2, 3, 4], [20, 20, 30, 20, 20]
-    bare["parity"] = [0, 0, 0, 0xFFFF, 0xFFFE]
-    name, line = linededup._possible(bare)
-    assert line.tolist() == [3, 4] and name.tolist() == [0, 0]
-    assert linededup._possible(bare[:2])[1].tolist() == []
+def test_blocks_of_unlike_lines_go_no_further(monkeypatch):
+    """Lines of other size or parity stay behind, unless their block is too long to be tested."""
+    parity, size = np.array([[0], [0], [0xFFFF], [0xFFFE], [0]], dtype=np.uint32), np.array([20, 30, 20, 20, 20])
+    name = np.array([1, 1, 1, 1, 2])
+    assert linededup._possible(name, parity, size).tolist() == [False, False, True, True, False]
+    monkeypatch.setattr(linededup, "TESTED", 2)
+    assert linededup._possible(name, parity, size).tolist() == [True, True, True, True, False]
 
 
 def test_counts_are_summed_over_many_tasks(spark, monkeypatch):

@@ -19,7 +19,8 @@ Counts decide only how few unrelated lines share a block, never which pairs are
 
 Blocks travel bare, as 13 bytes with 32 parity bits of the line (each flipped by every
 word that falls on it: similar lines differ in no more than D). Only lines that share
-a block with one of possible size and parity go on to be compared.
+a block with one of possible size and parity travel again, with 128 of these bits, and
+those that are still possible are compared.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ _COUNTERS, _PIECES, _FAN_IN = 1 << 19, 16, 16
 _LINES_AT_ONCE = 1 << 24
 # A block as it travels: its name within its part, its line, the line's parity bits and size.
 _BARE = np.dtype([("rest", "<u4"), ("line", "<u4"), ("parity", "<u4"), ("size", "u1")])
+# The same of lines that may be similar to another one, so far.
+_FULL = np.dtype([("rest", "<u4"), ("k0", "<i8"), ("k1", "<i8"), ("size", "<i8"), ("parity", "<u8", 2)])
 _WORDS_AT_ONCE = 1 << 16
 # The bits of a byte, highest first, as the bytes of a number, lowest first.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
@@ -127,11 +130,11 @@ class Lines:
         none = np.zeros(0, dtype=np.uint64)
         return np.concatenate([none, *out]), np.repeat(np.arange(len(self.size)), self.size)
 
-    def parities(self) -> np.ndarray:
-        """32 bits per line: each is flipped by every word that falls on it."""
+    def parities(self, bits: int) -> np.ndarray:
+        """A row of so many bits per line, as bytes: each is flipped by every word that falls on it."""
         told, owner = self.told
-        hits = np.bincount(owner * 32 + (told & np.uint64(31)).astype(np.int64), minlength=32 * len(self.size))
-        return np.packbits((hits & 1).astype(np.uint8).reshape(-1, 32), axis=1).view(np.uint32).ravel()
+        hits = np.bincount(owner * bits + (told & np.uint64(bits - 1)).astype(np.int64), minlength=bits * len(self.size))
+        return np.packbits((hits & 1).astype(np.uint8).reshape(-1, bits), axis=1)
 
     def word_blocks(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lines and hashes of the blocks of words that each keeps."""
@@ -266,49 +269,87 @@ def _send_bare(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int)
     for lines, one, _, line, part, rest in _block_lines(batches, level, parts):
         rows = np.empty(len(line), dtype=_BARE)
         rows["rest"], rows["line"] = rest, one[line] & np.uint64(0xFFFFFFFF)
-        rows["parity"], rows["size"] = lines.parities()[line], np.minimum(lines.size[line], 255)
-        order = np.argsort(part, kind="stable")
-        here, begin = np.unique(part[order], return_index=True)
-        rows, ends = rows[order], [*begin[1:].tolist(), len(order)]
-        packed = [rows[i:j].tobytes() for i, j in zip(begin.tolist(), ends)]
-        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())], ["part", "rows"])
-
-
-def _possible(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names and lines, of those that share a block with a line of possible size and parity."""
-    both = rows["rest"].astype(np.uint64) << np.uint64(32) | rows["line"]
-    both, at = np.unique(both, return_index=True)
-    name, parity, size = both >> np.uint64(32), rows["parity"][at], rows["size"][at].astype(np.int64)
-    found = np.zeros(len(both), dtype=bool)
-    left, i = np.arange(len(both)), 0
+        rows["parity"] = lines.parities(32).view("<u4").ravel()[line]
+        # Of lines that long, 32 parity bits rule out nothing, and a size cut short stays possible.
+        rows["size"] = np.minimum(lines.size[line], 255)
+        yield _packed(part, rows)
+
+
+def _packed(part: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """One row per part, with all its rows as bytes."""
+    order = np.argsort(part, kind="stable")
+    here, begin = np.unique(part[order], return_index=True)
+    rows, ends = rows[order], [*begin[1:].tolist(), len(order)]
+    packed = [rows[i:j].tobytes() for i, j in zip(begin.tolist(), ends)]
+    return pa.RecordBatch.from_arrays([pa.array(here), pa.array(packed, pa.binary())], ["part", "rows"])
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[int, np.ndarray]]:
+    held: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for part, rows in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist()):
+            held.setdefault(part, []).append(rows)
+    while held:
+        part, rows = held.popitem()
+        yield part, np.frombuffer(b"".join(rows), dtype=kind)
+
+
+def _possible(name: np.ndarray, parity: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which rows, sorted by name, share it with one of possible size and parity. All of a long block do."""
+    found = np.zeros(len(name), dtype=bool)
+    left, i = np.arange(len(name)), 0
     while len(left) and i < TESTED:
         i += 1
-        left = left[left + i < len(both)]
+        left = left[left + i < len(name)]
         left = left[name[left] == name[left + i]]
         other = left + i
         sizes = size[left] + size[other]
-        # From 255 words on, sizes are cut and parities tell nothing.
-        near = (10 * np.abs(size[left] - size[other]) <= sizes) & (10 * np.bitwise_count(parity[left] ^ parity[other]).astype(np.int64) <= sizes)
+        apart = np.bitwise_count(parity[left] ^ parity[other]).sum(axis=1, dtype=np.int64)
+        near = (10 * np.abs(size[left] - size[other]) <= sizes) & (10 * apart <= sizes)
         found[left[near]] = found[other[near]] = True
     if len(left):
         found |= np.isin(name, name[left])
-    return name[found], both[found] & np.uint64(0xFFFFFFFF)
+    return found
 
 
 def _read_bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[bytes]] = {}
+    for part, rows in _by_part(batches, _BARE):
+        # A line of several batches is one line.
+        _, at = np.unique(rows["rest"].astype(np.uint64) << np.uint64(32) | rows["line"], return_index=True)
+        rows = rows[at]
+        rows = rows[_possible(rows["rest"], rows["parity"][:, None], rows["size"].astype(np.int64))]
+        key = rows["rest"].astype(np.int64) + (part << 32)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rows["line"].copy().view(np.int32))], ["key", "line"])
+
+
+def _send_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, rows in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist()):
-            held.setdefault(part, []).append(rows)
-    while held:
-        part, rows = held.popitem()
-        name, line = _possible(np.frombuffer(b"".join(rows), dtype=_BARE))
-        key = name.astype(np.int64) + (part << 32)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line.astype(np.uint32).view(np.int32))], ["key", "line"])
+        key = batch.column("key").to_numpy()
+        rows = np.empty(len(key), dtype=_FULL)
+        rows["rest"] = key & 0xFFFFFFFF
+        for name in ("k0", "k1", "size"):
+            rows[name] = batch.column(name).to_numpy()
+        for i in range(2):
+            rows["parity"][:, i] = batch.column(f"p{i}").to_numpy().view(np.uint64)
+        yield _packed(key >> 32, rows)
+
+
+def _read_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, rows in _by_part(batches, _FULL):
+        rows = rows[np.lexsort((rows["k1"], rows["k0"], rows["rest"]))]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows["rest"][1:] != rows["rest"][:-1]) | (rows["k0"][1:] != rows["k0"][:-1]) | (rows["k1"][1:] != rows["k1"][:-1])
+        rows = rows[new]
+        rows = rows[_possible(rows["rest"], rows["parity"], rows["size"])]
+        key = rows["rest"].astype(np.int64) + (part << 32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), *(pa.array(rows[name].copy()) for name in ("k0", "k1", "size"))], ["key", "k0", "k1", "size"]
+        )
 
 
 def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     for lines, one, two, line, part, rest in _block_lines(batches, level, parts):
+        parity = lines.parities(128).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array((part << 32) + rest.astype(np.int64)),
@@ -316,8 +357,9 @@ def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: in
                 pa.array(signed(one)[line]),
                 pa.array(signed(two)[line]),
                 pa.array(lines.size[line]),
+                *(pa.array(parity[line, i]) for i in range(2)),
             ],
-            ["key", "line", "k0", "k1", "size"],
+            ["key", "line", "k0", "k1", "size", "p0", "p1"],
         )
 
 
@@ -330,11 +372,12 @@ def block_members(known: DataFrame, words_held: int) -> DataFrame:
     parts = max(sc.defaultParallelism, words_held // 2 * _BARE.itemsize // BARE_BYTES)
     bare = texts.mapInArrow(lambda batches: _send_bare(batches, level.value, parts), "part long, rows binary")
     shared = materialize(bare.repartition(parts, "part").mapInArrow(_read_bare, "key long, line int"), "shared-blocks")
-    rows = texts.mapInArrow(
-        lambda batches: _read_blocks(batches, level.value, parts), "key long, line int, k0 long, k1 long, size long"
-    )
-    rows = blooms.reduce_by_list(rows, shared, ["key", "line"], shared.count()).join(shared, ["key", "line"], "left_semi")
-    return materialize(rows.select("key", "k0", "k1", "size").dropDuplicates(["key", "k0", "k1"]), "block-members")
+    schema = "key long, line int, k0 long, k1 long, size long, p0 long, p1 long"
+    rows = texts.mapInArrow(lambda batches: _read_blocks(batches, level.value, parts), schema)
+    # What passes the filter by chance is dropped by the second test, as it has no partner.
+    rows = blooms.reduce_by_list(rows, shared, ["key", "line"], shared.count()).mapInArrow(_send_full, "part long, rows binary")
+    rows = rows.repartition(parts, "part").mapInArrow(_read_full, "key long, k0 long, k1 long, size long")
+    return materialize(rows, "block-members")
 
 
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
