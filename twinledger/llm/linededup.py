@@ -31,11 +31,11 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.links import Similarity, linked_groups
+from twinledger.llm.links import Features, Similarity, components
 from twinledger.llm.textblocks import blocks, mix, prepare, runs_of, set_aside, signed, text_bytes, unspaced, words
 from twinledger.operators import blooms
 from twinledger.operators.lists import narrow
@@ -343,7 +343,12 @@ def _read_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = rows[_possible(rows["rest"], rows["parity"], rows["size"])]
         key = rows["rest"].astype(np.int64) + (part << 32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key), *(pa.array(rows[name].copy()) for name in ("k0", "k1", "size"))], ["key", "k0", "k1", "size"]
+            [
+                pa.array(key),
+                *(pa.array(rows[name].copy()) for name in ("k0", "k1", "size")),
+                *(pa.array(signed(rows["parity"][:, i].copy())) for i in range(2)),
+            ],
+            ["key", "k0", "k1", "size", "p0", "p1"],
         )
 
 
@@ -364,7 +369,7 @@ def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: in
 
 
 def block_members(known: DataFrame, words_held: int) -> DataFrame:
-    """key, k0, k1, size: blocks with two or more lines that may be similar, and these lines, stored."""
+    """key, k0, k1, size, p0, p1: blocks with two or more lines that may be similar, and these lines, stored."""
     sc = known.sparkSession.sparkContext
     level = sc.broadcast(word_levels(known))
     texts = known.select("text")
@@ -376,7 +381,7 @@ def block_members(known: DataFrame, words_held: int) -> DataFrame:
     rows = texts.mapInArrow(lambda batches: _read_blocks(batches, level.value, parts), schema)
     # What passes the filter by chance is dropped by the second test, as it has no partner.
     rows = blooms.reduce_by_list(rows, shared, ["key", "line"], shared.count()).mapInArrow(_send_full, "part long, rows binary")
-    rows = rows.repartition(parts, "part").mapInArrow(_read_full, "key long, k0 long, k1 long, size long")
+    rows = rows.repartition(parts, "part").mapInArrow(_read_full, "key long, k0 long, k1 long, size long, p0 long, p1 long")
     return materialize(rows, "block-members")
 
 
@@ -462,6 +467,51 @@ def _with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
 
 
+def _may_be_similar(a: str, b: str) -> Column:
+    both = F.col(f"{a}size") + F.col(f"{b}size")
+    apart = sum((F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(2)), F.lit(0))
+    return (10 * F.abs(F.col(f"{a}size") - F.col(f"{b}size")) <= both) & (10 * apart <= both)
+
+
+def line_groups(members: DataFrame, features: Features) -> DataFrame:
+    """(id, root) of all lines linked to another one; root is the lowest id of the group.
+
+    `members`: key, id, size, p0, p1, one row per block and line, stored. Lines are compared
+    with the centre of their block, the line with the most company in all its blocks. Lines
+    of another group than the centre's are then compared with all lines of the block that
+    neither this group nor their sizes and parity bits rule out; so no link is lost.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    company = materialize(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("score")), "company")
+    centres = members.join(company, "id").groupBy("key").agg(F.max(F.struct("score", "id", "size", "p0", "p1")).alias("top"))
+    centres = centres.select("key", *(F.col(f"top.{name}").alias(f"b_{name}") for name in ("id", "size", "p0", "p1")))
+    centres = materialize(centres, "centres")
+    around = members.join(centres, "key").where("id != b_id").where(_may_be_similar("", "b_"))
+    around = materialize(around.select(F.least("id", "b_id").alias("a"), F.greatest("id", "b_id").alias("b")).distinct(), "around")
+    known = materialize(features(around.select(F.col("a").alias("id")).union(around.select("b")).distinct()), "features")
+    roots = materialize(components(_linked(around, known)), "roots")
+
+    rooted = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    main = centres.join(roots, F.col("b_id") == F.col("id"), "left").select("key", F.coalesce("root", "b_id").alias("main"))
+    rooted = materialize(rooted.join(main, "key").select("key", "id", "size", "p0", "p1", "root", "main"), "rooted")
+    apart = rooted.where("root != main").select("key", *(F.col(x).alias(f"o_{x}") for x in ("id", "size", "p0", "p1", "root")))
+    # Of two lines that are both of other groups than the centre's, the lower one asks.
+    asked = (F.col("root") != F.col("o_root")) & ((F.col("root") == F.col("main")) | (F.col("o_id") < F.col("id")))
+    more = apart.join(rooted, "key").where(asked & _may_be_similar("", "o_"))
+    more = materialize(more.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "more-pairs")
+    further = more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(known.select("id"), "id", "left_anti")
+    known = known.unionByName(materialize(features(further), "more-features"))
+    second = materialize(_linked(more, known), "more-links")
+    return components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(second))
+
+
+def _linked(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    left = known.select(F.col("id").alias("a"), F.col("labels").alias("left"))
+    right = known.select(F.col("id").alias("b"), F.col("labels").alias("right"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+    return both.mapInArrow(LINK.verify, "a long, b long")
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, digest, lines: numbers of the lines to drop, for documents that have any.
 
@@ -493,8 +543,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         found = narrow(found, listed.select("k0", "k1"), ["k0", "k1"], KEYS_SENT).dropDuplicates(["k0", "k1"])
         return found.join(listed, ["k0", "k1"]).select("id", "labels")
 
-    members = materialize(members.join(near, ["k0", "k1"]).select("key", "id", "size"), "members")
-    groups = materialize(linked_groups(members, features, LINK), "line-groups")
+    members = materialize(members.join(near, ["k0", "k1"]).select("key", "id", "size", "p0", "p1"), "members")
+    groups = materialize(line_groups(members, features), "line-groups")
     grouped = materialize(again.where("id is not null").select("id", "first").join(groups, "id"), "grouped-lines")
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"))
     firsts = again.join(groups, "id", "left").join(stays, "root", "left").where("n > 1 or root is not null")
