@@ -52,7 +52,7 @@ STEP_TENTHS = 16
 KEYS_SENT = 1_000_000
 DOCS_SENT, NUMBERS_SENT = 200_000, 4_000_000
 #: Bytes of bare blocks that one task looks through, on average.
-BARE_BYTES = 32 << 20
+BARE_BYTES = 8 << 20
 #: Lines of a block are tested against so many others; all lines of a longer block go on.
 TESTED = 256
 #: Words are counted by so many values of their hash, in so many pieces, so many tasks' at a time.
