@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_registered():
     names = contract.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {
         name[: name.index("_") + 1] for name in names if name.startswith("op")
     }
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5
