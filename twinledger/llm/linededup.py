@@ -58,6 +58,9 @@ TESTED = 256
 #: Words are counted by so many values of their hash, in so many pieces, so many tasks' at a time.
 _COUNTERS, _PIECES, _FAN_IN = 1 << 19, 16, 16
 _LINES_AT_ONCE = 1 << 24
+#: Bytes of text whose lines a task holds as numbers at a time.
+TEXT_BYTES = 1 << 19
+_SENT_AT_ONCE = 1 << 18
 # A block as it travels: its name within its part, its line, the line's parity bits and size.
 _BARE = np.dtype([("rest", "<u4"), ("line", "<u4"), ("parity", "<u4"), ("size", "u1")])
 # The same of lines that may be similar to another one, so far.
@@ -224,7 +227,7 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_COUNTERS, dtype=np.int64)
-        for part in blocks(batches, "text"):
+        for part in blocks(batches, "text", TEXT_BYTES):
             total += np.bincount(_counter(Lines(part.column("text"), LEAST_WORDS).told[0]), minlength=_COUNTERS)
         if total.any():
             task = TaskContext.get().partitionId()
@@ -255,7 +258,7 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
 def _block_lines(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[tuple]:
     """Lines that may have near copies, each once a batch: keys, and their blocks' lines, parts and names."""
-    for part in blocks(batches, "text"):
+    for part in blocks(batches, "text", TEXT_BYTES):
         lines = Lines(part.column("text"), LEAST_WORDS)
         one, two = lines.keys()
         _, once = np.unique(one, return_index=True)
@@ -266,13 +269,20 @@ def _block_lines(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: in
 
 
 def _send_bare(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for lines, one, _, line, part, rest in _block_lines(batches, level, parts):
         rows = np.empty(len(line), dtype=_BARE)
         rows["rest"], rows["line"] = rest, one[line] & np.uint64(0xFFFFFFFF)
         rows["parity"] = lines.parities(32).view("<u4").ravel()[line]
         # Of lines that long, 32 parity bits rule out nothing, and a size cut short stays possible.
         rows["size"] = np.minimum(lines.size[line], 255)
-        yield _packed(part, rows)
+        held.append((part, rows))
+        # Many at a time, so that parts get rows of some length.
+        if sum(len(x) for x, _ in held) >= _SENT_AT_ONCE:
+            yield _packed(*map(np.concatenate, zip(*held)))
+            held = []
+    if held:
+        yield _packed(*map(np.concatenate, zip(*held)))
 
 
 def _packed(part: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
@@ -386,7 +396,7 @@ def block_members(known: DataFrame, words_held: int) -> DataFrame:
 
 
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in blocks(batches, "text"):
+    for part in blocks(batches, "text", TEXT_BYTES):
         lines = Lines(part.column("text"))
         if not len(lines.size):
             continue
@@ -406,7 +416,7 @@ def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of every line that may have near copies, as 32 bits each, under the line's key."""
-    for part in blocks(batches, "text"):
+    for part in blocks(batches, "text", TEXT_BYTES):
         lines = Lines(part.column("text"), LEAST_WORDS)
         one, two = lines.keys()
         _, once = np.unique(one, return_index=True)

@@ -14,6 +14,7 @@ from twinledger import configure
 
 BLOCK_BYTES = 4 << 20
 BATCH_ROWS = 1000
+_LEAST_POWERS = 1 << 16
 
 # Any odd multiplier and any table of odd-ish constants will do; they must only
 # be the same everywhere.
@@ -97,7 +98,7 @@ _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = 1 << max(n - 1, _LEAST_POWERS - 1).bit_length()
         up, down = np.full(size, _STEP), np.full(size, _STEP_INVERSE)
         up[0] = down[0] = 1
         _powers = np.cumprod(up), np.cumprod(down)
