@@ -1365,6 +1365,17 @@ def pipe_run_reconcile(f: Fixtures) -> DataFrame:
     return found.drop("year")
 
 
+@query("pipe_reconcile_stored", ("stage", "index_docs"), f"{DRILL} SELECT * FROM found")
+def pipe_reconcile_stored(f: Fixtures) -> DataFrame:
+    docs, stage, root = (scratch_path(f.spark, name) for name in ("index-docs", "stage-files", "pyramid"))
+    for part in (0, 1):
+        f.index_docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part).write.mode("append").parquet(docs)
+        half = f.stage.where(F.pmod(F.xxhash64("key"), F.lit(2)) == part)
+        half.write.mode("append").partitionBy("reporting_entity").parquet(stage)
+        plans.grow_pyramid(f.spark, docs, stage, ENTITY, root)
+    return plans.reconcile_stored(f.spark, ENTITY, YEARS, root, THRESHOLD).outstanding
+
+
 @query(
     "agg_level_stats",
     ("stage", "index_docs"),

@@ -6,6 +6,7 @@ from twinledger.plans.multiplicity import (
     run_source_multiplicity,
     source_multiplicity,
 )
+from twinledger.plans.pyramid import grow_pyramid, reconcile_stored
 from twinledger.plans.reconciliation import (
     Reconciliation,
     mistagged_rows,
@@ -23,6 +24,7 @@ __all__ = [
     "dedup",
     "deliver",
     "failed_report",
+    "grow_pyramid",
     "key_multiplicity",
     "lookup_report",
     "lookup_sources",
@@ -32,6 +34,7 @@ __all__ = [
     "reconcile",
     "reconcile_exact",
     "reconcile_sketched",
+    "reconcile_stored",
     "replay",
     "run_key_multiplicity",
     "run_reconcile",

@@ -58,7 +58,7 @@ def _combined(
     docs: DataFrame, stage: DataFrame, entity: str, years: list[int], marker: str
 ) -> DataFrame:
     """second, key, docs, lake_any, lake_exact: a row per second and key."""
-    return _by_key(_stacked(docs, stage, entity, years, marker), F.col("second"), "second")
+    return by_key(_stacked(docs, stage, entity, years, marker), F.col("second"), "second")
 
 
 def _stacked(
@@ -96,7 +96,7 @@ def _stacked(
     return left.unionByName(right)
 
 
-def _by_key(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
+def by_key(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
     return rows.groupBy(bucket.alias(name), "key").agg(
         F.sum("docs").alias("docs"),
         F.bool_or("lake_any").alias("lake_any"),
@@ -104,7 +104,7 @@ def _by_key(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
     )
 
 
-def _one_sided(by_key: DataFrame, level: str, sides: tuple[str, str]) -> DataFrame:
+def one_sided(by_key: DataFrame, level: str, sides: tuple[str, str]) -> DataFrame:
     start, end = window_of(level, F.col("bucket"))
     in_index = F.col("docs") > 0
     return by_key.where(F.col("key").isNotNull() & (in_index != F.col("lake_exact"))).select(
@@ -116,6 +116,13 @@ def _one_sided(by_key: DataFrame, level: str, sides: tuple[str, str]) -> DataFra
     )
 
 
+def check_choices(left_metric: str, compare: str) -> None:
+    if left_metric not in LEFT_METRICS:
+        raise ValueError(f"left_metric {left_metric!r} is none of {LEFT_METRICS}")
+    if compare not in COMPARE:
+        raise ValueError(f"compare {compare!r} is none of {COMPARE}")
+
+
 def reconcile(
     docs: DataFrame,
     stage: DataFrame,
@@ -134,10 +141,7 @@ def reconcile(
     bucket also differs if one side holds a key that the other lacks, so none
     goes unnoticed. With "counts" buckets of equal counts are not opened.
     """
-    if left_metric not in LEFT_METRICS:
-        raise ValueError(f"left_metric {left_metric!r} is none of {LEFT_METRICS}")
-    if compare not in COMPARE:
-        raise ValueError(f"compare {compare!r} is none of {COMPARE}")
+    check_choices(left_metric, compare)
     narrow_rows = _combined(docs, stage, entity, years, marker).withColumn(
         "month", year_month(F.col("second"))
     )
@@ -150,10 +154,10 @@ def reconcile(
         lake = F.col("lake_any") if level == "month" else F.col("lake_exact")
         left = F.sum("docs") if left_metric == "docs" else F.count_if(held & (F.col("docs") > 0))
         # Rows are by key here, so whether the sets of keys differ needs no fingerprint.
-        one_sided = held & ((F.col("docs") > 0) != F.col("lake_exact"))
-        others = F.bool_or(one_sided) if compare == "keys" else F.lit(False)
+        differs = held & ((F.col("docs") > 0) != F.col("lake_exact"))
+        others = F.bool_or(differs) if compare == "keys" else F.lit(False)
         counts = (
-            _by_key(rows, bucket_start(level, second))
+            by_key(rows, bucket_start(level, second))
             .groupBy("bucket")
             .agg(left.alias("left_n"), F.count_if(held & lake).alias("right_n"), others.alias("others"))
         )
@@ -170,8 +174,8 @@ def reconcile(
         rows = joins.under_frontier(below, second, front.where(~F.col("leaf")), level)
 
     outstanding = [
-        _one_sided(
-            _by_key(
+        one_sided(
+            by_key(
                 joins.under_frontier(table.where(F.col("month").isin(*months)), second, front.where("leaf"), level),
                 bucket_start(level, second),
             ),
@@ -231,7 +235,7 @@ def reconcile_exact(
 ) -> DataFrame:
     """Every one-sided key of every bucket, whether or not its counts differ."""
     rows = _combined(docs, stage, entity, years, marker)
-    return _one_sided(_by_key(rows, bucket_start(level, F.col("second"))), level, sides)
+    return one_sided(by_key(rows, bucket_start(level, F.col("second"))), level, sides)
 
 
 def reconcile_sketched(
@@ -267,7 +271,7 @@ def reconcile_sketched(
         found = F.broadcast(found)
     named = hashed.join(found, ["bucket", "a", "b"], "left_semi").drop("a", "b")
     whole = rows.join(stuck, "bucket", "left_semi")
-    return _one_sided(_by_key(named.unionByName(whole), F.col("bucket")), level, sides)
+    return one_sided(by_key(named.unionByName(whole), F.col("bucket")), level, sides)
 
 
 def mistagged_rows(stage: DataFrame) -> DataFrame:
