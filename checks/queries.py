@@ -533,15 +533,15 @@ def flt_text_key(f: Fixtures) -> DataFrame:
     return filters.with_text_key(f.index_docs).select("doc_id", "key")
 
 
-@query(
-    "flt_resume",
-    ("stage", "index_docs", "key_list"),
+RESUMED = (
     f"SELECT DISTINCT key FROM key_list WHERE key NOT IN (SELECT key FROM stage WHERE reporting_entity = '{ENTITY}') "
-    "AND key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)",
+    "AND key NOT IN (SELECT key FROM index_docs WHERE key IS NOT NULL)"
 )
-def flt_resume(f: Fixtures) -> DataFrame:
+
+
+def _two_runs_left(f: Fixtures, compact: bool) -> DataFrame:
     """What two recorded runs leave to do: one submitted an entity's keys and failed the undated
-    ones, the other skipped what the index has."""
+    ones, the other skipped what the index has. `compact`: the first is merged before the second."""
     path, nothing = scratch_path(f.spark, "two-runs"), F.lit(None).cast("string")
     entity, undated = filters.by_entity(f.stage, ENTITY), f.key_list.where(F.col("key").startswith("doc/"))
     runs = (
@@ -552,10 +552,22 @@ def flt_resume(f: Fixtures) -> DataFrame:
         rows = [keys.distinct().withColumn("outcome", F.lit(outcome)) for keys, outcome in run]
         found = reduce(DataFrame.unionByName, rows)
         sources.append_outcomes(found.withColumns({c: nothing for c in ("batch", "stage", "error")}), path)
+        if compact and run is runs[0]:
+            sources.compact_outcomes(f.spark, path, REPLAY_OUTCOMES, "key")
     done = sources.done_keys(read_outcomes(f.spark, path, REPLAY_OUTCOMES), "key", REPLAY_DONE)
     return filters.not_done(f.key_list.distinct(), done, "key")
 
 
+@query("flt_resume", ("stage", "index_docs", "key_list"), RESUMED)
+def flt_resume(f: Fixtures) -> DataFrame:
+    return _two_runs_left(f, compact=False)
+
+
+@query("src_ledger_compacted", ("stage", "index_docs", "key_list"), RESUMED)
+def src_ledger_compacted(f: Fixtures) -> DataFrame:
+    return _two_runs_left(f, compact=True)
+
+
 @query(
     "flt_quad_subset",
     ("stage",),

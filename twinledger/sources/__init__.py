@@ -1,5 +1,6 @@
 from twinledger.sources.ledger import (
     append_outcomes,
+    compact_outcomes,
     completed_ids,
     current_outcomes,
     done_keys,
@@ -39,6 +40,7 @@ __all__ = [
     "KEY_COUNT_HEADERS",
     "KEY_HEADERS",
     "append_outcomes",
+    "compact_outcomes",
     "completed_ids",
     "create_dedup_table",
     "current_outcomes",

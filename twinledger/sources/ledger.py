@@ -2,7 +2,8 @@
 
 A ledger row says that one unit of work (a year bucket, a quadrimester) is
 finished for one job and one set of parameters. An outcome table holds one row
-per key or id and run. Both are append-only Parquet, never rewritten.
+per key or id and run. Both are append-only Parquet, never rewritten; an outcome
+table of many runs may be merged into a snapshot beside it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import json
 import secrets
 import time
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,8 @@ from twinledger.session import materialize
 # Runs started by a call, as opposed to those of a stream.
 BATCH_FEED = "batch"
 
+_MERGED = T.StructType([T.StructField("file", T.StringType()), T.StructField("gen", T.LongType())])
+
 
 def params_hash(**params) -> str:
     """Short, stable name for a set of job parameters."""
@@ -77,8 +81,7 @@ def append_outcomes(
     return run
 
 
-def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All runs of an outcome table, with columns `feed`, `run`, `part` and `outcome`."""
+def _placed(schema: T.StructType) -> T.StructType:
     place = [
         ("feed", T.StringType()),
         ("run", T.LongType()),
@@ -86,11 +89,61 @@ def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         ("outcome", T.StringType()),
     ]
     names = {name for name, _ in place}
-    full = T.StructType(
+    return T.StructType(
         [f for f in schema.fields if f.name not in names]
         + [T.StructField(name, kind) for name, kind in place]
     )
-    return read_if_present(spark, path, full)
+
+
+def _merged(spark: SparkSession, path: str) -> tuple[int | None, set[str]]:
+    """The snapshot that counts, and the files whose rows it holds: names only."""
+    rows = read_if_present(spark, f"{path}-compacted/files", _MERGED).collect()
+    last = max((r.gen for r in rows), default=None)
+    return last, {r.file for r in rows if r.gen == last}
+
+
+def _read_merged(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, set[str], set[str]]:
+    """Rows of an outcome table, the files that its snapshot holds, and those written since."""
+    full = _placed(schema)
+    rows = read_if_present(spark, path, full)
+    gen, merged = _merged(spark, path)
+    if gen is None:
+        return rows, set(), set(rows.inputFiles())
+    later = set(rows.inputFiles()) - merged
+    found = spark.read.schema(full).parquet(f"{path}-compacted/rows/gen={gen}")
+    if later:
+        # Listings escape names as in addresses; readers take them as they are.
+        some = spark.read.schema(full).option("basePath", path).parquet(*map(unquote, sorted(later)))
+        found = found.unionByName(some)
+    return found, merged, later
+
+
+def read_outcomes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All runs of an outcome table, with columns `feed`, `run`, `part` and `outcome`.
+
+    Files that `compact_outcomes` has merged are read from its snapshot.
+    """
+    return _read_merged(spark, path, schema)[0]
+
+
+def compact_outcomes(spark: SparkSession, path: str, schema: T.StructType, on: str) -> int:
+    """Merge the files written so far into a snapshot of few files, sorted by `on`; the number of files merged.
+
+    Every row is kept, so readers get what they got before. The snapshot lies in
+    `{path}-compacted`, and the list of files that it holds is written after it: a call
+    that dies in between changes nothing. Runs that go on meanwhile are read beside it.
+    Merged files are not deleted, as older readers may still have them; they may go
+    once no job that began before this call is left.
+    """
+    rows, merged, later = _read_merged(spark, path, schema)
+    if not later:
+        return 0
+    gen = new_run()
+    ranged = rows.repartitionByRange(on).sortWithinPartitions(on)
+    ranged.write.parquet(f"{path}-compacted/rows/gen={gen}")
+    files = spark.createDataFrame([(f,) for f in sorted(merged | later)], "file string")
+    files.coalesce(1).write.parquet(f"{path}-compacted/files/gen={gen}")
+    return len(later)
 
 
 def done_keys(outcomes: DataFrame, on: str, done: list[str]) -> DataFrame:
