@@ -4,6 +4,7 @@ import pytest
 from archive import doc_row, docs, stage, stage_row
 from pyspark.sql import functions as F
 
+from twinledger import functions as fn
 from twinledger.operators import aggregates, filters, joins, lists, sets, windows
 
 
@@ -118,6 +119,23 @@ def test_check_quadrimesters():
             filters.check_quadrimesters([wrong], [2020])
 
 
+def test_quad_subset_covers_every_year_of_the_stage(spark):
+    from types import SimpleNamespace
+
+    from checks.queries import BUILDERS
+
+    lake = stage(spark, [
+        stage_row("k1", "2015-01-01 00:00:00"),
+        stage_row("k2", "2019-06-01 00:00:00"),
+        stage_row("k3", "2019-06-01 00:00:00", quadrimester="2015-T3"),
+        stage_row("k4", "2019-06-01 00:00:00", quadrimester="2027-T1"),
+        stage_row("k5", "2019-06-01 00:00:00", quadrimester="2016-T1", start_time="n/a"),
+        stage_row("k6", "2019-06-01 00:00:00", quadrimester="1970-1999"),
+    ])
+    fixtures = SimpleNamespace(spark=spark, stage=lake, dated_stage=lake.withColumn("ts", fn.epoch_ts(F.col("start_time"))))
+    assert rows(BUILDERS["flt_quad_subset"](fixtures).select("key")) == [("k1",), ("k2",), ("k3",)]
+
+
 def test_rank_latest_breaks_ties_and_limits_before_the_shuffle(spark):
     lake = stage(spark, [
         stage_row("k1", "2020-01-01 00:00:00", stamp="t2", message="m1"),
