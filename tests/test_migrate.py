@@ -167,3 +167,29 @@ def test_stored_stage_is_pruned_by_entity_and_quadrimester(spark, tmp_path):
     counts = plans.year_counts(stored, ENTITY, ["2020"])
     assert counts.agg(F.sum("key_count")).first()[0] == 4
     assert "message_id" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_wave_reads_the_lake_once(spark, root, monkeypatch):
+    asked, plain = [], migration.dedup
+
+    def counted(lake, entity, labels, scope="month"):
+        asked.append(labels)
+        return plain(lake, entity, labels, scope)
+
+    monkeypatch.setattr(migration, "dedup", counted)
+    plans.migrate(spark, stage(spark, GOOD), ENTITY, [2020], root)
+    assert asked == [["2020-T1", "2020-T2", "2020-T3"]]
+    assert published(spark, root, "2020-T1") == [("s1", "2", "k2", "M"), ("s1", "3", "k3", "M")]
+
+
+def test_a_wave_that_cannot_be_read_at_once_fails_by_quadrimester(spark, root, monkeypatch):
+    plain = migration.dedup
+
+    def unreadable(lake, entity, labels, scope="month"):
+        if "2020-T2" in labels:
+            raise OSError("unreadable")
+        return plain(lake, entity, labels, scope)
+
+    monkeypatch.setattr(migration, "dedup", unreadable)
+    done = plans.migrate(spark, stage(spark, GOOD), ENTITY, [2020], root)
+    assert outcome(done) == {"2020-T1": "published", "2020-T2": "failed", "2020-T3": "published"}

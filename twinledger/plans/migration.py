@@ -16,6 +16,7 @@ from twinledger import schemas
 from twinledger.functions import epoch_ts, literal_tags
 from twinledger.functions.text import UNSAFE_IN_NAME
 from twinledger.operators import aggregates, filters, windows
+from twinledger.session import materialize
 from twinledger.sources import (
     create_dedup_table,
     mark_done,
@@ -141,15 +142,29 @@ def _attempt(work: Callable[[str], None], labels: list[str]) -> dict[str, str]:
     return errors
 
 
+def _dedup_wave(stage: DataFrame, entity: str, wave: list[str], scope: str) -> Callable[[str], DataFrame]:
+    """The deduplicated rows of each quadrimester of a wave, from one pass over the lake.
+
+    They are stored by quadrimester, so that its job reads one folder. If that pass fails,
+    each quadrimester is read on its own, and fails alone.
+    """
+    try:
+        rows = dedup(stage, entity, wave, scope).hint("rebalance", F.col("quadrimester"))
+        kept = materialize(rows, "dedup-wave", ["quadrimester"])
+    except Exception as e:  # noqa: BLE001 - shows again in the quadrimesters concerned
+        _log.warning("quadrimesters %s could not be read together: %s", wave, e)
+        return lambda label: dedup(stage, entity, [label], scope)
+    return lambda label: filters.by_quadrimester(kept, label)
+
+
 def _migrate_wave(
     spark: SparkSession, stage: DataFrame, entity: str, wave: list[str], root: str, scope: str
 ) -> dict[str, tuple[str, str | None]]:
     """Write, verify and publish a few quadrimesters; outcome and error of each."""
     table = table_name(entity)
     temp = temp_path(root, entity)
-    failed = _attempt(
-        lambda label: write_quadrimester(dedup(stage, entity, [label], scope), temp, label), wave
-    )
+    kept = _dedup_wave(stage, entity, wave, scope)
+    failed = _attempt(lambda label: write_quadrimester(kept(label), temp, label), wave)
     written = [label for label in wave if label not in failed]
     passed, mismatched = written, []
     if written:
@@ -199,8 +214,8 @@ def migrate(
     """Migrate every requested quadrimester not published before.
 
     Returns quadrimester, outcome (`published`, `mismatch`, `failed`, `done`)
-    and error. Quadrimesters go in waves of `wave`: written side by side, one
-    job each, then verified together, published, read back, and recorded. So a failure
+    and error. Quadrimesters go in waves of `wave`: deduplicated in one pass, written
+    side by side, one job each, then verified together, published, read back, and recorded. So a failure
     costs one quadrimester, a lost driver at most one wave, and since every
     write replaces its folder, repeating changes nothing.
     """
