@@ -1238,7 +1238,7 @@ def _postings(f: Fixtures) -> DataFrame:
     docs, root = scratch_path(f.spark, "index-docs"), scratch_path(f.spark, "markers")
     half = F.xxhash64("doc_id") % 2 == 0
     for part in (half, ~half):
-        f.index_docs.where(part).write.mode("append").parquet(docs)
+        f.index_docs.where(part).write.mode("append").option("compression", "zstd").parquet(docs)
         sources.grow_markers(f.spark, docs, root)
     return sources.read_markers(f.spark, root, docs)
 

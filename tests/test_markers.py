@@ -152,3 +152,30 @@ def test_the_pattern_finds_what_the_plain_one_finds(spark):
     got = [row[0] for row in df.select(fn.extract_marker(F.col("t"))).collect()]
     expected = [list(dict.fromkeys(plain.findall(t))) for t in texts]
     assert sum(map(bool, expected)) > 2_000 and got == expected
+
+
+def test_values_stand_in_order_in_packed_files(spark, paths):
+    path, root = paths
+    r = random.Random(3)
+    data = rows(DAYS)
+    r.shuffle(data)
+    add(spark, path, data)
+    sources.grow_markers(spark, path, root)
+    files = sorted(Path(root, "postings").rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+    for file in files:
+        held = [(row.value, row.doc_id) for row in spark.read.parquet(str(file)).collect()]
+        assert held == sorted(held)
+    assert found(sources.read_markers(spark, root, path)) == wanted(spark, path)
+
+
+def test_a_document_is_dealt_out_once_whatever_it_names(spark, paths, monkeypatch):
+    from twinledger.operators import postings
+
+    path, root = paths
+    add(spark, path, rows(DAYS))
+    dealt, spread = [], postings.spread
+    monkeypatch.setattr(postings, "spread", lambda df: (dealt.append(df.count()), spread(df))[1])
+    sources.grow_markers(spark, path, root)
+    assert dealt == [len(rows(DAYS))]
+    assert sources.read_markers(spark, root).count() == 2 * len(rows(DAYS))

@@ -21,16 +21,27 @@ def are(docs: DataFrame) -> bool:
     return {"marker", "value"} <= set(docs.columns) and "content" not in docs.columns
 
 
-def of_texts(docs: DataFrame, markers: Iterable[str]) -> DataFrame:
-    """One row per document, marker and distinct value; texts without any give none."""
+def named(docs: DataFrame, markers: Iterable[str]) -> DataFrame:
+    """Documents whose texts name any value: `named`, an array of (marker, distinct value), in
+    place of `content`."""
 
-    def named(marker: str) -> Column:
+    def of(marker: str) -> Column:
         values = extract_marker(F.col("content"), marker)
         return F.transform(values, lambda v: F.struct(F.lit(marker).alias("marker"), v.alias("value")))
 
-    return docs.withColumn("posting", F.explode(F.concat(*map(named, markers)))).select(
-        "posting.*", *(c for c in docs.columns if c != "content")
-    )
+    found = docs.withColumn("named", F.concat(*map(of, markers))).drop("content")
+    return found.where(F.size("named") > 0)
+
+
+def spread(found: DataFrame) -> DataFrame:
+    """One row per document and element of `named`."""
+    rows = found.withColumn("posting", F.explode("named"))
+    return rows.select("posting.*", *(c for c in found.columns if c != "named"))
+
+
+def of_texts(docs: DataFrame, markers: Iterable[str]) -> DataFrame:
+    """One row per document, marker and distinct value; texts without any give none."""
+    return spread(named(docs, markers))
 
 
 def of_marker(found: DataFrame, marker: str) -> DataFrame:

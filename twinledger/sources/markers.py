@@ -76,10 +76,11 @@ def grow_markers(
     names = [f.name for f in schemas.INDEX_DOCS.fields]
     # The place of a row is known in the scan only, before anything else is done to it.
     placed = docs.select(*names, F.input_file_name().alias("file"))
-    found = postings.of_texts(placed, markers).withColumn("month", F.date_format("start_ts", "yyyy-MM"))
-    found.hint("rebalance", F.col("marker"), F.col("month")).write.partitionBy("marker", "month").parquet(
-        f"{root}/postings/run={run}"
-    )
+    found = postings.named(placed, markers).withColumn("month", F.date_format("start_ts", "yyyy-MM"))
+    # Dealt out as one row per document, whatever number of values it names. Equal and like
+    # values stand together in a file, which makes it small and lets readers skip parts of it.
+    rows = postings.spread(found.hint("rebalance", F.col("month"))).sortWithinPartitions("marker", "month", "value", "doc_id")
+    rows.write.option("compression", "zstd").partitionBy("marker", "month").parquet(f"{root}/postings/run={run}")
     _record(spark, root, run, fresh)
     return fresh
 
