@@ -1179,7 +1179,7 @@ def set_bucket_union(f: Fixtures) -> DataFrame:
     f", {CLASSIFIED} SELECT source_id FROM classified WHERE outcome <> 'zero'",
 )
 def set_ledger_union(f: Fixtures) -> DataFrame:
-    rows = _classified(f)
+    rows = materialize(_classified(f), "classified")
     parts = [rows.where(F.col("outcome") == o).select("source_id") for o in ("unique", "duplicate")]
     return sources.ledger_union(*parts)
 

@@ -178,3 +178,26 @@ def test_runs_on_one_path_never_replace_each_other(spark, tmp_path):
     with pytest.raises(AnalysisException):
         sources.append_outcomes(first.where("source_id = 'a'"), path, runs[0])
     assert sources.read_outcomes(spark, path, first.schema).count() == 6
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_lists_are_counted_without_a_join(spark):
+    index = docs(spark, [doc_row(f"k{i}", "2020-01-01 00:00:00", source=s) for i, s in enumerate(["S1", "S2", "S2", "S9"])])
+    ids = spark.createDataFrame([("S1",), ("S2",), ("S2",), ("S3",), (None,)], "source_id string")
+    got = plans.source_multiplicity(ids, index, max_rows=0)
+    assert {tuple(r) for r in got.collect()} == {
+        ("S1", 1, "unique"), ("S2", 2, "duplicate"), ("S3", 0, "zero"), (None, 0, "zero")
+    }
+    assert got.count() == 4 and "Join" not in plan_of(got)
+
+
+def test_ids_that_no_document_names_are_found_without_a_join(spark):
+    index = docs(spark, [doc_row(f"2020/01/01/k{i}", "2020-01-01 00:00:00", source=s) for i, s in enumerate(["S1", "S2", "S2"])])
+    ids = spark.createDataFrame([("S1",), ("S2",), ("S2",), ("S3",), ("S3",), (None,)], "source_id string")
+    got = plans.lookup_sources(ids, index, stage(spark, [stage_row("k", "2020-01-01 00:00:00")]), ENTITY, max_rows=0)
+    rows = sorted((str(r.source_id), r.outcome) for r in got.collect())
+    assert rows == [("None", "unresolved"), ("S1", "resolved"), ("S2", "resolved"), ("S2", "resolved"), ("S3", "unresolved")]
+    assert "LeftAnti" not in plan_of(got)

@@ -71,10 +71,22 @@ def content_checksum(columns: list[str]) -> list[Column]:
     return [F.count("*").alias("n"), *(x.alias(f"sum{i}") for i, x in enumerate(sums)), F.bit_xor(hashes[0]).alias("xor")]
 
 
-def count_by_source(pairs: DataFrame) -> DataFrame:
+def count_by_source(pairs: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """Documents per source id. A document names an id once in `pairs`, so rows
-    are documents and no distinct is needed."""
-    return pairs.groupBy("source_id").agg(F.count("*").alias("n"))
+    are documents and no distinct is needed.
+
+    With `listed`: each listed id once, 0 if none names it. Both are combined in one
+    aggregation, so that a task holds one table of ids and sorts nothing.
+    """
+    if listed is None:
+        return pairs.groupBy("source_id").agg(F.count("*").alias("n"))
+
+    def stacked(rows: DataFrame, n: int) -> DataFrame:
+        return rows.select("source_id", F.lit(n).cast("bigint").alias("n"), F.lit(n == 0).alias("listed"))
+
+    both = stacked(pairs.where(F.col("source_id").isNotNull()), 1).unionByName(stacked(listed, 0))
+    counts = both.groupBy("source_id").agg(F.sum("n").alias("n"), F.bool_or("listed").alias("listed"))
+    return counts.where("listed").drop("listed")
 
 
 def stage_rows(stage: DataFrame) -> DataFrame:

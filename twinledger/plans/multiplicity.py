@@ -32,19 +32,13 @@ def source_multiplicity(
 
     All documents count unless `archived_from` or `archived_before` bounds their
     archiving time. All texts are searched once for all ids. Documents are counted per id before
-    the join, so an id named in most texts crosses the shuffle as a few rows.
+    the shuffle, so an id named in most texts crosses it as a few rows.
     """
     dated = filters.in_archived_range(docs, archived_from, archived_before)
     pairs = joins.source_pairs(dated, marker).select("source_id")
     pairs = narrow(pairs, ids, ["source_id"], max_rows)
-    counts = aggregates.count_by_source(pairs)
-    n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
-    return (
-        ids.select("source_id")
-        .distinct()
-        .join(counts, "source_id", "left")
-        .select("source_id", n.alias("n"), classify(n).alias("outcome"))
-    )
+    counts = aggregates.count_by_source(pairs, ids)
+    return counts.select("source_id", "n", classify(F.col("n")).alias("outcome"))
 
 
 def key_multiplicity(
