@@ -76,7 +76,11 @@ def lookup_sources(
         F.when(dated, "resolved").otherwise("failed").alias("outcome"),
     )
     nothing = F.lit(None).cast("string")
-    unresolved = listed.join(pairs.select("source_id").distinct(), "source_id", "left_anti").select(
+    # One aggregation of both: a task holds one table of ids, and sorts neither side.
+    flags = ids.select("source_id", F.lit(False).alias("named")).unionByName(
+        pairs.select("source_id", F.lit(True).alias("named"))
+    )
+    unresolved = flags.groupBy("source_id").agg(F.bool_or("named").alias("named")).where(~F.col("named")).select(
         "source_id",
         nothing.alias("key"),
         nothing.alias("quadrimester"),
