@@ -155,3 +155,13 @@ def test_answers_are_kept_whole(spark, tmp_path):
     keys = key_list(spark, tmp_path / "in", ["k"])
     got = replay(keys, docs(spark, []), str(tmp_path / "out"), lambda payload: (500, "x" * 5000))
     assert len(got.first().error) == len("HTTP 500: ") + 5000
+
+
+def test_a_long_list_is_checked_without_a_join(spark):
+    from twinledger.operators import joins
+
+    index = docs(spark, [doc_row(k, "2020-01-01 00:00:00") for k in ("k1", "k1", "k9", None)])
+    listed = spark.createDataFrame([("k1",), ("k2",), ("k2",), (None,)], "key string")
+    got = joins.key_presence(listed, index, max_rows=0)
+    assert sorted(map(tuple, got.collect())) == [("k1", True), ("k2", False)]
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()

@@ -47,10 +47,14 @@ def present_keys(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS)
 
 
 def key_presence(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
-    """Listed keys, each once, with a flag `present`: one pass over the index."""
-    listed = keys.select("key").where(F.col("key").isNotNull()).distinct()
-    found = index_keys(keys, docs, max_rows).withColumn("hit", F.lit(True))
-    return listed.join(found, "key", "left").select("key", F.col("hit").isNotNull().alias("present"))
+    """Listed keys, each once, with a flag `present`: one pass over the index.
+
+    List and index keys are stacked and combined by one aggregation, which sorts neither.
+    """
+    listed = keys.select("key", F.lit(True).alias("listed"), F.lit(False).alias("hit")).where(F.col("key").isNotNull())
+    found = searched(keys, docs, max_rows).select("key", F.lit(False).alias("listed"), F.lit(True).alias("hit"))
+    flags = listed.unionByName(found).groupBy("key").agg(F.bool_or("listed").alias("listed"), F.bool_or("hit").alias("present"))
+    return flags.where("listed").select("key", "present")
 
 
 def count_default_zero(keys: DataFrame, docs: DataFrame, max_rows: int = NARROW_ROWS) -> DataFrame:
