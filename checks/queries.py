@@ -1121,7 +1121,8 @@ def sort_doc_time(f: Fixtures) -> DataFrame:
 )
 def limit_input(f: Fixtures) -> DataFrame:
     path = scratch_path(f.spark, "limited-list")
-    f.key_list.orderBy("key").write.option("header", True).csv(path)
+    # Stored, as ordering by ranges reads its input twice.
+    materialize(f.key_list, "unordered-list").orderBy("key").write.option("header", True).csv(path)
     listed = sources.read_key_list(f.spark, path)
     return ordering.limit_inputs(listed, f.index_docs, "key", 100)
 

@@ -54,3 +54,10 @@ def test_schema_is_checked(spark):
     df = spark.createDataFrame([("a", 1)], "key string, start_time int")
     with pytest.raises(ValueError, match="reporting_entity is missing"):
         schemas.require(df, schemas.STAGE)
+
+
+def test_a_list_is_read_once_for_first_lines_and_once_for_values(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("key\nk1\nkey\n")
+    listed = sources.read_key_list(spark, str(tmp_path))
+    assert listed._jdf.queryExecution().executedPlan().toString().count("Scan text") == 2
+    assert keys(listed) == ["k1", "key"]

@@ -28,8 +28,8 @@ def parse_list(lines: DataFrame, column: str, headers: tuple[str, ...]) -> DataF
 
     A line's place is (file, start of its file split, number of the line in the
     scan task), so no window and no single task ever sees a whole file; the
-    first line of each file comes from a minimum combined on the map side. Only
-    lines that read like a header are compared with it.
+    first line of each file comes from a minimum combined on the map side. Lines
+    that read like a header are compared with it.
     """
     placed = (
         lines.select(
@@ -43,10 +43,13 @@ def parse_list(lines: DataFrame, column: str, headers: tuple[str, ...]) -> DataF
         .drop("blank")
     )
     place = F.struct("src_block", "src_line")
-    first = placed.groupBy("src_file").agg(F.min(place).alias("at"))
+    # By split first: a least number is kept in a hash table, a least place would sort all lines.
+    splits = placed.groupBy("src_file", "src_block").agg(F.min("src_line").alias("src_line"))
+    # A row per file, of files that the driver has listed; so the lines are read once more only.
+    first = F.broadcast(splits.groupBy("src_file").agg(F.min(place).alias("at")))
     like_header = F.lower(F.col(column)).isin(*headers)
-    later = placed.where(like_header).join(first, "src_file").where(place != F.col("at"))
-    return placed.where(~like_header & (F.col(column) != "")).unionByName(later.select(*placed.columns))
+    wanted = (~like_header & (F.col(column) != "")) | (like_header & (place != F.col("at")))
+    return placed.join(first, "src_file", "left").where(wanted).select(*placed.columns)
 
 
 def read_key_list(
