@@ -46,6 +46,7 @@ BLOCK_BYTES = 2 << 20
 COMMON = 16
 LEAST_TERMS = 8
 _SLICE_TERMS = 4096
+_RUNS_AT_ONCE = 1024
 _FOLDS = 64
 
 
@@ -105,11 +106,7 @@ class Benchmark:
         if len(at):
             half = halves.of_word[at]
             edges = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
-            # In slices: one row of floats per word would be much larger than the text.
-            for i in range(0, len(edges), 4096):
-                low, high = edges[i], edges[i + 4096] if i + 4096 < len(edges) else len(at)
-                rows = self.basis[number[low:high]]
-                sums[half[edges[i : i + 4096]]] = np.add.reduceat(rows, edges[i : i + 4096] - low, axis=0)
+            sums[half[edges]] = row_sums(self.basis, number, edges)
         starts = np.flatnonzero(halves.opens)
         both = sums[starts].copy()
         more = halves.has_next[starts]
@@ -153,6 +150,34 @@ class Benchmark:
                         yield t, i, share, float(cosines[w, b])
 
 
+def row_sums(rows: np.ndarray, number: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums of rows[number] over short runs of `number`, which begin at `edges`.
+
+    Runs are added up in step, longest first, some at a time: one row of floats per
+    number would be much larger than the text.
+    """
+    size = np.diff(np.append(edges, len(number)))
+    order = np.argsort(-size, kind="stable")
+    out = np.empty((len(edges), rows.shape[1]), dtype=rows.dtype)
+    for low in range(0, len(edges), _RUNS_AT_ONCE):
+        here = order[low : low + _RUNS_AT_ONCE]
+        begin, n = edges[here], size[here]
+        total = rows[number[begin]]
+        for j in range(1, n[0]):
+            longer = np.count_nonzero(n > j)
+            total[:longer] += rows[number[begin[:longer] + j]]
+        out[here] = total
+    return out
+
+
+def row_totals(rows: np.ndarray, number: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The same for runs of any length, which are cut into short ones."""
+    cuts = -(-np.diff(np.append(edges, len(number))) // STRIDE)
+    first = np.cumsum(cuts) - cuts
+    within = np.arange(cuts.sum()) - np.repeat(first, cuts)
+    return np.add.reduceat(row_sums(rows, number, np.repeat(edges, cuts) + STRIDE * within), first, axis=0)
+
+
 class Halves:
     """Runs of STRIDE words within each text; a passage is a run and the next one."""
 
@@ -180,7 +205,8 @@ def _passage_counts(docs: DataFrame, bench: Benchmark) -> tuple[np.ndarray, int]
             found = words(*text_bytes(part.column("text")))
             halves = Halves(found)
             at, number = bench.terms(found)
-            pairs = np.unique(halves.of_word[at] * len(total) + number)
+            pairs = np.sort(halves.of_word[at] * len(total) + number)
+            pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
             total += np.bincount(pairs % len(total), minlength=len(total))
             runs += halves.n
         used = np.flatnonzero(total)
@@ -217,15 +243,14 @@ def _latent_basis(docs: DataFrame, bench: Benchmark, seed: int) -> np.ndarray:
             half = halves.of_word[at]
             weight = bench.weights[number]
             edges = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
-            rows = np.add.reduceat(weighted[number], edges, axis=0)
+            rows = row_sums(weighted, number, edges)
             norm = np.add.reduceat(weight * weight, edges)
             rows /= norm[:, None]
             by_term = np.argsort(number, kind="stable")
             run = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(at))))[by_term]
             ordered = number[by_term]
             firsts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            sums = np.add.reduceat(rows[run], firsts, axis=0)
-            total[ordered[firsts]] += sums * bench.weights[ordered[firsts], None]
+            total[ordered[firsts]] += row_totals(rows, run, firsts) * bench.weights[ordered[firsts], None]
         fold = TaskContext.get().partitionId() % _FOLDS
         for i in range(0, size, _SLICE_TERMS):
             data = total[i : i + _SLICE_TERMS].astype(np.float64).tobytes()

@@ -437,8 +437,9 @@ def common_words(a: list[int], b: list[int]) -> int:
         places[x] = places.get(x, 0) | 1 << i
     full = (1 << len(a)) - 1
     row = full
-    for x in b:
-        hit = row & places.get(x, 0)
+    # Words that `a` lacks change nothing.
+    for held in filter(None, map(places.get, b)):
+        hit = row & held
         row = (row + hit | row - hit) & full
     return len(a) - row.bit_count()
 
