@@ -16,7 +16,8 @@ and the losses c shares are at most all of its own, so r and c need at least
 common labels that b lacks. An item that its centre rejects is itself far from
 it, which makes q positive for partners of about b's size or more: these are
 found by a join on the labels new to b (on as many of them as leave fewer than q
-out, in the order of their hashes). Partners small enough for q <= 0 are compared
+out, the rarest first: what many items have besides their centre, such as a common
+passage, is what is left out). Partners small enough for q <= 0 are compared
 directly. So no link between items of a bucket is lost, and copies with changes
 of their own, which share none of them, are never paired up.
 
@@ -38,6 +39,8 @@ from twinledger.session import materialize
 
 Features = Callable[[DataFrame], DataFrame]
 _PAIR = "a long, b long"
+# Labels are counted by so many values of their hash, in so many pieces, by so many tasks at most.
+_COUNTERS, _PIECES, _COUNTING = 1 << 19, 16, 64
 _AWAY = "b long, id long, root long, main long, size long, reach long, floor long, fresh array<long>"
 
 
@@ -66,8 +69,23 @@ class Similarity:
             kept = [self.similar(a, b) for a, b in self._sequences(batch)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    def differences(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What each item has that its centre lacks, as far as a partner must share it."""
+    def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many labels of all items fall on each counter, in pieces."""
+        total = np.zeros(_COUNTERS, dtype=np.int64)
+        for batch in batches:
+            held = [self.labels(np.frombuffer(x.as_buffer(), self.width)) for x in batch.column("labels")]
+            if held:
+                total += np.bincount(counters(np.concatenate(held)), minlength=_COUNTERS)
+        if total.any():
+            rows = [x.tobytes() for x in np.split(total, _PIECES)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array(rows, pa.binary())], ["piece", "n"])
+
+    def differences(self, batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """What each item has that its centre lacks, as far as a partner must share it.
+
+        Any order of labels will do if all items have the same one; `counts` makes it
+        the one in which the fewest items meet.
+        """
         for batch in batches:
             sizes, reach, floors, fresh = [], [], [], []
             for centre, item in self._sequences(batch):
@@ -77,7 +95,7 @@ class Similarity:
                 least = math.floor(self.size_ratio * len(r))
                 # The smallest partner needs the fewest common labels.
                 needed = math.ceil((away + least - len(b) - self.slack * (len(r) + least)) / 2 - 1e-9)
-                new.sort()
+                new = new[np.lexsort((new, counts[counters(new)]))]
                 fresh.append(new[: len(new) - max(0, needed - 1)].view(np.int64))
                 sizes.append(len(r))
                 floors.append(least)
@@ -96,6 +114,28 @@ class Similarity:
             )
 
 
+def counters(labels: np.ndarray) -> np.ndarray:
+    return (labels % labels.dtype.type(_COUNTERS)).astype(np.int64)
+
+
+def label_counts(known: DataFrame, spec: Similarity) -> np.ndarray:
+    """How often labels of each hash value occur in all of `known`: 4 MB on the driver."""
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = np.zeros(_COUNTERS // _PIECES, dtype=np.int64)
+        for row in table.column("n").to_pylist():
+            total += np.frombuffer(row, dtype=np.int64)
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "n": [total.tobytes()]})
+
+    schema = "piece int, n binary"
+    tasks = min(_COUNTING, 2 * known.sparkSession.sparkContext.defaultParallelism)
+    counted = known.select("labels").coalesce(tasks).mapInArrow(spec.count, schema)
+    total = np.zeros((_PIECES, _COUNTERS // _PIECES), dtype=np.int64)
+    for row in counted.groupBy("piece").applyInArrow(add, schema).collect():
+        total[row.piece] = np.frombuffer(row.n, dtype=np.int64)
+    return total.ravel()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id with a link (a, b): root is the lowest id of its component.
 
@@ -173,7 +213,8 @@ def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> D
     loose = materialize(loose.where("least != most").select("b", "main"), "loose-groups")
     apart = materialize(rooted.join(loose, "b"), "loose-members")
     away = apart.join(of_id, "id").join(of_b, "b").select("b", "id", "root", "main", "left", "right")
-    away = materialize(away.mapInArrow(spec.differences, _AWAY), "differences")
+    counts = known.sparkSession.sparkContext.broadcast(label_counts(known, spec))
+    away = materialize(away.mapInArrow(lambda batches: spec.differences(batches, counts.value), _AWAY), "differences")
 
     tokens = away.select("b", "id", "root", "main", "size", F.explode("fresh").alias("token"))
     mine = tokens.where("root != main").select("b", "token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
