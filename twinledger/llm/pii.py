@@ -35,6 +35,7 @@ GENERALISE_AT = 0.75
 REMOVE_AT = 0.95
 #: Up to so many terms (or entities) the tasks are told which ones matter (8 bytes each).
 TERMS_SENT = 1_000_000
+TASKS_A_CORE = 2
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -198,13 +199,16 @@ def _pair_up(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> It
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n: documents of the whole corpus that contain each listed term.
 
-    A list of up to `TERMS_SENT` terms, counted first, is sent to the tasks; a
-    longer one is matched after the count.
+    A list of up to `TERMS_SENT` terms, counted first, is sent to the tasks, of which
+    there are `TASKS_A_CORE` per core: each ends with a row per term that it has met, so
+    that tasks in proportion to the texts would make these rows grow with both. A
+    longer list is matched after the count.
     """
     spark = docs.sparkSession
-    sent = None
+    sent, texts = None, docs.select("text")
     if terms.count() <= TERMS_SENT:
         sent = spark.sparkContext.broadcast(np.sort(terms.toArrow().column("term").to_numpy().view(np.uint64)))
+        texts = texts.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
 
     def found_in(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a block and the number of its texts that have each."""
@@ -235,7 +239,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
         if len(used):
             yield pa.RecordBatch.from_arrays([pa.array(signed(sent.value[used])), pa.array(total[used])], ["term", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return counted if sent is not None else counted.join(terms, "term", "left_semi")
 
 
