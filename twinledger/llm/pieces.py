@@ -34,7 +34,8 @@ SPACE = "▁"
 NORMAL, BYTE = 1, 6
 _END = 0x110000
 _NEVER = np.iinfo(np.int64).max
-BLOCK_BYTES = 8 << 20
+#: Edges, suffix array and paths of a block take some 100 bytes for each of its new bytes.
+BLOCK_BYTES = 1 << 20
 
 
 class PieceModel:
