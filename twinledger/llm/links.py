@@ -19,7 +19,8 @@ found by a join on the labels new to b (on as many of them as leave fewer than q
 out, the rarest first: what many items have besides their centre, such as a common
 passage, is what is left out). Partners small enough for q <= 0 are compared
 directly. So no link between items of a bucket is lost, and copies with changes
-of their own, which share none of them, are never paired up.
+of their own, which share none of them, are never paired up. Before the labels of such
+pairs are fetched, a parity bit per label rules out most that are not similar.
 
 Nothing is collected; every step is a join or an aggregation that may be split.
 """
@@ -35,13 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.operators.lists import narrow
 from twinledger.session import materialize
 
 Features = Callable[[DataFrame], DataFrame]
 _PAIR = "a long, b long"
 # Labels are counted by so many values of their hash, in so many pieces, by so many tasks at most.
 _COUNTERS, _PIECES, _COUNTING = 1 << 19, 16, 64
-_AWAY = "b long, id long, root long, main long, size long, reach long, floor long, fresh array<long>"
+_AWAY = "b long, id long, linked boolean, size long, reach long, floor long, fresh array<long>"
+_SIGNED = "id long, labels binary, n int, parity binary"
+_LEAST_BITS = 64
 
 
 @dataclass(frozen=True)
@@ -69,6 +73,50 @@ class Similarity:
             kept = [self.similar(a, b) for a, b in self._sequences(batch)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
+    def sign(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Number of labels, and about as many parity bits, each flipped by every label that falls on it."""
+        for batch in batches:
+            found = [self.labels(np.frombuffer(x.as_buffer(), self.width)) for x in batch.column("labels")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name) for name in ("id", "labels")),
+                    pa.array([len(x) for x in found], pa.int32()),
+                    pa.array(list(map(parity, found)), pa.binary()),
+                ],
+                ["id", "labels", "n", "parity"],
+            )
+
+    def possible(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that sizes and parity bits do not rule out: similar ones differ in no more bits than labels."""
+        for batch in batches:
+            n, m = (batch.column(name).to_numpy().astype(np.int64) for name in ("na", "nb"))
+            most = self.slack * (n + m) + 1e-9
+            left, right = batch.column("pa").to_pylist(), batch.column("pb").to_pylist()
+            kept = [k <= d and differing(x, y) <= d for x, y, k, d in zip(left, right, abs(n - m).tolist(), most.tolist())]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    def read(self, items: DataFrame, name: str) -> DataFrame:
+        """id, labels, n, parity of `items` (id, labels), stored."""
+        return materialize(items.select("id", "labels").mapInArrow(self.sign, _SIGNED), name)
+
+    def maybe(self, pairs: DataFrame, known: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b) that may be similar, stored. Parity bits travel, at an eighth of a byte per label, no labels."""
+        of_a, of_b = (
+            known.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}")) for x in "ab"
+        )
+        told = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "na", "nb", "pa", "pb")
+        return materialize(told.mapInArrow(self.possible, _PAIR), name)
+
+    def links(self, pairs: DataFrame, known: DataFrame, name: str) -> DataFrame:
+        """The similar ones of `pairs` (a, b). Only labels of pairs that may be similar travel."""
+        pairs = self.maybe(pairs, known, name)
+        wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
+        some = narrow(known.select("id", "labels"), wanted, ["id"])
+        left = some.select(F.col("id").alias("a"), F.col("labels").alias("left"))
+        right = some.select(F.col("id").alias("b"), F.col("labels").alias("right"))
+        both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+        return both.mapInArrow(self.verify, _PAIR)
+
     def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How many labels of all items fall on each counter, in pieces."""
         total = np.zeros(_COUNTERS, dtype=np.int64)
@@ -81,14 +129,15 @@ class Similarity:
             yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array(rows, pa.binary())], ["piece", "n"])
 
     def differences(self, batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """What each item has that its centre lacks, as far as a partner must share it.
+        """Whether an item is linked to its centre, and what it has that the centre lacks, as far as a partner must share it.
 
         Any order of labels will do if all items have the same one; `counts` makes it
         the one in which the fewest items meet.
         """
         for batch in batches:
-            sizes, reach, floors, fresh = [], [], [], []
+            linked, sizes, reach, floors, fresh = [], [], [], [], []
             for centre, item in self._sequences(batch):
+                linked.append(self.similar(centre, item))
                 b, r = self.labels(centre), self.labels(item)
                 new = np.setdiff1d(r, b, assume_unique=True)
                 away = 2 * len(new) + len(b) - len(r)
@@ -104,13 +153,14 @@ class Similarity:
             flat = np.concatenate(fresh) if fresh else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(name) for name in ("b", "id", "root", "main")),
+                    *(batch.column(name) for name in ("b", "id")),
+                    pa.array(linked, pa.bool_()),
                     pa.array(sizes, pa.int64()),
                     pa.array(reach, pa.int64()),
                     pa.array(floors, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                 ],
-                ["b", "id", "root", "main", "size", "reach", "floor", "fresh"],
+                ["b", "id", "linked", "size", "reach", "floor", "fresh"],
             )
 
 
@@ -118,6 +168,22 @@ def counters(labels: np.ndarray) -> np.ndarray:
     return (labels % labels.dtype.type(_COUNTERS)).astype(np.int64)
 
 
+def parity(labels: np.ndarray) -> bytes:
+    """As many bits as there are labels, or up to twice as many: a power of two."""
+    bits = max(_LEAST_BITS, 1 << (max(1, len(labels)) - 1).bit_length())
+    hits = np.bincount((labels & labels.dtype.type(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((hits & 1).astype(np.uint8)).tobytes()
+
+
+def differing(one: bytes, other: bytes) -> int:
+    """Parity bits that differ; the longer of two is folded to the other's length."""
+    short, long = sorted((np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)), key=len)
+    while len(long) > len(short):
+        half = len(long) // 2
+        long = long[:half] ^ long[half:]
+    return int(np.bitwise_count(short ^ long).sum())
+
+
 def label_counts(known: DataFrame, spec: Similarity) -> np.ndarray:
     """How often labels of each hash value occur in all of `known`: 4 MB on the driver."""
 
@@ -194,14 +260,14 @@ def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> D
     centres = materialize(centres.select("key", (-F.col("top.low")).alias("b")), "centres")
     around = materialize(shared.join(centres, "key").select("b", "id").distinct(), "around")
 
-    wanted = around.select("id").distinct()
-    known = materialize(features(wanted), "features")
+    known = spec.read(features(around.select("id").distinct()), "features")
     of_b = known.select(F.col("id").alias("b"), F.col("labels").alias("left"))
     of_id = known.select("id", F.col("labels").alias("right"))
-    pairs = around.where("b != id").join(of_id, "id").join(of_b, "b")
-    first = materialize(
-        pairs.select(F.col("b").alias("a"), F.col("id").alias("b"), "left", "right").mapInArrow(spec.verify, _PAIR), "links"
-    )
+    counts = known.sparkSession.sparkContext.broadcast(label_counts(known, spec))
+    # Each pair's labels travel once, for the link as well as for what the centre lacks.
+    pairs = around.where("b != id").join(of_id, "id").join(of_b, "b").select("b", "id", "left", "right")
+    compared = materialize(pairs.mapInArrow(lambda batches: spec.differences(batches, counts.value), _AWAY), "compared")
+    first = compared.where("linked").select(F.col("b").alias("a"), F.col("id").alias("b"))
     roots = materialize(components(first), "roots")
 
     # Groups around a centre that it does not hold together.
@@ -211,10 +277,9 @@ def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> D
         F.min("root").alias("least"), F.max("root").alias("most"), F.max(F.when(F.col("b") == F.col("id"), F.col("root"))).alias("main")
     )
     loose = materialize(loose.where("least != most").select("b", "main"), "loose-groups")
-    apart = materialize(rooted.join(loose, "b"), "loose-members")
-    away = apart.join(of_id, "id").join(of_b, "b").select("b", "id", "root", "main", "left", "right")
-    counts = known.sparkSession.sparkContext.broadcast(label_counts(known, spec))
-    away = materialize(away.mapInArrow(lambda batches: spec.differences(batches, counts.value), _AWAY), "differences")
+    # The centre itself has nothing that it lacks.
+    apart = materialize(rooted.where("b != id").join(loose, "b"), "loose-members")
+    away = materialize(compared.join(apart, ["b", "id"]).drop("linked"), "differences")
 
     tokens = away.select("b", "id", "root", "main", "size", F.explode("fresh").alias("token"))
     mine = tokens.where("root != main").select("b", "token", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
@@ -230,9 +295,7 @@ def linked_groups(members: DataFrame, features: Features, spec: Similarity) -> D
     )
     candidates = common.select("a", "id").union(near.select("a", "id"))
     candidates = materialize(candidates.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "more-pairs")
-    left = known.select(F.col("id").alias("a"), F.col("labels").alias("left"))
-    right = known.select(F.col("id").alias("b"), F.col("labels").alias("right"))
-    second = candidates.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(spec.verify, _PAIR)
+    second = spec.links(candidates, known, "more-possible")
     second = materialize(second, "more-links")
     # The second round joins whole components: its graph has a node per root.
     of_a = roots.select(F.col("id").alias("a"), F.col("root").alias("ra"))
