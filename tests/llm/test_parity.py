@@ -5,8 +5,9 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
-from twinledger.llm import links, neardup
+from twinledger.llm import linededup, links, neardup
 
 
 def draw(rng, n):
@@ -36,3 +37,18 @@ def test_unlike_pairs_fetch_no_labels(spark):
     similar = {(i, i + 30) for i in range(10)}
     assert {tuple(x) for x in neardup.LINK.maybe(pairs, known, "told").collect()} == similar
     assert {tuple(x) for x in neardup.LINK.links(pairs, known, "told").collect()} == similar
+
+
+def test_long_unlike_lines_of_a_block_go_no_further():
+    """128 bits of two unlike lines of 400 words differ in some 64 places, and 80 are allowed."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 400)) for _ in range(40)]
+    texts += [" ".join(["other", *t.split(" ")[1:]]) for t in texts[:5]]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    level = np.ones(linededup._COUNTERS, dtype=np.uint8)
+    (found,) = linededup._read_blocks(iter([batch]), level, 1)
+    bits = [x for x in found.schema.names if x.startswith("p")]
+    of = {k: [found.column(x)[i].as_py() for x in bits] for i, k in enumerate(found.column("k0").to_pylist())}
+    parity = np.array(list(of.values()), dtype=np.int64).view(np.uint64)
+    kept = linededup._possible(np.zeros(len(of)), parity, np.full(len(of), 400))
+    assert kept.sum() == 10

@@ -19,8 +19,9 @@ Counts decide only how few unrelated lines share a block, never which pairs are
 
 Blocks travel bare, as 13 bytes with 32 parity bits of the line (each flipped by every
 word that falls on it: similar lines differ in no more than D). Only lines that share
-a block with one of possible size and parity travel again, with 128 of these bits, and
-those that are still possible are compared.
+a block with one of possible size and parity travel again, with 256 of these bits (128
+rule out nothing from 640 words in both lines on). Pairs that are still possible are
+told apart by as many bits as they have words, and what is left is compared.
 """
 
 from __future__ import annotations
@@ -64,7 +65,9 @@ _SENT_AT_ONCE = 1 << 18
 # A block as it travels: its name within its part, its line, the line's parity bits and size.
 _BARE = np.dtype([("rest", "<u4"), ("line", "<u4"), ("parity", "<u4"), ("size", "u1")])
 # The same of lines that may be similar to another one, so far.
-_FULL = np.dtype([("rest", "<u4"), ("k0", "<i8"), ("k1", "<i8"), ("size", "<i8"), ("parity", "<u8", 2)])
+_PARITY = ("p0", "p1", "p2", "p3")
+_FULL = np.dtype([("rest", "<u4"), ("k0", "<i8"), ("k1", "<i8"), ("size", "<i4"), ("parity", "<u8", len(_PARITY))])
+_MEMBER = ", ".join(f"{x} long" for x in ("k0", "k1", "size", *_PARITY))
 _WORDS_AT_ONCE = 1 << 16
 # The bits of a byte, highest first, as the bytes of a number, lowest first.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
@@ -339,8 +342,8 @@ def _send_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows["rest"] = key & 0xFFFFFFFF
         for name in ("k0", "k1", "size"):
             rows[name] = batch.column(name).to_numpy()
-        for i in range(2):
-            rows["parity"][:, i] = batch.column(f"p{i}").to_numpy().view(np.uint64)
+        for i, name in enumerate(_PARITY):
+            rows["parity"][:, i] = batch.column(name).to_numpy().view(np.uint64)
         yield _packed(key >> 32, rows)
 
 
@@ -350,21 +353,21 @@ def _read_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(rows), dtype=bool)
         new[1:] = (rows["rest"][1:] != rows["rest"][:-1]) | (rows["k0"][1:] != rows["k0"][:-1]) | (rows["k1"][1:] != rows["k1"][:-1])
         rows = rows[new]
-        rows = rows[_possible(rows["rest"], rows["parity"], rows["size"])]
+        rows = rows[_possible(rows["rest"], rows["parity"], rows["size"].astype(np.int64))]
         key = rows["rest"].astype(np.int64) + (part << 32)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(key),
-                *(pa.array(rows[name].copy()) for name in ("k0", "k1", "size")),
-                *(pa.array(signed(rows["parity"][:, i].copy())) for i in range(2)),
+                *(pa.array(rows[name].astype(np.int64)) for name in ("k0", "k1", "size")),
+                *(pa.array(signed(rows["parity"][:, i].copy())) for i in range(len(_PARITY))),
             ],
-            ["key", "k0", "k1", "size", "p0", "p1"],
+            ["key", "k0", "k1", "size", *_PARITY],
         )
 
 
 def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     for lines, one, two, line, part, rest in _block_lines(batches, level, parts):
-        parity = lines.parities(128).view(np.int64)
+        parity = lines.parities(64 * len(_PARITY)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array((part << 32) + rest.astype(np.int64)),
@@ -372,14 +375,14 @@ def _read_blocks(batches: Iterator[pa.RecordBatch], level: np.ndarray, parts: in
                 pa.array(signed(one)[line]),
                 pa.array(signed(two)[line]),
                 pa.array(lines.size[line]),
-                *(pa.array(parity[line, i]) for i in range(2)),
+                *(pa.array(parity[line, i]) for i in range(len(_PARITY))),
             ],
-            ["key", "line", "k0", "k1", "size", "p0", "p1"],
+            ["key", "line", "k0", "k1", "size", *_PARITY],
         )
 
 
 def block_members(known: DataFrame, words_held: int) -> DataFrame:
-    """key, k0, k1, size, p0, p1: blocks with two or more lines that may be similar, and these lines, stored."""
+    """key, k0, k1, size, p0 to p3: blocks with two or more lines that may be similar, and these lines, stored."""
     sc = known.sparkSession.sparkContext
     level = sc.broadcast(word_levels(known))
     texts = known.select("text")
@@ -387,11 +390,10 @@ def block_members(known: DataFrame, words_held: int) -> DataFrame:
     parts = max(sc.defaultParallelism, words_held // 2 * _BARE.itemsize // BARE_BYTES)
     bare = texts.mapInArrow(lambda batches: _send_bare(batches, level.value, parts), "part long, rows binary")
     shared = materialize(bare.repartition(parts, "part").mapInArrow(_read_bare, "key long, line int"), "shared-blocks")
-    schema = "key long, line int, k0 long, k1 long, size long, p0 long, p1 long"
-    rows = texts.mapInArrow(lambda batches: _read_blocks(batches, level.value, parts), schema)
+    rows = texts.mapInArrow(lambda batches: _read_blocks(batches, level.value, parts), f"key long, line int, {_MEMBER}")
     # What passes the filter by chance is dropped by the second test, as it has no partner.
     rows = blooms.reduce_by_list(rows, shared, ["key", "line"], shared.count()).mapInArrow(_send_full, "part long, rows binary")
-    rows = rows.repartition(parts, "part").mapInArrow(_read_full, "key long, k0 long, k1 long, size long, p0 long, p1 long")
+    rows = rows.repartition(parts, "part").mapInArrow(_read_full, f"key long, {_MEMBER}")
     return materialize(rows, "block-members")
 
 
@@ -480,49 +482,42 @@ def _with_digest(docs: DataFrame) -> DataFrame:
 
 def _may_be_similar(a: str, b: str) -> Column:
     both = F.col(f"{a}size") + F.col(f"{b}size")
-    apart = sum((F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(2)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in _PARITY), F.lit(0))
     return (10 * F.abs(F.col(f"{a}size") - F.col(f"{b}size")) <= both) & (10 * apart <= both)
 
 
 def line_groups(members: DataFrame, features: Features) -> DataFrame:
     """(id, root) of all lines linked to another one; root is the lowest id of the group.
 
-    `members`: key, id, size, p0, p1, one row per block and line, stored. Lines are compared
+    `members`: key, id, size, p0 to p3, one row per block and line, stored. Lines are compared
     with the centre of their block, the line with the most company in all its blocks. Lines
     of another group than the centre's are then compared with all lines of the block that
     neither this group nor their sizes and parity bits rule out; so no link is lost.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     company = materialize(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("score")), "company")
-    centres = members.join(company, "id").groupBy("key").agg(F.max(F.struct("score", "id", "size", "p0", "p1")).alias("top"))
-    centres = centres.select("key", *(F.col(f"top.{name}").alias(f"b_{name}") for name in ("id", "size", "p0", "p1")))
+    centres = members.join(company, "id").groupBy("key").agg(F.max(F.struct("score", "id", "size", *_PARITY)).alias("top"))
+    centres = centres.select("key", *(F.col(f"top.{name}").alias(f"b_{name}") for name in ("id", "size", *_PARITY)))
     centres = materialize(centres, "centres")
     around = members.join(centres, "key").where("id != b_id").where(_may_be_similar("", "b_"))
     around = materialize(around.select(F.least("id", "b_id").alias("a"), F.greatest("id", "b_id").alias("b")).distinct(), "around")
-    known = materialize(features(around.select(F.col("a").alias("id")).union(around.select("b")).distinct()), "features")
-    roots = materialize(components(_linked(around, known)), "roots")
+    known = LINK.read(features(around.select(F.col("a").alias("id")).union(around.select("b")).distinct()), "features")
+    roots = materialize(components(LINK.links(around, known, "around-possible")), "roots")
 
     rooted = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     main = centres.join(roots, F.col("b_id") == F.col("id"), "left").select("key", F.coalesce("root", "b_id").alias("main"))
-    rooted = materialize(rooted.join(main, "key").select("key", "id", "size", "p0", "p1", "root", "main"), "rooted")
-    apart = rooted.where("root != main").select("key", *(F.col(x).alias(f"o_{x}") for x in ("id", "size", "p0", "p1", "root")))
+    rooted = materialize(rooted.join(main, "key").select("key", "id", "size", *_PARITY, "root", "main"), "rooted")
+    apart = rooted.where("root != main").select("key", *(F.col(x).alias(f"o_{x}") for x in ("id", "size", *_PARITY, "root")))
     # Of two lines that are both of other groups than the centre's, the lower one asks.
     asked = (F.col("root") != F.col("o_root")) & ((F.col("root") == F.col("main")) | (F.col("o_id") < F.col("id")))
     more = apart.join(rooted, "key").where(asked & _may_be_similar("", "o_"))
     more = materialize(more.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "more-pairs")
     further = more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(known.select("id"), "id", "left_anti")
-    known = known.unionByName(materialize(features(further), "more-features"))
-    second = materialize(_linked(more, known), "more-links")
+    known = known.unionByName(LINK.read(features(further), "more-features"))
+    second = materialize(LINK.links(more, known, "more-possible"), "more-links")
     return components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(second))
 
 
-def _linked(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    left = known.select(F.col("id").alias("a"), F.col("labels").alias("left"))
-    right = known.select(F.col("id").alias("b"), F.col("labels").alias("right"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    return both.mapInArrow(LINK.verify, "a long, b long")
-
-
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, digest, lines: numbers of the lines to drop, for documents that have any.
 
@@ -554,7 +549,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         found = narrow(found, listed.select("k0", "k1"), ["k0", "k1"], KEYS_SENT).dropDuplicates(["k0", "k1"])
         return found.join(listed, ["k0", "k1"]).select("id", "labels")
 
-    members = materialize(members.join(near, ["k0", "k1"]).select("key", "id", "size", "p0", "p1"), "members")
+    members = materialize(members.join(near, ["k0", "k1"]).select("key", "id", "size", *_PARITY), "members")
     groups = materialize(line_groups(members, features), "line-groups")
     grouped = materialize(again.where("id is not null").select("id", "first").join(groups, "id"), "grouped-lines")
     stays = grouped.groupBy("root").agg(F.min("first").alias("stays"))
