@@ -52,3 +52,10 @@ def test_long_unlike_lines_of_a_block_go_no_further():
     parity = np.array(list(of.values()), dtype=np.int64).view(np.uint64)
     kept = linededup._possible(np.zeros(len(of)), parity, np.full(len(of), 400))
     assert kept.sum() == 10
+
+
+def test_blocks_of_the_same_lines_are_looked_at_once(spark):
+    """Copies of a long line share dozens of blocks, and all of these were joined."""
+    rows = [(key, i, 20) for key in range(5) for i in (1, 2, 3)] + [(5, 1, 20), (5, 2, 20), (6, 4, 20)]
+    found = linededup.distinct_blocks(spark.createDataFrame(rows, "key long, id long, size long"))
+    assert sorted((x.key, x.id, x.n) for x in found.collect()) == [(0, 1, 3), (0, 2, 3), (0, 3, 3), (5, 1, 2), (5, 2, 2)]

@@ -486,6 +486,15 @@ def _may_be_similar(a: str, b: str) -> Column:
     return (10 * F.abs(F.col(f"{a}size") - F.col(f"{b}size")) <= both) & (10 * apart <= both)
 
 
+def distinct_blocks(members: DataFrame) -> DataFrame:
+    """`members` with the size n of their block; of blocks that hold the same lines, one stays, and none of one line."""
+    held = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two")
+    )
+    once = held.where("n > 1").groupBy("n", "one", "two").agg(F.min("key").alias("key"))
+    return members.join(once.select("key", "n"), "key")
+
+
 def line_groups(members: DataFrame, features: Features) -> DataFrame:
     """(id, root) of all lines linked to another one; root is the lowest id of the group.
 
@@ -494,8 +503,9 @@ def line_groups(members: DataFrame, features: Features) -> DataFrame:
     of another group than the centre's are then compared with all lines of the block that
     neither this group nor their sizes and parity bits rule out; so no link is lost.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    company = materialize(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("score")), "company")
+    members = materialize(distinct_blocks(members), "distinct-blocks")
+    company = materialize(members.groupBy("id").agg(F.sum("n").alias("score")), "company")
+    members = members.drop("n")
     centres = members.join(company, "id").groupBy("key").agg(F.max(F.struct("score", "id", "size", *_PARITY)).alias("top"))
     centres = centres.select("key", *(F.col(f"top.{name}").alias(f"b_{name}") for name in ("id", "size", *_PARITY)))
     centres = materialize(centres, "centres")
