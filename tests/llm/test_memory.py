@@ -27,7 +27,7 @@ def test_memory_of_a_block_of_new_words():
 
 
 def test_memory_of_aligned_texts():
-    """In blocks of 2 MB, 183 MB were held at a time."""
+    """In blocks of 2 MB, 269 MB were held at a time."""
     paths = [str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     rng = np.random.default_rng(7)
     words = [f"{x:x}" for x in rng.integers(0, 1 << 28, 5000)]
